@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import licenses, lines, media, pii
+from docloom.llm import licenses, lines, media, pii, vectors
 from docloom.llm.common import table
 from docloom.llm.packing import best_fit_pack
 
@@ -35,6 +35,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
