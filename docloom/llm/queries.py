@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import licenses, lines, media, pii, vectors
+from docloom.llm import licenses, lines, media, pii, toxicity, vectors
 from docloom.llm.common import table
 from docloom.llm.packing import best_fit_pack
 
@@ -30,6 +30,10 @@ def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
