@@ -4,7 +4,7 @@ Each class (toxic, ordinary) has an interpolated Kneser-Ney model of letter five
 on a bounded, hash-ordered sample of labelled rows. Both back off to one shared three-gram model that is
 counted over all documents, so an expression that neither class has seen gets nearly the same likelihood
 from both. A word's score is the difference of its log-likelihoods; a text is described by this difference
-per letter in its best window of words, in its three most telling words and in the whole text, and a
+per letter in its best window of words and in the whole text, and per word in its three most telling words, and a
 logistic curve fitted on held-back training rows turns that into a probability.
 """
 
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 #: Labelled rows of each class that the class models may learn from; every third is held back for the curve.
 SAMPLE_PER_CLASS = 3000
 WINDOW, TOP = 24, 3
-DISCOUNT = 0.75
+#: Discounts of the shared model and of the class models; the latter takes what one document alone has for noise.
+DISCOUNT, CLASS_DISCOUNT = 0.75, 1.0
 #: Words whose score a Python worker keeps.
 CACHE = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -121,7 +122,7 @@ class ClassModel:
         for g, keys, values, heads, totals, kinds in ((four, self.g4, self.n4, self.h3, self.t4, self.d4), (grams, self.g5, self.n5, self.h4, self.t5, self.d5)):
             n, total, kind = self.look(keys, values, g), self.look(heads, totals, g >> BITS), self.look(heads, kinds, g >> BITS)
             safe = np.maximum(total, 1)
-            shared = np.where(total > 0, np.maximum(n - DISCOUNT, 0) / safe + DISCOUNT * kind / safe * shared, shared)
+            shared = np.where(total > 0, np.maximum(n - CLASS_DISCOUNT, 0) / safe + CLASS_DISCOUNT * np.minimum(kind / safe, 1) * shared, shared)
         return shared
 
 
@@ -157,7 +158,7 @@ class Scorer:
         self.model, self.known = model, {}
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """(best window, top words, whole text): log-likelihood differences per letter; zeros without words."""
+        """Log-likelihood differences of the best window and the whole text per letter, of the top words per word; zeros without words."""
         split = [words_of(t) for t in texts]
         new = list({w for words in split for w in words if w not in self.known})
         if len(self.known) + len(new) > CACHE:
@@ -174,7 +175,7 @@ class Scorer:
             width = min(WINDOW, len(words))
             best = ((a[width:] - a[:-width]) / (b[width:] - b[:-width])).max()
             top = np.argpartition(gain, -min(TOP, len(gain)))[-min(TOP, len(gain)) :]
-            out[k] = best, gain[top].sum() / (size[top].sum() + (TOP - len(top)) * 6), a[-1] / b[-1]
+            out[k] = best, gain[top].sum() / TOP, a[-1] / b[-1]
         return out
 
 
@@ -221,17 +222,19 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
 
 
 def training_rows(labels: DataFrame, limit: int) -> DataFrame:
-    """(doc_id, toxic, tune) of at most limit rows of each class, never held-out ones; conflicting labels count as toxic."""
+    """(doc_id, toxic) of at most limit rows of each class, never held-out ones; conflicting labels count as toxic."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     rows = rows.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
     some = rows.where("toxic = 1").orderBy(order, "doc_id").limit(limit).union(rows.where("toxic = 0").orderBy(order, "doc_id").limit(limit))
-    return some.withColumn("tune", F.pmod(F.xxhash64(F.lit("tune"), "doc_id"), F.lit(3)) == 0)
+    return some
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_PER_CLASS) -> Model:
     """Fit on labelled rows of docs. Without rows of both classes the model has no curve and scores 0."""
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(training_rows(labels, limit)), "doc_id")
+    # copies count once; a third of the texts is held back for the curve
+    sample = sample.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).withColumn("tune", F.pmod(F.xxhash64("text"), F.lit(3)) == 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_PER_CLASS) ->
                 counts: Counter[str] = Counter()
                 for t, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if c == toxic:
-                        counts.update(words_of(t))
+                        counts.update(set(words_of(t)))
                 if counts:
                     grams, word = five_grams(list(counts))
                     codes, where = np.unique(grams, return_inverse=True)
