@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import licenses, lines, media, ngram_join, pii, toxicity, vectors
+from docloom.llm import licenses, lines, media, ngram_join, pii, repeats, toxicity, vectors
 from docloom.llm.common import table
 from docloom.llm.packing import best_fit_pack
 
@@ -26,6 +26,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False).drop("kept")
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
