@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import licenses, lines, media, ngram_join, pii, repeats, toxicity, vectors
+from docloom.llm import licenses, lines, media, ngram_join, pii, repeats, sentencepiece_sampling, toxicity, vectors
 from docloom.llm.common import table
 from docloom.llm.packing import best_fit_pack
 
@@ -22,6 +22,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_sampling.encoded_digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
