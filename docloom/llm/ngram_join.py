@@ -24,12 +24,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docloom.llm.common import components, fits_broadcast, materialize, shuffle_partitions
 
 SHINGLE, PERCENT = 5, 75
 #: Counters of the frequency table (a power of two), and slices in which it is summed.
-COUNTERS, SLICES = 1 << 22, 64
+COUNTERS, SLICES = 1 << 23, 64
+#: Sets of one tile that meet in one group when pairs are verified.
+TILE = 64
 #: Class ids that may be broadcast to pick out their texts; above, the texts are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -119,7 +122,7 @@ def sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
-    """A level for each counter: 0 up to four times the mean count, then one more for each doubling.
+    """A level for each counter: 0 up to what chance makes of the mean count, then two more for each doubling.
 
     Every shingle of every document is counted. Tasks send slices of their table, compressed; slices are
     summed as a stream, and COUNTERS bytes reach the driver, however large the corpus.
@@ -156,8 +159,8 @@ def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
     table = np.zeros(COUNTERS, np.int64)
     for row in counted.toLocalIterator():
         table[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    bar = 4 * table.mean() + 32
-    return np.ceil(np.log2(np.maximum(table / bar, 1))).astype(np.uint8)
+    mean = table.mean()
+    return np.ceil(2 * np.log2(np.maximum(table / (mean + 3 * np.sqrt(mean) + 1), 1))).astype(np.uint8)
 
 
 def entries(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -187,71 +190,70 @@ def entries(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> Dat
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, name long, n int, place int")
 
 
-def lists(found: DataFrame, percent: int) -> DataFrame:
-    """(token, name, n, place, leader): entries of tokens that at least two classes hold, each once.
+def lists(found: DataFrame) -> DataFrame:
+    """(token, name, n, place, held): entries of tokens that at least two classes hold, each once, with the list's length."""
+    placed = found.repartition(shuffle_partitions(found.sparkSession), "token").dropDuplicates(["token", "name"])
+    return placed.withColumn("held", F.count("*").over(Window.partitionBy("token"))).where("held > 1")
 
-    Entries stream by token and size block; a block's first entry leads it. No list is held in memory.
-    """
-    ratio = np.log(100 / percent)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wait = None  # the only entry of the last token so far
-        token = leader = block = name = None  # of the last entry
-        for batch in batches:
-            t, m, n, p = (batch.column(k).to_numpy() for k in range(4))
-            if not len(t):
-                continue
-            b = np.floor(np.log(n) / ratio).astype(np.int64)
-            if wait is not None:
-                t, m, n, p, b = (np.concatenate((w, c)) for w, c in zip(wait, (t, m, n, p, b), strict=True))
-                token, wait = None, None
-            same = np.concatenate(([token is not None and t[0] == token], t[1:] == t[:-1]))
-            again = same & np.concatenate(([name is not None and m[0] == name], m[1:] == m[:-1]))
-            t, m, n, p, b, same = (c[~again] for c in (t, m, n, p, b, same))
-            if not len(t):
-                continue
-            inside = same & np.concatenate(([block is not None and b[0] == block], b[1:] == b[:-1]))
-            head = np.maximum.accumulate(np.where(inside, -1, np.arange(len(t))))
-            lead = np.where(head >= 0, m[np.maximum(head, 0)], leader if leader is not None else 0)
-            many = same | np.concatenate((same[1:], [False]))
-            if not many[-1]:
-                wait = tuple(c[-1:] for c in (t, m, n, p, b))
-            token, name, leader, block = t[-1], m[-1], lead[-1], b[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(c[many]) for c in (t, m, n, p, lead)], names=["token", "name", "n", "place", "leader"])
-
-    block = F.floor(F.log("n") / F.lit(float(ratio)))
-    placed = found.repartition(shuffle_partitions(found.sparkSession), "token").sortWithinPartitions("token", block, "name")
-    return placed.mapInArrow(run, "token long, name long, n int, place int, leader long")
+def leaders(found: DataFrame, percent: int) -> DataFrame:
+    """(name, leader): the class that heads most of a class's list blocks; classes that head their own have none.
+
+    A block is headed by its most common member: the one whose prefix lies in the longest lists. Edited copies
+    have shingles of their own, so this is what the others were copied from. Long sets show an eighth of their
+    lists, the same for all sets; leaders only decide which pairs are verified first.
+    """
+    block = F.floor(F.log("n") / F.lit(float(np.log(100 / percent))))
+    common = found.groupBy("name").agg((F.sum("held") / (F.max("n") - F.ceil(F.max("n") * percent / 100) + 1)).alias("common"))
+    shown = found.where((F.col("n") <= 100) | (F.pmod(F.col("token"), F.lit(8)) == 0)).select("token", "name", block.alias("block"))
+    shown = shown.join(common, "name")
+    heads = shown.groupBy("token", "block").agg(F.max_by("name", F.struct("common", "name")).alias("leader"))
+    counted = shown.join(heads, ["token", "block"]).where("name <> leader").groupBy("name", "leader").agg(F.count("*").alias("c"))
+    return counted.groupBy("name").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
 
 
 # ---------------------------------------------------------------- verification
 
 
 def verify(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(x, y, both, nx, ny) for pairs (x, y) of representatives' doc_ids: sizes of both sets and of their intersection.
+    """(x, y, both, nx, ny) for pairs (x, y, g) of representatives' doc_ids: sizes of both sets and of their intersection.
 
-    Texts of representatives move once for each side; a pair's second text is shingled again only where it changes.
+    Pairs of one g are verified together, so a text moves once for each g that needs it, not for each pair. A g holds
+    at most two tiles of sets.
     """
-    wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
+    asked = pairs.groupBy("g", F.col("x").alias("doc_id")).agg(F.collect_list("y").alias("ys"))
+    sides = asked.union(pairs.select("g", F.col("y").alias("doc_id"), F.array().cast("array<long>").alias("ys")).distinct())
+    sides = materialize(sides.groupBy("g", "doc_id").agg(F.flatten(F.collect_list("ys")).alias("ys")), "sides")
+    wanted = sides.select("doc_id").distinct()
     pick = F.broadcast(wanted) if fits_broadcast(wanted, BROADCAST_IDS) else wanted
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(pick, "doc_id", "left_semi")
-    one = pairs.join(texts.withColumnRenamed("doc_id", "x").withColumnRenamed("text", "tx"), "x")
-    two = one.join(texts.withColumnRenamed("doc_id", "y").withColumnRenamed("text", "ty"), "y")
+    placed = sides.join(texts, "doc_id").select("g", "doc_id", "ys", "text").repartition(shuffle_partitions(docs.sparkSession), "g").sortWithinPartitions("g")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
-        for batch in batches:
+        group, held, asks = None, {}, []
+
+        def answer() -> Iterator[pa.RecordBatch]:
             out = []
-            for x, y, tx, ty in zip(*(batch.column(k) for k in range(4)), strict=True):
-                y = y.as_py()
-                if y != last:
-                    last, held = y, shingle_set(ty.as_py(), size)
-                s = shingle_set(tx.as_py(), size)
-                out.append((x.as_py(), y, len(np.intersect1d(s, held, assume_unique=True)), len(s), len(held)))
+            for x, ys in asks:
+                for y in ys:
+                    if y in held:
+                        out.append((x, y, len(np.intersect1d(held[x], held[y], assume_unique=True)), len(held[x]), len(held[y])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["x", "y", "both", "nx", "ny"])
 
-    return two.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long, both long, nx long, ny long")
+        for batch in batches:
+            for g, doc, ys, text in zip(*(batch.column(k) for k in range(4)), strict=True):
+                if (g := g.as_py()) != group:
+                    yield from answer()
+                    group, held, asks = g, {}, []
+                doc = doc.as_py()
+                if doc not in held:
+                    held[doc] = shingle_set(text.as_py(), size)
+                    if ys := ys.as_py():
+                        asks.append((doc, ys))
+        yield from answer()
+
+    return placed.mapInArrow(run, "x long, y long, both long, nx long, ny long")
 
 
 def linked(percent: int) -> str:
@@ -269,13 +271,14 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     every = materialize(sets(docs, size), "sets")
     classes = materialize(every.where("n > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
     named = docs.where("doc_id is not null")
-    found = materialize(lists(entries(named, frequency_levels(named, size), size, percent), percent), "lists")
+    found = materialize(lists(entries(named, frequency_levels(named, size), size, percent)), "lists")
 
     rep = classes.select("name", "rep")
-    best = found.where("leader <> name").groupBy("name", "leader").agg(F.count("*").alias("c"))
-    best = best.groupBy("name").agg(F.max_by("leader", F.struct(F.col("c"), F.col("leader"))).alias("leader"))
+    best = leaders(found, percent)
     ask = best.join(rep.withColumnRenamed("rep", "x"), "name").join(rep.select(F.col("name").alias("leader"), F.col("rep").alias("y")), "leader").select("x", "y")
-    answers = materialize(verify(materialize(ask, "ask"), named, size), "answers").distinct()
+    number = F.row_number().over(Window.partitionBy("y").orderBy("x"))
+    ask = materialize(ask.select("x", "y", F.xxhash64("y", F.floor(number / TILE)).alias("g")), "ask")
+    answers = materialize(verify(ask, named, size), "answers").distinct()
     first = answers.where(linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     nodes = classes.select(F.col("rep").alias("id"))
     groups = materialize(components(nodes, first), "groups")
@@ -284,14 +287,17 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     distance = 1 - F.col("both") / (F.col("nx") + F.col("ny") - F.col("both"))
     known = rep.join(groups, F.col("rep") == F.col("id")).join(answers.select(F.col("x").alias("rep"), F.col("y").alias("leader"), distance.alias("d")), "rep", "left")
     known = known.select("name", "rep", "component", F.coalesce("leader", "rep").alias("leader"), F.coalesce("d", F.lit(0.0)).alias("d"))
+    known = known.withColumn("tile", F.xxhash64("leader", F.floor(F.row_number().over(Window.partitionBy("leader").orderBy("rep")) / TILE)))
     rows = materialize(found.select("token", "name", "n", "place").join(known, "name").drop("name"), "known")
     mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     rows = materialize(rows.join(mixed, "token"), "open")
-    b = rows.select("token", *[F.col(c).alias(f"{c}2") for c in ("n", "place", "rep", "component", "leader", "d")])
+    b = rows.select("token", *[F.col(c).alias(f"{c}2") for c in ("n", "place", "rep", "component", "leader", "d", "tile")])
     room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
     meet = (F.col("rep") < F.col("rep2")) & (F.col("component") != F.col("component2")) & (F.lit(100 + percent) * room >= F.lit(percent) * (F.col("n") + F.col("n2")))
     derived = ((F.col("leader") == F.col("leader2")) & (F.abs(F.col("d") - F.col("d2")) > 1 - percent / 100 + 1e-9)) | (F.col("leader") == F.col("rep2")) | (F.col("leader2") == F.col("rep"))
-    pairs = materialize(rows.join(b, "token").where(meet & ~derived).select(F.col("rep").alias("x"), F.col("rep2").alias("y")).distinct(), "pairs")
+    group = F.xxhash64(F.least("tile", "tile2"), F.greatest("tile", "tile2"))
+    pairs = rows.join(b, "token").where(meet & ~derived).select(F.col("rep").alias("x"), F.col("rep2").alias("y"), group.alias("g")).distinct()
+    pairs = materialize(pairs, "pairs")
     more = materialize(verify(pairs, named, size), "more").where(linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     whole = components(nodes, first.union(more)).select(F.col("id").alias("rep"), "component")
 
