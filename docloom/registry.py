@@ -203,6 +203,14 @@ SQL = {
     "page_title": f"select page_id, trim(split_part({ENTITIES.format(x='''regexp_extract(html, '<title>([^<]*)</title>', 1)''')}, '|', 1)) as title from pages",
 }
 
+UNITS = SQL["section_lengths"].split("from (", 1)[1].removesuffix(" where trim(u) <> '' group by doc_id").removesuffix(")")
+LONG = f"select doc_id, list_sort(list(length(u)))[cast(least(count(*) - 1, floor(count(*) * 0.95)) as bigint) + 1] as x from ({UNITS}) where trim(u) <> '' group by doc_id"
+SQL |= {
+    "file_link_flag": f"select page_id, count(*) as links, cast(sum(case when regexp_matches(href, '\\.(pdf|docx?|xlsx?|pptx?|zip|csv|txt|rtf|odt|ods)($|[?#])', 'i') then 1 else 0 end) as bigint) as files from ({SQL['page_links']}) group by page_id",
+    "document_chunks": f"select doc_id, {PARAMS.format(x='x')} as max_characters, cast(greatest(50, least(200, round_even({PARAMS.format(x='x')} * 0.1 / 50, 0) * 50)) as bigint) as overlap from (select d.doc_id, coalesce(p.x, length(text)) as x from documents d left join ({LONG}) p using (doc_id))",
+    "blank_lines": "select doc_id, count(*) as lines, cast(sum(case when trim(regexp_replace(trim(line), '^\\s*([-*•]|[0-9]+[.)])\\s*', '')) = '' then 1 else 0 end) as bigint) as blank from (select doc_id, unnest(case when text like '%' || chr(10) then string_split(text, chr(10))[:-2] else string_split(text, chr(10)) end) as line from documents where text <> '') group by doc_id",
+}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: globals()[name] for name in NAMES}
