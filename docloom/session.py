@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +25,15 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> Sp
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their working folder.
+
+    On a cluster whose nodes don't have that folder, install the package or pass it with --py-files.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
