@@ -16,6 +16,7 @@ from docloom.llm.packing import best_fit_pack
 from docloom.llm.pii import mask
 from docloom.llm.queries import tokenizer_path
 from docloom.llm.toxicity import reject_toxic
+from docloom.session import ship
 
 
 def with_length(docs: DataFrame) -> DataFrame:
@@ -25,27 +26,32 @@ def with_length(docs: DataFrame) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model predicts to be toxic go."""
+    ship(spark)
     return reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are cut; a document of which nothing is left goes, one that was empty before stays."""
+    ship(spark)
     cut = line_dedup(docs)
     return with_length(cut.where((F.col("n_deleted") == 0) | (F.col("n_deleted") < F.col("n_lines"))).select(*docs.columns))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    ship(spark)
     return one_of_each_group(docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked by kind."""
+    ship(spark)
     return with_length(mask(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences."""
+    ship(spark)
     return best_fit_pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
