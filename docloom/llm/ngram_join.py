@@ -33,6 +33,8 @@ SHINGLE, PERCENT = 5, 75
 COUNTERS, SLICES = 1 << 23, 64
 #: Sets of one tile that meet in one group when pairs are verified.
 TILE = 64
+#: Prefixes are read on by this share of the smaller set, so that a pair must share as many shingles more.
+SLACK_SHARE = 16
 #: Class ids that may be broadcast to pick out their texts; above, the texts are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -292,11 +294,17 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     rows = materialize(rows.join(mixed, "token"), "open")
     b = rows.select("token", *[F.col(c).alias(f"{c}2") for c in ("n", "place", "rep", "component", "leader", "d", "tile")])
+    # need: least intersection. A pair that links shares more than `slack` shingles among the first n - need + 1 + slack of each:
+    # below the end of the shorter of these prefixes what is not shared is missing. slack is what the stored prefixes allow.
+    needed = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent))
+    beyond = lambda n: needed - F.ceil(percent * F.col(n) / 100)
+    slack = F.least(F.floor(F.least("n", "n2") / SLACK_SHARE), beyond("n"), beyond("n2"))
     room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-    meet = (F.col("rep") < F.col("rep2")) & (F.col("component") != F.col("component2")) & (F.lit(100 + percent) * room >= F.lit(percent) * (F.col("n") + F.col("n2")))
+    meet = (F.col("rep") < F.col("rep2")) & (F.col("component") != F.col("component2")) & (room >= needed - slack)
     derived = ((F.col("leader") == F.col("leader2")) & (F.abs(F.col("d") - F.col("d2")) > 1 - percent / 100 + 1e-9)) | (F.col("leader") == F.col("rep2")) | (F.col("leader2") == F.col("rep"))
     group = F.xxhash64(F.least("tile", "tile2"), F.greatest("tile", "tile2"))
-    pairs = rows.join(b, "token").where(meet & ~derived).select(F.col("rep").alias("x"), F.col("rep2").alias("y"), group.alias("g")).distinct()
+    met = rows.join(b, "token").where(meet & ~derived).groupBy(F.col("rep").alias("x"), F.col("rep2").alias("y"), group.alias("g"), slack.alias("slack")).agg(F.count("*").alias("shared"))
+    pairs = met.where("shared > slack").select("x", "y", "g")
     pairs = materialize(pairs, "pairs")
     more = materialize(verify(pairs, named, size), "more").where(linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     whole = components(nodes, first.union(more)).select(F.col("id").alias("rep"), "component")
