@@ -13,6 +13,9 @@ verified overlaps with leaders are answers that others derive theirs from: class
 need not meet, since a group is known already; and Jaccard distance is a metric, so two classes whose
 distances to a common leader differ by more than 1 - J cannot link. Only pairs that remain open after that
 - in one list, of different groups so far, not excluded by a leader - are verified, each once.
+
+Links are counted on top of the groups: a link never leaves its group, so all pairs of a group's classes whose
+sizes leave room are verified, in tiles; tasks return sums for each class and never pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ SHINGLE, PERCENT = 5, 75
 COUNTERS, SLICES = 1 << 23, 64
 #: Sets of one tile that meet in one group when pairs are verified.
 TILE = 64
+#: Sets of one tile when the links of a group are counted, and shingles that are counted at once.
+LINK_TILE, LINK_CHUNK = 256, 1 << 20
 #: Prefixes are read on by this share of the smaller set, so that a pair must share as many shingles more.
 SLACK_SHARE = 16
 #: Class ids that may be broadcast to pick out their texts; above, the texts are joined by shuffle.
@@ -262,16 +267,10 @@ def linked(percent: int) -> str:
     return f"100 * both >= {percent} * (nx + ny - both)"
 
 
-def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs.
-
-    Documents link when the Jaccard similarity of their shingle sets is at least percent / 100; component_id is the
-    smallest doc_id reachable by links. Null, empty and wordless texts have no shingles and link with nothing.
-    Equal sets link whatever their texts. A row with null doc_id has its n_shingles, links with nothing and has a
-    null component_id. Rows that repeat a doc_id are taken as copies of one document. Empty tables give no rows.
-    """
+def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, name) of each row, and (name, rep, n, members, component) of each class; members are distinct doc_ids."""
     every = materialize(sets(docs, size), "sets")
-    classes = materialize(every.where("n > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
+    classes = materialize(every.where("n > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count_distinct("doc_id").alias("members")), "classes")
     named = docs.where("doc_id is not null")
     found = materialize(lists(entries(named, frequency_levels(named, size), size, percent)), "lists")
 
@@ -308,12 +307,122 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     pairs = materialize(pairs, "pairs")
     more = materialize(verify(pairs, named, size), "more").where(linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     whole = components(nodes, first.union(more)).select(F.col("id").alias("rep"), "component")
+    return every, classes.join(whole, "rep").select("name", "rep", "n", "members", "component")
+
 
-    of = classes.join(whole, "rep").select("name", "component")
+def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs.
+
+    Documents link when the Jaccard similarity of their shingle sets is at least percent / 100; component_id is the
+    smallest doc_id reachable by links. Null, empty and wordless texts have no shingles and link with nothing.
+    Equal sets link whatever their texts. A row with null doc_id has its n_shingles, links with nothing and has a
+    null component_id. Rows that repeat a doc_id are taken as copies of one document. Empty tables give no rows.
+    """
+    every, classes = grouped(docs, size, percent)
+    of = classes.select("name", "component")
     out = every.join(of, (every["name"] == of["name"]) & (every["n"] > 0) & every["doc_id"].isNotNull(), "left")
     return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id"))
 
 
+def overlaps(sets: list[np.ndarray], first: int) -> np.ndarray:
+    """Intersections of the first sets with all sets, as a matrix; sets are sorted, and are counted by ranges of hashes."""
+    both = np.zeros((first, len(sets)), np.int64)
+    total = sum(map(len, sets))
+    steps = max(1, -(-total // LINK_CHUNK))
+    bounds = [U((k << 64) // steps) for k in range(1, steps)]
+    cuts = [[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in sets]
+    for k in range(steps):
+        parts = [s[c[k] : c[k + 1]] for s, c in zip(sets, cuts, strict=True)]
+        _, token, held = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), [len(p) for p in parts])
+        shared = held[token] > 1
+        _, token = np.unique(token[shared], return_inverse=True)
+        owner = owner[shared]
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        n = int(token[-1]) + 1 if len(token) else 0
+        for at in range(0, n, 4096):
+            low, high = np.searchsorted(token, [at, at + 4096])
+            has = np.zeros((len(sets), min(4096, n - at)), np.float32)
+            has[owner[low:high], token[low:high] - at] = 1
+            both += (has[:first] @ has.T).astype(np.int64)
+    return both
+
+
+def link_counts(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(rep, links) of each class that has links to other classes: the number of documents in those.
+
+    A group's classes are dealt into tiles, by size block if they are more than one tile; each pair of tiles whose
+    blocks are the same or adjacent is verified whole. Sizes of linked sets are in the ratio percent / 100 at most,
+    so they lie in the same or adjacent blocks.
+    """
+    # the small term keeps a size that is a power of the ratio out of the block below
+    block = F.floor(F.log("n") / F.lit(float(np.log(100 / percent))) + 1e-9)
+    counted = classes.groupBy("component").agg(F.count("*").alias("group_size")).where("group_size > 1")
+    held = classes.join(counted, "component").select("component", "rep", "members", F.when(F.col("group_size") > LINK_TILE, block).otherwise(0).alias("block"))
+    blocks = held.groupBy("component", "block").agg(F.ceil(F.count("*") / LINK_TILE).alias("tiles"))
+    near = blocks.alias("b").join(blocks.alias("o"), (F.col("b.component") == F.col("o.component")) & (F.abs(F.col("b.block") - F.col("o.block")) <= 1))
+    near = near.groupBy(F.col("b.component").alias("component"), F.col("b.block").alias("block")).agg(
+        F.max("b.tiles").alias("tiles"), F.collect_list(F.struct(F.col("o.block").alias("block"), F.col("o.tiles").alias("tiles"))).alias("others")
+    )
+    dealt = held.join(near, ["component", "block"])
+    mine = F.struct("block", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("part"))
+    others = F.flatten(F.transform("others", lambda o: F.transform(F.sequence(F.lit(0).cast("long"), o["tiles"] - 1), lambda k: F.struct(o["block"].alias("block"), k.alias("part")))))
+    dealt = dealt.select("component", "rep", "members", mine.alias("mine"), F.explode(others).alias("other"))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    sides = materialize(dealt.select(F.xxhash64("component", low, high).alias("g"), "rep", "members", (F.col("mine") == low).alias("is_low"), (low == high).alias("alone")), "link_sides")
+    wanted = sides.select("rep").distinct()
+    pick = F.broadcast(wanted) if fits_broadcast(wanted, BROADCAST_IDS) else wanted
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(pick, "rep", "left_semi")
+    placed = sides.join(texts, "rep").select("g", "rep", "members", "is_low", "alone", "text").repartition(shuffle_partitions(docs.sparkSession), "g").sortWithinPartitions("g")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, {}
+
+        def answer() -> Iterator[pa.RecordBatch]:
+            rows = sorted(held.items(), key=lambda r: not r[1][1])
+            first = sum(r[1][1] for r in rows)
+            if len(rows) < 2 or not first:
+                return
+            n = np.array([len(r[1][3]) for r in rows])
+            members = np.array([r[1][0] for r in rows], np.int64)
+            both = overlaps([r[1][3] for r in rows], first)
+            link = 100 * both >= percent * (n[:first, None] + n[None, :] - both)
+            if rows[0][1][2]:
+                np.fill_diagonal(link, False)
+                found = link @ members
+            else:
+                link = link[:, first:]
+                found = np.concatenate((link @ members[first:], members[:first] @ link))
+            some = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array([rows[k][0] for k in some], pa.int64()), pa.array(found[some], pa.int64())], names=["rep", "links"])
+
+        for batch in batches:
+            for g, rep, members, is_low, alone, text in zip(*(batch.column(k) for k in range(6)), strict=True):
+                if (g := g.as_py()) != group:
+                    yield from answer()
+                    group, held = g, {}
+                if (rep := rep.as_py()) not in held:
+                    held[rep] = members.as_py(), is_low.as_py(), alone.as_py(), shingle_set(text.as_py(), size)
+        yield from answer()
+
+    return placed.mapInArrow(run, "rep long, links long").groupBy("rep").agg(F.sum("links").alias("links"))
+
+
+def jaccard_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for each row of docs: jaccard_groups and the number of links.
+
+    n_links is the number of other documents (distinct doc_ids) that link with the row's; 0 for a null doc_id and for
+    texts without shingles.
+    """
+    every, classes = grouped(docs, size, percent)
+    classes = materialize(classes, "grouped_classes")
+    links = link_counts(classes, docs.where("doc_id is not null"), size, percent)
+    of = classes.join(links, "rep", "left").select("name", "component", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    out = every.join(of, (every["name"] == of["name"]) & (every["n"] > 0) & every["doc_id"].isNotNull(), "left")
+    return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs without documents that are not their group's smallest doc_id; all columns kept; rows of null doc_id stay."""
     gone = materialize(jaccard_groups(docs.select("doc_id", "text"), size, percent), "grouped").where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct()

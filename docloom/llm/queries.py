@@ -27,7 +27,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_links(table(spark, sf_dir, "documents"))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

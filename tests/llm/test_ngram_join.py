@@ -2,7 +2,10 @@ import collections
 import random
 import re
 
+import pytest
+
 from docloom.llm import ngram_join as N
+from docloom.llm.queries import queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -64,3 +67,34 @@ def test_threshold_is_met_exactly(spark):
     rows = [(1, " ".join(words)), (2, " ".join([*words[:10], "x"])), (3, " ".join(["y", *words[1:10], "x"]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in N.jaccard_groups(docs).collect()} == {1: 1, 2: 1, 3: 1} == {d: c for d, (_, c) in brute(rows).items()}
+
+
+def brute_links(rows, percent=75):
+    sets = {}
+    for doc, text in rows:
+        w = WORD.findall((text or "").translate(LOWER))
+        sets[doc] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    linked = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    return {d: sum(bool(linked(sets[d], sets[e])) for e in sets if e != d) for d in sets}
+
+
+@pytest.mark.parametrize(("tile", "chunk"), [(256, 1 << 20), (4, 50)])
+def test_link_counts_equal_brute_force(spark, monkeypatch, tile, chunk):
+    monkeypatch.setattr(N, "LINK_TILE", tile)
+    monkeypatch.setattr(N, "LINK_CHUNK", chunk)
+    rows = made(200)
+    # one leader and many texts that differ from it, and from each other, by one word at the end or the beginning
+    w = [f"w{k}" for k in range(40)]
+    rows += [(6000 + k, " ".join([f"x{k}", *w[1:]] if k % 2 else [*w[: 39 - k % 5], f"y{k}"])) for k in range(40)] + [(7000, rows[0][1])]
+    docs = spark.createDataFrame([*rows, rows[1], (None, rows[0][1])], "doc_id long, text string")
+    got = N.jaccard_links(docs).collect()
+    want, groups = brute_links(rows), brute(rows)
+    assert len(got) == len(rows) + 2
+    assert {r["doc_id"]: r["n_links"] for r in got if r["doc_id"] is not None} == want and [r["n_links"] for r in got if r["doc_id"] is None] == [0]
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None} == groups
+    assert N.jaccard_links(docs.limit(0)).count() == 0 and any(n > 20 for n in want.values())
+
+
+def test_query_counts_links(spark):
+    out = queries()["op3_ngram_jaccard_join"](spark, "/root/testdata/sf0.001")
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
