@@ -118,3 +118,23 @@ def test_digest_and_mask(spark):
 
 def test_long_runs_take_linear_time():
     assert pii.find("9" * 200_000) == ([], []) and pii.find("a." * 100_000 + "@") == ([], [])
+
+
+@pytest.mark.parametrize(
+    "words",
+    [
+        "zero one two three four five six seven eight nine",
+        "null eins zwei drei vier fünf sechs sieben acht neun",
+        "zéro un deux trois quatre cinq six sept huit neuf",
+        "zéro une deux trois quatre cinq six sept huit neuf",
+        "cero uno dos tres cuatro cinco seis siete ocho nueve",
+    ],
+)
+def test_every_digit_is_spelled_in_every_language(words):
+    text = f"tel plus {words} x"
+    assert [pii.SPELLED[w] for w in words.split()] == list("0123456789")
+    assert pii.joined(pii.find(text)[1]) == f"phone:4:{len(text) - 2}" and pii.masked(text) == "tel [PHONE] x"
+
+
+def test_french_articles_are_no_digits():
+    assert pii.find("un chat, une souris et un, deux ou trois chiens") == ([], [])
