@@ -3,8 +3,8 @@
 Two passes over each whole text. The base pass finds plain e-mail addresses, IP addresses, card and
 phone numbers. The second normalises disguises - look-alike letters, full-width and other digits,
 spelled digits, at/dot words - by small transducers that keep, for each output character, the source
-span it came from; it detects on the normalised text and maps spans back. Spans that the second pass
-adds never overlap a base span.
+span it came from; it detects on the normalised text and maps spans back. Spans that the second pass adds
+may overlap base spans, but never equal one of their kind or lie inside it.
 """
 
 from __future__ import annotations
@@ -228,16 +228,14 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     tape = deobfuscate(text)
     if tape.text == text:
         return base, base
-    taken = sorted((s, e) for _, s, e in base)
-    firsts = [s for s, _ in taken]
-    reach = []
-    for _, e in taken:
-        reach.append(max(e, reach[-1]) if reach else e)
+    taken = {k: ([s for kind, s, _ in base if kind == k], [e for kind, _, e in base if kind == k]) for k in KINDS}
     added = []
     for kind, start, end in detect(tape.text):
         a, b = tape.back(start, end)
-        k = bisect_right(firsts, b - 1)
-        if k == 0 or reach[k - 1] <= a:
+        # spans of one kind do not overlap: only the last that begins at or before a can hold it
+        firsts, ends = taken[kind]
+        k = bisect_right(firsts, a) - 1
+        if k < 0 or ends[k] < b:
             added.append((kind, a, b))
     return base, sorted(base + added, key=order)
 

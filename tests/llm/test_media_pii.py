@@ -138,3 +138,18 @@ def test_every_digit_is_spelled_in_every_language(words):
 
 def test_french_articles_are_no_digits():
     assert pii.find("un chat, une souris et un, deux ou trois chiens") == ([], [])
+
+
+@pytest.mark.parametrize(
+    ("text", "spans", "masked"),
+    [
+        ("to jоhn@example.com!", "email:3:19,email:5:19", "to [EMAIL]!"),
+        ("john@example.cоm", "email:0:14,email:0:16", "[EMAIL]"),
+        ("john@mail.exаmple.com", "email:0:12,email:0:21", "[EMAIL]"),
+        ("john@mail.example [dot] com x", "email:0:17,email:0:27", "[EMAIL] x"),
+        ("a@b.co jоe@b.co a@b.co", "email:0:6,email:7:15,email:9:15,email:16:22", "[EMAIL] [EMAIL] [EMAIL]"),
+    ],
+)
+def test_disguises_that_overlap_a_base_span_are_kept(text, spans, masked):
+    base, every = pii.find(text)
+    assert pii.joined(every) == spans and pii.masked(text) == masked and base == plain(text) and set(base) <= set(every)
