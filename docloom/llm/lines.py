@@ -44,7 +44,7 @@ def doubled(names: str, step: int) -> Column:
 
 
 def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, line, length, a, b): the shortest run of at least min_words words from each non-blank line that has one."""
+    """(key, line, length, a, b): the shortest run of at least min_words words from each non-blank line and up to each one, where there is one."""
     rows = docs.select(key_of(docs).alias("key"), F.filter(line_list(docs["text"].cast("string")), lambda x: x["n"] > 0).alias("lines"))
     rows = rows.where(F.size("lines") > 0).select("key", F.col("lines.n").alias("n"), F.transform("lines", lambda x: pair_hash(x["line"])).alias("r1"))
     level = 1
@@ -52,11 +52,20 @@ def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         rows = rows.withColumn(f"r{2 * level}", doubled(f"r{level}", level))
         level *= 2
 
-    def length_at(i: Column) -> Column:
-        """Lines from line i until min_words words; 0 if the document ends before."""
+    def until(counts: Column) -> Column:
+        """How many of the counts make min_words words; 0 if all are too few."""
         start = F.struct(F.lit(0).alias("lines"), F.lit(0).alias("words"))
         grow = lambda s, x: F.when(s["words"] >= min_words, s).otherwise(F.struct((s["lines"] + 1).alias("lines"), (s["words"] + x).alias("words")))
-        return F.aggregate(F.slice(F.col("n"), i + 1, min_words), start, grow, lambda s: F.when(s["words"] >= min_words, s["lines"]).otherwise(0))
+        return F.aggregate(counts, start, grow, lambda s: F.when(s["words"] >= min_words, s["lines"]).otherwise(0))
+
+    def length_at(i: Column) -> Column:
+        """Lines from line i until min_words words; 0 if the document ends before."""
+        return until(F.slice(F.col("n"), i + 1, min_words))
+
+    def length_back(i: Column) -> Column:
+        """Lines from line i backwards until min_words words; 0 if the document begins after."""
+        held = F.least(i + 1, F.lit(min_words))
+        return until(F.reverse(F.slice(F.col("n"), i + 2 - held, held)))
 
     def name_at(i: Column, length: Column) -> Column:
         name = F.lit(None)
@@ -69,8 +78,14 @@ def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return name
 
     rows = rows.withColumn("lengths", F.transform("n", lambda x, i: length_at(i)))
-    found = rows.select("key", F.explode(F.transform("lengths", lambda length, i: F.struct(i.alias("line"), length.alias("length"), name_at(i, length).alias("name")))).alias("r"))
-    return found.where("r.length > 0").select("key", "r.line", "r.length", "r.name.a", "r.name.b")
+    place = lambda i, length: F.struct(i.alias("line"), length.alias("length"))
+    starts = F.filter(F.transform("lengths", lambda length, i: place(i, length)), lambda r: r["length"] > 0)
+    ends = F.transform("n", lambda x, i: length_back(i))
+    # a run that also starts as the shortest one is there already
+    ends = F.filter(F.transform(ends, lambda length, i: place(i + 1 - length, length)), lambda r: (r["length"] > 0) & (F.get(F.col("lengths"), r["line"]) != r["length"]))
+    rows = rows.withColumn("places", F.concat(starts, ends))
+    found = rows.select("key", F.explode(F.transform("places", lambda r: F.struct(r["line"].alias("line"), r["length"].alias("length"), name_at(r["line"], r["length"]).alias("name")))).alias("r"))
+    return found.select("key", "r.line", "r.length", "r.name.a", "r.name.b")
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -40,6 +40,32 @@ def test_line_runs_equal_brute_force(spark):
     assert lines.line_dedup(df.limit(0)).count() == 0
 
 
+def brute_runs(docs, least):
+    """Every run of at least `least` words, of any number of lines, that an earlier place holds without overlap goes."""
+    held = {k: [x for x in (t or "").split("\n") if WORD.search(x)] for k, t in docs}
+    first, gone = {}, {k: set() for k in held}
+    for k in sorted(held):
+        for i in range(len(held[k])):
+            for j in range(i, len(held[k])):
+                run = tuple(held[k][i : j + 1])
+                if sum(len(WORD.findall(x)) for x in run) >= least:
+                    f = first.setdefault(run, (k, i))
+                    if f != (k, i) and (f[0] != k or i >= f[1] + len(run)):
+                        gone[k] |= set(range(i, j + 1))
+    return {k: (len(held[k]), len(gone[k]), [x for i, x in enumerate(held[k]) if i not in gone[k]]) for k in held}
+
+
+def test_whole_repeated_runs_go(spark):
+    rng = random.Random(11)
+    pool = ["a b c", "x y z w", "  ", "", "hello there general kenobi you are bold one two three", "q", "m n", "lorem ipsum dolor"]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(80)]
+    long = " ".join(f"w{k}" for k in range(50))
+    docs += [(100, f"{long}\nRead more here\nfirst end"), (101, f"{long}\nRead more here\nsecond end"), (102, None)]
+    got = {r["doc_id"]: r for r in lines.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), 8).collect()}
+    assert {k: (r["n_lines"], r["n_deleted"], [x for x in (r["text"] or "").split("\n") if WORD.search(x)]) for k, r in got.items()} == brute_runs(docs, 8)
+    assert got[101]["text"] == "second end"
+
+
 def test_null_and_repeated_ids(spark):
     text = "one two three four five six seven eight nine"
     df = spark.createDataFrame([(None, text), (5, text), (5, text)], "doc_id long, text string")
