@@ -1,10 +1,12 @@
 """License scan: an exact set-similarity join of text blocks with licence templates.
 
-Blocks are the lines of a text as sets of words. A template's words are ordered from rare to frequent
+Blocks are the lines of a text as sets of words, and all windows of its words, across lines, that are as
+wide as a template divided by `threshold`: a wrapped template lies in such a window. A template's words are ordered from rare to frequent
 by how many documents hold them, counted over the whole corpus. A block that holds at least the share
 `threshold` of a template's words must hold one of the template's first n - need + 1 words (prefix
 filter), must have at least `need` words (length filter), and the place of its first prefix word must
-leave room for `need` words (positional filter); only then is the overlap counted. Templates are a
+leave room for `need` words (positional filter); only then is the overlap counted. Windows are placed at
+the prefix words of a template, in texts that as a whole pass its filters. Templates are a
 fixed list, so their index is a handful of literals inside the plan and blocks never move: the join
 has no shuffle. Built-in functions only.
 """
@@ -70,9 +72,10 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     for label, text in templates:
         ordered = sorted(set(text.split()), key=lambda w: (counts[w], w))
         need = max(1, math.ceil(threshold * len(ordered) - 1e-9))
-        index.append((label, ordered, need, ordered[: len(ordered) - need + 1]))
-    prefixes = literal(sorted({w for _, _, _, p in index for w in p}))
-    least = min(need for _, _, need, _ in index)
+        width = math.ceil(len(text.split()) / threshold - 1e-9)
+        index.append((label, ordered, need, ordered[: len(ordered) - need + 1], width))
+    prefixes = literal(sorted({w for _, _, _, p, _ in index for w in p}))
+    least = min(need for _, _, need, _, _ in index)
 
     text = lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("low")).withColumn("words", words_of(F.col("low")))
@@ -93,7 +96,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
 
     def matched(block: Column) -> Column:
         tries = []
-        for label, ordered, need, prefix in index:
+        for label, ordered, need, prefix, _ in index:
             n = len(ordered)
             first = F.array_position(F.transform(literal(prefix), lambda w: F.array_contains(block, w)), True)
             share = F.size(F.array_intersect(literal(ordered), block)) / F.lit(float(n))
@@ -105,7 +108,24 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     blocks = F.filter(F.transform(F.split("low", "\n", -1), lambda x: F.array_distinct(words_of(x))), lambda b: (F.size(b) >= least) & F.arrays_overlap(b, prefixes))
     matches = F.when(F.arrays_overlap("words", prefixes), F.flatten(F.transform(blocks, matched))).otherwise(no_matches)
 
-    rows = rows.withColumns({"hits": hits, "matches": matches})
+    def windowed(ordered: list[str], need: int, prefix: list[str], width: int) -> Column:
+        """The largest share of a template that a window holds, if it is enough. A window that is enough holds a prefix word."""
+        n = len(ordered)
+        count = lambda start, size: F.size(F.array_intersect(literal(ordered), F.slice(F.col("words"), start + 1, size)))
+        places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(prefix), i)), lambda i: i.isNotNull())
+        first = lambda i: F.greatest(i - (width - 1), F.lit(0))
+        near = F.filter(places, lambda i: count(first(i), i - first(i) + width) >= need)
+        starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.sequence(first(i), i))))
+        share = F.array_max(F.transform(starts, lambda i: count(i, F.lit(width)))) / F.lit(float(n))
+        return F.when(F.size(F.array_intersect(literal(ordered), F.col("held"))) >= need, F.when(share >= need / n, share))
+
+    # one line has no windows that its block does not hold
+    wrapped = F.contains("low", F.lit("\n")) & (F.size("held") >= least)
+    windows = F.array(*[F.struct(F.lit(label).alias("label"), windowed(ordered, need, prefix, width).alias("share")) for label, ordered, need, prefix, width in index])
+    windows = F.when(wrapped, F.filter(windows, lambda x: x["share"].isNotNull())).otherwise(no_matches)
+
+    vocabulary = literal(sorted({w for _, ordered, _, _, _ in index for w in ordered}))
+    rows = rows.withColumn("held", F.array_intersect(vocabulary, F.col("words"))).withColumns({"hits": hits, "matches": F.concat(matches, windows)})
     base, both = F.col("hits.label"), F.concat(F.col("hits.label"), F.col("matches.label"))
     return rows.select(
         "doc_id",

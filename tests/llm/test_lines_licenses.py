@@ -103,3 +103,45 @@ def test_licenses_equal_brute_force(spark):
         assert tuple(r)[1:7] == want and abs(r["score"] - score) < 1e-12
     assert licenses.license_scan(df.limit(0)).count() == 0
     assert licenses.license_scan(spark.createDataFrame([(None, "MIT license")], "doc_id long, text string")).select(F.max("n_base")).first()[0] == 1
+
+
+def test_wrapped_templates_are_found(spark):
+    rng = random.Random(3)
+    docs, want = [], {}
+    for k, (label, text) in enumerate(licenses.TEMPLATES):
+        words = text.split()
+        for at in {1, len(words) // 2, len(words) - 1}:
+            docs.append((len(docs), "zz " * rng.randint(0, 40) + " ".join(words[:at]) + ",\n * " + " ".join(words[at:]) + " zz" * rng.randint(0, 40)))
+            want[docs[-1][0]] = label
+    docs.append((900, "all\n" + "zz " * 30 + "rights\nreserved"))
+    docs.append((901, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"))
+    want[901] = "bsd"
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(label in got[k]["labels"].split(",") and got[k]["score"] == 1 for k, label in want.items())
+    assert (got[900]["labels"], got[900]["score"]) == ("", 0)
+
+
+def test_windows_equal_brute_force(spark):
+    rng = random.Random(9)
+    parts = sorted({w for _, t in licenses.TEMPLATES for w in t.split()})
+    docs = []
+    for k in range(120):
+        words = [rng.choice(parts) for _ in range(rng.randint(0, 30))]
+        for _ in range(rng.randint(0, 2)):
+            t = [w for w in rng.choice(licenses.TEMPLATES)[1].split() if rng.random() < 0.93]
+            at = rng.randint(0, len(words))
+            words[at:at] = t
+        docs.append((k, "".join(w + rng.choice(" \n ") for w in words)))
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, text in docs:
+        words, shares = LICENSE_WORD.findall(text), {}
+        for label, template in licenses.TEMPLATES:
+            t = set(template.split())
+            width = math.ceil(len(template.split()) / licenses.THRESHOLD - 1e-9)
+            blocks = [set(LICENSE_WORD.findall(x)) for x in text.split("\n")] + [set(words[i : i + width]) for i in range(len(words))]
+            share = max(len(t & b) for b in blocks) / len(t)
+            if share >= math.ceil(licenses.THRESHOLD * len(t) - 1e-9) / len(t):
+                shares[label] = max(share, shares.get(label, 0))
+        base = {x for x in got[k]["base_labels"].split(",") if x}
+        assert {x for x in got[k]["labels"].split(",") if x} == base | set(shares)
+        assert abs(got[k]["score"] - (1 if base else max(shares.values(), default=0))) < 1e-12
