@@ -5,8 +5,9 @@ order puts shingles that many documents hold last: their frequency level comes f
 table over all shingles of all documents, and any order gives the same result. Two classes that link share
 one of the first n - ceil(J n) + 1 shingles of that order, so inverted lists hold only these prefixes.
 
-Skipping by index: list entries carry set size and position. Lists fall into blocks of similar size, and
-entries whose sizes or positions leave no room for the needed overlap never meet.
+Skipping by index: list entries carry set size and position, and pairs whose sizes or positions leave no room
+for the needed overlap are dropped. These are filters on pairs, not blocks in the join key: the entries of an
+open list all meet, so a list of n open classes makes n * n / 2 pairs. Size blocks only serve to choose leaders.
 
 Skipping by answers: each class first meets one leader - the class that heads most of its list blocks. The
 verified overlaps with leaders are answers that others derive theirs from: classes linked with one leader
