@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir.
 
-    Where the session sets none (tests, local runs) a temporary folder is made once.
+    Where the session sets none, a local master gets a temporary folder, made once; a cluster gets an error, since
+    no folder of one machine would do there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext
         held = context._jsc.sc().getCheckpointDir()
         if held.isEmpty():
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="docloom-"))
             held = context._jsc.sc().getCheckpointDir()
         found = held.get()
@@ -35,7 +42,50 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.docloom_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a materialized table, once everything that reads it has been written itself."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.docloom_path)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: What this Python worker keeps between tasks: the kind of work, and its caches by key.
+_kept: dict[str, dict[Any, Any]] = {}
+
+
+def begin(kind: str) -> None:
+    """Drop what this Python worker keeps for any other kind of work.
+
+    Workers are reused by all queries and stages of a session, so what one leaves behind would add to the next one's memory.
+    """
+    if kind not in _kept:
+        old = bool(_kept)
+        _kept.clear()
+        _kept[kind] = {}
+        if old:
+            trim()
+
+
+def worker_cache(kind: str, key: Any, make: Callable[[], Any]) -> Any:
+    """A cache that a Python worker keeps from task to task of one kind of work."""
+    begin(kind)
+    held = _kept[kind]
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def trim() -> None:
+    """Give free memory back to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
@@ -52,6 +102,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def spanning(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """For each of n nodes the smallest node that the pairs connect it with."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """Connected components: (id, component) with component the smallest id reachable.
 
@@ -81,7 +145,8 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> Dat
             .where("u <> v")
             .distinct()
         )
-        e = materialize(small, "star")
+        last, e = e, materialize(small, "star")
+        release(last)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from docloom.llm.common import materialize, shuffle_partitions
+from docloom.llm.common import materialize, shuffle_partitions, worker_cache
 
 CAPACITY = 4096
 END_ID = 1
 #: Words that one Python worker keeps encoded; others are encoded again where they occur.
-WORD_CACHE = 700_000
+WORD_CACHE = 500_000
 #: Single marks that may follow a word.
 MARKS = ".,"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -106,17 +106,12 @@ class _Both:
         return self.second[key] if found is None else found
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """One encoder for each Python worker and tokenizer file."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return worker_cache("packing", path, lambda: WordEncoder(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import begin
+
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -280,6 +282,7 @@ def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with personal data masked in text_col; all other columns, and null texts, stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
         for batch in batches:
             k = batch.schema.get_field_index(text_col)
             column = pa.array([masked(t) for t in batch.column(k).to_pylist()], batch.schema.field(k).type)

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import begin
+
 #: Labelled rows of each class that the class models may learn from; every third is held back for the curve.
 SAMPLE_PER_CLASS = 3000
 WINDOW, TOP = 24, 3
@@ -202,6 +204,7 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
     """Three-gram counts over the words of all documents; at most SIGNS ** 3 sums reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         total = np.zeros(SIGNS**3, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -266,6 +269,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Data
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         scorer = Scorer(shipped.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -295,6 +299,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_PER_CLA
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         scorer = Scorer(shipped.value)
         for batch in batches:
             p = [scorer.model.probability(scorer.features(batch.column(at)[k : k + 512].to_pylist())) for k in range(0, batch.num_rows, 512)]

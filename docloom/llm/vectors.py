@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import components, materialize, shuffle_partitions
+from docloom.llm.common import components, materialize, shuffle_partitions, spanning
 
 THRESHOLD = 0.98
 #: Vectors in a tile; rows of a label that its rotation is fitted on; coordinates of a tile's box.
@@ -146,20 +146,6 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
 
 
-def spanning(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """For each of n nodes the smallest node that the pairs connect it with."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, least)
-        np.minimum.at(new, j, least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def tile_links(distinct: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """Rows (a, b, null): edges that connect what links connect; rows (a, null, linked): linked vectors, to be summed by a.
 
