@@ -1,19 +1,20 @@
-"""N-gram Jaccard join with set-relation skipping, exact for the groups that links form.
+"""N-gram Jaccard join with set-relation skipping, exact for groups and numbers of links.
 
 A document is the set of its distinct word shingles, as 64-bit hashes. Equal sets are one class. A global
 order puts shingles that many documents hold last: their frequency level comes from one fixed-size count
 table over all shingles of all documents, and any order gives the same result. Two classes that link share
 one of the first n - ceil(J n) + 1 shingles of that order, so inverted lists hold only these prefixes.
 
-Skipping by index: list entries carry set size and position, and pairs whose sizes or positions leave no room
-for the needed overlap are dropped. These are filters on pairs, not blocks in the join key: the entries of an
-open list all meet, so a list of n open classes makes n * n / 2 pairs. Size blocks only serve to choose leaders.
-
 Skipping by answers: each class first meets one leader - the class that heads most of its list blocks. The
 verified overlaps with leaders are answers that others derive theirs from: classes linked with one leader
-need not meet, since a group is known already; and Jaccard distance is a metric, so two classes whose
-distances to a common leader differ by more than 1 - J cannot link. Only pairs that remain open after that
-- in one list, of different groups so far, not excluded by a leader - are verified, each once.
+need not meet, since a group is known already; and Jaccard distance is a metric, so classes whose distances
+to a common leader differ by more than 1 - J cannot link.
+
+Skipping by index: a list does not hold classes but index blocks, tiles of classes with the same leader, the
+same band of distances to it, the same band of sizes, and one answer to the question whether they are in its
+group. A block's entry in a list has its bounds of size, position, distance and group, and two blocks of a list
+meet only if these leave room for a link; lists whose classes are one group already are closed. What is left are
+pairs of blocks, which are verified whole, as one product of small matrices; tasks return spanning edges.
 
 Links are counted on top of the groups: a link never leaves its group, so all pairs of a group's classes whose
 sizes leave room are verified, in tiles; tasks return sums for each class and never pairs.
@@ -22,21 +23,22 @@ sizes leave room are verified, in tiles; tasks return sums for each class and ne
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from docloom.llm.common import components, fits_broadcast, materialize, shuffle_partitions
+from docloom.llm.common import begin, components, fits_broadcast, materialize, release, shuffle_partitions, spanning
 
 SHINGLE, PERCENT = 5, 75
 #: Counters of the frequency table (a power of two), and slices in which it is summed.
 COUNTERS, SLICES = 1 << 23, 64
-#: Sets of one tile that meet in one group when pairs are verified.
+#: Classes of one index block, and followers that meet their leader in one place.
 TILE = 64
+#: Bands of distances to a leader that index blocks are made of.
+BANDS = 20
 #: Sets of one tile when the links of a group are counted, and shingles that are counted at once.
 LINK_TILE, LINK_CHUNK = 256, 1 << 20
 #: Prefixes are read on by this share of the smaller set, so that a pair must share as many shingles more.
@@ -97,12 +99,14 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(mix(h))
 
 
-def set_name(s: np.ndarray) -> int:
-    """A 64-bit name of a set, as a signed number."""
+def set_name(s: np.ndarray) -> tuple[int, int]:
+    """A 128-bit name of a set, as two signed numbers."""
     if not len(s):
-        return 0
+        return 0, 0
     order = np.arange(1, len(s) + 1, dtype=np.uint64)
-    return int(mix(np.array([np.sum(mix(s + order * BASE), dtype=np.uint64) + U(len(s))], np.uint64)).view(np.int64)[0])
+    sums = [np.sum(mix(s + order * BASE), dtype=np.uint64), np.sum(mix((s ^ STEPS[2]) * STEPS[3] + order * STEPS[4]), dtype=np.uint64)]
+    one, two = mix(np.array(sums, np.uint64) + U(len(s))).view(np.int64)
+    return int(one), int(two)
 
 
 def need(n: int, m: int, percent: int = PERCENT) -> int:
@@ -118,15 +122,16 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, name) of each row."""
+    """(doc_id, n, name, more) of each row; name and more are the halves of the set's name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("ngrams")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                found = [(len(s), set_name(s)) for s in (shingle_set(t, size) for t in batch.column(1)[at : at + 512].to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 512], pa.array([n for n, _ in found], pa.int64()), pa.array([k for _, k in found], pa.int64())], names=["doc_id", "n", "name"])
+                found = [(len(s), *set_name(s)) for s in (shingle_set(t, size) for t in batch.column(1)[at : at + 512].to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 512], *[pa.array(c, pa.int64()) for c in zip(*found, strict=True)]], names=["doc_id", "n", "name", "more"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, name long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, name long, more long")
 
 
 def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
@@ -138,6 +143,7 @@ def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
     width = COUNTERS // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("ngrams")
         table, held, n = np.zeros(COUNTERS, np.int64), [], 0
         for batch in batches:
             for t in batch.column(0):
@@ -172,7 +178,10 @@ def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def entries(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(token, name, n, place): the prefix of each set, once for each task that meets the set."""
+    """(token, name, n, place): the prefix of each set, once for each task that meets the set.
+
+    Half of the name does here: two classes that shared it would only meet others in each other's lists too.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,10 +191,10 @@ def entries(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> Dat
                 tokens, names, sizes, places = [], [], [], []
                 for t in batch.column(0)[at : at + 256].to_pylist():
                     s = shingle_set(t, size)
-                    name, n = set_name(s), len(s)
-                    if not n or name in met:
+                    (name, more), n = set_name(s), len(s)
+                    if not n or (name, more) in met:
                         continue
-                    met.add(name)
+                    met.add((name, more))
                     k = prefix_length(n, percent)
                     rare = np.argsort(level[(s & U(COUNTERS - 1)).astype(np.int64)], kind="stable")[:k]
                     tokens.append(s[rare].view(np.int64))
@@ -199,9 +208,20 @@ def entries(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> Dat
 
 
 def lists(found: DataFrame) -> DataFrame:
-    """(token, name, n, place, held): entries of tokens that at least two classes hold, each once, with the list's length."""
-    placed = found.repartition(shuffle_partitions(found.sparkSession), "token").dropDuplicates(["token", "name"])
-    return placed.withColumn("held", F.count("*").over(Window.partitionBy("token"))).where("held > 1")
+    """(token, name, n, place, held): entries of tokens that at least two classes hold, each once, with the list's length.
+
+    Lists are found by partial minima and maxima and counted by partial sums, so that a token which a third of all
+    classes hold is in no one task; entries then join what is known of their token, and a skewed join can be split.
+    """
+    shared = found.groupBy("token").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low < high").select("token")
+    kept = materialize(found.join(shared, "token", "left_semi").distinct(), "shared")
+    return kept.join(kept.groupBy("token").agg(F.count("*").alias("held")), "token")
+
+
+def parted(rows: DataFrame, keys: list[str], tile: int = TILE) -> DataFrame:
+    """rows with `part`, which deals the rows (rep, ...) of equal keys by hash into parts of about `tile` rows."""
+    parts = rows.groupBy(*keys).agg(F.ceil(F.count("*") / tile).alias("parts"))
+    return rows.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))).drop("parts")
 
 
 def leaders(found: DataFrame, percent: int) -> DataFrame:
@@ -268,47 +288,87 @@ def linked(percent: int) -> str:
     return f"100 * both >= {percent} * (nx + ny - both)"
 
 
+def size_block(percent: int) -> Column:
+    """Sizes of linked sets lie in the same or adjacent blocks; the small term keeps a power of the ratio out of the block below."""
+    return F.floor(F.log("n") / F.lit(float(np.log(100 / percent))) + 1e-9)
+
+
+def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(tile, tile2): index blocks that share a list and may hold a link between different groups; tile <= tile2.
+
+    rows: (token, tile, leader, n, place, component, d) of open lists. Bounds are those of a block's classes within
+    the list. For blocks of one class they are exact.
+    """
+    of = ["leader", "n_low", "n_high", "place", "low", "high", "d_low", "d_high"]
+    entry = rows.groupBy("token", "tile").agg(
+        F.min("leader").alias("leader"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("place").alias("place"),
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("d").alias("d_low"), F.max("d").alias("d_high"),
+    )
+    entry = materialize(entry, "open")
+    b = entry.select("token", F.col("tile").alias("tile2"), *[F.col(c).alias(f"{c}2") for c in of])
+    # need: least intersection. A pair that links shares more than `slack` shingles among the first n - need + 1 + slack of each:
+    # below the end of the shorter of these prefixes what is not shared is missing. slack is what the stored prefixes allow.
+    needed = lambda n, m: F.ceil(percent * (F.col(n) + F.col(m)) / (100 + percent))
+    beyond = lambda n, m: needed(n, m) - F.ceil(percent * F.col(n) / 100)
+    share = lambda n, m: F.floor(F.least(n, m) / SLACK_SHARE)
+    most = F.least(share("n_high", "n_high2"), beyond("n_low", "n_high2") + 1, beyond("n_low2", "n_high") + 1)
+    one = (F.col("n_low") == F.col("n_high")) & (F.col("n_low2") == F.col("n_high2"))
+    least = F.least(share("n_low", "n_low2"), beyond("n_high", "n_low2"), beyond("n_high2", "n_low")) - F.when(one, 0).otherwise(1)
+    room = F.least(F.col("n_high") - F.col("place"), F.col("n_high2") - F.col("place2"))
+    meet = (F.col("tile") <= F.col("tile2")) & (F.least("low", "low2") < F.greatest("high", "high2")) & (room >= needed("n_low", "n_low2") - most)
+    meet = meet & (100 * F.col("n_high") >= percent * F.col("n_low2")) & (100 * F.col("n_high2") >= percent * F.col("n_low"))
+    apart = F.greatest(F.col("d_low") - F.col("d_high2"), F.col("d_low2") - F.col("d_high")) > 1 - percent / 100 + 1e-9
+    met = entry.join(b, "token").where(meet & ~((F.col("leader") == F.col("leader2")) & apart))
+    return met.groupBy("tile", "tile2").agg(F.count("*").alias("shared"), F.min(least).alias("slack")).where("shared > slack").select("tile", "tile2")
+
+
 def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, name) of each row, and (name, rep, n, members, component) of each class; members are distinct doc_ids."""
+    """(doc_id, n, name, more) of each row, and (name, more, rep, n, members, component) of each class; members are distinct doc_ids."""
     every = materialize(sets(docs, size), "sets")
-    classes = materialize(every.where("n > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count_distinct("doc_id").alias("members")), "classes")
+    classes = materialize(every.where("n > 0 and doc_id is not null").groupBy("name", "more").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count_distinct("doc_id").alias("members")), "classes")
     named = docs.where("doc_id is not null")
-    found = materialize(lists(entries(named, frequency_levels(named, size), size, percent)), "lists")
+    prefixes = materialize(entries(named, frequency_levels(named, size), size, percent), "entries")
+    found = materialize(lists(prefixes), "lists")
+    release(prefixes)
 
     rep = classes.select("name", "rep")
     best = leaders(found, percent)
-    ask = best.join(rep.withColumnRenamed("rep", "x"), "name").join(rep.select(F.col("name").alias("leader"), F.col("rep").alias("y")), "leader").select("x", "y")
-    number = F.row_number().over(Window.partitionBy("y").orderBy("x"))
-    ask = materialize(ask.select("x", "y", F.xxhash64("y", F.floor(number / TILE)).alias("g")), "ask")
-    answers = materialize(verify(ask, named, size), "answers").distinct()
+    ask = best.join(rep, "name").join(rep.select(F.col("name").alias("leader"), F.col("rep").alias("y")), "leader").select("rep", "y").where("rep <> y").distinct()
+    ask = materialize(parted(ask, ["y"]).select(F.col("rep").alias("x"), "y", F.xxhash64("y", "part").alias("g")), "ask")
+    answers = materialize(verify(ask, named, size).distinct(), "answers")
     first = answers.where(linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     nodes = classes.select(F.col("rep").alias("id"))
     groups = materialize(components(nodes, first), "groups")
 
-    # what each class knows: its group, and its distance from its leader
+    # what each class knows: its group, its distance from its leader, whether it is in the leader's group; blocks are made of that
     distance = 1 - F.col("both") / (F.col("nx") + F.col("ny") - F.col("both"))
-    known = rep.join(groups, F.col("rep") == F.col("id")).join(answers.select(F.col("x").alias("rep"), F.col("y").alias("leader"), distance.alias("d")), "rep", "left")
-    known = known.select("name", "rep", "component", F.coalesce("leader", "rep").alias("leader"), F.coalesce("d", F.lit(0.0)).alias("d"))
-    known = known.withColumn("tile", F.xxhash64("leader", F.floor(F.row_number().over(Window.partitionBy("leader").orderBy("rep")) / TILE)))
-    rows = materialize(found.select("token", "name", "n", "place").join(known, "name").drop("name"), "known")
+    nearest = answers.select(F.col("x").alias("rep"), F.col("y").alias("leader"), distance.alias("d")).groupBy("rep").agg(F.min(F.struct("d", "leader")).alias("nearest"))
+    known = classes.select("name", "rep", "n").join(groups, F.col("rep") == F.col("id")).drop("id").join(nearest, "rep", "left")
+    known = known.select("name", "rep", "component", F.coalesce("nearest.leader", "rep").alias("leader"), F.coalesce("nearest.d", F.lit(0.0)).alias("d"), size_block(percent).alias("block"), F.floor(F.coalesce("nearest.d", F.lit(0.0)) * BANDS).alias("band"))
+    known = known.join(groups.select(F.col("id").alias("leader"), F.col("component").alias("of_leader")), "leader").withColumn("own", F.col("component") == F.col("of_leader"))
+    keys = ["leader", "own", "band", "block"]
+    known = materialize(parted(known, keys).withColumn("tile", F.xxhash64(*keys, "part")).select("name", "rep", "component", "leader", "d", "tile"), "known")
+    rows = found.select("token", "name", "n", "place").join(known, "name").drop("name")
     mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    rows = materialize(rows.join(mixed, "token"), "open")
-    b = rows.select("token", *[F.col(c).alias(f"{c}2") for c in ("n", "place", "rep", "component", "leader", "d", "tile")])
-    # need: least intersection. A pair that links shares more than `slack` shingles among the first n - need + 1 + slack of each:
-    # below the end of the shorter of these prefixes what is not shared is missing. slack is what the stored prefixes allow.
-    needed = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent))
-    beyond = lambda n: needed - F.ceil(percent * F.col(n) / 100)
-    slack = F.least(F.floor(F.least("n", "n2") / SLACK_SHARE), beyond("n"), beyond("n2"))
-    room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-    meet = (F.col("rep") < F.col("rep2")) & (F.col("component") != F.col("component2")) & (room >= needed - slack)
-    derived = ((F.col("leader") == F.col("leader2")) & (F.abs(F.col("d") - F.col("d2")) > 1 - percent / 100 + 1e-9)) | (F.col("leader") == F.col("rep2")) | (F.col("leader2") == F.col("rep"))
-    group = F.xxhash64(F.least("tile", "tile2"), F.greatest("tile", "tile2"))
-    met = rows.join(b, "token").where(meet & ~derived).groupBy(F.col("rep").alias("x"), F.col("rep2").alias("y"), group.alias("g"), slack.alias("slack")).agg(F.count("*").alias("shared"))
-    pairs = met.where("shared > slack").select("x", "y", "g")
-    pairs = materialize(pairs, "pairs")
-    more = materialize(verify(pairs, named, size), "more").where(linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = materialize(block_pairs(rows.join(mixed, "token"), percent), "pairs")
+    alone = F.col("tile") == F.col("tile2")
+    both = pairs.select(F.xxhash64("tile", "tile2").alias("g"), alone.alias("alone"), F.explode(F.when(alone, F.array(F.struct(F.lit(True).alias("is_low"), F.col("tile")))).otherwise(F.array(F.struct(F.lit(True).alias("is_low"), F.col("tile")), F.struct(F.lit(False).alias("is_low"), F.col("tile2").alias("tile"))))).alias("side"))
+    sides = both.select("g", "alone", "side.is_low", "side.tile").join(known.select("tile", "rep"), "tile").select("g", "rep", F.lit(1).cast("long").alias("members"), "is_low", "alone")
+
+    def edges(reps: np.ndarray, members: np.ndarray, link: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        i, j = np.nonzero(link)
+        least = spanning(i, j, len(reps))
+        some = np.flatnonzero(least != np.arange(len(reps)))
+        return reps[some], reps[least[some]]
+
+    more = verify_tiles(sides, named, size, percent, edges, ("a", "b"))
     whole = components(nodes, first.union(more)).select(F.col("id").alias("rep"), "component")
-    return every, classes.join(whole, "rep").select("name", "rep", "n", "members", "component")
+    return every, classes.join(whole, "rep").select("name", "more", "rep", "n", "members", "component")
+
+
+def of_class(every: DataFrame, classes: DataFrame) -> DataFrame:
+    """every with the columns of the class of each row that has one."""
+    return every.join(classes, (every["name"] == classes["name"]) & (every["more"] == classes["more"]) & (every["n"] > 0) & every["doc_id"].isNotNull(), "left")
 
 
 def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -320,8 +380,7 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     null component_id. Rows that repeat a doc_id are taken as copies of one document. Empty tables give no rows.
     """
     every, classes = grouped(docs, size, percent)
-    of = classes.select("name", "component")
-    out = every.join(of, (every["name"] == of["name"]) & (every["n"] > 0) & every["doc_id"].isNotNull(), "left")
+    out = of_class(every, classes.select("name", "more", "component"))
     return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id"))
 
 
@@ -350,28 +409,13 @@ def overlaps(sets: list[np.ndarray], first: int) -> np.ndarray:
     return both
 
 
-def link_counts(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(rep, links) of each class that has links to other classes: the number of documents in those.
+def verify_tiles(sides: DataFrame, docs: DataFrame, size: int, percent: int, answer: Callable, names: tuple[str, str]) -> DataFrame:
+    """Two columns of longs that answer(reps, members, link, first) gives for each group g of classes.
 
-    A group's classes are dealt into tiles, by size block if they are more than one tile; each pair of tiles whose
-    blocks are the same or adjacent is verified whole. Sizes of linked sets are in the ratio percent / 100 at most,
-    so they lie in the same or adjacent blocks.
+    sides: (g, rep, members, is_low, alone), at most two tiles of classes for each g. link is a matrix of the low tile's
+    classes, which come first, and all classes; a group that is alone is one tile, which meets itself.
     """
-    # the small term keeps a size that is a power of the ratio out of the block below
-    block = F.floor(F.log("n") / F.lit(float(np.log(100 / percent))) + 1e-9)
-    counted = classes.groupBy("component").agg(F.count("*").alias("group_size")).where("group_size > 1")
-    held = classes.join(counted, "component").select("component", "rep", "members", F.when(F.col("group_size") > LINK_TILE, block).otherwise(0).alias("block"))
-    blocks = held.groupBy("component", "block").agg(F.ceil(F.count("*") / LINK_TILE).alias("tiles"))
-    near = blocks.alias("b").join(blocks.alias("o"), (F.col("b.component") == F.col("o.component")) & (F.abs(F.col("b.block") - F.col("o.block")) <= 1))
-    near = near.groupBy(F.col("b.component").alias("component"), F.col("b.block").alias("block")).agg(
-        F.max("b.tiles").alias("tiles"), F.collect_list(F.struct(F.col("o.block").alias("block"), F.col("o.tiles").alias("tiles"))).alias("others")
-    )
-    dealt = held.join(near, ["component", "block"])
-    mine = F.struct("block", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("part"))
-    others = F.flatten(F.transform("others", lambda o: F.transform(F.sequence(F.lit(0).cast("long"), o["tiles"] - 1), lambda k: F.struct(o["block"].alias("block"), k.alias("part")))))
-    dealt = dealt.select("component", "rep", "members", mine.alias("mine"), F.explode(others).alias("other"))
-    low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    sides = materialize(dealt.select(F.xxhash64("component", low, high).alias("g"), "rep", "members", (F.col("mine") == low).alias("is_low"), (low == high).alias("alone")), "link_sides")
+    sides = materialize(sides, "sides")
     wanted = sides.select("rep").distinct()
     pick = F.broadcast(wanted) if fits_broadcast(wanted, BROADCAST_IDS) else wanted
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(pick, "rep", "left_semi")
@@ -380,34 +424,61 @@ def link_counts(classes: DataFrame, docs: DataFrame, size: int, percent: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held = None, {}
 
-        def answer() -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[pa.RecordBatch]:
             rows = sorted(held.items(), key=lambda r: not r[1][1])
             first = sum(r[1][1] for r in rows)
             if len(rows) < 2 or not first:
                 return
             n = np.array([len(r[1][3]) for r in rows])
-            members = np.array([r[1][0] for r in rows], np.int64)
             both = overlaps([r[1][3] for r in rows], first)
             link = 100 * both >= percent * (n[:first, None] + n[None, :] - both)
             if rows[0][1][2]:
                 np.fill_diagonal(link, False)
-                found = link @ members
             else:
-                link = link[:, first:]
-                found = np.concatenate((link @ members[first:], members[:first] @ link))
-            some = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays([pa.array([rows[k][0] for k in some], pa.int64()), pa.array(found[some], pa.int64())], names=["rep", "links"])
+                link[:, :first] = False
+            one, two = answer(np.array([r[0] for r in rows], np.int64), np.array([r[1][0] for r in rows], np.int64), link, first)
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=list(names))
 
         for batch in batches:
             for g, rep, members, is_low, alone, text in zip(*(batch.column(k) for k in range(6)), strict=True):
                 if (g := g.as_py()) != group:
-                    yield from answer()
+                    yield from found()
                     group, held = g, {}
                 if (rep := rep.as_py()) not in held:
                     held[rep] = members.as_py(), is_low.as_py(), alone.as_py(), shingle_set(text.as_py(), size)
-        yield from answer()
+        yield from found()
+
+    return placed.mapInArrow(run, f"{names[0]} long, {names[1]} long")
+
+
+def link_counts(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(rep, links) of each class that has links to other classes: the number of documents in those.
+
+    A group's classes are dealt into tiles, by size block if they are more than one tile; each pair of tiles whose
+    blocks are the same or adjacent is verified whole. Sizes of linked sets are in the ratio percent / 100 at most,
+    so they lie in the same or adjacent blocks.
+    """
+    counted = classes.groupBy("component").agg(F.count("*").alias("group_size")).where("group_size > 1")
+    held = classes.join(counted, "component").select("component", "rep", "members", F.when(F.col("group_size") > LINK_TILE, size_block(percent)).otherwise(0).alias("block"))
+    blocks = held.groupBy("component", "block").agg(F.ceil(F.count("*") / LINK_TILE).alias("tiles"))
+    near = blocks.alias("b").join(blocks.alias("o"), (F.col("b.component") == F.col("o.component")) & (F.abs(F.col("b.block") - F.col("o.block")) <= 1))
+    near = near.groupBy(F.col("b.component").alias("component"), F.col("b.block").alias("block")).agg(
+        F.max("b.tiles").alias("tiles"), F.collect_list(F.struct(F.col("o.block").alias("block"), F.col("o.tiles").alias("tiles"))).alias("others")
+    )
+    dealt = held.join(near, ["component", "block"])
+    mine = F.struct("block", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("part"))
+    others = F.flatten(F.transform("others", lambda o: F.transform(F.sequence(F.lit(0).cast("long"), o["tiles"] - 1), lambda k: F.struct(o["block"].alias("block"), k.alias("part")))))
+    dealt = dealt.select("component", "rep", "members", mine.alias("mine"), F.explode(others).alias("other"))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    sides = dealt.select(F.xxhash64("component", low, high).alias("g"), "rep", "members", (F.col("mine") == low).alias("is_low"), (low == high).alias("alone"))
+
+    def sums(reps: np.ndarray, members: np.ndarray, link: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        found = link @ members
+        found = np.concatenate((found, members[:first] @ link[:, first:]))
+        some = np.flatnonzero(found)
+        return reps[some], found[some]
 
-    return placed.mapInArrow(run, "rep long, links long").groupBy("rep").agg(F.sum("links").alias("links"))
+    return verify_tiles(sides, docs, size, percent, sums, ("rep", "links")).groupBy("rep").agg(F.sum("links").alias("links"))
 
 
 def jaccard_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -419,13 +490,14 @@ def jaccard_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     every, classes = grouped(docs, size, percent)
     classes = materialize(classes, "grouped_classes")
     links = link_counts(classes, docs.where("doc_id is not null"), size, percent)
-    of = classes.join(links, "rep", "left").select("name", "component", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
-    out = every.join(of, (every["name"] == of["name"]) & (every["n"] > 0) & every["doc_id"].isNotNull(), "left")
+    of = classes.join(links, "rep", "left").select("name", "more", "component", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    out = of_class(every, of)
     return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs without documents that are not their group's smallest doc_id; all columns kept; rows of null doc_id stay."""
-    gone = materialize(jaccard_groups(docs.select("doc_id", "text"), size, percent), "grouped").where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    """docs without documents that are not their group's smallest doc_id; all columns kept, whatever their names; rows of null doc_id stay."""
+    found = materialize(jaccard_groups(docs.select("doc_id", "text"), size, percent), "grouped")
+    gone = found.where("component_id < doc_id").select("doc_id").distinct()
     gone = F.broadcast(gone) if fits_broadcast(gone, BROADCAST_IDS) else gone
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti") if docs.schema["doc_id"].dataType != gone.schema["doc_id"].dataType else docs.join(gone, "doc_id", "left_anti")

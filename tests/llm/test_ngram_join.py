@@ -78,9 +78,11 @@ def brute_links(rows, percent=75):
     return {d: sum(bool(linked(sets[d], sets[e])) for e in sets if e != d) for d in sets}
 
 
-@pytest.mark.parametrize(("tile", "chunk"), [(256, 1 << 20), (4, 50)])
-def test_link_counts_equal_brute_force(spark, monkeypatch, tile, chunk):
+@pytest.mark.parametrize(("tile", "chunk", "bands"), [(256, 1 << 20, 20), (4, 50, 3)])
+def test_link_counts_equal_brute_force(spark, monkeypatch, tile, chunk, bands):
     monkeypatch.setattr(N, "LINK_TILE", tile)
+    monkeypatch.setattr(N.parted, "__defaults__", (min(tile, 64) // 2,))
+    monkeypatch.setattr(N, "BANDS", bands)
     monkeypatch.setattr(N, "LINK_CHUNK", chunk)
     rows = made(200)
     # one leader and many texts that differ from it, and from each other, by one word at the end or the beginning
@@ -95,6 +97,13 @@ def test_link_counts_equal_brute_force(spark, monkeypatch, tile, chunk):
     assert N.jaccard_links(docs.limit(0)).count() == 0 and any(n > 20 for n in want.values())
 
 
+def test_clashing_columns(spark):
+    text = "one two three four five six"
+    docs = spark.createDataFrame([(1, text, 1, 2, 3), (2, text, 1, 2, 3)], "doc_id long, text string, gone int, component_id int, name int")
+    kept = N.one_of_each_group(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, text, 1, 2, 3)]
+
+
 def test_query_counts_links(spark):
     out = queries()["op3_ngram_jaccard_join"](spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
