@@ -7,10 +7,12 @@ two suffixes agree only on some offset. Here the sample is fixed by content: in
 least-hashed `gram` bytes. Equal strings then have their sampled position at the same offset, one position
 in about 140 is sampled, and each suffix has one offset to be merged by.
 
-1. Name: a sampled position is named by its gram; the strings that share it are a range of starts.
+1. Name: a sampled position is named by its gram; the strings that share it are a range of starts. Several lengths are
+   sampled in one pass, each with names of its own.
 2. Classes: positions with the same name and the same bytes around all their strings are one class; a class
    with two members settles all its strings at once, however many copies there are.
-3. Merge: a name with several classes compares its classes' strings, offset by offset, in one place.
+3. Merge: a name with several classes compares its classes' strings, offset by offset, in one place; where they are
+   too many bytes for one place, the strings become rows that are counted.
 4. Runs of repeated strings become byte spans, and the spans are cut from the texts.
 
 Nothing is quadratic in a group: a class is counted, and a name's strings are sorted by hash.
@@ -27,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import materialize, shuffle_partitions
+from docloom.llm.common import begin, materialize, shuffle_partitions
 
 LENGTH, GRAM = 400, 128
-#: Classes of one name that one task compares; above, their strings are counted as rows of their own.
-LARGE = 50_000
+#: Passages of over 50 words mostly have this many bytes; they are counted beside, not removed.
+SHORT, SHORT_GRAM = 256, 96
+#: Bytes of one name's classes that one task compares; above, their strings are counted as rows of their own.
+LARGE = 16_000_000
 
 U = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -83,19 +87,24 @@ def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & U(0xFFFFFFFF)).astype(np.int64)
 
 
-def anchors(b: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(name, class hash, position, first start, last start) of each sampled position of some bytes."""
-    if len(b) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    one, two = Hashes(b, BASES[0]), Hashes(b, BASES[1])
-    at = np.arange(len(b) - gram + 1)
-    grams = one.of(at, at + gram)
-    least = sliding_least(grams, length - gram + 1)
-    edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    place, low, high = least[edge], edge, np.concatenate((edge[1:], [len(least)])) - 1
-    shape = (place - low).astype(np.uint64) << U(32) | (high - low).astype(np.uint64)
-    around = mix(two.of(low, high + length) + mix(shape))
-    return grams[place].view(np.int64), around.view(np.int64), place, low, high
+def anchors(b: np.ndarray, sizes: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
+    """(name, class hash, place in sizes, position, first start, last start) of each sampled position, for all (length, gram)."""
+    found = [tuple(np.zeros(0, np.int64) for _ in range(6))]
+    if len(b) >= min(length for length, _ in sizes):
+        one, two = Hashes(b, BASES[0]), Hashes(b, BASES[1])
+    for k, (length, gram) in enumerate(sizes):
+        if len(b) < length:
+            continue
+        at = np.arange(len(b) - gram + 1)
+        grams = one.of(at, at + gram)
+        least = sliding_least(grams, length - gram + 1)
+        edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+        place, low, high = least[edge], edge, np.concatenate((edge[1:], [len(least)])) - 1
+        shape = (place - low).astype(np.uint64) << U(32) | (high - low).astype(np.uint64)
+        around = mix(two.of(low, high + length) + mix(shape))
+        name = mix(grams[place] + U(length) * U(BASES[0]))
+        found.append((name.view(np.int64), around.view(np.int64), np.full(len(place), k), place, low, high))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
 def raw(text: str | None) -> np.ndarray:
@@ -103,53 +112,65 @@ def raw(text: str | None) -> np.ndarray:
 
 
 NO_ID = -(2**63)
-#: place, starts before it and starts after the first, in one number: 32, 15 and 15 bits.
-SHIFT = 15
+#: which length, place, starts before it and starts after the first, in one number: 1, 32, 15 and 15 bits.
+SHIFT, PLACE = 15, 32
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
 
 
-def sampled(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def sampled(texts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
     """(name, around, doc, spot): the sampled positions of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("repeats")
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                found = [anchors(raw(t), length, gram) for t in batch.column(1)[at : at + 512].to_pylist()]
-                doc = np.repeat(batch.column(0)[at : at + 512].to_numpy(), [len(f[0]) for f in found])
-                name, around, place, low, high = (np.concatenate([f[k] for f in found]) for k in range(5))
-                spot = place << 2 * SHIFT | (place - low) << SHIFT | high - low
+            for at in range(0, batch.num_rows, 256):
+                found = [anchors(raw(t), sizes) for t in batch.column(1)[at : at + 256].to_pylist()]
+                doc = np.repeat(batch.column(0)[at : at + 256].to_numpy(), [len(f[0]) for f in found])
+                name, around, which, place, low, high = (np.concatenate([f[k] for f in found]) for k in range(6))
+                spot = which << 2 * SHIFT + PLACE | place << 2 * SHIFT | (place - low) << SHIFT | high - low
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (name, around, doc, spot)], names=["name", "around", "doc", "spot"])
 
     return texts.mapInArrow(run, "name long, around long, doc long, spot long")
 
 
+def bits(low: int, width: int) -> Column:
+    return F.shiftright("spot", low).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def which() -> Column:
+    return F.shiftright("spot", 2 * SHIFT + PLACE)
+
+
 def first_start() -> Column:
-    return F.shiftright("spot", 2 * SHIFT) - F.shiftright("spot", SHIFT).bitwiseAND(F.lit((1 << SHIFT) - 1))
+    return bits(2 * SHIFT, PLACE) - bits(SHIFT, SHIFT)
 
 
-def last_start() -> Column:
-    return first_start() + F.col("spot").bitwiseAND(F.lit((1 << SHIFT) - 1))
+def last_stop(sizes: list[tuple[int, int]]) -> Column:
+    """Where the last string of a sampled position ends."""
+    return first_start() + bits(0, SHIFT) + F.get(F.array(*[F.lit(length) for length, _ in sizes]), which().cast("int"))
 
 
-def windows(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of every string of the contexts in a batch of (name, n, back, context, ...)."""
+def windows(batch: pa.RecordBatch, sizes: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of every string of the contexts in a batch of (name, n, which, back, context, ...)."""
     keys, rows = [], []
-    for k, (back, context) in enumerate(zip(batch.column("back").to_pylist(), batch.column("context").to_pylist(), strict=True)):
-        b = np.frombuffer(context, np.uint8)
+    for k, (which, back, context) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("which", "back", "context")), strict=True)):
+        b, length = np.frombuffer(context, np.uint8), sizes[which][0]
         start = np.arange(len(b) - length + 1)
         keys.append(mix(Hashes(b, BASES[1]).of(start, start + length) + (back - start).astype(np.uint64)))
         rows.append(np.full(len(start), k))
     return np.concatenate(keys).view(np.int64), np.concatenate(rows)
 
 
-def merged(contexts: DataFrame, length: int) -> DataFrame:
-    """(doc, start, stop): repeated strings of single-member classes, by comparing the classes of each name."""
+def merged(contexts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
+    """(which, doc, start, stop): repeated strings of single-member classes, by comparing the classes of each name."""
 
-    def group(rows: pa.RecordBatch) -> list[tuple[int, int, int]]:
-        keys, row = windows(rows, length)
+    def group(rows: pa.RecordBatch) -> list[tuple[int, int, int, int]]:
+        keys, row = windows(rows, sizes)
+        kind = rows.column("which")[0].as_py()
+        length = sizes[kind][0]
         n, doc, low = (rows.column(c).to_numpy() for c in ("n", "doc", "low"))
         kinds, where, times = np.unique(keys, return_inverse=True, return_counts=True)
         twice = times[where] >= 2
@@ -157,7 +178,7 @@ def merged(contexts: DataFrame, length: int) -> DataFrame:
         out = []
         for k in np.flatnonzero(n == 1):
             hit = np.flatnonzero(np.diff(np.concatenate(([0], twice[first[k] : first[k + 1]].view(np.int8), [0]))))
-            out += [(int(doc[k]), int(low[k]) + int(x), int(low[k]) + int(y) - 1 + length) for x, y in zip(hit[::2], hit[1::2], strict=True)]
+            out += [(kind, int(doc[k]), int(low[k]) + int(x), int(low[k]) + int(y) - 1 + length) for x, y in zip(hit[::2], hit[1::2], strict=True)]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +190,7 @@ def merged(contexts: DataFrame, length: int) -> DataFrame:
             cuts = [0, *(np.flatnonzero(name[1:] != name[:-1]) + 1).tolist(), len(name)]
             found = [x for a, b in zip(cuts, cuts[1:], strict=False) for x in group(rows.slice(a, b - a))]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["doc", "start", "stop"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["which", "doc", "start", "stop"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -187,96 +208,107 @@ def merged(contexts: DataFrame, length: int) -> DataFrame:
             yield from flush(pa.Table.from_batches(held))
 
     placed = contexts.repartition(shuffle_partitions(contexts.sparkSession), "name").sortWithinPartitions("name")
-    return placed.mapInArrow(run, "doc long, start long, stop long")
+    return placed.mapInArrow(run, "which long, doc long, start long, stop long")
 
 
-def counted(contexts: DataFrame, length: int) -> DataFrame:
-    """As merged, for names with too many classes for one task: strings as rows, counted by key with partial sums."""
+def counted(contexts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
+    """As merged, for names with too much text for one task: strings as rows, counted by key with partial sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                keys, row = windows(part, length)
+                keys, row = windows(part, sizes)
                 low, first = part.column("low").to_numpy()[row], np.concatenate(([0], np.flatnonzero(row[1:] != row[:-1]) + 1))
                 inside = np.arange(len(row)) - np.repeat(first, np.diff(np.concatenate((first, [len(row)]))))
                 n = part.column("n").to_numpy()[row]
-                columns = (part.column("name").to_numpy()[row], keys, part.column("doc").to_numpy()[row], low + inside, n)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["name", "key", "doc", "start", "n"])
+                columns = (part.column("name").to_numpy()[row], keys, part.column("which").to_numpy()[row], part.column("doc").to_numpy()[row], low + inside, n)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["name", "key", "which", "doc", "start", "n"])
 
-    rows = contexts.mapInArrow(run, "name long, key long, doc long, start long, n long")
+    rows = contexts.mapInArrow(run, "name long, key long, which long, doc long, start long, n long")
     twice = materialize(rows.groupBy("name", "key").agg(F.count("*").alias("times")).where("times > 1").select("name", "key"), "strings")
-    return rows.where("n = 1").join(twice, ["name", "key"]).select("doc", "start", (F.col("start") + length).alias("stop"))
+    length = F.get(F.array(*[F.lit(length) for length, _ in sizes]), F.col("which").cast("int"))
+    return rows.where("n = 1").join(twice, ["name", "key"]).select("which", "doc", "start", (F.col("start") + length).alias("stop"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, large: int = LARGE) -> DataFrame:
-    """(doc, start, stop): byte ranges of UTF-8 texts that the repeated strings cover; ranges may overlap or repeat.
+def repeated_spans(docs: DataFrame, sizes: list[tuple[int, int]], large: int = LARGE) -> DataFrame:
+    """(which, doc, start, stop): byte ranges of UTF-8 texts that repeated strings cover; ranges may overlap or repeat.
 
-    doc is doc_id, with the least long for null.
+    sizes holds at most two pairs (length, gram), and which is a place in it; doc is doc_id, with the least long for null.
     """
-    if not 1 <= gram <= length < 1 << SHIFT:
-        raise ValueError("gram must be at most length, and length below 32768")
+    if not all(1 <= gram <= length < 1 << SHIFT for length, gram in sizes) or len(sizes) > 2:
+        raise ValueError("gram must be at most length, and length below 32768; at most two lengths")
     texts = keyed(docs)
-    found = sampled(texts, length, gram)
-    classes = found.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("doc", "spot")).alias("one"))
-    of_name = Window.partitionBy("name")
-    counts = classes.select("name", "around", "n", "one.doc", "one.spot").withColumns({"kinds": F.count("*").over(of_name), "all": F.sum("n").over(of_name)})
-    shared = materialize(counts.where("`all` > 1").drop("all"), "classes")
+    found = sampled(texts, sizes)
+    classes = found.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("doc", "spot")).alias("one")).select("name", "around", "n", "one.doc", "one.spot")
+    # names by partial sums, so that a name which a third of all positions have is in no one task
+    reach = last_stop(sizes) - first_start()
+    names = classes.groupBy("name").agg(F.count("*").alias("kinds"), F.sum("n").alias("all"), F.sum(reach).alias("bytes")).where("`all` > 1").drop("all")
+    shared = materialize(classes.join(names, "name"), "classes")
     settled = found.join(shared.where("n > 1").select("name", "around"), ["name", "around"])
-    settled = settled.select("doc", first_start().alias("start"), (last_start() + length).alias("stop"))
+    settled = settled.select(which().alias("which"), "doc", first_start().alias("start"), last_stop(sizes).alias("stop"))
 
-    open_ = shared.where("kinds > 1").select("doc", F.struct("name", "n", "kinds", first_start().alias("low"), (last_start() + length).alias("end"), F.shiftright("spot", SHIFT).bitwiseAND(F.lit((1 << SHIFT) - 1)).alias("back")).alias("part"))
-    asked = open_.groupBy("doc").agg(F.collect_set("part").alias("parts"))
+    part = F.struct("name", "n", "bytes", which().alias("which"), first_start().alias("low"), last_stop(sizes).alias("end"), bits(SHIFT, SHIFT).alias("back"))
+    asked = shared.where("kinds > 1").select("doc", part.alias("part")).groupBy("doc").agg(F.collect_set("part").alias("parts"))
+    columns = ("name", "n", "bytes", "which", "doc", "low", "back")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for doc, text, parts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 b = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                out += [(p["name"], p["n"], p["kinds"], doc, p["low"], p["back"], b[p["low"] : p["end"]]) for p in parts.as_py()]
+                out += [(p["name"], p["n"], p["bytes"], p["which"], doc, p["low"], p["back"], b[p["low"] : p["end"]]) for p in parts.as_py()]
                 if len(out) > 4096:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
                     out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
-    schema = pa.schema([(c, pa.int64()) for c in ("name", "n", "kinds", "doc", "low", "back")] + [("context", pa.binary())])
-    contexts = texts.join(asked, "doc").select("doc", "text", "parts").mapInArrow(cut, "name long, n long, kinds long, doc long, low long, back long, context binary")
+    schema = pa.schema([(c, pa.int64()) for c in columns] + [("context", pa.binary())])
+    contexts = texts.join(asked, "doc").select("doc", "text", "parts").mapInArrow(cut, ", ".join(f"{c} long" for c in columns) + ", context binary")
     contexts = materialize(contexts, "contexts")
-    return settled.union(merged(contexts.where(F.col("kinds") <= large), length)).union(counted(contexts.where(F.col("kinds") > large), length))
+    return settled.union(merged(contexts.where(F.col("bytes") <= large), sizes)).union(counted(contexts.where(F.col("bytes") > large), sizes))
 
 
-DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, n_passages long, kept binary"
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, large: int = LARGE, keep_bytes: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row of docs: its bytes without repeated strings.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, short: tuple[int, int] = (SHORT, SHORT_GRAM), large: int = LARGE, keep_bytes: bool = True) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes, n_passages, kept) for each row of docs: its bytes without repeated strings.
 
-    kept may not be valid UTF-8, as strings are judged by bytes; it is null with keep_bytes=False. Texts below `length`
-    bytes, empty and null ones lose nothing (null gives 0 bytes). Repeated rows are documents of their own, so texts
+    n_passage_bytes and n_passages are the bytes and runs that strings of the short length cover which start anywhere else too;
+    they are told, and stay. kept may not be valid UTF-8, as strings are judged by bytes; it is null with keep_bytes=False. Texts
+    below `length` bytes, empty and null ones lose nothing (null gives 0 bytes). Repeated rows are documents of their own, so texts
     of `length` bytes or more in them go wholly; rows that share a doc_id are taken to be equal. Empty tables give no rows.
     """
-    spans = repeated_spans(docs, length, gram, large)
-    by_doc = spans.groupBy(F.col("doc").alias("at")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    spans = repeated_spans(docs, [(length, gram), short], large)
+    by_doc = spans.groupBy(F.col("doc").alias("at")).agg(F.collect_set(F.struct("which", "start", "stop")).alias("spans"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
-    joined = rows.join(by_doc, F.col("doc") == F.col("at"), "left").select("doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
+    joined = rows.join(by_doc, F.col("doc") == F.col("at"), "left").select("doc_id", "text", F.col("spans.which").alias("which"), F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
+
+    def covered(n: int, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, int]:
+        """Which of n bytes the ranges cover, and in how many runs."""
+        change = np.zeros(n + 1, np.int64)
+        np.add.at(change, starts, 1)
+        np.add.at(change, stops, -1)
+        gone = np.cumsum(change[:-1]) > 0
+        return gone, int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 out = []
-                for t, a, z in zip(*(batch.column(k)[at : at + 512] for k in (1, 2, 3)), strict=True):
+                for t, w, a, z in zip(*(batch.column(k)[at : at + 512] for k in (1, 2, 3, 4)), strict=True):
                     b = (t.as_py() or "").encode("utf-8", "surrogatepass")
                     if not a.is_valid:
-                        out.append((len(b), 0, 0, hashlib.sha256(b).hexdigest(), b if keep_bytes else None))
+                        out.append((len(b), 0, 0, hashlib.sha256(b).hexdigest(), 0, 0, b if keep_bytes else None))
                         continue
-                    change = np.zeros(len(b) + 1, np.int64)
-                    np.add.at(change, np.asarray(a.values), 1)
-                    np.add.at(change, np.asarray(z.values), -1)
-                    gone = np.cumsum(change[:-1]) > 0
+                    w, a, z = (np.asarray(x.values) for x in (w, a, z))
+                    gone, runs = covered(len(b), a[w == 0], z[w == 0])
+                    told, passages = covered(len(b), a[w == 1], z[w == 1])
                     left = np.frombuffer(b, np.uint8)[~gone].tobytes()
-                    out.append((len(b), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(left).hexdigest(), left if keep_bytes else None))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                    out.append((len(b), int(gone.sum()), runs, hashlib.sha256(left).hexdigest(), int(told.sum()), passages, left if keep_bytes else None))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 512], *[pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]], names=[c.split()[0] for c in DIGEST.split(", ")])
 
     return joined.mapInArrow(run, DIGEST)
