@@ -112,22 +112,21 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     maximal deleted runs.
     """
     covered = later_copies(docs, min_words).select("key", F.explode(F.sequence(F.col("line"), F.col("line") + F.col("length") - 1)).alias("line"))
-    cut = covered.groupBy(F.col("key").alias("cut_key")).agg(F.sort_array(F.collect_set("line")).alias("cut"))
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_deleted", "n_runs")])
-    at = kept.withColumn("docloom_key", key_of(docs)).join(cut, F.col("docloom_key") == F.col("cut_key"), "left")
-    at = at.withColumn("docloom_lines", line_list(F.col("text").cast("string")))
+    cut = covered.groupBy("key").agg(F.sort_array(F.collect_set("line")).alias("cut"))
+    # the columns of docs travel as one, so that none of them can clash with those made here
+    at = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key_of(docs).alias("key")).join(cut, "key", "left")
+    text = F.col("row").getField("text")
+    at = at.withColumn("all", line_list(text.cast("string")))
     touched = F.col("cut").isNotNull()
-    numbered = F.filter(F.transform("docloom_lines", lambda x, i: F.struct(i.alias("i"), x["n"].alias("n"))), lambda x: x["n"] > 0)
-    at = at.withColumn("docloom_places", F.when(touched, F.transform(numbered, lambda x: x["i"])))
-    at = at.withColumn("docloom_gone", F.when(touched, F.transform("cut", lambda k: F.get(F.col("docloom_places"), k))))
-    keep = F.transform(F.array_except(F.sequence(F.lit(0), F.size("docloom_lines") - 1), F.col("docloom_gone")), lambda i: F.get(F.col("docloom_lines"), i)["line"])
+    numbered = F.filter(F.transform("all", lambda x, i: F.struct(i.alias("i"), x["n"].alias("n"))), lambda x: x["n"] > 0)
+    at = at.withColumn("places", F.when(touched, F.transform(numbered, lambda x: x["i"])))
+    at = at.withColumn("gone", F.when(touched, F.transform("cut", lambda k: F.get(F.col("places"), k))))
+    keep = F.transform(F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("gone")), lambda i: F.get(F.col("all"), i)["line"])
     starts = F.filter(F.transform("cut", lambda k, i: (i == 0) | (k != F.get(F.col("cut"), F.greatest(i - 1, F.lit(0))) + 1)), lambda x: x)
-    at = at.withColumns(
-        {
-            "text": F.when(touched, F.array_join(keep, "\n")).otherwise(F.col("text")),
-            "n_lines": F.size(F.filter("docloom_lines", lambda x: x["n"] > 0)).cast("long"),
-            "n_deleted": F.when(touched, F.size("cut")).otherwise(0).cast("long"),
-            "n_runs": F.when(touched, F.size(starts)).otherwise(0).cast("long"),
-        }
-    )
-    return at.drop("docloom_key", "cut_key", "cut", "docloom_lines", "docloom_places", "docloom_gone")
+    made = {
+        "n_lines": F.size(F.filter("all", lambda x: x["n"] > 0)).cast("long"),
+        "n_deleted": F.when(touched, F.size("cut")).otherwise(0).cast("long"),
+        "n_runs": F.when(touched, F.size(starts)).otherwise(0).cast("long"),
+    }
+    kept = [(F.when(touched, F.array_join(keep, "\n")).otherwise(text) if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in made]
+    return at.select(*kept, *[column.alias(name) for name, column in made.items()])

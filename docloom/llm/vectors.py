@@ -2,8 +2,9 @@
 
 Vectors are normalised and rotated onto the principal components of their label, so that the leading
 dimensions hold most of each vector. Equal vectors collapse first. What is left is dealt into tiles of
-at most `tile` neighbouring vectors; a tile keeps the box of its first coordinates. Two tiles of a label
-meet only if their boxes come near enough for a cosine of `threshold`. Within a tile pair the products
+at most `tile` neighbouring vectors; a tile keeps the box of its first coordinates and the cells of its first two,
+which are as wide as linked vectors may be apart. Two tiles of a label meet only if cells of theirs touch and
+their boxes come near enough for a cosine of `threshold`. Within a tile pair the products
 of the leading dimensions are accumulated first; the rest of a product is at most the product of the
 suffix norms, and only pairs that can still reach the threshold are finished - in double precision, on
 the vectors as they came. A rotation keeps products, so the bound is sound whatever rows it was fitted on.
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,16 +25,21 @@ from docloom.llm.common import components, materialize, shuffle_partitions, span
 
 THRESHOLD = 0.98
 #: Vectors in a tile; rows of a label that its rotation is fitted on; coordinates of a tile's box.
-TILE, FIT_ROWS, BOX = 512, 2000, 8
+TILE, FIT_ROWS, BOX = 512, 1000, 8
 #: What rounding may add to a bound.
 SLACK = 1e-9
 
 
+def sound(name: str) -> Column:
+    """Whether a vector is not null, has only finite components and not only zeros."""
+    finite = F.forall(name, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.col(name).isNotNull() & finite & F.exists(name, lambda x: x != 0)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, label, embedding as doubles) of rows that can link: label and vector not null, all components finite, not all zero."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return v.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(finite & F.exists("embedding", lambda x: x != 0))
+    return v.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull()).where(sound("embedding"))
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -69,13 +75,19 @@ def rotate(distinct: DataFrame, axes: DataFrame) -> DataFrame:
     return distinct.join(axes, ["label", "dims"]).mapInPandas(run, f"vec_id long, members long, label {label}, dims int, embedding array<double>, x array<double>")
 
 
-def tiles(rotated: DataFrame, tile: int = TILE) -> DataFrame:
-    """(label, dims, part, ids, members, raw, x, low, high): tiles of neighbours.
+def reach(threshold: float) -> float:
+    """How far apart unit vectors of that cosine can be, and a little more."""
+    return float(np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6)
+
+
+def tiles(rotated: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
+    """(label, dims, part, ids, members, raw, x, low, high, cells): tiles of neighbours.
 
     The vectors of a label are dealt out by range of coarse cells of their leading coordinates and cut
     into tiles; no task holds a label, only a part of the order.
     """
-    cells = [F.floor(F.coalesce(F.get("x", F.lit(k)), F.lit(0.0)) / 0.2).alias(f"c{k}") for k in range(3)]
+    width = reach(threshold)
+    cells = [F.floor(F.coalesce(F.get("x", F.lit(k)), F.lit(0.0)) / width).alias(f"c{k}") for k in range(3)]
     keys = ["label", "dims", "c0", "c1", "c2", "vec_id"]
     placed = rotated.select("*", *cells).repartitionByRange(shuffle_partitions(rotated.sparkSession), *keys).sortWithinPartitions(*keys)
 
@@ -96,6 +108,8 @@ def tiles(rotated: DataFrame, tile: int = TILE) -> DataFrame:
         x = np.stack(some["x"].to_numpy())
         one = {"label": some["label"].iloc[0], "dims": int(some["dims"].iloc[0]), "part": int(some["vec_id"].iloc[0]), "ids": some["vec_id"].tolist(), "members": some["members"].tolist()}
         one |= {"raw": np.stack(some["embedding"].to_numpy()).tobytes(), "x": x.tobytes(), "low": x[:, :BOX].min(axis=0).tolist(), "high": x[:, :BOX].max(axis=0).tolist()}
+        near = np.floor(x[:, :2] / width).astype(np.int64)
+        one["cells"] = [{"a": a, "b": b} for a, b in {(int(r[0]), int(r[-1]) if len(r) > 1 else 0) for r in near}]
         return pd.DataFrame({k: [v] for k, v in one.items()})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,7 +123,7 @@ def tiles(rotated: DataFrame, tile: int = TILE) -> DataFrame:
             yield from map(row, cut(pd.concat(held), True)[0])
 
     label = rotated.schema["label"].dataType.simpleString()
-    schema = f"label {label}, dims int, part long, ids array<long>, members array<long>, raw binary, x binary, low array<double>, high array<double>"
+    schema = f"label {label}, dims int, part long, ids array<long>, members array<long>, raw binary, x binary, low array<double>, high array<double>, cells array<struct<a:long,b:long>>"
     return placed.select("vec_id", "members", "label", "dims", "embedding", "x").mapInPandas(run, schema)
 
 
@@ -153,12 +167,16 @@ def tile_links(distinct: DataFrame, threshold: float = THRESHOLD, tile: int = TI
     gives at most one edge and one count for each of its vectors, however many pairs link.
     """
     distinct = distinct.withColumn("dims", F.size("embedding"))
-    made = materialize(tiles(rotate(distinct, rotations(distinct)), tile), "tiles")
+    made = materialize(tiles(rotate(distinct, rotations(distinct)), threshold, tile), "tiles")
     box = made.select("label", "dims", "part", "low", "high")
     other = box.toDF("l", "d", "other", "low2", "high2")
+    held = made.select("label", "dims", "part", F.explode("cells").alias("cell"))
+    around = F.array(*[F.struct((F.col("cell.a") + i).alias("a"), (F.col("cell.b") + j).alias("b")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    touched = held.select("label", "dims", "part", F.explode(around).alias("cell")).distinct()
+    touch = touched.join(held.withColumnRenamed("part", "other"), ["label", "dims", "cell"]).where("part <= other").select("label", "dims", "part", "other").distinct()
     # unit vectors at that cosine lie within a squared distance of 2 - 2 * threshold; so do their boxes' gaps
     apart = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.greatest(p - q, F.lit(0.0))), F.lit(0.0), lambda s, d: s + d * d)
-    near = box.join(other, (F.col("label") == F.col("l")) & (F.col("dims") == F.col("d")) & (F.col("part") <= F.col("other")))
+    near = touch.join(box, ["label", "dims", "part"]).join(other.withColumnRenamed("other", "o"), (F.col("label") == F.col("l")) & (F.col("dims") == F.col("d")) & (F.col("other") == F.col("o")))
     near = near.where(apart("low", "high2") + apart("low2", "high") <= 2 - 2 * threshold + SLACK).select("label", "dims", "part", "other")
     content = ["ids", "members", "raw", "x"]
     left = near.join(made.select("label", "dims", "part", *content), ["label", "dims", "part"])
@@ -195,20 +213,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     Vectors link when their labels are equal and not null and their cosine is at least threshold. A vector that
     is null, empty, zero or holds null or non-finite components, or whose label is null, links with nothing: 0
     links, its own component. Vectors of different length do not link. Equal vectors of a label are one node with
-    its members counted; copies are not expanded to pairs. vec_id is taken as unique; a null one keeps a row of
-    its own with null component. An empty table gives no rows.
+    its members counted; copies are not expanded to pairs. Rows that share a vec_id stay one row each; a null vec_id
+    links with nothing and has a null component. An empty table gives no rows.
     """
     good = usable(vectors)
     same = F.sha2(F.array_join(F.transform("embedding", lambda x: (x + 0.0).cast("string")), ","), 256)
     member = good.withColumn("same", same)
     classes = member.groupBy("label", "same").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("members"), F.min_by("embedding", "vec_id").alias("embedding"))
-    classes = materialize(classes, "vectors")
-    found = materialize(tile_links(classes.select("vec_id", "members", "label", "embedding"), threshold, tile), "links")
-    degree = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("linked").alias("linked"))
-    joined = components(classes.select(F.col("vec_id").alias("id")), found.where("b is not null").select("a", "b")).select(F.col("id").alias("rep"), "component")
-    by_class = classes.select(F.col("vec_id").alias("rep"), "label", "same", "members").join(degree, "rep", "left").join(joined, "rep", "left")
-    of = member.select(F.col("vec_id").alias("v"), "label", "same").join(by_class, ["label", "same"])
-    of = of.select("v", (F.coalesce("linked", F.lit(0)) + F.col("members") - 1).alias("links"), "component")
-    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(of, F.col("vec_id") == F.col("v"), "left")
+    # numbers that rise with vec_id and are unique even where vec_ids are not
+    classes = classes.repartitionByRange(shuffle_partitions(vectors.sparkSession), "vec_id").sortWithinPartitions("vec_id", "label", "same")
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    found = materialize(tile_links(classes.select(F.col("node").alias("vec_id"), "members", "label", "embedding"), threshold, tile), "links")
+    degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("linked").alias("linked"))
+    joined = components(classes.select(F.col("node").alias("id")), found.where("b is not null").select("a", "b")).select(F.col("id").alias("node"), F.col("component").alias("head"))
+    by_class = classes.select("node", "label", "same", "members").join(degree, "node", "left").join(joined, "node")
+    by_class = by_class.join(classes.select(F.col("node").alias("head"), F.col("vec_id").alias("component")), "head")
+    of = by_class.select(F.col("label").alias("l"), F.col("same").alias("s"), (F.coalesce("linked", F.lit(0)) + F.col("members") - 1).alias("links"), "component")
+    # each row finds its class by its own label and vector, so that rows which share a vec_id stay one row each
+    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    every = every.select("vec_id", "label", F.when(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & sound("embedding"), same).alias("same"))
+    out = every.join(of, (F.col("label") == F.col("l")) & (F.col("same") == F.col("s")), "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))

@@ -9,37 +9,6 @@ from docloom.llm import licenses, lines
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def brute_lines(docs, least):
-    held = {k: [x for x in (t or "").split("\n") if WORD.search(x)] for k, t in docs}
-    first, gone = {}, {k: set() for k in held}
-    for k in sorted(held):
-        for i in range(len(held[k])):
-            n, j = 0, i - 1
-            while n < least and j + 1 < len(held[k]):
-                j += 1
-                n += len(WORD.findall(held[k][j]))
-            if n < least:
-                continue
-            run = tuple(held[k][i : j + 1])
-            f = first.setdefault(run, (k, i))
-            if f != (k, i) and (f[0] != k or i >= f[1] + len(run)):
-                gone[k] |= set(range(i, j + 1))
-    return {k: (len(held[k]), len(gone[k]), [x for i, x in enumerate(held[k]) if i not in gone[k]]) for k in held}
-
-
-def test_line_runs_equal_brute_force(spark):
-    rng = random.Random(5)
-    pool = ["a b c", "x y z w", "  ", "", "hello there general kenobi you are bold one two three", "q", "m n", "lorem ipsum dolor"]
-    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(60)] + [(70, None), (71, "")]
-    df = spark.createDataFrame([(*d, "n", 5) for d in docs], "doc_id long, text string, n_lines string, other int")
-    got = lines.line_dedup(df, 8)
-    assert got.columns.count("n_lines") == 1 and "other" in got.columns
-    rows = {r["doc_id"]: r for r in got.collect()}
-    assert {k: (r["n_lines"], r["n_deleted"], [x for x in (r["text"] or "").split("\n") if WORD.search(x)]) for k, r in rows.items()} == brute_lines(docs, 8)
-    assert rows[70]["text"] is None and rows[71]["text"] == ""
-    assert lines.line_dedup(df.limit(0)).count() == 0
-
-
 def brute_runs(docs, least):
     """Every run of at least `least` words, of any number of lines, that an earlier place holds without overlap goes."""
     held = {k: [x for x in (t or "").split("\n") if WORD.search(x)] for k, t in docs}
@@ -66,6 +35,28 @@ def test_whole_repeated_runs_go(spark):
     assert got[101]["text"] == "second end"
 
 
+def test_line_runs_equal_brute_force(spark):
+    rng = random.Random(5)
+    pool = ["a b c", "x y z w", "  ", "", "hello there general kenobi you are bold one two three", "q", "m n", "lorem ipsum dolor"]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(60)] + [(70, None), (71, "")]
+    df = spark.createDataFrame([(*d, "n", 5) for d in docs], "doc_id long, text string, n_lines string, other int")
+    got = lines.line_dedup(df, 8)
+    assert got.columns.count("n_lines") == 1 and "other" in got.columns
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert {k: (r["n_lines"], r["n_deleted"], [x for x in (r["text"] or "").split("\n") if WORD.search(x)]) for k, r in rows.items()} == brute_runs(docs, 8)
+    assert rows[70]["text"] is None and rows[71]["text"] == ""
+    assert lines.line_dedup(df.limit(0)).count() == 0
+
+
+def test_clashing_columns(spark):
+    text = "one two three four five six seven eight nine"
+    names = ["cut", "key", "row", "all", "gone", "places", "docloom_lines", "n_runs"]
+    df = spark.createDataFrame([(k, text, *[7] * len(names)) for k in (1, 2)], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    got = lines.line_dedup(df)
+    assert got.columns == ["doc_id", "text", *names[:-1], "n_lines", "n_deleted", "n_runs"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, text, *[7] * 7, 1, 0, 0), (2, "", *[7] * 7, 1, 1, 1)]
+
+
 def test_null_and_repeated_ids(spark):
     text = "one two three four five six seven eight nine"
     df = spark.createDataFrame([(None, text), (5, text), (5, text)], "doc_id long, text string")

@@ -43,6 +43,11 @@ def test_links_equal_brute_force(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_stay_one_row_each(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.001], 0), (None, [1.0, 0.0], 0)], "vec_id long, embedding array<float>, label int")
+    assert sorted(map(str, (tuple(r) for r in vectors.near_duplicates(df).collect()))) == sorted(map(str, [(1, 1, 1, True), (1, 0, 1, True), (2, 1, 1, False), (None, 0, None, None)]))
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     nodes = spark.createDataFrame([(k,) for k in [*range(41), *range(100, 130), 200, 201, 999]], "id long")
