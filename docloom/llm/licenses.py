@@ -1,13 +1,13 @@
 """License scan: an exact set-similarity join of text blocks with licence templates.
 
 Blocks are the lines of a text as sets of words, and all windows of its words, across lines, that are as
-wide as a template divided by `threshold`: a wrapped template lies in such a window. A template's words are ordered from rare to frequent
-by how many documents hold them, counted over the whole corpus. A block that holds at least the share
-`threshold` of a template's words must hold one of the template's first n - need + 1 words (prefix
-filter), must have at least `need` words (length filter), and the place of its first prefix word must
-leave room for `need` words (positional filter); only then is the overlap counted. Windows are placed at
-the prefix words of a template, in texts that as a whole pass its filters. Templates are a
-fixed list, so their index is a handful of literals inside the plan and blocks never move: the join
+wide as a template divided by `threshold`: a wrapped template lies in such a window. Template words are ordered
+from rare to frequent by how many documents hold them, counted over the whole corpus, and a block is the list of
+its template words in that order. A block that holds at least the share `threshold` of a template's words must hold
+one of the template's first n - need + 1 words (prefix filter), must have at least `need` words (length filter), and
+from the first such word on it must still have `need` words in the global order (positional filter); only then is the
+overlap counted. Windows are placed at the prefix words of a template, in texts that as a whole pass its filters.
+Templates are a fixed list, so their index is a handful of literals inside the plan and blocks never move: the join
 has no shuffle. Built-in functions only.
 """
 
@@ -38,7 +38,7 @@ TEMPLATES: list[tuple[str, str]] = [
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights"),
-    ("proprietary", "all rights reserved"),
+    ("proprietary", "all rights reserved no part of this work may be reproduced without the prior written permission of the owner"),
 ]
 #: Share of a template's words that a block must hold.
 THRESHOLD = 0.85
@@ -74,7 +74,9 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         need = max(1, math.ceil(threshold * len(ordered) - 1e-9))
         width = math.ceil(len(text.split()) / threshold - 1e-9)
         index.append((label, ordered, need, ordered[: len(ordered) - need + 1], width))
-    prefixes = literal(sorted({w for _, _, _, p, _ in index for w in p}))
+    vocabulary = sorted(counts, key=lambda w: (counts[w], w))
+    prefixes = literal([w for w in vocabulary if any(w in p for _, _, _, p, _ in index)])
+    vocabulary = literal(vocabulary)
     least = min(need for _, _, need, _, _ in index)
 
     text = lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -94,19 +96,22 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     no_hits = F.array().cast("array<struct<label:string,start:int>>")
     hits = F.when(F.contains("low", F.lit("license")), F.filter(F.transform("words", hit), lambda x: x.isNotNull())).otherwise(no_hits)
 
+    def fits(block: Column, need: int, prefix: list[str]) -> Column:
+        """Length, prefix and positional filter on a block's template words in the global order."""
+        first = F.get(F.array_intersect(block, literal(prefix)), F.lit(0))
+        return (F.size(block) >= need) & first.isNotNull() & (F.size(block) - F.array_position(block, first) + 1 >= need)
+
     def matched(block: Column) -> Column:
         tries = []
         for label, ordered, need, prefix, _ in index:
             n = len(ordered)
-            first = F.array_position(F.transform(literal(prefix), lambda w: F.array_contains(block, w)), True)
             share = F.size(F.array_intersect(literal(ordered), block)) / F.lit(float(n))
-            fits = (F.size(block) >= need) & (first > 0) & (F.lit(n + 1) - first >= need)
-            tries.append(F.when(fits, F.when(share >= need / n, F.struct(F.lit(label).alias("label"), share.alias("share")))))
+            tries.append(F.when(fits(block, need, prefix), F.when(share >= need / n, F.struct(F.lit(label).alias("label"), share.alias("share")))))
         return F.filter(F.array(*tries), lambda x: x.isNotNull())
 
     no_matches = F.array().cast("array<struct<label:string,share:double>>")
-    blocks = F.filter(F.transform(F.split("low", "\n", -1), lambda x: F.array_distinct(words_of(x))), lambda b: (F.size(b) >= least) & F.arrays_overlap(b, prefixes))
-    matches = F.when(F.arrays_overlap("words", prefixes), F.flatten(F.transform(blocks, matched))).otherwise(no_matches)
+    blocks = F.filter(F.transform(F.split("low", "\n", -1), lambda x: F.array_intersect(vocabulary, words_of(x))), lambda b: (F.size(b) >= least) & F.arrays_overlap(b, prefixes))
+    matches = F.when(F.arrays_overlap("held", prefixes) & (F.size("held") >= least), F.flatten(F.transform(blocks, matched))).otherwise(no_matches)
 
     def windowed(ordered: list[str], need: int, prefix: list[str], width: int) -> Column:
         """The largest share of a template that a window holds, if it is enough. A window that is enough holds a prefix word."""
@@ -117,14 +122,13 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         near = F.filter(places, lambda i: count(first(i), i - first(i) + width) >= need)
         starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.sequence(first(i), i))))
         share = F.array_max(F.transform(starts, lambda i: count(i, F.lit(width)))) / F.lit(float(n))
-        return F.when(F.size(F.array_intersect(literal(ordered), F.col("held"))) >= need, F.when(share >= need / n, share))
+        return F.when(fits(F.col("held"), need, prefix) & (F.size(F.array_intersect(literal(ordered), F.col("held"))) >= need), F.when(share >= need / n, share))
 
     # one line has no windows that its block does not hold
     wrapped = F.contains("low", F.lit("\n")) & (F.size("held") >= least)
     windows = F.array(*[F.struct(F.lit(label).alias("label"), windowed(ordered, need, prefix, width).alias("share")) for label, ordered, need, prefix, width in index])
     windows = F.when(wrapped, F.filter(windows, lambda x: x["share"].isNotNull())).otherwise(no_matches)
 
-    vocabulary = literal(sorted({w for _, ordered, _, _, _ in index for w in ordered}))
     rows = rows.withColumn("held", F.array_intersect(vocabulary, F.col("words"))).withColumns({"hits": hits, "matches": F.concat(matches, windows)})
     base, both = F.col("hits.label"), F.concat(F.col("hits.label"), F.col("matches.label"))
     return rows.select(

@@ -129,4 +129,4 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "n_runs": F.when(touched, F.size(starts)).otherwise(0).cast("long"),
     }
     kept = [(F.when(touched, F.array_join(keep, "\n")).otherwise(text) if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in made]
-    return at.select(*kept, *[column.alias(name) for name, column in made.items()])
+    return at.select(F.struct(*kept, *[column.alias(name) for name, column in made.items()]).alias("row")).select("row.*")

@@ -105,11 +105,12 @@ def test_wrapped_templates_are_found(spark):
             docs.append((len(docs), "zz " * rng.randint(0, 40) + " ".join(words[:at]) + ",\n * " + " ".join(words[at:]) + " zz" * rng.randint(0, 40)))
             want[docs[-1][0]] = label
     docs.append((900, "all\n" + "zz " * 30 + "rights\nreserved"))
+    docs.append((902, "Copyright the authors. All rights reserved."))
     docs.append((901, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"))
     want[901] = "bsd"
     got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(label in got[k]["labels"].split(",") and got[k]["score"] == 1 for k, label in want.items())
-    assert (got[900]["labels"], got[900]["score"]) == ("", 0)
+    assert all((got[k]["labels"], got[k]["score"]) == ("", 0) for k in (900, 902))
 
 
 def test_windows_equal_brute_force(spark):
