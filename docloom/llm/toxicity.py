@@ -1,26 +1,30 @@
-"""Toxicity by class-conditional Kneser-Ney models over the letters of words.
-
-Each class (toxic, ordinary) has an interpolated Kneser-Ney model of letter five- and four-grams, counted
-on a bounded, hash-ordered sample of labelled rows. Both back off to one shared three-gram model that is
-counted over all documents, so an expression that neither class has seen gets nearly the same likelihood
-from both. A word's score is the difference of its log-likelihoods; a text is described by this difference
-per letter in its best window of words and in the whole text, and per word in its three most telling words, and a
-logistic curve fitted on held-back training rows turns that into a probability.
+"""Toxicity by class-conditional Kneser-Ney models over words, expressions and letters.
+
+Each class (toxic, ordinary) has two interpolated Kneser-Ney models, counted on a bounded, hash-ordered sample of
+labelled rows: one of words given the word before, so that expressions of two words have a likelihood of their own,
+and one of letter five- and four-grams, which knows words by how they are written. Both back off to counts that the
+classes share and that come from all documents: a table of how often each word stands in the corpus, which grows with
+it, and the letter three-grams. An expression that neither class has seen gets nearly the same likelihood from both.
+A text is described by the difference of its log-likelihoods, length-normalised: of both models in the best window of
+words, of both in the most telling places, and of letters in the whole text. A logistic curve fitted on held-back
+training rows turns that into a probability.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import begin
+from docloom.llm.common import begin, materialize, worker_cache
 
 #: Labelled rows of each class that the class models may learn from; every third is held back for the curve.
 SAMPLE_PER_CLASS = 3000
@@ -30,8 +34,10 @@ DISCOUNT, CLASS_DISCOUNT = 0.75, 1.0
 #: Words whose score a Python worker keeps.
 CACHE = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
-BITS, SIGNS = 7, 128
+BITS, SIGNS = 8, 256
 START, END = 0, 1
+FEATURES = 5
+U = np.uint64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -44,7 +50,7 @@ def held_out(doc_id: Column) -> Column:
 
 def sign_table() -> np.ndarray:
     """Codes of the code points below 384: a-z, then Latin-1 letters, then pairs of Latin Extended-A."""
-    table = np.full(0x180, 125, np.int64)
+    table = np.full(0x180, OTHER, np.int64)
     table[START], table[END] = START, END
     table[ord("a") : ord("z") + 1] = np.arange(2, 28)
     table[0xDF:0x100] = np.arange(28, 61)
@@ -52,12 +58,14 @@ def sign_table() -> np.ndarray:
     return table
 
 
+#: From this code on, letters of other scripts: neighbouring letters, such as those of one alphabet, have codes of their own.
+OTHER = 125
 SIGN_TABLE = sign_table()
 
 
 def signs(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    return np.where(points < 0x180, SIGN_TABLE[np.minimum(points, 0x17F)], 125 + points % 3)
+    return np.where(points < 0x180, SIGN_TABLE[np.minimum(points, 0x17F)], OTHER + points % (SIGNS - OTHER))
 
 
 def five_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,23 +85,50 @@ def words_of(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
+def word_keys(words: list[str]) -> np.ndarray:
+    """64-bit names of words."""
+    return pd.util.hash_array(np.array(words, object)) if words else np.zeros(0, np.uint64)
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    x = (first * U(0x9E3779B97F4A7C15) ^ second) * U(0xBF58476D1CE4E5B9)
+    return x ^ (x >> U(31))
+
+
 # ---------------------------------------------------------------- models
 
 
-def shared_model(counts: np.ndarray) -> np.ndarray:
-    """log P(c | two letters before) as [a, b, c], Kneser-Ney over three-gram counts of shape (SIGNS,) * 3."""
+def look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of sorted keys; 0 for keys that are not there."""
+    if not len(keys):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0.0)
+
 
-    def discounted(n: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        total = n.sum(axis=-1, keepdims=True)
+class SharedLetters:
+    """P(c | two letters before), interpolated Kneser-Ney over three-gram counts of all documents."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        order = np.argsort(grams)
+        self.three, n = grams[order], counts[order].astype(float)
+        two = np.bincount(self.three & SIGNS**2 - 1, minlength=SIGNS**2).reshape(SIGNS, SIGNS).astype(float)
+        one = (two > 0).sum(axis=0) + 0.5
+        total = two.sum(axis=1, keepdims=True)
         safe = np.maximum(total, 1)
-        return np.where(total > 0, np.maximum(n - DISCOUNT, 0) / safe + DISCOUNT * (n > 0).sum(axis=-1, keepdims=True) / safe * lower, lower)
+        lower = one / one.sum()
+        self.two = np.where(total > 0, np.maximum(two - DISCOUNT, 0) / safe + DISCOUNT * (two > 0).sum(axis=1, keepdims=True) / safe * lower, lower)
+        head = self.three >> BITS
+        total, kinds = np.bincount(head, n, SIGNS**2), np.bincount(head, minlength=SIGNS**2)
+        self.left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+        self.share = np.maximum(n - DISCOUNT, 0) / total[head]
 
-    two = (counts > 0).sum(axis=0).astype(float)
-    one = (two > 0).sum(axis=0) + 0.5
-    return np.log(discounted(counts.astype(float), discounted(two, one / one.sum())))
+    def likelihood(self, grams: np.ndarray) -> np.ndarray:
+        three = grams & (1 << 3 * BITS) - 1
+        return look(self.three, self.share, three) + self.left[three >> BITS] * self.two.ravel()[three & SIGNS**2 - 1]
 
 
-class ClassModel:
+class ClassLetters:
     """Five- and four-gram counts of one class as sorted codes."""
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray):
@@ -111,38 +146,64 @@ class ClassModel:
         heads, where, kinds = np.unique(grams >> BITS, return_inverse=True, return_counts=True)
         return heads, np.bincount(where, counts, len(heads)), kinds.astype(float)
 
-    @staticmethod
-    def look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(len(wanted))
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, values[at], 0.0)
-
     def likelihood(self, grams: np.ndarray, shared: np.ndarray) -> np.ndarray:
         """P(last letter | four before)."""
         four = grams & (1 << 4 * BITS) - 1
         for g, keys, values, heads, totals, kinds in ((four, self.g4, self.n4, self.h3, self.t4, self.d4), (grams, self.g5, self.n5, self.h4, self.t5, self.d5)):
-            n, total, kind = self.look(keys, values, g), self.look(heads, totals, g >> BITS), self.look(heads, kinds, g >> BITS)
+            n, total, kind = look(keys, values, g), look(heads, totals, g >> BITS), look(heads, kinds, g >> BITS)
             safe = np.maximum(total, 1)
             shared = np.where(total > 0, np.maximum(n - CLASS_DISCOUNT, 0) / safe + CLASS_DISCOUNT * np.minimum(kind / safe, 1) * shared, shared)
         return shared
 
 
+class ClassWords:
+    """P(word | word before) of one class: words by how many words they follow, pairs by how many documents hold them.
+
+    words: (key, follows) and heads: (key, total, kinds), sorted by key; pairs: (key, n, head's total), sorted. What
+    occurs once is discounted to nothing, so only the totals know of it.
+    """
+
+    def __init__(self, words: tuple[np.ndarray, ...], heads: tuple[np.ndarray, ...], pairs: tuple[np.ndarray, ...], follows: float, kinds: float):
+        self.words, self.heads, self.pairs = words, heads, pairs
+        self.follows, self.backoff = max(follows, 1.0), min(1.0, CLASS_DISCOUNT * kinds / max(follows, 1.0)) if follows else 1.0
+
+    def of_word(self, keys: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        return np.maximum(look(*self.words, keys) - CLASS_DISCOUNT, 0) / self.follows + self.backoff * shared
+
+    def left(self, keys: np.ndarray) -> np.ndarray:
+        """What a word leaves for the words behind it that it was not seen with."""
+        total, kinds = look(self.heads[0], self.heads[1], keys), look(self.heads[0], self.heads[2], keys)
+        return np.where(total > 0, np.minimum(1.0, CLASS_DISCOUNT * kinds / np.maximum(total, 1)), 1.0)
+
+    def of_pair(self, pairs: np.ndarray) -> np.ndarray:
+        n, total = look(self.pairs[0], self.pairs[1], pairs), look(self.pairs[0], self.pairs[2], pairs)
+        return np.maximum(n - CLASS_DISCOUNT, 0) / np.maximum(total, 1)
+
+
 @dataclass
 class Model:
-    """What scoring needs: bounded by the sample size and the number of letters, not by the corpus."""
+    """What scoring needs: bounded by the sample size and the number of letters, not by the corpus.
+
+    shared_words: sorted keys and shares in the corpus of the words that a class knows. For a word that neither knows
+    the share is the same factor in both likelihoods, so any number does.
+    """
 
-    shared: np.ndarray
-    toxic: ClassModel
-    ordinary: ClassModel
+    letters: SharedLetters
+    toxic: ClassLetters
+    ordinary: ClassLetters
+    toxic_words: ClassWords
+    ordinary_words: ClassWords
+    shared_words: tuple[np.ndarray, np.ndarray]
+    rare: float
     weights: np.ndarray | None = None
+    name: str = ""
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary)."""
+        """log P(word | toxic) - log P(word | ordinary) by letters."""
         if not words:
             return np.zeros(0)
         grams, word = five_grams(words)
-        base = np.exp(self.shared.ravel()[grams & (1 << 3 * BITS) - 1])
+        base = self.letters.likelihood(grams)
         gain = np.log(self.toxic.likelihood(grams, base)) - np.log(self.ordinary.likelihood(grams, base))
         return np.bincount(word, gain, len(words))
 
@@ -154,33 +215,82 @@ class Model:
 
 
 class Scorer:
-    """Features of texts; keeps the scores of words met before, up to CACHE of them."""
+    """Features of texts; keeps what it knows of words met before, up to CACHE of them."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model = model
+        known = np.unique(np.concatenate((model.toxic_words.pairs[0], model.ordinary_words.pairs[0])))
+        self.marks = np.zeros(1 << 20, bool)  # by their last bits, to leave most pairs out before the search
+        self.marks[(known & U(len(self.marks) - 1)).astype(np.int64)] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.table = np.zeros((7, 1 << 12))  # letters' gain, size, P(word) by class, what it leaves by class, log of the unseen pair's ratio
+        self.keys = np.zeros(1 << 12, np.uint64)
+
+    def learn(self, words: list[str]) -> None:
+        m, at, n = self.model, len(self.known), len(words)
+        if at + n > len(self.keys):
+            room = max(at + n, 2 * len(self.keys))
+            self.table = np.hstack((self.table, np.zeros((7, room - self.table.shape[1]))))
+            self.keys = np.concatenate((self.keys, np.zeros(room - len(self.keys), np.uint64)))
+        keys = word_keys(words)
+        shared = look(*m.shared_words, keys)
+        shared = np.where(shared > 0, shared, m.rare)
+        toxic, ordinary = m.toxic_words.of_word(keys, shared), m.ordinary_words.of_word(keys, shared)
+        self.keys[at : at + n] = keys
+        self.table[:, at : at + n] = m.word_scores(words), np.fromiter(map(len, words), float, n) + 1, toxic, ordinary, m.toxic_words.left(keys), m.ordinary_words.left(keys), np.log(toxic / ordinary)
+        self.known.update(zip(words, range(at, at + n), strict=True))
+
+    def expressions(self, index: np.ndarray) -> np.ndarray:
+        """log P(word | word before, toxic) - log P(word | word before, ordinary) of each word of a text."""
+        _, _, toxic, ordinary, left_t, left_o, unseen = self.table
+        gain = unseen[index]
+        before, after = index[:-1], index[1:]
+        pairs = pair_keys(self.keys[before], self.keys[after])
+        some = np.flatnonzero(self.marks[(pairs & U(len(self.marks) - 1)).astype(np.int64)] | (left_t[before] < 1) | (left_o[before] < 1))
+        if len(some):
+            v, w, p = before[some], after[some], pairs[some]
+            one = self.model.toxic_words.of_pair(p) + left_t[v] * toxic[w]
+            two = self.model.ordinary_words.of_pair(p) + left_o[v] * ordinary[w]
+            gain[some + 1] = np.log(one / two)
+        return gain
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """Log-likelihood differences of the best window and the whole text per letter, of the top words per word; zeros without words."""
+        """Log-likelihood differences: by letters in the best window, the top words and the whole text; by words in the best window and the top places."""
         split = [words_of(t) for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
+        new = list({w for words in split for w in words}.difference(self.known))
         if len(self.known) + len(new) > CACHE:
-            self.known = {}
+            self.clear()
             new = list({w for words in split for w in words})
-        self.known.update(zip(new, self.model.word_scores(new).tolist(), strict=True))
-        out = np.zeros((len(texts), 3))
+        if new:
+            self.learn(new)
+        out = np.zeros((len(texts), FEATURES))
         for k, words in enumerate(split):
             if not words:
                 continue
-            gain = np.fromiter(map(self.known.__getitem__, words), float, len(words))
-            size = np.fromiter(map(len, words), float, len(words)) + 1
+            index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            gain, size = self.table[0][index], self.table[1][index]
             a, b = np.concatenate([[0], np.cumsum(gain)]), np.concatenate([[0], np.cumsum(size)])
             width = min(WINDOW, len(words))
             best = ((a[width:] - a[:-width]) / (b[width:] - b[:-width])).max()
-            top = np.argpartition(gain, -min(TOP, len(gain)))[-min(TOP, len(gain)) :]
-            out[k] = best, gain[top].sum() / TOP, a[-1] / b[-1]
+            said = self.expressions(index)
+            c = np.concatenate([[0], np.cumsum(said)])
+            top = lambda x: np.partition(x, -min(TOP, len(x)))[-min(TOP, len(x)) :].sum() / TOP
+            out[k] = best, top(gain), a[-1] / b[-1], (c[width:] - c[:-width]).max() / width, top(said)
         return out
 
 
+def scorer(model: Model) -> Scorer:
+    """One scorer for each Python worker, of the model in use."""
+    held = worker_cache("toxicity", "scorer", dict)
+    if held.get("name") != model.name:
+        held.clear()
+        held.update(name=model.name, scorer=Scorer(model))
+    return held["scorer"]
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
     """Weights and offset by Newton steps on standardised features."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
@@ -200,28 +310,30 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 # ---------------------------------------------------------------- counting and scoring
 
 
-def corpus_counts(docs: DataFrame) -> np.ndarray:
-    """Three-gram counts over the words of all documents; at most SIGNS ** 3 sums reach the driver."""
+def corpus_counts(docs: DataFrame) -> DataFrame:
+    """(word, key, n): how often each letter three-gram (word: false) and each word (true) stands in all documents.
+
+    The table grows with the corpus; it is written to the shared folder and summed before it is shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("toxicity")
-        total = np.zeros(SIGNS**3, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 counts: Counter[str] = Counter()
                 for t in batch.column(0)[at : at + 1024].to_pylist():
                     counts.update(words_of(t))
-                if counts:
-                    grams, word = five_grams(list(counts))
-                    times = np.fromiter(counts.values(), np.int64, len(counts))
-                    total += np.bincount(grams & (1 << 3 * BITS) - 1, times[word], len(total)).astype(np.int64)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["gram", "n"])
+                if not counts:
+                    continue
+                words, times = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+                grams, word = five_grams(words)
+                three, where = np.unique(grams & (1 << 3 * BITS) - 1, return_inverse=True)
+                n = np.bincount(where, times[word], len(three)).astype(np.int64)
+                for kind, keys, sums in ((False, three, n), (True, word_keys(words).view(np.int64), times)):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind)), pa.array(keys, pa.int64()), pa.array(sums, pa.int64())], names=["word", "key", "n"])
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(SIGNS**3)
-    out[counted["gram"].to_numpy(np.int64)] = counted["n"].to_numpy(float)
-    return out.reshape((SIGNS,) * 3)
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word boolean, key long, n long")
+    return materialize(counted.groupBy("word", "key").agg(F.sum("n").alias("n")), "corpus_counts")
 
 
 def training_rows(labels: DataFrame, limit: int) -> DataFrame:
@@ -239,45 +351,88 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_PER_CLASS) ->
     # copies count once; a third of the texts is held back for the curve
     sample = sample.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).withColumn("tune", F.pmod(F.xxhash64("text"), F.lit(3)) == 0)
 
+    sample = materialize(sample, "toxicity_sample")
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Five-grams (kind 0) by the words of each text, and pairs of words (kind 1), each once a text."""
+        begin("toxicity")
         for batch in batches:
             for toxic in (0, 1):
+                split = [words_of(t) for t, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if c == toxic]
                 counts: Counter[str] = Counter()
-                for t, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    if c == toxic:
-                        counts.update(set(words_of(t)))
-                if counts:
-                    grams, word = five_grams(list(counts))
-                    codes, where = np.unique(grams, return_inverse=True)
-                    times = np.fromiter(counts.values(), np.int64, len(counts))
-                    n = np.bincount(where, times[word], len(codes)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), toxic, np.int32)), pa.array(codes), pa.array(n)], names=["toxic", "gram", "n"])
-
-    grams = sample.where("not tune").select("text", "toxic").mapInArrow(count, "toxic int, gram long, n long").groupBy("toxic", "gram").agg(F.sum("n").alias("n")).toPandas()
-    kinds = [ClassModel(*(grams.loc[grams["toxic"] == c, k].to_numpy(np.int64) for k in ("gram", "n"))) for c in (0, 1)]
-    model = Model(shared_model(corpus_counts(docs)), kinds[1], kinds[0])
+                for words in split:
+                    counts.update(set(words))
+                if not counts:
+                    continue
+                grams, word = five_grams(list(counts))
+                codes, where = np.unique(grams, return_inverse=True)
+                times = np.fromiter(counts.values(), np.int64, len(counts))
+                n = np.bincount(where, times[word], len(codes)).astype(np.int64)
+                pairs = Counter(p for words in split for p in set(zip(words, words[1:], strict=False)))
+                v, w = (word_keys([p[k] for p in pairs]).view(np.int64) for k in (0, 1))
+                for kind, first, second, sums in ((0, codes, np.zeros(len(codes), np.int64), n), (1, v, w, np.fromiter(pairs.values(), np.int64, len(pairs)))):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), x, np.int32)) for x in (toxic, kind)] + [pa.array(x, pa.int64()) for x in (first, second, sums)], names=["toxic", "kind", "a", "b", "n"])
+
+    counted = sample.where("not tune").select("text", "toxic").mapInArrow(count, "toxic int, kind int, a long, b long, n long")
+    counted = materialize(counted.groupBy("toxic", "kind", "a", "b").agg(F.sum("n").alias("n")), "class_counts")
+    grams = counted.where("kind = 0").toPandas()
+    letters = [ClassLetters(*(grams.loc[grams["toxic"] == c, k].to_numpy(np.int64) for k in ("a", "n"))) for c in (0, 1)]
+    corpus = corpus_counts(docs)
+    three = corpus.where("not word").toPandas()
+    words, shared, rare = class_words(counted.where("kind = 1"), corpus.where("word"))
+    model = Model(SharedLetters(three["key"].to_numpy(np.int64), three["n"].to_numpy(float)), letters[1], letters[0], words[1], words[0], shared, rare, name=uuid.uuid4().hex)
+    columns = [f"f{k}" for k in range(FEATURES)]
     tune = scored(sample.where("tune").select("doc_id", "text", "toxic"), model, ["toxic"]).toPandas()
-    x, y = tune[["f0", "f1", "f2"]].to_numpy(), tune["toxic"].to_numpy(float)
+    x, y = tune[columns].to_numpy(), tune["toxic"].to_numpy(float)
     if len(set(y)) == 2:
-        model.weights = logistic(x, y)
+        model.weights, model.name = logistic(x, y), uuid.uuid4().hex
     return model
 
 
+def class_words(pairs: DataFrame, corpus: DataFrame) -> tuple[list[ClassWords], tuple[np.ndarray, np.ndarray], float]:
+    """The word models of both classes, and the shares in the corpus of the words they know.
+
+    pairs: (toxic, a, b, n) of the sample; corpus: (key, n) of all documents, of which the classes' words come to the driver.
+    """
+
+    def sorted_columns(pdf: pd.DataFrame, key: np.ndarray, *columns: str) -> tuple[np.ndarray, ...]:
+        order = np.argsort(key)
+        return key[order], *[pdf[c].to_numpy(float)[order] for c in columns]
+
+    follows = pairs.groupBy("toxic", F.col("b").alias("key")).agg(F.count("*").alias("n"))
+    heads = pairs.groupBy("toxic", F.col("a").alias("key")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.max("n").alias("most"))
+    seen = pairs.where(F.col("n") > CLASS_DISCOUNT).join(heads.select("toxic", F.col("key").alias("a"), "total"), ["toxic", "a"]).toPandas()
+    sums = {r["toxic"]: (float(r["follows"]), float(r["kinds"])) for r in follows.groupBy("toxic").agg(F.sum("n").alias("follows"), F.count("*").alias("kinds")).collect()}
+    known, leading = follows.where(F.col("n") > CLASS_DISCOUNT).toPandas(), heads.where(F.col("most") > CLASS_DISCOUNT).toPandas()
+    out = []
+    for c in (0, 1):
+        w, h, p = (x[x["toxic"] == c] for x in (known, leading, seen))
+        of = lambda x, name="key": x[name].to_numpy(np.int64).view(np.uint64)
+        out.append(ClassWords(sorted_columns(w, of(w), "n"), sorted_columns(h, of(h), "total", "kinds"), sorted_columns(p, pair_keys(of(p, "a"), of(p, "b")), "n", "total"), *sums.get(c, (0.0, 0.0))))
+    total = corpus.agg(F.sum("n")).first()[0] or 1
+    wanted = corpus.join(F.broadcast(follows.where(F.col("n") > CLASS_DISCOUNT).select("key").distinct()), "key").toPandas()
+    keys = wanted["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return out, (keys[order], wanted["n"].to_numpy(float)[order] / total), 1 / total
+
+
 def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """Features f0, f1, f2 and the probability p beside the kept columns; the model travels once as a broadcast."""
+    """Features f0, f1, ... and the probability p beside the kept columns; the model travels once as a broadcast."""
     keep = keep or []
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("toxicity")
-        scorer = Scorer(shipped.value)
+        held = scorer(shipped.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                x = scorer.features(part.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], *[pa.array(x[:, k]) for k in range(3)], pa.array(scorer.model.probability(x))], names=[*keep, "f0", "f1", "f2", "p"])
+                x = held.features(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *[pa.array(x[:, k]) for k in range(FEATURES)], pa.array(shipped.value.probability(x))], names=[*keep, *columns, "p"])
 
-    schema = docs.select(*keep).schema.add("f0", "double").add("f1", "double").add("f2", "double").add("p", "double")
+    columns = [f"f{k}" for k in range(FEATURES)]
+    schema = docs.select(*keep).schema
+    for c in (*columns, "p"):
+        schema = schema.add(c, "double")
     return docs.select(F.col("text").cast("string"), *keep).mapInArrow(run, schema)
 
 
@@ -299,10 +454,9 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_PER_CLA
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("toxicity")
-        scorer = Scorer(shipped.value)
+        held = scorer(shipped.value)
         for batch in batches:
-            p = [scorer.model.probability(scorer.features(batch.column(at)[k : k + 512].to_pylist())) for k in range(0, batch.num_rows, 512)]
+            p = [shipped.value.probability(held.features(batch.column(at)[k : k + 512].to_pylist())) for k in range(0, batch.num_rows, 512)]
             if p:
                 yield batch.filter(pa.array(np.concatenate(p) < 0.5))
 

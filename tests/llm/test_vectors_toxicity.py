@@ -1,7 +1,9 @@
+import collections
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import common, toxicity, vectors
 
@@ -65,15 +67,52 @@ def test_held_out_quality(spark):
 
 
 def test_likelihoods_sum_to_one():
-    grams, word = toxicity.five_grams(["idiot", "ideal", "idiots"])
-    model = toxicity.ClassModel(*np.unique(grams, return_counts=True))
-    counts = np.zeros((toxicity.SIGNS,) * 3)
-    np.add.at(counts.reshape(-1), grams & (1 << 21) - 1, 1)
-    shared = toxicity.shared_model(counts)
-    for head in (int(grams[0]) >> 7, int(grams[3]) >> 7, 12345):
-        every = np.array([head << 7 | c for c in range(toxicity.SIGNS)])
-        assert model.likelihood(every, np.exp(shared.ravel()[every & (1 << 21) - 1])).sum() == pytest.approx(1, abs=1e-6)
-    assert np.exp(shared).sum(axis=-1) == pytest.approx(1)
+    grams, word = toxicity.five_grams(["idiot", "ideal", "idiots", "глупо", "глупый"])
+    model = toxicity.ClassLetters(*np.unique(grams, return_counts=True))
+    shared = toxicity.SharedLetters(*np.unique(grams & (1 << 24) - 1, return_counts=True))
+    for head in (int(grams[0]) >> 8, int(grams[3]) >> 8, int(grams[-3]) >> 8, 12345):
+        every = np.array([head << 8 | c for c in range(toxicity.SIGNS)])
+        assert shared.likelihood(every).sum() == pytest.approx(1)
+        assert model.likelihood(every, shared.likelihood(every)).sum() == pytest.approx(1, abs=1e-6)
+    # letters of one alphabet are told apart, also outside Latin
+    assert all(len(set(toxicity.signs(alphabet).tolist())) == len(alphabet) for alphabet in ("абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"))
+
+
+def brute_pairs(texts, corpus):
+    """P(word | word before) from counts of one class, by the formula, over all words of the corpus."""
+    pairs = collections.Counter(p for t in texts for p in set(zip(t, t[1:], strict=False)))
+    follows, heads, kinds = collections.Counter(), collections.Counter(), collections.Counter()
+    for (v, w), n in pairs.items():
+        follows[w] += 1
+        heads[v] += n
+        kinds[v] += 1
+    total, d = sum(corpus.values()), toxicity.CLASS_DISCOUNT
+
+    def of(v, w):
+        one = max(follows[w] - d, 0) / sum(follows.values()) + d * len(follows) / sum(follows.values()) * corpus[w] / total
+        most = max((n for (a, _), n in pairs.items() if a == v), default=0)
+        return one if most <= d else max(pairs[v, w] - d, 0) / heads[v] + min(1, d * kinds[v] / heads[v]) * one
+
+    return of
+
+
+def test_expressions_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    words = [a + b for a in ("ba", "ke", "lo", "mi") for b in "rstunv"]
+    texts = [[str(w) for w in rng.choice(words[: 12 + 12 * (k % 2)], 30)] for k in range(60)]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    sample = toxicity.training_rows(labels, 100).join(docs, "doc_id").withColumn("tune", F.pmod(F.xxhash64("text"), F.lit(3)) == 0).where("not tune").collect()
+    corpus = collections.Counter(w for t in texts for w in t)
+    toxic, ordinary = (brute_pairs([r["text"].split() for r in sample if r["toxic"] == c], corpus) for c in (1, 0))
+    scorer = toxicity.Scorer(model)
+    scorer.learn(words)
+    text = texts[1]
+    got = scorer.expressions(np.array([scorer.known[w] for w in text]))
+    known = lambda of, w: of(None, w)
+    want = [np.log(known(toxic, text[0]) / known(ordinary, text[0]))] + [np.log(toxic(v, w) / ordinary(v, w)) for v, w in zip(text, text[1:], strict=False)]
+    assert got == pytest.approx(want)
 
 
 def test_no_labels_nulls_and_extra_columns(spark):
