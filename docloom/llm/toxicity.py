@@ -176,8 +176,8 @@ class ClassWords:
         return np.where(total > 0, np.minimum(1.0, CLASS_DISCOUNT * kinds / np.maximum(total, 1)), 1.0)
 
     def of_pair(self, pairs: np.ndarray) -> np.ndarray:
-        n, total = look(self.pairs[0], self.pairs[1], pairs), look(self.pairs[0], self.pairs[2], pairs)
-        return np.maximum(n - CLASS_DISCOUNT, 0) / np.maximum(total, 1)
+        keys, n, total = self.pairs
+        return look(keys, np.maximum(n - CLASS_DISCOUNT, 0) / np.maximum(total, 1), pairs)
 
 
 @dataclass
@@ -203,9 +203,10 @@ class Model:
         if not words:
             return np.zeros(0)
         grams, word = five_grams(words)
-        base = self.letters.likelihood(grams)
-        gain = np.log(self.toxic.likelihood(grams, base)) - np.log(self.ordinary.likelihood(grams, base))
-        return np.bincount(word, gain, len(words))
+        codes, where = np.unique(grams, return_inverse=True)
+        base = self.letters.likelihood(codes)
+        gain = np.log(self.toxic.likelihood(codes, base)) - np.log(self.ordinary.likelihood(codes, base))
+        return np.bincount(word, gain[where], len(words))
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -219,42 +220,47 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        known = np.unique(np.concatenate((model.toxic_words.pairs[0], model.ordinary_words.pairs[0])))
-        self.marks = np.zeros(1 << 20, bool)  # by their last bits, to leave most pairs out before the search
-        self.marks[(known & U(len(self.marks) - 1)).astype(np.int64)] = True
+        self.pairs = np.unique(np.concatenate((model.toxic_words.pairs[0], model.ordinary_words.pairs[0])))
+        self.seen = np.stack([c.of_pair(self.pairs) for c in (model.toxic_words, model.ordinary_words)])
+        self.marks = np.zeros(1 << 22, bool)  # by their last bits, to leave most pairs out before the search
+        self.marks[(self.pairs & U(len(self.marks) - 1)).astype(np.int64)] = True
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.table = np.zeros((7, 1 << 12))  # letters' gain, size, P(word) by class, what it leaves by class, log of the unseen pair's ratio
+        # letters' gain, size, P(word) by class, what it leaves by class, logs of the ratios of both
+        self.table = np.zeros((8, 1 << 12))
         self.keys = np.zeros(1 << 12, np.uint64)
 
     def learn(self, words: list[str]) -> None:
         m, at, n = self.model, len(self.known), len(words)
         if at + n > len(self.keys):
             room = max(at + n, 2 * len(self.keys))
-            self.table = np.hstack((self.table, np.zeros((7, room - self.table.shape[1]))))
+            self.table = np.hstack((self.table, np.zeros((8, room - self.table.shape[1]))))
             self.keys = np.concatenate((self.keys, np.zeros(room - len(self.keys), np.uint64)))
         keys = word_keys(words)
         shared = look(*m.shared_words, keys)
         shared = np.where(shared > 0, shared, m.rare)
         toxic, ordinary = m.toxic_words.of_word(keys, shared), m.ordinary_words.of_word(keys, shared)
+        left_t, left_o = m.toxic_words.left(keys), m.ordinary_words.left(keys)
         self.keys[at : at + n] = keys
-        self.table[:, at : at + n] = m.word_scores(words), np.fromiter(map(len, words), float, n) + 1, toxic, ordinary, m.toxic_words.left(keys), m.ordinary_words.left(keys), np.log(toxic / ordinary)
+        self.table[:, at : at + n] = m.word_scores(words), np.fromiter(map(len, words), float, n) + 1, toxic, ordinary, left_t, left_o, np.log(toxic / ordinary), np.log(left_t / left_o)
         self.known.update(zip(words, range(at, at + n), strict=True))
 
     def expressions(self, index: np.ndarray) -> np.ndarray:
         """log P(word | word before, toxic) - log P(word | word before, ordinary) of each word of a text."""
-        _, _, toxic, ordinary, left_t, left_o, unseen = self.table
-        gain = unseen[index]
+        _, _, toxic, ordinary, left_t, left_o, of_word, of_left = self.table
+        gain = of_word[index]
         before, after = index[:-1], index[1:]
+        gain[1:] += of_left[before]  # as if no pair had been seen
         pairs = pair_keys(self.keys[before], self.keys[after])
-        some = np.flatnonzero(self.marks[(pairs & U(len(self.marks) - 1)).astype(np.int64)] | (left_t[before] < 1) | (left_o[before] < 1))
+        some = np.flatnonzero(self.marks[(pairs & U(len(self.marks) - 1)).astype(np.int64)])
         if len(some):
-            v, w, p = before[some], after[some], pairs[some]
-            one = self.model.toxic_words.of_pair(p) + left_t[v] * toxic[w]
-            two = self.model.ordinary_words.of_pair(p) + left_o[v] * ordinary[w]
-            gain[some + 1] = np.log(one / two)
+            at = np.minimum(np.searchsorted(self.pairs, pairs[some]), len(self.pairs) - 1)
+            met = self.pairs[at] == pairs[some]
+            some, at = some[met], at[met]
+            v, w = before[some], after[some]
+            gain[some + 1] = np.log((self.seen[0][at] + left_t[v] * toxic[w]) / (self.seen[1][at] + left_o[v] * ordinary[w]))
         return gain
 
     def features(self, texts: list[str | None]) -> np.ndarray:
