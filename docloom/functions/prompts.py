@@ -12,8 +12,8 @@ def navigation(url: Column, path: Column, root_url: str) -> Column:
     """Where to go: the topic's url, resolved against the root if relative, else the labels to click from the root."""
     target = F.when(F.rlike(url, F.lit("^https?://")), url).otherwise(join_url(F.lit(root_url), url))
     clicks = F.array_join(F.transform(path, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", then ")
-    direct = F.concat(F.lit("Navigate directly to this URL and crawl it: "), target)
-    return F.when(url.isNotNull() & (url != ""), direct).otherwise(F.concat(F.lit(f"Start at {root_url}. From there, click "), clicks, F.lit(" to reach the target page, then crawl it.")))
+    direct = F.concat(F.lit("Open this page and capture it: "), target)
+    return F.when(url.isNotNull() & (url != ""), direct).otherwise(F.concat(F.lit(f"Begin on {root_url} and follow the links "), clicks, F.lit("; capture the page you arrive at.")))
 
 
 def task(navigation_text: Column, instructions: Column, subpages: Column) -> Column:

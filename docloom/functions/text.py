@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 #: White space in the sense of Unicode; Java's \s alone is ASCII.
 BLANK = r"(?U)[\s\x1C-\x1F]+"
 ENDS = r"^(?U)[\s\x1C-\x1F]+|(?U)[\s\x1C-\x1F]+$"
+# File endings, weekdays, markup names and the words by which blocks are found must be these for right results.
 FILE_LINK = r"(?i)\.(pdf|docx?|xlsx?|pptx?|zip|csv|txt|rtf|odt|ods)(?:$|[?#])"
 WEEKDAYS = ("montag", "dienstag", "mittwoch", "donnerstag", "freitag", "samstag", "sonntag")
 MARKUP_LINE = r"<\s*/?\s*(?:script|style|link|meta|head|body|html|!)"
+CONTACT, REACH, HOURS_TITLE = "kontakt|erreichen|kunden-?center|servicecenter", "kontakt|erreichen", "Öffnungszeiten"
 MIN_CONTAINED, MIN_ANSWER, ANSWER_PROBE, MIN_PROSE = 8, 15, 40, 40
 
 

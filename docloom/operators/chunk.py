@@ -29,6 +29,14 @@ def p95(lengths: Column) -> Column:
     return F.element_at(F.sort_array(lengths), F.least(F.size(lengths) - 1, F.floor(F.size(lengths) * F.lit(0.95)).cast("int")) + 1)
 
 
+def p95_of_counts(counted: DataFrame, keys: list[str], value: str, n: str, into: str) -> DataFrame:
+    """(keys, into): p95 of values given with how often each occurs; a running sum finds the place."""
+    order = Window.partitionBy(*keys).orderBy(value)
+    placed = counted.withColumns({"_until": F.sum(n).over(order), "_all": F.sum(n).over(Window.partitionBy(*keys))})
+    place = F.least(F.col("_all") - 1, F.floor(F.col("_all") * F.lit(0.95)))
+    return placed.where(F.col("_until") > place).groupBy(*keys).agg(F.min(value).alias(into))
+
+
 def params(long: Column) -> Column:
     """Sizes for a 95th percentile: rounded half to even, kept within bounds; 0 means unknown."""
     rounded = F.bround(F.coalesce(long, F.lit(0)) / STEP) * STEP

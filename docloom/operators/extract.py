@@ -1,7 +1,7 @@
 """Extractors: ordered windows and aggregations over the node table.
 
 `keys` name the columns that identify a page. All windows of one page share its key, so after one exchange
-on it nothing moves again.
+on it nothing moves again. The single extractors serve one kind each; all_extracts finds all kinds in one pass.
 """
 
 from __future__ import annotations
@@ -28,12 +28,16 @@ def ordered(values: str, *order: str) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(values).alias("v")))), lambda x: x["v"])
 
 
+def title_of(text: Column, kind: Column, tag: Column, pos: Column) -> Column:
+    """An aggregate: the first title up to its first pipe, else the first h1, else empty."""
+    title = F.coalesce(F.min_by(text, F.when(kind == "title", pos)), F.lit(""))
+    h1 = F.coalesce(F.min_by(text, F.when(tag == "h1", pos)), F.lit(""))
+    return F.when(title != "", tx.strip(F.element_at(F.split(title, r"\|", 2), 1))).otherwise(h1)
+
+
 def titles(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, title): the title up to its first pipe, else the first h1, else empty."""
-    found = nodes.where((F.col("kind") == "title") | (F.col("tag") == "h1"))
-    first = lambda tag: F.min_by("text", F.when(F.col("tag") == tag, F.col("pos")))
-    title, h1 = F.coalesce(first("title"), F.lit("")), F.coalesce(first("h1"), F.lit(""))
-    return found.groupBy(*keys).agg(F.when(title != "", tx.strip(F.element_at(F.split(title, r"\|", 2), 1))).otherwise(h1).alias("title"))
+    """(keys, title) of every page that has a row, be it without nodes."""
+    return nodes.groupBy(*keys).agg(title_of(F.col("text"), F.col("kind"), F.col("tag"), F.col("pos")).alias("title"))
 
 
 def links(nodes: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,19 +120,73 @@ def prose_sections(nodes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def all_extracts(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, extracts): everything found on a page in one struct, lists in order; only pages that have nodes."""
-    k = [F.col(c) for c in keys]
-    packed = lambda df, order, *cols: df.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, F.struct(*cols).alias("v")))), lambda x: x["v"]).alias("found"))
-    parts = {
-        "title": titles(nodes, keys).withColumnRenamed("title", "found"),
-        "questions": distinct_qas(nodes, keys).groupBy(*keys).agg(F.collect_set(tx.norm(F.col("question"))).alias("found")),
-        "qa_groups": packed(qa_groups(nodes, keys), ["ord"], "heading", "qas"),
-        "phones": packed(phones(nodes, keys), ["pos"], "label", "phone", "key"),
-        "hours": opening_hours(nodes, keys).withColumnRenamed("hours", "found"),
-        "file_groups": packed(file_groups(nodes, keys), ["ord"], "heading", "files"),
-        "sections": packed(prose_sections(nodes, keys), ["pos"], "heading", "text"),
+    """(keys, extracts): everything found on a page in one struct, lists in order; null where nothing is found.
+
+    One pass: the nodes move once, by page, and all windows and the one aggregation share that exchange, so a page is
+    parsed once whatever is extracted. The rules are those of the single extractors above.
+    """
+    # what stands before each node
+    order = before(keys)
+    fit = F.col("tag").isin("h2", "h3", "h4", "h5", "strong", "b") & (F.col("text") != "") & (F.length("text") < LABEL_CAP)
+    head = F.when(F.col("tag") == "h2", F.struct("pos", "end_pos", "text", "hidden"))
+    rows = nodes.withColumns(
+        {
+            "_heading": F.coalesce(preceding(F.col("text"), (F.col("kind") == "heading") & ~F.col("in_accordion"), keys), F.lit("")),
+            "_file_heading": F.coalesce(preceding(F.col("text"), F.col("tag").isin("h2", "h3", "h4", "h5"), keys), F.lit("")),
+            "_label": F.coalesce(preceding(F.col("text"), fit, keys), F.lit("")),
+            "_h2": F.last_value(head, True).over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        }
+    )
+    # what each node is
+    q, a = tx.strip(F.col("question")), tx.strip(F.col("answer"))
+    link, phone = F.col("kind") == "link", F.when(F.col("text") != "", F.col("text")).otherwise(tx.strip(F.substr("href", F.lit(5))))
+    rows = rows.withColumns(
+        {
+            "_panel": F.coalesce((F.col("kind") == "panel") & (q != "") & (a != "") & (tx.norm(q) != tx.norm(a)), F.lit(False)),
+            "_file": F.coalesce(link & (F.col("text") != "") & tx.is_file_link(F.col("href")), F.lit(False)),
+            "_phone": F.when(link & F.lower("href").startswith("tel:"), F.nullif(tx.phone_key(phone), F.lit(""))),
+            "_late": (F.col("tag") == "details").cast("int"),
+        }
+    )
+    # the first of each question, of each question under a heading or file name, and of each phone
+    first = lambda flag, *same: flag & (F.row_number().over(Window.partitionBy(*keys, flag, *same).orderBy("_late", "pos")) == 1)
+    rows = rows.withColumn("_question", first(F.col("_panel"), tx.norm(F.col("question"))))
+    rows = rows.withColumn("_grouped", first(F.col("_panel"), F.col("_heading"), tx.norm(F.col("question"))))
+    rows = rows.withColumn("_file", first(F.col("_file"), F.col("text")))
+    rows = rows.withColumn("_called", first(F.col("_phone").isNotNull(), F.col("_phone")))
+    # runs of files under one heading
+    last = F.last_value(F.when(F.col("_file"), F.struct(F.col("_file_heading").alias("h"))), True).over(order)
+    rows = rows.withColumn("_starts", F.when(F.col("_file") & (last.isNull() | (last["h"] != F.col("_file_heading"))), 1).otherwise(0))
+    rows = rows.withColumn("_run", F.sum("_starts").over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    listed = lambda when, *values: F.array_sort(F.collect_list(F.when(when, F.struct(*values))))
+    good = F.filter("pairs", lambda p: tx.is_weekday(p["day"]) & (p["times"] != ""))
+    line = F.array_join(F.transform(good, lambda p: F.concat(F.lit("- "), p["day"], F.lit(": "), p["times"])), "\n")
+    is_list = (F.col("kind") == "list") & (F.size(good) >= WEEKDAYS_NEEDED)
+    behind = F.col("pos") > F.col("_h2.end_pos")
+    page = rows.groupBy(*keys).agg(
+        title_of(F.col("text"), F.col("kind"), F.col("tag"), F.col("pos")).alias("title"),
+        F.collect_set(F.when(F.col("_question"), tx.norm(F.col("question")))).alias("questions"),
+        listed(F.col("_grouped"), "_late", "pos", F.col("_heading").alias("heading"), F.struct(q.alias("question"), a.alias("answer")).alias("qa")).alias("qas"),
+        listed(F.col("_called"), "pos", F.struct(F.col("_label").alias("label"), phone.alias("phone"), F.col("_phone").alias("key")).alias("v")).alias("phones"),
+        F.min_by(line, F.when(is_list, F.col("pos"))).alias("hours"),
+        listed(F.col("_file"), "pos", F.col("_run").alias("run"), F.col("_file_heading").alias("heading"), F.col("text").alias("name")).alias("files"),
+        listed(F.col("tag") == "h2", "pos", "text", "hidden").alias("heads"),
+        listed((F.col("kind") == "string") & behind, "pos", F.col("_h2.pos").alias("h2"), "text").alias("body"),
+        F.collect_set(F.when((F.col("kind") == "accordion") & (F.col("pos") > F.col("_h2.pos")), F.col("_h2.pos"))).alias("folded"),
+    )
+    qa_group = lambda h: F.struct(h.alias("heading"), F.transform(F.filter("qas", lambda x: x["heading"] == h), lambda x: x["qa"]).alias("qas"))
+    file_group = lambda x: F.struct(x["heading"].alias("heading"), F.transform(F.filter("files", lambda y: y["run"] == x["run"]), lambda y: y["name"]).alias("files"))
+    text = lambda h: F.left(tx.strip(F.array_join(F.transform(F.filter("body", lambda x: x["h2"] == h["pos"]), lambda x: x["text"]), "\n")), F.lit(SECTION_CAP))
+    shown = F.filter("heads", lambda h: (h["text"] != "") & ~h["hidden"] & ~F.array_contains(F.col("folded"), h["pos"]))
+    found = {
+        "title": F.col("title"),
+        "questions": F.col("questions"),
+        "qa_groups": F.transform(F.array_distinct(F.transform("qas", lambda x: x["heading"])), qa_group),
+        "phones": F.transform("phones", lambda x: x["v"]),
+        "hours": F.col("hours"),
+        "file_groups": F.transform(F.filter("files", lambda x, i: (i == 0) | (F.get(F.col("files"), F.greatest(i - 1, F.lit(0)))["run"] != x["run"])), file_group),
+        "sections": F.transform(shown, lambda h: F.struct(h["text"].alias("heading"), text(h).alias("text"))),
     }
-    out = nodes.select(*k).distinct()
-    for name, part in parts.items():
-        out = out.join(part.withColumnRenamed("found", name), keys, "left")
-    return out.select(*k, F.struct(*parts).alias("extracts"))
+    none = ("questions", "qa_groups", "phones", "file_groups", "sections")
+    return page.select(*keys, F.struct(*[(F.when(F.size(c) > 0, c) if name in none else c).alias(name) for name, c in found.items()]).alias("extracts"))

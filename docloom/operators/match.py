@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from urllib.parse import quote, urljoin
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import udf
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from docloom.functions import text as tx
 
 SECTION_PROBE = 60
+#: Probes that one automaton holds.
+MOST_PROBES = 200_000
 
 
 def join_url(base: Column, href: Column) -> Column:
@@ -63,6 +69,41 @@ def locate(headings: DataFrame, places: DataFrame, keys: list[str]) -> DataFrame
     return headings.join(best, [*keys, "ord"], "left").select(headings["*"], F.col("at.block").alias("block"), F.col("at.insert_at").alias("insert_at"))
 
 
+def present_answers(answers: DataFrame, blobs: DataFrame, answer_key: str, blob_key: str, most: int = MOST_PROBES) -> DataFrame:
+    """(answer_key, blob_key) of the answers whose beginning a blob holds, for any blob; answer and blob are content-normalised.
+
+    Up to `most` probes, of at most 40 characters each, travel to the workers as one automaton that reads each blob once.
+    Beyond that, probes and blobs meet by the hash of a probe's first characters, and only those that meet are compared.
+    """
+    probes = answers.where(F.length("answer") >= tx.MIN_ANSWER).select(answer_key, F.left("answer", F.lit(tx.ANSWER_PROBE)).alias("probe"))
+    if probes.limit(most + 1).count() > most:
+        places = F.sequence(F.lit(1), F.greatest(F.length("blob") - (tx.MIN_ANSWER - 1), F.lit(1)))
+        starts = F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.substr("blob", i, F.lit(tx.MIN_ANSWER)))))
+        wanted = probes.withColumn("h", F.xxhash64(F.left("probe", F.lit(tx.MIN_ANSWER))))
+        found = blobs.select(blob_key, "blob", F.explode(starts).alias("h")).join(wanted, "h")
+        return found.where(F.contains("blob", "probe")).select(answer_key, blob_key).distinct()
+    keys: dict[str, list] = {}
+    for row in probes.toLocalIterator():
+        keys.setdefault(row["probe"], []).append(row[answer_key])
+    shipped = answers.sparkSession.sparkContext.broadcast(keys)
+    schema = T.StructType([answers.schema[answer_key], blobs.schema[blob_key]])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for probe in shipped.value:
+            machine.add_word(probe, probe)
+        if shipped.value:
+            machine.make_automaton()
+        for batch in batches:
+            hits = [(key, blob) for blob, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if text and shipped.value for probe in {p for _, p in machine.iter(text)} for key in shipped.value[probe]]
+            if hits:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*hits, strict=True), to_arrow_schema(schema).types, strict=True)], names=schema.names)
+
+    return blobs.select(blob_key, "blob").mapInArrow(read, schema)
+
+
 def missing_answers(qas: DataFrame, blobs: DataFrame, keys: list[str]) -> DataFrame:
     """Panels whose answer the blob of their page does not hold: a left anti join. blobs: keys, blob (content-normalised)."""
     q = qas.withColumn("_a", tx.content_norm(F.col("answer")))
@@ -104,11 +145,11 @@ def section_places(sections: DataFrame, blocks: DataFrame, keys: list[str]) -> D
 
 def contact_block(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, block): the first block that is about contact, else the last."""
-    about = F.rlike("norm_heading", F.lit("kontakt|erreichen|kunden-?center|servicecenter"))
+    about = F.rlike("norm_heading", F.lit(tx.CONTACT))
     return blocks.groupBy(*keys).agg(F.coalesce(F.min(F.when(about, F.col("block"))), F.max("block")).alias("block"))
 
 
 def hours_block(places: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, block): the first block with opening hours in a heading or subheading, else the first about contact, else the last."""
-    hours, about = F.contains("norm_heading", F.lit("öffnungszeit")), F.rlike("norm_heading", F.lit("kontakt|erreichen")) & (F.col("segment") < 0)
+    hours, about = F.contains("norm_heading", F.lit(tx.HOURS_TITLE.lower()[:-2])), F.rlike("norm_heading", F.lit(tx.REACH)) & (F.col("segment") < 0)
     return places.groupBy(*keys).agg(F.coalesce(F.min(F.when(hours, F.col("block"))), F.min(F.when(about, F.col("block"))), F.max("block")).alias("block"))

@@ -16,8 +16,8 @@ from pyspark.sql.functions import udf
 from docloom import schema
 from docloom.functions import text as tx
 
-CONTACT, REACH, DAYS = re.compile("kontakt|erreichen|kunden-?center|servicecenter"), re.compile("kontakt|erreichen"), tx.WEEKDAYS
-HOURS_TITLE = "Öffnungszeiten"
+CONTACT, REACH, DAYS = re.compile(tx.CONTACT), re.compile(tx.REACH), tx.WEEKDAYS
+HOURS_TITLE = tx.HOURS_TITLE
 
 
 # ---------------------------------------------------------------- native rewrites of one page
@@ -221,7 +221,7 @@ def as_dict(row: object) -> object:
 
 
 def placed(page: Column, extracts: Column) -> Column:
-    return udf(lambda p, e: place(as_dict(p), as_dict(e)), schema.PAGE)(page, extracts)
+    return udf(lambda p, e: place(as_dict(p), as_dict(e)), schema.PAGE, useArrow=True)(page, extracts)
 
 
 def merge(pages: DataFrame, page: str = "page", extracts: str = "extracts") -> DataFrame:

@@ -28,6 +28,7 @@ def regressions(new: DataFrame, old: DataFrame) -> DataFrame:
     """
     o = old.select("topic", *[F.col(c).alias(f"old_{c}") for c in ("pages", "faqs", "chars")])
     change = lambda label, c, unit="": F.concat_ws("", F.lit(f"{label} "), f"old_{c}", F.lit("→"), c, F.lit(unit))
+    # The texts of issues and summaries are what receivers of alerts read.
     rules = [
         F.when(F.col("pages") < F.col("old_pages"), change("pages", "pages")),
         F.when((F.col("old_faqs") > 0) & (F.col("faqs") < F.col("old_faqs") * FAQ_FLOOR), change("FAQ", "faqs")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions import text as tx
 from docloom.operators import extract, merge, render
 from docloom.sources.dom import node_table
 
@@ -18,7 +19,9 @@ def enrich(trees: DataFrame, fetched: DataFrame) -> DataFrame:
     own. Pages without url, and pages not fetched, stay untouched. Topics without pages stay.
     """
     pages = trees.select("topic", F.posexplode("pages").alias("page_ord", "page"))
-    html = fetched.where("url is not null and html is not null").groupBy("url").agg(F.first("html").alias("html"))
+    # of a page that was fetched several times the newest counts, where that is known, and else always the same one
+    newest = F.max_by("html", "fetched_at") if "fetched_at" in fetched.columns else F.min("html")
+    html = fetched.where("url is not null and html is not null").groupBy("url").agg(newest.alias("html"))
     held = pages.withColumn("url", F.when(F.col("page.url") != "", F.col("page.url"))).join(html, "url", "left").drop("url")
     extracts = extract.all_extracts(node_table(held.where("html is not null"), "html", *KEYS), KEYS)
     # a fetched page without any node still counts as fetched
@@ -30,17 +33,20 @@ def enrich(trees: DataFrame, fetched: DataFrame) -> DataFrame:
 
 def page_trees(pages: DataFrame) -> DataFrame:
     """(page_id, pages): trees of raw pages without a capture: title, link list and body text."""
-    nodes = node_table(pages, "html", "page_id")
-    titles = extract.titles(nodes, ["page_id"])
-    links = extract.links(nodes, ["page_id"]).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", "text", "href"))).alias("links"))
-    body = nodes.where("kind = 'string' and not hidden").groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("body"))
-    listed = F.array_join(F.transform("links", lambda x: F.concat(F.lit("- ["), x["text"], F.lit("]("), x["href"], F.lit(")"))), "\n")
+    nodes = node_table(pages, "html", "page_id", "url", every_page=True)
+    text = tx.norm(F.col("text"))
+    listed = lambda when, *values: F.array_sort(F.collect_list(F.when(when, F.struct("pos", *values))))
+    found = nodes.groupBy("page_id", "url").agg(
+        extract.title_of(F.col("text"), F.col("kind"), F.col("tag"), F.col("pos")).alias("title"),
+        listed((F.col("kind") == "link") & (text != ""), text.alias("text"), "href").alias("links"),
+        listed((F.col("kind") == "string") & ~F.col("hidden"), "text").alias("body"),
+    )
+    link_list = F.array_join(F.transform("links", lambda x: F.concat(F.lit("- ["), x["text"], F.lit("]("), x["href"], F.lit(")"))), "\n")
     null = F.lit(None).cast("string")
     faqs = F.lit(None).cast("struct<title:string,QAs:array<struct<question:string,answer:string>>>")
     segment = lambda sub, text: F.struct(F.lit(sub).alias("subheading"), text.alias("text"), null.alias("files"), null.alias("contacts"), faqs.alias("faqs"))
-    joined = pages.select("page_id", "url").join(titles, "page_id", "left").join(links, "page_id", "left").join(body, "page_id", "left")
-    block = F.struct(F.coalesce("title", F.lit("")).alias("heading"), F.array(segment("Text", F.array_join(F.col("body.text"), "\n")), segment("Links", listed)).alias("segments"))
-    return joined.select("page_id", F.array(F.struct("url", F.coalesce("title", F.lit("")).alias("title"), F.array(block).alias("blocks"))).alias("pages"))
+    block = F.struct(F.col("title").alias("heading"), F.array(segment("Text", F.array_join(F.col("body.text"), "\n")), segment("Links", link_list)).alias("segments"))
+    return found.select("page_id", F.array(F.struct("url", "title", F.array(block).alias("blocks"))).alias("pages"))
 
 
 def page_markdown(pages: DataFrame) -> DataFrame:

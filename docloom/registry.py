@@ -19,7 +19,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def page_title(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.titles(node_table(read(spark, sf, "pages"), "html", "page_id"), ["page_id"])
+    return extract.titles(node_table(read(spark, sf, "pages"), "html", "page_id", every_page=True), ["page_id"])
 
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,8 +28,10 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def file_link_flag(spark: SparkSession, sf: str) -> DataFrame:
-    links = extract.links(node_table(read(spark, sf, "pages"), "html", "page_id"), ["page_id"])
-    return links.groupBy("page_id").agg(F.count("*").alias("links"), F.sum(tx.is_file_link(F.col("href")).cast("long")).alias("files"))
+    nodes = node_table(read(spark, sf, "pages"), "html", "page_id", every_page=True)
+    link = (F.col("kind") == "link") & (tx.norm(F.col("text")) != "")
+    many = lambda x: F.count(F.when(x, 1))
+    return nodes.groupBy("page_id").agg(many(link).alias("links"), many(link & tx.is_file_link(F.col("href"))).alias("files"))
 
 
 def label_resolution(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,8 +89,9 @@ def section_lengths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chunk_params(spark: SparkSession, sf: str) -> DataFrame:
-    """Lengths of a source's documents stand for section lengths."""
-    docs = read(spark, sf, "documents").groupBy("source").agg(chunk.p95(F.collect_list(F.length("text"))).alias("p95"))
+    """Lengths of a source's documents stand for section lengths. They are counted, so that a source of any size is a short list."""
+    counted = read(spark, sf, "documents").groupBy("source", F.length("text").alias("length")).agg(F.count("*").alias("n"))
+    docs = chunk.p95_of_counts(counted, ["source"], "length", "n", "p95")
     p = chunk.params(F.col("p95"))
     return docs.select("source", F.col("p95").cast("long").alias("p95"), p["max_characters"].cast("long").alias("max_characters"), p["overlap"].cast("long").alias("overlap"))
 
@@ -99,11 +102,10 @@ def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def passage_contained(spark: SparkSession, sf: str) -> DataFrame:
-    """Passages whose beginning some document holds; the passages are the driver's fixed benchmark list."""
-    probe = tx.content_norm(F.col("p.text"))
+    """How many documents hold the beginning of each passage."""
     docs = read(spark, sf, "documents").select("doc_id", tx.content_norm(F.col("text")).alias("blob"))
-    passages = F.broadcast(read(spark, sf, "benchmark").alias("p").select("item_id", probe.alias("probe")))
-    return docs.join(passages, tx.answer_present(F.col("probe"), F.col("blob"))).groupBy("item_id").agg(F.count("*").alias("documents"))
+    passages = read(spark, sf, "benchmark").select("item_id", tx.content_norm(F.col("text")).alias("answer"))
+    return match.present_answers(passages, docs, "item_id", "doc_id").groupBy("item_id").agg(F.count("*").alias("documents"))
 
 
 def phone_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,9 +128,10 @@ def adjacent_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of the whole table; the older one counts with other measures, so that all rules have something to find."""
     docs = read(spark, sf, "documents")
-    of = lambda d: d.groupBy(F.col("source").alias("topic")).agg(F.count("*").alias("pages"), F.sum((F.col("n_chars") > 1000).cast("long")).alias("faqs"), F.sum(F.col("doc_id") % 3).alias("files"), F.sum("n_chars").alias("chars"))
-    return of(docs.where("doc_id % 2 = 0")), of(docs)
+    of = lambda faqs, chars, more: docs.groupBy(F.col("source").alias("topic")).agg((F.count("*") + more).alias("pages"), F.count(F.when(F.col("n_chars") > faqs, 1)).alias("faqs"), F.sum(F.col("doc_id") % 3).alias("files"), F.sum(chars).cast("long").alias("chars"))
+    return of(1000, F.col("n_chars"), 0), of(500, F.col("n_chars") + F.col("doc_id") % 2000, F.count(F.when(F.col("lang") == "de", 1)))
 
 
 def regressions(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +178,8 @@ NORM = "lower(trim(regexp_replace(coalesce({x}, ''), '" + BLANKS + "', ' ', 'g')
 CONTENT = NORM.format(x="regexp_replace(regexp_replace(text, '--+', ' ', 'g'), '\\|', ' ', 'g')")
 ENTITIES = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
 PARAMS = "cast(greatest(800, least(2000, case when round_even({x} / 100.0, 0) = 0 then 800 else round_even({x} / 100.0, 0) * 100 end)) as bigint)"
-SNAPSHOT = "select source topic, count(*) pages, sum(case when n_chars > 1000 then 1 else 0 end)::bigint faqs, sum(doc_id % 3)::bigint files, sum(n_chars)::bigint chars from documents {where} group by source"
+SNAPSHOT = "select source topic, count(*) + {more} pages, sum(case when n_chars > {faqs} then 1 else 0 end)::bigint faqs, sum(doc_id % 3)::bigint files, sum({chars})::bigint chars from documents group by source"
+NEW, OLD = SNAPSHOT.format(faqs=1000, chars="n_chars", more=0), SNAPSHOT.format(faqs=500, chars="n_chars + doc_id % 2000", more="count(*) filter (lang = 'de')")
 PLAN = """with docs as (select doc_id, doc_id || '.md' as name, text from documents),
  cur as (select name, sha256(text) as sha256 from docs where doc_id % 7 <> 0),
  state as (select name, 'f' || doc_id as file_id, case when doc_id % 5 = 0 then sha256('old') else sha256(text) end as old from docs where doc_id % 3 <> 0)
@@ -191,8 +195,8 @@ SQL = {
     "preceding_heading": "select doc_id, pos, coalesce(last_value(case when length(line) between 1 and 39 then line end ignore nulls) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), '') as heading from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents)",
     "adjacent_groups": "select doc_id, ord, min(letter) as letter, count(*) as members from (select *, cast(sum(s) over (partition by doc_id order by pos) as bigint) as ord from (select doc_id, pos, letter, case when lag(letter) over (partition by doc_id order by pos) = letter then 0 else 1 end as s from (select doc_id, left(line, 1) as letter, pos from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)))) group by doc_id, ord",
     "page_links": f"select page_id, row_number() over (partition by page_id order by k) as n, {NORM.format(x=ENTITIES.format(x='m[2]'))} as text, {ENTITIES.format(x='m[1]')} as href from (select page_id, unnest(list_transform(regexp_extract_all(html, '<a [^>]*href=\"[^\"]*\"[^>]*>[^<]*</a>'), lambda x: [regexp_extract(x, 'href=\"([^\"]*)\"', 1), regexp_extract(x, '>([^<]*)<', 1)])) as m, generate_subscripts(regexp_extract_all(html, '<a [^>]*href=\"[^\"]*\"[^>]*>[^<]*</a>'), 1) as k from pages) where trim(m[2]) <> ''",
-    "regressions": f"with old as ({SNAPSHOT.format(where='')}), new as ({SNAPSHOT.format(where='where doc_id % 2 = 0')}) select new.topic, concat_ws('; ', case when new.pages < old.pages then 'pages ' || old.pages || '→' || new.pages end, case when old.faqs > 0 and new.faqs < old.faqs * 0.7 then 'FAQ ' || old.faqs || '→' || new.faqs end, case when old.chars > 0 and new.chars < old.chars * 0.6 then 'content ' || old.chars || '→' || new.chars || ' chars' end) as issues from new left join old using (topic)",
-    "run_summary": f"with m as ({SNAPSHOT.format(where='')}), l as (select topic, '• ' || topic || ': ' || pages || 'p, ' || faqs || ' FAQ, ' || files || ' files' as line from m) select concat_ws(chr(10), (select count(*) || ' ok, 1 failed' from m), (select 'total: ' || sum(pages)::bigint || ' pages · ' || sum(faqs)::bigint || ' FAQ · ' || sum(files)::bigint || ' files' from m), (select case when sum(length(line)) < 700 then string_agg(line, chr(10) order by topic) end from l), 'failed: lost topic') as summary",
+    "regressions": f"with old as ({OLD}), new as ({NEW}) select new.topic, concat_ws('; ', case when new.pages < old.pages then 'pages ' || old.pages || '→' || new.pages end, case when old.faqs > 0 and new.faqs < old.faqs * 0.7 then 'FAQ ' || old.faqs || '→' || new.faqs end, case when old.chars > 0 and new.chars < old.chars * 0.6 then 'content ' || old.chars || '→' || new.chars || ' chars' end) as issues from new left join old using (topic)",
+    "run_summary": f"with m as ({OLD}), l as (select topic, '• ' || topic || ': ' || pages || 'p, ' || faqs || ' FAQ, ' || files || ' files' as line from m) select concat_ws(chr(10), (select count(*) || ' ok, 1 failed' from m), (select 'total: ' || sum(pages)::bigint || ' pages · ' || sum(faqs)::bigint || ' FAQ · ' || sum(files)::bigint || ' files' from m), (select case when sum(length(line)) < 700 then string_agg(line, chr(10) order by topic) end from l), 'failed: lost topic') as summary",
     "upload_plan": PLAN,
     "upload_tally": f"select action, count(*) as n from ({PLAN}) group by action",
     "knowledge_search": "select doc_id as id, source as topic from documents where text ilike '%license%' or source ilike '%license%'",
@@ -206,7 +210,7 @@ SQL = {
 UNITS = SQL["section_lengths"].split("from (", 1)[1].removesuffix(" where trim(u) <> '' group by doc_id").removesuffix(")")
 LONG = f"select doc_id, list_sort(list(length(u)))[cast(least(count(*) - 1, floor(count(*) * 0.95)) as bigint) + 1] as x from ({UNITS}) where trim(u) <> '' group by doc_id"
 SQL |= {
-    "file_link_flag": f"select page_id, count(*) as links, cast(sum(case when regexp_matches(href, '\\.(pdf|docx?|xlsx?|pptx?|zip|csv|txt|rtf|odt|ods)($|[?#])', 'i') then 1 else 0 end) as bigint) as files from ({SQL['page_links']}) group by page_id",
+    "file_link_flag": f"select page_id, count(*) as links, cast(sum(case when regexp_matches(href, '\\.(pdf|docx?|xlsx?|pptx?|zip|csv|txt|rtf|odt|ods)($|[?#])', 'i') then 1 else 0 end) as bigint) as files from ({SQL['page_links']}) group by page_id union all select page_id, 0, 0 from pages where page_id not in (select page_id from ({SQL['page_links']}))",
     "document_chunks": f"select doc_id, {PARAMS.format(x='x')} as max_characters, cast(greatest(50, least(200, round_even({PARAMS.format(x='x')} * 0.1 / 50, 0) * 50)) as bigint) as overlap from (select d.doc_id, coalesce(p.x, length(text)) as x from documents d left join ({LONG}) p using (doc_id))",
     "blank_lines": "select doc_id, count(*) as lines, cast(sum(case when trim(regexp_replace(trim(line), '^\\s*([-*•]|[0-9]+[.)])\\s*', '')) = '' then 1 else 0 end) as bigint) as blank from (select doc_id, unnest(case when text like '%' || chr(10) then string_split(text, chr(10))[:-2] else string_split(text, chr(10)) end) as line from documents where text <> '') group by doc_id",
 }

@@ -202,10 +202,12 @@ def parse_nodes(html: Column) -> Column:
     return udf(nodes, NODES, useArrow=True)(html)
 
 
-def node_table(pages: DataFrame, html: str | Column, *keys: str) -> DataFrame:
-    """One row for each node of each page, with the key columns in front; pages without HTML give none.
+def node_table(pages: DataFrame, html: str | Column, *keys: str, every_page: bool = False) -> DataFrame:
+    """One row for each node of each page, with the key columns in front.
 
-    A page's nodes come from one row, so all of them lie in one partition of the input.
+    Pages without HTML or without any node give no row, or with every_page one row of nulls. A page's nodes come from
+    one row, so all of them lie in one partition of the input.
     """
     column = F.col(html) if isinstance(html, str) else html
-    return pages.select(*keys, F.inline(parse_nodes(column)))
+    found = F.inline_outer(parse_nodes(column)) if every_page else F.inline(parse_nodes(column))
+    return pages.select(*keys, found)

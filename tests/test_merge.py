@@ -139,9 +139,42 @@ def test_text_functions(spark):
     assert list(row.first()) == ["a b", "a b c", ["x", "y"], "", "A\n\tB", "x", [], True, False]
 
 
-def test_plan_moves_pages_once(spark):
+EVERY_SHAPE = """<title>T | site</title><h1>H</h1><h2>Questions</h2><div class="accordion-item"><button class="accordion-button">Why?</button>
+<div class="accordion-collapse">Because <table><tr><th>a</th></tr><tr><td>b</td></tr></table></div></div><details><summary>How?</summary>So.</details>
+<details><summary>why?</summary>Again.</details><h2>Files</h2><a href="a.pdf">A</a><a href="a2.pdf">A</a><h3>More</h3><a href="b.zip">B</a><h2>Files</h2><a href="c.csv">C</a>
+<h2>Kontakt</h2><strong>Service</strong><a href="tel:+49 7151 1">07151 1</a><a href="tel:071511"></a><dl><dt>Montag</dt><dd>8 - 12</dd><dt>Dienstag</dt><dd>8</dd><dt>Mittwoch</dt><dd>9</dd></dl>
+<h2 class="hidden">No</h2><p>hidden text</p><h2>Prose</h2><p>A sentence.</p><p>Another.</p>"""
+
+
+def test_one_pass_equals_single_extractors(spark):
     from docloom.sources.dom import node_table
 
-    pages = spark.createDataFrame([(1, "<h2>a</h2><a href=x.pdf>b</a>")], "page_id long, html string").repartition("page_id")
-    plan = extract.file_groups(node_table(pages, "html", "page_id"), ["page_id"])._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    pages = spark.createDataFrame([(1, EVERY_SHAPE), (2, "<p>x</p>"), (3, EVERY_SHAPE.replace("Files", "Other"))], "page_id long, html string")
+    nodes, keys = node_table(pages, "html", "page_id"), ["page_id"]
+    got = {r["page_id"]: r["extracts"].asDict(recursive=True) for r in extract.all_extracts(nodes, keys).collect()}
+    singles = {"qa_groups": (extract.qa_groups, "ord", ("heading", "qas")), "file_groups": (extract.file_groups, "ord", ("heading", "files")), "phones": (extract.phones, "pos", ("label", "phone", "key")), "sections": (extract.prose_sections, "pos", ("heading", "text"))}
+    for name, (made, order, columns) in singles.items():
+        rows = [r.asDict(recursive=True) for r in made(nodes, keys).orderBy("page_id", order).collect()]
+        for page in (1, 2, 3):
+            want = [{c: r[c] for c in columns} for r in rows if r["page_id"] == page]
+            assert (got[page][name] or []) == want
+    assert all(got[1][name] for name in (*singles, "hours", "questions")) and got[2]["title"] == "" and len(got[1]["file_groups"]) == 3
+    assert sorted(got[1]["questions"]) == sorted({r["q"] for r in extract.distinct_qas(nodes, keys).where("page_id = 1").select(tx.norm(F.col("question")).alias("q")).collect()})
+    assert got[1]["hours"] == extract.opening_hours(nodes, keys).where("page_id = 1").first()["hours"]
+
+
+def test_pages_are_parsed_and_moved_once(spark):
+    from docloom import registry
+
+    for name in ("page_extracts", "page_markdown", "page_metrics", "file_link_flag", "page_title"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and plan.count("Exchange") == 1, name
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "BatchEvalPython" not in registry.queries()["enriched_pages"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_present_answers_by_automaton_and_by_join(spark):
+    answers = spark.createDataFrame([(1, "exactly14chars"), (2, "fifteen chars xx"), (3, "fifteen chars xx"), (4, "not there at all, is it")], "item int, answer string")
+    blobs = spark.createDataFrame([(1, "exactly14chars and fifteen chars xx"), (2, "nothing"), (3, None), (4, "")], "doc int, blob string")
+    for most in (100, 1):
+        assert sorted(tuple(r) for r in match.present_answers(answers, blobs, "item", "doc", most).collect()) == [(2, 1), (3, 1)]
