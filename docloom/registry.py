@@ -215,6 +215,25 @@ SQL |= {
     "blank_lines": "select doc_id, count(*) as lines, cast(sum(case when trim(regexp_replace(trim(line), '^\\s*([-*•]|[0-9]+[.)])\\s*', '')) = '' then 1 else 0 end) as bigint) as blank from (select doc_id, unnest(case when text like '%' || chr(10) then string_split(text, chr(10))[:-2] else string_split(text, chr(10)) end) as line from documents where text <> '') group by doc_id",
 }
 
+# pages as trees: the strings between tags, the title and the links
+ALL_ENTITIES = "replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160))"
+STRINGS = f"select page_id, string_agg(t, chr(10) order by k) as body from (select page_id, trim({ENTITIES.format(x=ALL_ENTITIES.format(x='t'))}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) as t, k from (select page_id, unnest(parts) as t, generate_subscripts(parts, 1) as k from (select page_id, string_split_regex(regexp_replace(regexp_replace(html, '(?si)<(script|style|noscript)[ >].*?</(script|style|noscript)>', '<c>', 'g'), '(?s)<!--.*?-->', '<c>', 'g'), '<[^>]*>') as parts from pages))) where t <> '' group by page_id"
+TREES = f"select p.page_id, p.url, t.title, coalesce(s.body, '') as body, coalesce(l.links, '') as links from pages p join ({SQL['page_title']}) t using (page_id) left join ({STRINGS}) s using (page_id) left join (select page_id, string_agg('- [' || text || '](' || href || ')', chr(10) order by n) as links from ({SQL['page_links']}) group by page_id) l using (page_id)"
+NONE = "files: null, contacts: null, faqs: null"
+PAGE_JSON = "to_json([{{url: url, title: title, blocks: [{{heading: {h}, segments: [{{subheading: 'Text', text: {body}, " + NONE + "}}, {{subheading: 'Links', text: {links}, " + NONE + "}}]}}]}}])"
+OF_PAGE = "count(*) filter (m like '{what}%')"
+SQL |= {
+    "page_markdown": f"select page_id, case when title <> '' then '# ' || title || chr(10) || chr(10) else '' end || '*URL: ' || url || '*' || chr(10) || chr(10) || '## ' || trim(regexp_replace(title, '^#+', '')) || chr(10) || chr(10) || '### Text' || chr(10) || chr(10) || case when body <> '' then body || chr(10) || chr(10) else '' end || '### Links' || chr(10) || chr(10) || case when links <> '' then links || chr(10) || chr(10) else '' end || '---' || chr(10) as md from ({TREES})",
+    "page_metrics": f"select page_id::varchar as topic, 1::bigint as pages, 0::bigint as faqs, 0::bigint as files, length({PAGE_JSON.format(h='title', body='body', links='links')})::bigint as chars from ({TREES})",
+    "page_extracts": f"select p.page_id, t.title, (len(regexp_extract_all(html, '<details[ >]')) + len(regexp_extract_all(html, 'class=\"[^\"]*accordion-item')))::int as questions, (case when html like '%<details%' or html like '%accordion-item%' then 1 else 0 end)::int as qa_groups, len(regexp_extract_all(html, 'href=\"tel:'))::int as phones, coalesce(least(f.files, 1), 0)::int as file_groups, len(regexp_extract_all(html, '<h2[ >]'))::int as sections from pages p join ({SQL['page_title']}) t using (page_id) left join ({SQL['file_link_flag']}) f using (page_id)",
+    # what the page shows is what the tree holds already: its own title replaces the captured one, blank texts become null
+    "enriched_pages": f"select 'page ' || page_id as topic, 1::bigint as pages, 0::bigint as faqs, 0::bigint as files, length({PAGE_JSON.format(h='title', body='nullif(body, {empty})', links='nullif(links, {empty})')})::bigint as chars from ({TREES})".replace("{empty}", "''"),
+    "strip_markup": "select page_id, sha256(coalesce(string_agg(line, chr(10) order by k), '')) as hash from (select page_id, k, line from (select page_id, unnest(string_split(html, chr(10))) as line, generate_subscripts(string_split(html, chr(10)), 1) as k from pages)) where not (regexp_matches(lower(trim(line)), '<\\s*/?\\s*(?:script|style|link|meta|head|body|html|!)') or lower(trim(line)) like '[if %' or contains(lower(line), 'endif]')) group by page_id",
+    "label_resolution": f"with asked as (select page_id, url as base, label_pos, label, lower(label) as l from pages, (values (0, 'about'), (1, 'Home'), (2, 'contact us now'), (3, 'x')) v(label_pos, label)), met as (select a.*, n, href, case when text = l then 1 end as t1, case when contains(text, l) then 2 end as t2, case when contains(l, text) and length(text) >= 8 then 3 end as t3 from asked a join ({SQL['page_links']}) k using (page_id)), tiers as (select *, unnest([t1, t2, t3]) as tier from met), firsts as (select page_id, base, label_pos, label, tier, arg_min(href, n) as href from tiers where tier is not null group by all), best as (select page_id, base, label_pos, label, arg_min(href, tier) as href from firsts where href <> '' group by all) select page_id, label_pos, label, case when regexp_matches(href, '^https?://') then href when href like '/%' then regexp_extract(base, '^https?://[^/]+') || href else regexp_extract(base, '^(https?://[^?#]*/)', 1) || href end as url from best",
+}
+# pages whose every line is markup are left with nothing
+SQL["strip_markup"] = f"select p.page_id, coalesce(s.hash, sha256('')) as hash from pages p left join ({SQL['strip_markup']}) s using (page_id)"
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: globals()[name] for name in NAMES}
