@@ -1,8 +1,10 @@
 import collections
 
 import corpus_pipeline
+import duckdb
+import pytest
 from docloom.llm import lines, pii
-from docloom.llm.queries import queries
+from docloom.llm.queries import oracle_sql, queries
 
 DATA = "/root/testdata/sf0.001"
 
@@ -39,3 +41,14 @@ def test_run_packs_what_is_left(spark):
 
 def test_all_ten_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", oracle_sql())
+def test_query_agrees_with_sql(spark, name):
+    db = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        db.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    got, want = queries()[name](spark, DATA).toPandas(), db.execute(oracle_sql()[name]).df()
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    assert sorted(map(str, got[columns].itertuples(index=False, name=None))) == sorted(map(str, want[columns].itertuples(index=False, name=None)))
