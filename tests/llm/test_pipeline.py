@@ -2,6 +2,7 @@ import collections
 
 import corpus_pipeline
 import duckdb
+import pandas
 import pytest
 from docloom.llm import lines, pii
 from docloom.llm.queries import oracle_sql, queries
@@ -51,4 +52,5 @@ def test_query_agrees_with_sql(spark, name):
     got, want = queries()[name](spark, DATA).toPandas(), db.execute(oracle_sql()[name]).df()
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
-    assert sorted(map(str, got[columns].itertuples(index=False, name=None))) == sorted(map(str, want[columns].itertuples(index=False, name=None)))
+    rows = lambda f: sorted(str([None if pandas.isna(x) else float(x) if isinstance(x, int | float) else x for x in row]) for row in f[columns].astype(object).itertuples(index=False, name=None))
+    assert rows(got) == rows(want)
