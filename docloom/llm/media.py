@@ -24,6 +24,7 @@ DOC_TYPE, TIMESTAMP_SCALE, DURATION, MUXING_APP, WRITING_APP = 0x4282, 0x2AD7B1,
 TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID, AUDIO = 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0xE1
 SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xB5, 0x9F, 0x6264
 CLUSTER_TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION = 0xE7, 0xA3, 0xA0, 0xA1, 0x9B
+REFERENCE_BLOCK, DEFAULT_DURATION = 0xFB, 0x23E383
 CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
 
@@ -45,6 +46,7 @@ class Packet:
     lacing: int
     lace: int
     cluster: int
+    duration_ns: int | None
 
 
 @dataclass
@@ -54,8 +56,17 @@ class Media:
     duration: float | None = None
     tracks: dict[int, dict] = field(default_factory=dict)
     packets: list[Packet] = field(default_factory=list)
+    #: time, track and the cluster's place within the segment's data, as stored
     cues: list[tuple[int, int, int]] = field(default_factory=list)
+    #: first byte of each cluster's data, and of each cluster as an element
     clusters: list[int] = field(default_factory=list)
+    cluster_starts: list[int] = field(default_factory=list)
+    segment: int = 0
+
+    def cue_places(self) -> list[tuple[int, int, int, int | None]]:
+        """(time in nanoseconds, track, first byte of the cluster's element, number of the cluster or None) of each cue."""
+        numbers = {start: n for n, start in enumerate(self.cluster_starts)}
+        return [(time * self.scale, track, self.segment + at, numbers.get(self.segment + at)) for time, track, at in self.cues]
 
 
 # ---------------------------------------------------------------- reading
@@ -129,7 +140,22 @@ def lace_sizes(data: bytes, at: int, end: int, lacing: int) -> tuple[list[int],
     return [*sizes, last], at
 
 
-def read_block(data: bytes, at: int, end: int, base: int, media: Media, cluster: int, simple: bool) -> None:
+def frame_time(track: dict, size: int) -> int | None:
+    """Nanoseconds of a frame: the track's default duration, or for uncompressed audio what its samples take; None if unknown."""
+    if track.get("default_duration"):
+        return track["default_duration"]
+    rate, width = track.get("rate"), track.get("channels", 1) * track.get("bits", 0)
+    if rate and width and track.get("codec", "").startswith("A_PCM"):
+        return size * 8 * 1_000_000_000 // int(rate * width)
+    return None
+
+
+def read_block(data: bytes, at: int, end: int, base: int, media: Media, cluster: int, keyframe: bool | None = None, duration: int | None = None) -> None:
+    """Packets of a block. A simple block tells by a flag whether it is a keyframe (None); a group's is one if it has no reference.
+
+    A group's duration is shared by its laced frames. The first frame has the block's time; the others follow by the
+    duration of those before them, and have the block's time where it is not known.
+    """
     track, at, _ = read_vint(data, at, False)
     if at + 3 > end:
         raise MediaError("block cut")
@@ -137,12 +163,11 @@ def read_block(data: bytes, at: int, end: int, base: int, media: Media, cluster:
     lacing = flags >> 1 & 3
     sizes, at = lace_sizes(data, at + 3, end, lacing)
     start = (base + relative) * media.scale
-    rate = media.tracks.get(track, {}).get("rate")
     for k, size in enumerate(sizes):
-        media.packets.append(Packet(track, start, at, size, bool(flags & 0x80) if simple else True, lacing, k, cluster))
+        took = duration * media.scale // len(sizes) if duration is not None else frame_time(media.tracks.get(track, {}), size)
+        media.packets.append(Packet(track, start, at, size, bool(flags & 0x80) if keyframe is None else keyframe, lacing, k, cluster, took))
         at += size
-        if rate:  # 8-bit samples of one channel: a lace's time follows from the bytes before it
-            start += size * 1_000_000_000 // int(rate)
+        start += took or 0
 
 
 def parse(data: bytes) -> Media:
@@ -163,7 +188,9 @@ def parse(data: bytes) -> Media:
 
 def read_segment(data: bytes, at: int, end: int, media: Media) -> None:
     top = frozenset({CLUSTER, CUES, INFO, TRACKS})
+    media.segment, start = at, at
     for kind, a, e in elements(data, at, end, top):
+        first, start = start, e
         if kind == INFO:
             for k, x, y in elements(data, a, e):
                 if k == TIMESTAMP_SCALE:
@@ -177,15 +204,19 @@ def read_segment(data: bytes, at: int, end: int, media: Media) -> None:
         elif kind == CLUSTER:
             base, cluster = 0, len(media.clusters)
             media.clusters.append(a)
+            media.cluster_starts.append(first)
             for k, x, y in elements(data, a, e):
                 if k == CLUSTER_TIMESTAMP:
                     base = number(data, x, y)
                 elif k == SIMPLE_BLOCK:
-                    read_block(data, x, y, base, media, cluster, True)
+                    read_block(data, x, y, base, media, cluster)
                 elif k == BLOCK_GROUP:
-                    for g, p, q in elements(data, x, y):
+                    parts = list(elements(data, x, y))
+                    refers = any(g == REFERENCE_BLOCK for g, _, _ in parts)
+                    lasts = next((number(data, p, q) for g, p, q in parts if g == BLOCK_DURATION), None)
+                    for g, p, q in parts:
                         if g == BLOCK:
-                            read_block(data, p, q, base, media, cluster, False)
+                            read_block(data, p, q, base, media, cluster, not refers, lasts)
         elif kind == CUES:
             for k, x, y in elements(data, a, e):
                 if k == CUE_POINT:
@@ -195,8 +226,8 @@ def read_segment(data: bytes, at: int, end: int, media: Media) -> None:
 def read_track(data: bytes, at: int, end: int, media: Media) -> None:
     track: dict = {}
     for k, x, y in elements(data, at, end):
-        if k in (TRACK_NUMBER, TRACK_TYPE, TRACK_UID):
-            track[{TRACK_NUMBER: "number", TRACK_TYPE: "type", TRACK_UID: "uid"}[k]] = number(data, x, y)
+        if k in (TRACK_NUMBER, TRACK_TYPE, TRACK_UID, DEFAULT_DURATION):
+            track[{TRACK_NUMBER: "number", TRACK_TYPE: "type", TRACK_UID: "uid", DEFAULT_DURATION: "default_duration"}[k]] = number(data, x, y)
         elif k == CODEC_ID:
             track["codec"] = data[x:y].rstrip(b"\0").decode("ascii")
         elif k == AUDIO:
@@ -285,27 +316,43 @@ def samples(data: bytes, media: Media, track: int = 1) -> bytes:
     return b"".join(data[p.offset : p.offset + p.size] for p in media.packets if p.track == track)
 
 
+def cued_packets(media: Media) -> set[int]:
+    """Numbers of the packets that cues point at."""
+    of: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for n, p in enumerate(media.packets):
+        of.setdefault((p.cluster, p.track), []).append((p.timestamp_ns, n))
+    out = set()
+    for time, track, _, cluster in media.cue_places():
+        later = [x for x in of.get((cluster, track), []) if x[0] >= time] if cluster is not None else []
+        if later:
+            out.add(min(later)[1])
+    return out
+
+
 # ---------------------------------------------------------------- columns
 
-PACKETS = "id long, track int, packet int, timestamp_ns long, byte_offset long, byte_size long, keyframe boolean, lacing int, lace int, cluster int, error string"
+PACKETS = "id long, track int, packet int, timestamp_ns long, byte_offset long, byte_size long, keyframe boolean, lacing int, lace int, cluster int, duration_ns long, cue boolean, error string"
 
 
 def packets(values: DataFrame, id_col: str, media_col: str) -> DataFrame:
     """A packet table of a binary column: one row for each packet.
 
-    A null value gives no rows; unreadable bytes give one row with error set and the rest null.
+    cue tells whether a cue points at the packet: the first of the cue's track at or after its time in the cluster that it
+    names by byte place. A null value gives no rows; unreadable bytes give one row with error set and the rest null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("track", pa.int32()), ("packet", pa.int32()), ("timestamp_ns", pa.int64()), ("byte_offset", pa.int64()), ("byte_size", pa.int64()), ("keyframe", pa.bool_()), ("lacing", pa.int32()), ("lace", pa.int32()), ("cluster", pa.int32()), ("error", pa.string())])
+        schema = pa.schema([("id", pa.int64()), ("track", pa.int32()), ("packet", pa.int32()), ("timestamp_ns", pa.int64()), ("byte_offset", pa.int64()), ("byte_size", pa.int64()), ("keyframe", pa.bool_()), ("lacing", pa.int32()), ("lace", pa.int32()), ("cluster", pa.int32()), ("duration_ns", pa.int64()), ("cue", pa.bool_()), ("error", pa.string())])
         for batch in batches:
             for key, value in zip(batch.column(0), batch.column(1), strict=True):
                 if not value.is_valid:
                     continue
                 try:
-                    rows = [(key.as_py(), p.track, n, p.timestamp_ns, p.offset, p.size, p.keyframe, p.lacing, p.lace, p.cluster, None) for n, p in enumerate(parse(value.as_py()).packets)]
+                    found = parse(value.as_py())
+                    cued = cued_packets(found)
+                    rows = [(key.as_py(), p.track, n, p.timestamp_ns, p.offset, p.size, p.keyframe, p.lacing, p.lace, p.cluster, p.duration_ns, n in cued, None) for n, p in enumerate(found.packets)]
                 except MediaError as error:
-                    rows = [(key.as_py(), *[None] * 9, str(error))]
+                    rows = [(key.as_py(), *[None] * 11, str(error))]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 

@@ -15,7 +15,7 @@ def test_lacings_round_trip():
         sizes = [7] * rng.randint(1, 9) if kind == media.FIXED else [rng.choice([0, 1, 5, 255, 300, 600]) for _ in range(rng.randint(1, 9) if kind else 1)]
         frames = [rng.randbytes(n) for n in sizes]
         body, found = media.laced_block(frames, 5, kind), media.Media()
-        media.read_block(body, 0, len(body), 0, found, 0, True)
+        media.read_block(body, 0, len(body), 0, found, 0)
         assert [body[p.offset : p.offset + p.size] for p in found.packets] == frames
 
 
@@ -42,11 +42,32 @@ def test_unknown_sizes_and_block_groups():
     assert [(data[p.offset : p.offset + p.size], p.timestamp_ns, p.cluster) for p in found.packets] == [(b"abc", 12_000_000, 0), (b"abc", 12_000_000, 1)]
 
 
+def test_keyframes_durations_and_cues():
+    """Two tracks: 16-bit stereo samples, whose laces follow by their bytes, and frames of a default duration."""
+    audio = media.element(media.AUDIO, media.element(media.SAMPLING_FREQUENCY, b"\x45\xfa\x00\x00") + media.uint(media.CHANNELS, 2) + media.uint(media.BIT_DEPTH, 16))  # 8000.0
+    entry = lambda n, codec, *more: media.element(media.TRACK_ENTRY, media.uint(media.TRACK_NUMBER, n) + media.element(media.CODEC_ID, codec) + b"".join(more))
+    tracks = media.element(media.TRACKS, entry(1, b"A_PCM/INT/LIT", audio) + entry(2, b"V_X", media.uint(media.DEFAULT_DURATION, 40_000_000)))
+    group = lambda body, *more: media.element(media.BLOCK_GROUP, media.element(media.BLOCK, body) + b"".join(more))
+    refers = media.element(media.REFERENCE_BLOCK, b"\xff")
+    two = lambda track, relative: media.laced_block([b"a" * 320, b"b" * 320], relative, media.FIXED, track)
+    body = media.uint(media.CLUSTER_TIMESTAMP, 100) + media.element(media.SIMPLE_BLOCK, two(1, 0)) + group(two(2, 5), refers) + group(two(2, 90)) + group(two(2, 200), media.uint(media.BLOCK_DURATION, 30))
+    cluster = media.element(media.CLUSTER, body)
+    cue = lambda time, at: media.element(media.CUE_POINT, media.uint(media.CUE_TIME, time) + media.element(media.CUE_TRACK_POSITIONS, media.uint(media.CUE_TRACK, 2) + media.uint(media.CUE_CLUSTER_POSITION, at)))
+    data = media.element(media.SEGMENT, tracks + cluster + media.element(media.CUES, cue(190, len(tracks)) + cue(1, 3)))
+    found = media.parse(data)
+    got = [(p.track, p.timestamp_ns // 1_000_000, p.duration_ns // 1_000_000, p.keyframe) for p in found.packets]
+    assert got == [(1, 100, 10, True), (1, 110, 10, True), (2, 105, 40, False), (2, 145, 40, False), (2, 190, 40, True), (2, 230, 40, True), (2, 300, 15, True), (2, 315, 15, True)]
+    place = found.cue_places()[0]
+    assert data[place[2] : place[2] + 4] == media.CLUSTER.to_bytes(4, "big") and place[3] == 0 and found.cue_places()[1][3] is None
+    assert media.cued_packets(found) == {4}
+
+
 def test_packet_tables(spark):
     good = media.encode(b"a" * 1024)
     df = spark.createDataFrame([(1, bytearray(good)), (2, None), (3, bytearray(b"\x00junk")), (4, bytearray(good[:-5])), (5, bytearray(b""))], "id long, media binary")
     rows = media.packets(df, "id", "media").collect()
     assert [(r["byte_size"], r["track"]) for r in rows if r["id"] == 1] == [(512, 1)] * 2
+    assert [(r["duration_ns"], r["cue"]) for r in rows if r["id"] == 1] == [(64_000_000, True), (64_000_000, False)]
     assert {r["id"] for r in rows if r["error"]} == {3, 4} and not [r for r in rows if r["id"] in (2, 5)]
 
 
