@@ -13,6 +13,7 @@ FILE_LINK = r"(?i)\.(pdf|docx?|xlsx?|pptx?|zip|csv|txt|rtf|odt|ods)(?:$|[?#])"
 WEEKDAYS = ("montag", "dienstag", "mittwoch", "donnerstag", "freitag", "samstag", "sonntag")
 MARKUP_LINE = r"<\s*/?\s*(?:script|style|link|meta|head|body|html|!)"
 CONTACT, REACH, HOURS_TITLE = "kontakt|erreichen|kunden-?center|servicecenter", "kontakt|erreichen", "Öffnungszeiten"
+QUESTIONS = "faq|fragen"
 MIN_CONTAINED, MIN_ANSWER, ANSWER_PROBE, MIN_PROSE = 8, 15, 40, 40
 
 
@@ -81,6 +82,18 @@ def headings_match(a: Column, b: Column) -> Column:
     return (a != "") & (b != "") & ((a == b) | inside(a, b) | inside(b, a))
 
 
+def faq_block(page: Column, questions: Column) -> Column:
+    """Place of the first block of a page that is about questions, null if none is.
+
+    A block is if its heading or a subheading says so or a segment holds questions; a subheading that repeats a question
+    found on the page says nothing.
+    """
+    says = lambda x: F.rlike(norm(x), F.lit(QUESTIONS))
+    told = lambda s: s["faqs"].isNotNull() | (says(s["subheading"]) & ~F.coalesce(F.array_contains(questions, norm(s["subheading"])), F.lit(False)))
+    about = F.transform(page["blocks"], lambda b: says(b["heading"]) | F.coalesce(F.exists(b["segments"], told), F.lit(False)))
+    return F.nullif(F.array_position(about, True), F.lit(0)) - 1
+
+
 def answer_present(answer: Column, blob: Column) -> Column:
     """The beginning of a content-normalised answer of some length occurs in the blob."""
     return (F.length(answer) >= MIN_ANSWER) & F.contains(blob, F.left(answer, F.lit(ANSWER_PROBE)))

@@ -80,6 +80,12 @@ def file_groups(nodes: DataFrame, keys: list[str]) -> DataFrame:
     return adjacent_runs(first_by(files, [*map(F.col, keys), F.col("name")], "pos"), keys, "heading", "name", "files")
 
 
+def file_names(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ord, name): the names of a page's files in one list, the first of each."""
+    flat = file_groups(nodes, keys).select(*keys, F.posexplode("files").alias("_k", "name"), F.col("ord").alias("_run"))
+    return flat.select(*keys, F.row_number().over(Window.partitionBy(*keys).orderBy("_run", "_k")).alias("ord"), "name")
+
+
 def adjacent_runs(rows: DataFrame, keys: list[str], by: str, value: str, into: str) -> DataFrame:
     """(keys, ord, by, into): values of adjacent rows (by pos) with equal `by`; a value that comes back opens a new run."""
     order = Window.partitionBy(*keys).orderBy("pos")

@@ -5,16 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docloom.schema import KNOWLEDGE
+
+#: Characters by which topics are dealt out.
+PREFIX = 3
+
 
 def markdown_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(filename, content) of the .md files of a folder."""
-    return spark.read.option("pathGlobFilter", "*.md").text(folder, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1).alias("filename"), F.col("value").alias("content"))
+    """(filename, content) of the .md files of a folder; empty files, which Spark's readers pass over, are left out."""
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(folder)
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.decode("content", "UTF-8").alias("content"))
 
 
 def knowledge(files: DataFrame) -> DataFrame:
-    """(id, topic, content): the topic is the file name without .md; ids count from 1 by topic and promise nothing across loads."""
-    rows = files.select(F.replace("filename", F.lit(".md"), F.lit("")).alias("topic"), "content")
-    return rows.select(F.row_number().over(Window.orderBy("topic", "content")).cast("long").alias("id"), "topic", "content")
+    """(id, topic, content): the topic is the file name without .md; ids count from 1 by topic and promise nothing across loads.
+
+    Ids are given within topics of one beginning, on top of how many come before them, so no task holds all rows.
+    """
+    rows = files.select(F.replace("filename", F.lit(".md"), F.lit("")).alias("topic"), "content").withColumn("_start", F.left("topic", F.lit(PREFIX)))
+    counts = rows.groupBy("_start").agg(F.count("*").alias("_n"))
+    before = counts.select("_start", (F.sum("_n").over(Window.orderBy("_start")) - F.col("_n")).alias("_before"))  # a row for each beginning
+    own = F.row_number().over(Window.partitionBy("_start").orderBy("topic", "content"))
+    return rows.withColumn("_own", own).join(before, "_start").select((F.col("_before") + F.col("_own")).cast("long").alias("id"), "topic", "content")
+
+
+def load(table: DataFrame, path: str) -> None:
+    """Put the table in place of what the path held: old rows go, whatever topics they were of."""
+    table.select(F.col("id").cast("long"), "topic", "content").write.mode("overwrite").parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(KNOWLEDGE).parquet(path)
 
 
 def search(table: DataFrame, keyword: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
+from docloom.schema import METRICS
+from docloom.sources.trees import read_trees
 
 FAQ_FLOOR, CHARS_FLOOR, DETAIL_LIMIT = 0.7, 0.6, 700
 
@@ -21,6 +23,18 @@ def metrics(trees: DataFrame, topic: str = "topic", pages: str = "pages") -> Dat
     return trees.select(F.col(topic).alias("topic"), size.cast("long").alias("pages"), many(faqs).alias("faqs"), many(files).alias("files"), many(F.length(F.to_json(p, {"ignoreNullFields": "false"}))).alias("chars"))
 
 
+def no_metrics(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], METRICS)
+
+
+def previous_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics of the topic files that a folder holds; none for a folder that is not there and for unreadable files."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return no_metrics(spark)
+    return metrics(read_trees(spark, folder).where("pages is not null"))
+
+
 def regressions(new: DataFrame, old: DataFrame) -> DataFrame:
     """(topic, issues): any decrease of pages, FAQs strictly below 70 %, characters strictly below 60 % of the old values.
 

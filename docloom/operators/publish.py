@@ -5,17 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.operators.chunk import chunk_params
+from docloom.operators.knowledge import markdown_files
 
 
 class UploadHold(RuntimeError):
     """An upload failed twice: state is saved, a later run goes on from there."""
 
 
+def markdown_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, md) of the Markdown files of a folder; the name is the file's."""
+    return markdown_files(spark, folder).select(F.col("filename").alias("name"), F.col("content").alias("md"))
+
+
 def upload_plan(topics: DataFrame, documents: DataFrame, state: DataFrame) -> DataFrame:
     """(name, action, sha256, file_id) for each listed topic: upload, replace, skip or missing.
 

@@ -5,9 +5,11 @@ A page that cannot be fetched gives a row with null html and the error, so one f
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from urllib.parse import quote
 from urllib.request import Request, urlopen
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -56,6 +58,27 @@ class PageSource(DataSource):
         return PageReader(self.options)
 
 
-def read_pages(spark: SparkSession, urls: list[str], per_partition: int = 16) -> DataFrame:
+def read_pages(spark: SparkSession, urls: list[str] | DataFrame, per_partition: int = 16) -> DataFrame:
+    """(url, html, error) of pages. A list travels as an option of the source; a table (url) of any size is fetched where it lies."""
+    if isinstance(urls, DataFrame):
+        return fetch_table(urls)
     spark.dataSource.register(PageSource)
     return spark.read.format("docloom_pages").option("urls", "\n".join(urls)).option("urls_per_partition", per_partition).load()
+
+
+def fetch_table(urls: DataFrame, timeout: float = TIMEOUT) -> DataFrame:
+    """(url, html, error) for each url of a table; failures are rows."""
+
+    def fetched(url: str) -> tuple[str, str | None, str | None]:
+        try:
+            return url, fetch_html(url, timeout), None
+        except Exception as error:  # noqa: BLE001  reported as a row
+            return url, None, str(error)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for url in batch.column(0).to_pylist():
+                if url:
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in fetched(url)], names=["url", "html", "error"])
+
+    return urls.select("url").mapInArrow(run, "url string, html string, error string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,14 +10,16 @@ from docloom.operators.monitor import metrics, regressions
 from docloom.schema import METRICS
 
 
-def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest metrics of each topic in a snapshot table; empty if there is none yet."""
+def latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The newest metrics of each topic in a snapshot table, of batches before one; empty if there is none yet."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], METRICS)
     rows = spark.read.schema(f"{METRICS}, batch long").parquet(path)
-    by = Window.partitionBy("topic").orderBy(F.desc("batch"))
-    return rows.withColumn("n", F.row_number().over(by)).where("n = 1").drop("n", "batch")
+    rows = rows if before is None else rows.where(F.col("batch") < before)
+    names = [c for c in rows.columns if c not in ("topic", "batch")]
+    newest = rows.groupBy("topic").agg(F.max_by(F.struct(*names), "batch").alias("m"))  # partial maxima: a topic's history never moves
+    return newest.select("topic", *[F.col(f"m.{c}").alias(c) for c in names])
 
 
 def watch(trees: DataFrame, snapshots: str, alerts: str, checkpoint: str) -> StreamingQuery:
@@ -29,7 +31,7 @@ def watch(trees: DataFrame, snapshots: str, alerts: str, checkpoint: str) -> Str
     def commit(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = metrics(batch).persist()
-        old = latest(spark, snapshots)
+        old = latest(spark, snapshots, number)  # a batch that is repeated does not meet itself
         found = regressions(new, old).where(F.size("issues") > 0)
         for rows, path in ((found, alerts), (new, snapshots)):
             rows.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
