@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import lower_ascii
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD, BETWEEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The phrases of the base scan, as words, with their labels.
 PHRASES = {"mit": ["mit", "license"], "apache": ["apache", "license"], "gpl": ["general", "public", "license"]}
 # Short notices in which licences are named, and opening sentences of licence texts.
@@ -45,7 +45,8 @@ THRESHOLD = 0.85
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """The words, by what stands between them: to extract each match would copy the text each time."""
+    return F.array_remove(F.split(text, BETWEEN, -1), "")
 
 
 def literal(words: list[str]) -> Column:
@@ -110,7 +111,9 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         return F.filter(F.array(*tries), lambda x: x.isNotNull())
 
     no_matches = F.array().cast("array<struct<label:string,share:double>>")
-    blocks = F.filter(F.transform(F.split("low", "\n", -1), lambda x: F.array_intersect(vocabulary, words_of(x))), lambda b: (F.size(b) >= least) & F.arrays_overlap(b, prefixes))
+    # most lines go before their words are put in the global order
+    hopeful = F.filter(F.transform(F.split("low", "\n", -1), words_of), lambda b: (F.size(b) >= least) & F.arrays_overlap(b, prefixes))
+    blocks = F.filter(F.transform(hopeful, lambda b: F.array_intersect(vocabulary, b)), lambda b: F.size(b) >= least)
     matches = F.when(F.arrays_overlap("held", prefixes) & (F.size("held") >= least), F.flatten(F.transform(blocks, matched))).otherwise(no_matches)
 
     def windowed(ordered: list[str], need: int, prefix: list[str], width: int) -> Column:
