@@ -168,9 +168,80 @@ def topic_selection(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("ord").cast("long").alias("ord"), "name", F.col("n_nationkey").cast("long").alias("n_nationkey"))
 
 
+def line_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, pos, line): the lines of all documents; they stand for headings, panels and sections below."""
+    return read(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+
+
+def half_blobs(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, blob, digits): what the first half of a document holds, as a tree would."""
+    half = read(spark, sf, "documents").select("doc_id", F.left("text", F.expr("length(text) div 2")).alias("half"))
+    return half.select("doc_id", tx.content_norm(F.col("half")).alias("blob"), F.regexp_replace("half", "[^0-9]", "").alias("digits"))
+
+
+def heading_blocks(rows: DataFrame) -> DataFrame:
+    """Each third line heads a block, the others are its subheadings; some are about contact or opening hours."""
+    say = F.when((F.col("doc_id") + F.col("pos")) % 11 == 0, "Öffnungszeiten ").when((F.col("doc_id") + F.col("pos")) % 5 == 0, "Kontakt ").otherwise("")
+    return rows.select("doc_id", F.expr("pos div 3").alias("block"), (F.col("pos") % 3 - 1).alias("segment"), tx.norm(F.concat(say, "line")).alias("norm_heading"))
+
+
+def heading_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Where a page made of a document's lines takes what is found under the beginning of each line; -1 for nowhere."""
+    at = lambda i: F.get(F.split("text", "\n", -1), i)
+    sub = lambda i: F.struct(at(i).alias("subheading"))
+    last = F.size(F.split("text", "\n", -1)) - 1
+    block = lambda b: F.struct(at(b).alias("heading"), F.filter(F.array(sub(b + 1), sub(b + 2)), lambda s: s["subheading"].isNotNull()).alias("segments"))
+    trees = read(spark, sf, "documents").where("text is not null").select("doc_id", F.struct(F.transform(F.sequence(F.lit(0), last, F.lit(3)), block).alias("blocks")).alias("page"))
+    asked = line_rows(spark, sf).select("doc_id", F.col("pos").alias("ord"), F.left("line", F.lit(20)).alias("heading"))
+    found = match.locate(asked, match.anchors(trees, ["doc_id"]), ["doc_id"])
+    return found.select("doc_id", F.col("ord").cast("long").alias("ord"), *[F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("block", "insert_at")])
+
+
+def missing_answers(spark: SparkSession, sf: str) -> DataFrame:
+    asked = line_rows(spark, sf).withColumnRenamed("line", "answer")
+    return match.missing_answers(asked, half_blobs(spark, sf).select("doc_id", "blob"), ["doc_id"]).select("doc_id", F.col("pos").cast("long").alias("pos"))
+
+
+def missing_phones(spark: SparkSession, sf: str) -> DataFrame:
+    found = F.posexplode(F.regexp_extract_all("text", F.lit(r"\+?[0-9][0-9() .-]+[0-9]"), F.lit(0))).alias("pos", "phone")
+    asked = read(spark, sf, "documents").select("doc_id", found).withColumn("key", tx.phone_key(F.col("phone")))
+    return match.missing_phones(asked, half_blobs(spark, sf).select("doc_id", "digits"), ["doc_id"]).select("doc_id", F.col("pos").cast("long").alias("pos"), "key")
+
+
+def missing_sections(spark: SparkSession, sf: str) -> DataFrame:
+    asked = line_rows(spark, sf).select("doc_id", "pos", F.when(F.col("pos") % 4 == 1, "Downloads").otherwise("").alias("heading"), F.col("line").alias("text"))
+    return match.missing_sections(asked, half_blobs(spark, sf).select("doc_id", "blob"), ["doc_id"]).select("doc_id", F.col("pos").cast("long").alias("pos"))
+
+
+def section_places(spark: SparkSession, sf: str) -> DataFrame:
+    """-1 stands for the end of the page."""
+    rows = line_rows(spark, sf)
+    blocks = heading_blocks(rows).where("segment = -1").select("doc_id", "block", "norm_heading")
+    found = match.section_places(rows.select("doc_id", "pos", F.left("line", F.lit(20)).alias("heading")), blocks, ["doc_id"])
+    return found.select("doc_id", F.col("pos").cast("long").alias("pos"), F.coalesce("insert_after", F.lit(-1)).cast("long").alias("insert_after"))
+
+
+def contact_block(spark: SparkSession, sf: str) -> DataFrame:
+    blocks = heading_blocks(line_rows(spark, sf)).where("segment = -1")
+    return match.contact_block(blocks, ["doc_id"]).select("doc_id", F.col("block").cast("long").alias("block"))
+
+
+def hours_block(spark: SparkSession, sf: str) -> DataFrame:
+    return match.hours_block(heading_blocks(line_rows(spark, sf)), ["doc_id"]).select("doc_id", F.col("block").cast("long").alias("block"))
+
+
+def hours_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """The names of some weekdays, as many as doc_id tells, are put behind each text."""
+    days = F.slice(F.array(*[F.lit(f"{d.title()}\u00a0") for d in tx.WEEKDAYS]), 1, (F.col("doc_id") % 7).cast("int"))
+    docs = read(spark, sf, "documents").select("doc_id", F.concat_ws(" ", "text", F.array_join(days, " ")).alias("text"), days.alias("days"))
+    named = F.size(F.filter("days", tx.is_weekday)).cast("long")
+    return docs.select("doc_id", match.hours_missing(tx.norm(F.col("text"))).alias("missing"), named.alias("named"))
+
+
 NAMES = (
     "page_title page_links file_link_flag label_resolution page_markdown page_metrics page_extracts enriched_pages norm_key_dedup content_norm_hash prose_flag blank_lines strip_markup "
-    "section_lengths chunk_params document_chunks passage_contained phone_key preceding_heading adjacent_groups regressions run_summary upload_plan upload_tally knowledge_search chat_history topic_selection"
+    "section_lengths chunk_params document_chunks passage_contained phone_key preceding_heading adjacent_groups regressions run_summary upload_plan upload_tally knowledge_search chat_history topic_selection "
+    "heading_places missing_answers missing_phones missing_sections section_places contact_block hours_block hours_missing"
 ).split()
 
 BLANKS = r"[\s\x{{00A0}}]+"  # doubled braces: it only occurs in texts that are formatted
@@ -234,6 +305,23 @@ SQL |= {
 # pages whose every line is markup are left with nothing
 SQL["strip_markup"] = f"select p.page_id, coalesce(s.hash, sha256('')) as hash from pages p left join ({SQL['strip_markup']}) s using (page_id)"
 
+# lines as headings, panels and sections; the first half of a document as what its tree holds
+LINES = "select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents"
+HALF = f"select doc_id, {CONTENT} as blob, regexp_replace(text, '[^0-9]', '', 'g') as digits from (select doc_id, left(text, length(text) // 2) as text from documents)"
+MARKED = f"select doc_id, pos // 3 as block, pos % 3 - 1 as segment, {NORM.format(x='h')} as h from (select *, case when (doc_id + pos) % 11 = 0 then 'Öffnungszeiten ' when (doc_id + pos) % 5 = 0 then 'Kontakt ' else '' end || line as h from ({LINES}))"
+PROSE = SQL["prose_flag"].split(" as prose")[0].removeprefix("select doc_id, ")
+WEEKDAYS = "['Montag', 'Dienstag', 'Mittwoch', 'Donnerstag', 'Freitag', 'Samstag', 'Sonntag']"
+SQL |= {
+    "heading_places": f"with l as (select doc_id, pos, {NORM.format(x='line')} as h, {NORM.format(x='left(line, 20)')} as asked, count(*) over (partition by doc_id, pos // 3) - 1 as segments from ({LINES})), met as (select a.doc_id, a.pos as ord, p.pos // 3 as block, case when p.pos % 3 = 0 then p.segments else p.pos % 3 end as insert_at, row_number() over (partition by a.doc_id, a.pos order by case when a.asked = p.h then 0 else 2 end + case when p.pos % 3 = 0 then 1 else 0 end, p.pos) as k from l a join l p using (doc_id) where a.asked <> '' and p.h <> '' and (a.asked = p.h or (contains(p.h, a.asked) and length(a.asked) >= 8) or (contains(a.asked, p.h) and length(p.h) >= 8))) select l.doc_id, l.pos as ord, coalesce(block, -1) as block, coalesce(insert_at, -1) as insert_at from l left join met on met.doc_id = l.doc_id and met.ord = l.pos and k = 1",
+    "missing_answers": f"select doc_id, pos from (select doc_id, pos, {CONTENT} as a from (select doc_id, pos, line as text from ({LINES}))) join ({HALF}) using (doc_id) where not (length(a) >= 15 and contains(blob, left(a, 40)))",
+    "missing_phones": f"select doc_id, pos, key from (select doc_id, pos, case when d like '49%' then substr(d, 3) when d like '0%' then substr(d, 2) else d end as key from (select doc_id, generate_subscripts(m, 1) - 1 as pos, regexp_replace(unnest(m), '[^0-9]', '', 'g') as d from (select doc_id, regexp_extract_all(text, '\\+?[0-9][0-9() .-]+[0-9]') as m from documents))) join ({HALF}) using (doc_id) where not contains(digits, key)",
+    "missing_sections": f"select doc_id, pos from (select doc_id, pos, left({CONTENT}, 60) as probe, {PROSE} as prose from (select doc_id, pos, text, trim(regexp_replace(regexp_replace(text, '[^\\s]*/[^\\s]*', ' ', 'g'), '{BLANKS.format()}', ' ', 'g')) as c from (select doc_id, pos, line as text from ({LINES})))) join ({HALF}) using (doc_id) where prose and pos % 4 <> 1 and not (probe <> '' and contains(blob, probe))",
+    "section_places": f"with n as (select doc_id, pos, {NORM.format(x='left(line, 20)')} as n from ({LINES})), hit as (select n.doc_id, pos, min(block) as b from n join ({MARKED}) m on m.doc_id = n.doc_id and segment = -1 and n <> '' and contains(h, n) group by n.doc_id, pos) select n.doc_id, n.pos, coalesce(last_value(b ignore nulls) over (partition by n.doc_id order by n.pos rows between unbounded preceding and 1 preceding), -1) as insert_after from n left join hit on hit.doc_id = n.doc_id and hit.pos = n.pos",
+    "contact_block": f"select doc_id, coalesce(min(block) filter (regexp_matches(h, 'kontakt|erreichen|kunden-?center|servicecenter')), max(block)) as block from ({MARKED}) where segment = -1 group by doc_id",
+    "hours_block": f"select doc_id, coalesce(min(block) filter (contains(h, 'öffnungszeit')), min(block) filter (segment = -1 and regexp_matches(h, 'kontakt|erreichen')), max(block)) as block from ({MARKED}) group by doc_id",
+    "hours_missing": f"select doc_id, len(list_filter({WEEKDAYS}, lambda d: contains(t, lower(d)))) < 3 as missing, doc_id % 7 as named from (select doc_id, lower(concat_ws(' ', text, array_to_string({WEEKDAYS}[1:doc_id % 7], ' '))) as t from documents)",
+}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: globals()[name] for name in NAMES}
