@@ -1,22 +1,27 @@
-"""Line dedup: repeated runs of lines found by prefix doubling over line-id sequences.
-
-A document is a sequence of line ids: hashes of its lines that are not blank. Prefix doubling names
-the runs of 1, 2, 4, ... lines that start at each line; the name of 2m lines is the hash of the names
-of its halves. From each line starts one run: the shortest that has at least `min_words` words. Its
-length follows from its own lines, so equal runs have equal lengths, and its name is made of the two
-doubled names that cover it. Starts with one name are an interval of the suffix array whose longest
-common prefix has at least that many lines, and each maximal repeated run of min_words words or more
-is a union of such runs. So deleting the later members of every interval deletes the later copies of
-all maximal repeated runs. Built-in functions only; names (128 bits) stand for ranks because only
-equality is needed.
+"""Line dedup: repeated runs of lines from the ranks of a suffix array over line-id sequences.
+
+A document is a sequence of line ids: hashes of its lines that are not blank. Prefix doubling ranks all
+suffixes of the corpus by their first 1, 2, 4, ... lines: the rank of 2m lines is the place of the pair of
+ranks of its halves among all such pairs in order. A suffix whose first m lines occur nowhere else has its
+place already and leaves the doubling, so each level holds the repeated runs of m lines only, and doubling
+ends when the longest repeated run is passed. Suffixes with one rank at level m are an interval of the
+suffix array whose longest common prefix has at least m lines; an interval of any other length is the pair
+of the ranks of its first and last m lines.
+
+A run counts from min_words words on. Every maximal repeated run of so many words is a union of repeated
+runs that are the shortest from one of its lines on or up to one of its lines, and what they cover repeats.
+So the later members of the intervals of these shortest runs are deleted, and with them the later copies of
+all maximal repeated runs. Built-in functions only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialize
+from docloom.llm.common import materialize, release
 
 #: A repeated run counts from so many words on.
 MIN_WORDS = 8
@@ -38,19 +43,11 @@ def pair_hash(*columns: Column) -> Column:
     return F.struct(F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b"))
 
 
-def doubled(names: str, step: int) -> Column:
-    """Names of runs of 2 * step lines from those of step lines; null where the run passes the end."""
-    return F.transform(F.col(names), lambda x, i: F.when(F.get(F.col(names), i + step).isNotNull(), pair_hash(x, F.get(F.col(names), i + step))))
-
-
-def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, line, length, a, b): the shortest run of at least min_words words from each non-blank line and up to each one, where there is one."""
+def line_table(docs: DataFrame, min_words: int) -> DataFrame:
+    """(row, key, line, a, b, runs): the id of each line that is not blank, and the lengths of the shortest runs of min_words words
+    from it on, and from it up to any later line. row tells rows of docs apart, and line counts lines that are not blank."""
     rows = docs.select(key_of(docs).alias("key"), F.filter(line_list(docs["text"].cast("string")), lambda x: x["n"] > 0).alias("lines"))
-    rows = rows.where(F.size("lines") > 0).select("key", F.col("lines.n").alias("n"), F.transform("lines", lambda x: pair_hash(x["line"])).alias("r1"))
-    level = 1
-    while 2 * level <= min_words:
-        rows = rows.withColumn(f"r{2 * level}", doubled(f"r{level}", level))
-        level *= 2
+    rows = rows.where(F.size("lines") > 0).withColumn("row", F.monotonically_increasing_id()).withColumn("n", F.col("lines.n"))
 
     def until(counts: Column) -> Column:
         """How many of the counts make min_words words; 0 if all are too few."""
@@ -58,61 +55,76 @@ def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         grow = lambda s, x: F.when(s["words"] >= min_words, s).otherwise(F.struct((s["lines"] + 1).alias("lines"), (s["words"] + x).alias("words")))
         return F.aggregate(counts, start, grow, lambda s: F.when(s["words"] >= min_words, s["lines"]).otherwise(0))
 
-    def length_at(i: Column) -> Column:
-        """Lines from line i until min_words words; 0 if the document ends before."""
-        return until(F.slice(F.col("n"), i + 1, min_words))
-
-    def length_back(i: Column) -> Column:
+    def back(i: Column) -> Column:
         """Lines from line i backwards until min_words words; 0 if the document begins after."""
         held = F.least(i + 1, F.lit(min_words))
         return until(F.reverse(F.slice(F.col("n"), i + 2 - held, held)))
 
-    def name_at(i: Column, length: Column) -> Column:
-        name = F.lit(None)
-        step = level
-        while step:
-            name = F.when(length >= step, pair_hash(length, F.get(F.col(f"r{step}"), i), F.get(F.col(f"r{step}"), i + length - step))) if step == level else F.when(
-                (length >= step) & (length < 2 * step), pair_hash(length, F.get(F.col(f"r{step}"), i), F.get(F.col(f"r{step}"), i + length - step))
-            ).otherwise(name)
-            step //= 2
-        return name
-
-    rows = rows.withColumn("lengths", F.transform("n", lambda x, i: length_at(i)))
-    place = lambda i, length: F.struct(i.alias("line"), length.alias("length"))
-    starts = F.filter(F.transform("lengths", lambda length, i: place(i, length)), lambda r: r["length"] > 0)
-    ends = F.transform("n", lambda x, i: length_back(i))
-    # a run that also starts as the shortest one is there already
-    ends = F.filter(F.transform(ends, lambda length, i: place(i + 1 - length, length)), lambda r: (r["length"] > 0) & (F.get(F.col("lengths"), r["line"]) != r["length"]))
-    rows = rows.withColumn("places", F.concat(starts, ends))
-    found = rows.select("key", F.explode(F.transform("places", lambda r: F.struct(r["line"].alias("line"), r["length"].alias("length"), name_at(r["line"], r["length"]).alias("name")))).alias("r"))
-    return found.select("key", "r.line", "r.length", "r.name.a", "r.name.b")
-
-
-def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, line, length): runs that occurred before, in the order of doc_id and line.
-
-    A copy counts if it does not overlap the first occurrence. The names that occur more than once are
-    written out with their first place (partial minima, so a very common line pre-aggregates); the runs
-    then join them, and a skewed name can be split because the other side holds it once.
+    rows = rows.withColumn("ahead", F.transform("n", lambda x, i: until(F.slice(F.col("n"), i + 1, min_words)))).withColumn("behind", F.transform("n", lambda x, i: back(i)))
+    sizes = F.sequence(F.lit(1), F.lit(min_words))
+    shortest = lambda i: F.filter(sizes, lambda d: (F.get(F.col("ahead"), i) == d) | (F.get(F.col("behind"), i + d - 1) == d))
+    cells = F.transform("lines", lambda x, i: F.struct(pair_hash(x["line"]).alias("id"), shortest(i).alias("runs")))
+    return rows.select("row", "key", F.posexplode(cells).alias("line", "cell")).select("row", "key", "line", "cell.id.a", "cell.id.b", "cell.runs")
+
+
+def ranked(places: DataFrame, by: list[str], step: int) -> tuple[DataFrame, DataFrame]:
+    """The places whose run of `step` lines, told by the columns `by`, occurs elsewhere too, with its rank; and the table of ranks.
+
+    Runs are counted with partial sums, then put in order; a hot run is one row there, so the join back can split its places.
+    """
+    groups = places.groupBy(*by).agg(F.count("*").alias("n"), F.min(F.struct("key", "line")).alias("first")).where("n > 1")
+    groups = materialize(groups.orderBy(*by).select(*by, F.monotonically_increasing_id().alias("place"), "first"), "ranks")
+    copy = (F.col("key") != F.col("first.key")) | (F.col("line") >= F.col("first.line") + step)
+    longer = F.filter("runs", lambda d: d >= step)
+    return materialize(places.join(groups, by).select("row", "key", "line", longer.alias("runs"), F.col("place").alias("rank"), copy.alias("copy")), "places"), groups
+
+
+def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(key, line, length): shortest runs that occurred before, in the order of doc_id and line; and (key, longest) of longer ones.
+
+    A copy counts if it does not overlap the first occurrence. longest is the length of the longest run, of min_words lines or
+    more, that doubling met as a copy.
     """
-    found = runs(docs, min_words)
-    shared = found.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("key", "line")).alias("first")).where("n > 1")
-    shared = materialize(shared.select("a", "b", F.col("first.key").alias("first_key"), F.col("first.line").alias("first_line")), "runs")
-    joined = found.join(shared, ["a", "b"])
-    return joined.where((F.col("key") != F.col("first_key")) | (F.col("line") >= F.col("first_line") + F.col("length"))).select("key", "line", "length")
+    lines = materialize(line_table(docs, min_words), "lines")
+    places, groups = ranked(lines, ["a", "b"], 1)
+    made, named, blocks, step = [lines, places, groups], [], [], 1
+    while True:
+        ahead = places.select(F.col("row").alias("row2"), F.col("line").alias("at"), F.col("rank").alias("next"))
+        if step <= min_words:
+            asked = places.select("row", "key", "line", "rank", F.explode(F.filter("runs", lambda d: d < 2 * step)).alias("length"))  # noqa: B023
+            named.append(asked.join(ahead, F.expr(f"row = row2 and line + length - {step} = at")).select("key", "line", "length", "rank", "next"))
+        if step >= min_words or not blocks:
+            blocks.append(places.where(F.col("copy") & F.lit(step >= min_words)).select("key", F.lit(step).alias("length")))
+        if places.isEmpty():
+            break
+        pairs = places.join(ahead, F.expr(f"row = row2 and line + {step} = at")).select("row", "key", "line", "runs", "rank", "next")
+        step *= 2
+        places, groups = ranked(pairs, ["rank", "next"], step)
+        made += [places, groups]
+    runs = materialize(reduce(DataFrame.union, named), "runs")
+    longest = materialize(reduce(DataFrame.union, blocks).groupBy("key").agg(F.max("length").alias("longest")), "longest")
+    for table in made:
+        release(table)
+    name = ["length", "rank", "next"]
+    shared = runs.groupBy(*name).agg(F.count("*").alias("n"), F.min(F.struct("key", "line")).alias("first")).where("n > 1")
+    copies = runs.join(shared, name).where((F.col("key") != F.col("first.key")) | (F.col("line") >= F.col("first.line") + F.col("length")))
+    return copies.select("key", "line", "length"), longest
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with later copies of repeated line runs deleted from text, and n_lines, n_deleted and n_runs added.
+    """docs with later copies of repeated line runs deleted from text, and n_lines, n_deleted, n_runs and n_longest added.
 
     The first occurrence, by doc_id (null first) and line, stays whole unless other runs delete parts of it;
     rows that share a doc_id count as one place and are cut alike. Blank lines stay. A null text stays null;
     an empty text has no runs; an empty table gives an empty table. Columns of docs are kept, and a column
     of docs named like an added one is replaced. n_lines and n_deleted count non-blank lines; n_runs counts
-    maximal deleted runs.
+    maximal deleted runs, and n_longest the lines of the longest run that the ranks tell to be a later copy: a shortest one, or a
+    power of two lines.
     """
-    covered = later_copies(docs, min_words).select("key", F.explode(F.sequence(F.col("line"), F.col("line") + F.col("length") - 1)).alias("line"))
-    cut = covered.groupBy("key").agg(F.sort_array(F.collect_set("line")).alias("cut"))
+    copies, longest = later_copies(docs, min_words)
+    covered = copies.select("key", "length", F.explode(F.sequence(F.col("line"), F.col("line") + F.col("length") - 1)).alias("line"))
+    cut = covered.groupBy("key").agg(F.sort_array(F.collect_set("line")).alias("cut"), F.max("length").alias("length")).join(longest, "key", "left")
+    cut = cut.select("key", "cut", F.greatest("length", "longest").alias("longest"))
     # the columns of docs travel as one, so that none of them can clash with those made here
     at = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key_of(docs).alias("key")).join(cut, "key", "left")
     text = F.col("row").getField("text")
@@ -127,6 +139,7 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "n_lines": F.size(F.filter("all", lambda x: x["n"] > 0)).cast("long"),
         "n_deleted": F.when(touched, F.size("cut")).otherwise(0).cast("long"),
         "n_runs": F.when(touched, F.size(starts)).otherwise(0).cast("long"),
+        "n_longest": F.coalesce("longest", F.lit(0)).cast("long"),
     }
     kept = [(F.when(touched, F.array_join(keep, "\n")).otherwise(text) if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in made]
     return at.select(F.struct(*kept, *[column.alias(name) for name, column in made.items()]).alias("row")).select("row.*")

@@ -53,8 +53,27 @@ def test_clashing_columns(spark):
     names = ["cut", "key", "row", "all", "gone", "places", "docloom_lines", "n_runs"]
     df = spark.createDataFrame([(k, text, *[7] * len(names)) for k in (1, 2)], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
     got = lines.line_dedup(df)
-    assert got.columns == ["doc_id", "text", *names[:-1], "n_lines", "n_deleted", "n_runs"]
-    assert sorted(tuple(r) for r in got.collect()) == [(1, text, *[7] * 7, 1, 0, 0), (2, "", *[7] * 7, 1, 1, 1)]
+    assert got.columns == ["doc_id", "text", *names[:-1], "n_lines", "n_deleted", "n_runs", "n_longest"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, text, *[7] * 7, 1, 0, 0, 0), (2, "", *[7] * 7, 1, 1, 1, 1)]
+
+
+def test_long_runs_and_repeated_rows(spark):
+    shared = "\n".join(f"line {k}" for k in range(21))
+    docs = [(1, f"only one\n{shared}"), (2, f"{shared}\nonly two"), (3, shared), (3, shared), (4, "line 3\nline 4\nother")]
+    got = [(r["doc_id"], r["text"], r["n_deleted"], r["n_runs"], r["n_longest"]) for r in lines.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert sorted(got) == [(1, docs[0][1], 0, 0, 0), (2, "only two", 21, 1, 16), (3, "", 21, 1, 16), (3, "", 21, 1, 16), (4, docs[4][1], 0, 0, 0)]
+
+
+def test_ranks_follow_the_order_of_suffixes(spark):
+    rng = random.Random(3)
+    docs = [(i, "\n".join(rng.choice("pqrs") for _ in range(rng.randint(1, 12)))) for i in range(30)]
+    table = lines.materialize(lines.line_table(spark.createDataFrame(docs, "doc_id long, text string"), 8), "lines")
+    ids = {(r["key"], r["line"]): (r["a"], r["b"]) for r in table.collect()}
+    places, _ = lines.ranked(table, ["a", "b"], 1)
+    rank = {(r["key"], r["line"]): r["rank"] for r in places.collect()}
+    for x in rank:
+        for y in rank:
+            assert (rank[x] < rank[y]) == (ids[x] < ids[y])
 
 
 def test_null_and_repeated_ids(spark):
