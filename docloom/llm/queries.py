@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import licenses, lines, media, ngram_join, pii, repeats, sentencepiece_sampling, toxicity, vectors
+from docloom.llm import licenses, lines, media, ngram_join, periodic, pii, quality, repeats, resampling, sentencepiece_sampling, toxicity, vectors
 from docloom.llm.common import table
 from docloom.llm.packing import best_fit_pack
 
@@ -60,6 +61,30 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document become periodic from some place on; the id fixes which, where and how."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
@@ -123,5 +148,23 @@ select w.doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_bas
 from words w left join base using (doc_id) left join labelled using (doc_id)"""
 
 
+def resampling_sql() -> str:
+    """crc32 bit by bit over the distinct words; a bucket's sums, gains and the documents' weights as plain aggregates."""
+    b, low = resampling.BUCKETS, LOW
+    return f"""with words as (select doc_id, regexp_extract_all({low}, '{licenses.WORD}') as w from documents),
+tokens as (select doc_id, unnest(w) as f from words),
+aims as (select unnest(regexp_extract_all({low}, '{licenses.WORD}')) as f from benchmark),
+kinds as (select f, hex(encode(f)) as x from (select f from tokens union select f from aims)),
+steps as (select f, flatten(list_transform(range(1, len(x), 2), lambda i: [('0x' || x[i:i + 1])::bigint, 0, 0, 0, 0, 0, 0, 0])) as bits from kinds),
+named as (select f, (xor(list_reduce(bits, lambda c, v: xor(xor(c, v) >> 1, 3988292384::bigint * (xor(c, v) & 1)), 4294967295::bigint), 4294967295::bigint) % {b})::int as bucket from steps),
+source as (select bucket, count(*) as s from tokens join named using (f) group by bucket),
+target as (select bucket, count(*) as t from aims join named using (f) group by bucket),
+gains as (select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * ((select count(*) from tokens) + {b}) / ((coalesce(s, 0) + 1)::double * ((select count(*) from aims) + {b}))))::bigint as gain from source left join target using (bucket)),
+weights as (select doc_id, sum(gain)::bigint as weight from tokens join named using (f) join gains using (bucket) group by doc_id),
+scored as (select doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight, coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || sha256('{resampling.SEED}:' || doc_id)[1:8])::bigint + 0.5::double) / 4294967296::double)))::bigint as score from words left join weights using (doc_id)),
+drawn as (select *, case when n_features >= {resampling.MIN_WORDS} then row_number() over (partition by n_features >= {resampling.MIN_WORDS} order by score desc, doc_id) end as place, {resampling.PERCENT} * count(*) filter (n_features >= {resampling.MIN_WORDS}) over () // 100 as wanted from scored)
+select doc_id, n_features, weight, score, case when place <= wanted then place end::bigint as rank from drawn"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard_join": jaccard_sql(), "op5_license_scans": licenses_sql(), "op8_line_dedup": lines_sql(), "op9_embedding_near_dedup": vectors_sql()}
+    return {"op12_importance_resampling": resampling_sql(), "op3_ngram_jaccard_join": jaccard_sql(), "op5_license_scans": licenses_sql(), "op8_line_dedup": lines_sql(), "op9_embedding_near_dedup": vectors_sql()}
