@@ -1,7 +1,7 @@
 """Extractors: ordered windows and aggregations over the node table.
 
 `keys` name the columns that identify a page. All windows of one page share its key, so after one exchange
-on it nothing moves again. The single extractors serve one kind each; all_extracts finds all kinds in one pass.
+on it nothing moves again. all_extracts finds all kinds in one pass.
 """
 
 from __future__ import annotations
@@ -45,94 +45,43 @@ def links(nodes: DataFrame, keys: list[str]) -> DataFrame:
     return nodes.where("kind = 'link'").select(*keys, "pos", tx.norm(F.col("text")).alias("text"), "href").where("text <> ''")
 
 
-def qas(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, ord, pos, kind, question, answer, heading): valid panels; heading is the nearest one before that is in no accordion."""
-    heading = preceding(F.col("text"), (F.col("kind") == "heading") & ~F.col("in_accordion"), keys)
-    rows = nodes.where("kind in ('heading', 'panel')").withColumn("heading", F.coalesce(heading, F.lit("")))
-    q, a = tx.strip(F.col("question")), tx.strip(F.col("answer"))
-    rows = rows.where("kind = 'panel'").select(*keys, (F.col("tag") == "details").cast("int").alias("kind"), "pos", q.alias("question"), a.alias("answer"), "heading")
-    return rows.where((F.col("question") != "") & (F.col("answer") != "") & (tx.norm(F.col("question")) != tx.norm(F.col("answer"))))
-
-
 def first_by(rows: DataFrame, same: list[Column], *order: str) -> DataFrame:
     """The first row of each group in an order; never an arbitrary one."""
     return rows.withColumn("_first", F.row_number().over(Window.partitionBy(*same).orderBy(*order))).where("_first = 1").drop("_first")
 
 
-def distinct_qas(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """Panels by first occurrence of their normalised question on a page: accordions before details."""
-    return first_by(qas(nodes, keys), [*map(F.col, keys), tx.norm(F.col("question"))], "kind", "pos")
-
-
-def qa_groups(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, ord, heading, qas): panels by exact heading, groups by first appearance; questions repeat only across groups."""
-    kept = first_by(qas(nodes, keys), [*map(F.col, keys), F.col("heading"), tx.norm(F.col("question"))], "kind", "pos")
-    made = F.array_sort(F.collect_list(F.struct("kind", "pos", F.struct("question", "answer").alias("qa"))))
-    groups = kept.groupBy(*keys, "heading").agg(F.min(F.struct("kind", "pos")).alias("at"), F.transform(made, lambda x: x["qa"]).alias("qas"))
-    return groups.withColumn("ord", F.row_number().over(Window.partitionBy(*keys).orderBy("at"))).select(*keys, "ord", "heading", "qas")
+def file_names(extracts: Column) -> Column:
+    """The names of a page's files in one list."""
+    return F.flatten(F.transform(extracts["file_groups"], lambda g: g["files"]))
 
 
-def file_groups(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, ord, heading, files): file links with text, first of each name, in runs under the nearest h2 to h5."""
-    heading = preceding(F.col("text"), F.col("tag").isin("h2", "h3", "h4", "h5"), keys)
-    rows = nodes.where("kind in ('heading', 'link')").withColumn("heading", F.coalesce(heading, F.lit("")))
-    files = rows.where((F.col("kind") == "link") & (F.col("text") != "") & tx.is_file_link(F.col("href"))).select(*keys, "pos", "heading", F.col("text").alias("name"))
-    return adjacent_runs(first_by(files, [*map(F.col, keys), F.col("name")], "pos"), keys, "heading", "name", "files")
-
-
-def file_names(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, ord, name): the names of a page's files in one list, the first of each."""
-    flat = file_groups(nodes, keys).select(*keys, F.posexplode("files").alias("_k", "name"), F.col("ord").alias("_run"))
-    return flat.select(*keys, F.row_number().over(Window.partitionBy(*keys).orderBy("_run", "_k")).alias("ord"), "name")
+def run_number(by: Column, when: Column, keys: list[str]) -> Column:
+    """The number of the run that a row belongs to: runs of rows (by pos) that fulfil a condition, with equal `by`; a value that comes back opens a new run."""
+    last = F.last_value(F.when(when, F.struct(by.alias("v"))), True).over(before(keys))
+    starts = F.when(when & (last.isNull() | ~last["v"].eqNullSafe(by)), 1).otherwise(0)
+    return F.sum(starts).over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")
 
 
 def adjacent_runs(rows: DataFrame, keys: list[str], by: str, value: str, into: str) -> DataFrame:
     """(keys, ord, by, into): values of adjacent rows (by pos) with equal `by`; a value that comes back opens a new run."""
-    order = Window.partitionBy(*keys).orderBy("pos")
-    starts = F.when(F.lag(by).over(order).eqNullSafe(F.col(by)) & F.lag("pos").over(order).isNotNull(), 0).otherwise(1)
-    runs = rows.withColumn("_start", starts).withColumn("ord", F.sum("_start").over(order).cast("int"))
+    runs = rows.withColumn("ord", run_number(F.col(by), F.lit(True), keys))
     return runs.groupBy(*keys, "ord").agg(F.min_by(by, "pos").alias(by), ordered(value, "pos").alias(into))
 
 
-def phones(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, pos, label, phone, key): tel: links, the first of each key, labelled by the nearest short heading or strong text."""
-    fit = F.col("tag").isin("h2", "h3", "h4", "h5", "strong", "b") & (F.col("text") != "") & (F.length("text") < LABEL_CAP)
-    rows = nodes.where("kind in ('heading', 'strong', 'link')").withColumn("label", F.coalesce(preceding(F.col("text"), fit, keys), F.lit("")))
-    phone = F.when(F.col("text") != "", F.col("text")).otherwise(tx.strip(F.substr("href", F.lit(5))))
-    found = rows.where((F.col("kind") == "link") & F.lower("href").startswith("tel:")).select(*keys, "pos", "label", phone.alias("phone"))
-    found = found.withColumn("key", tx.phone_key(F.col("phone"))).where("key <> ''")
-    return first_by(found, [*map(F.col, keys), F.col("key")], "pos")
-
-
-def opening_hours(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, hours): the lines of the first list with at least three weekdays that have times."""
-    good = F.filter("pairs", lambda p: tx.is_weekday(p["day"]) & (p["times"] != ""))
-    rows = nodes.where("kind = 'list'").withColumn("good", good).where(F.size("good") >= WEEKDAYS_NEEDED)
-    line = F.array_join(F.transform("good", lambda p: F.concat(F.lit("- "), p["day"], F.lit(": "), p["times"])), "\n")
-    return rows.groupBy(*keys).agg(F.min_by(line, "pos").alias("hours"))
-
-
-def prose_sections(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, pos, heading, text): visible h2 sections without accordions; text up to the next h2 of any kind."""
-    order = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    head = F.when(F.col("tag") == "h2", F.struct("pos", "end_pos", "text", "hidden"))
-    rows = nodes.where("kind in ('string', 'accordion') or tag = 'h2'").withColumn("h", F.last_value(head, True).over(order)).where("h is not null")
-    body = F.when((F.col("kind") == "string") & (F.col("pos") > F.col("h.end_pos")), F.struct("pos", "text"))
-    grouped = rows.groupBy(*keys, F.col("h.pos").alias("pos")).agg(
-        F.first("h").alias("h"), F.array_sort(F.collect_list(body)).alias("body"), F.max((F.col("kind") == "accordion") & (F.col("pos") > F.col("h.pos"))).alias("accordion")
-    )
-    shown = grouped.where((F.col("h.text") != "") & ~F.col("h.hidden") & ~F.col("accordion"))
-    return shown.select(*keys, "pos", F.col("h.text").alias("heading"), F.left(tx.strip(F.array_join(F.col("body.text"), "\n")), F.lit(SECTION_CAP)).alias("text"))
-
-
 def all_extracts(nodes: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, extracts): everything found on a page in one struct, lists in order; null where nothing is found.
 
     One pass: the nodes move once, by page, and all windows and the one aggregation share that exchange, so a page is
-    parsed once whatever is extracted. The rules are those of the single extractors above.
+    parsed once whatever is extracted.
+
+    title: the first title up to its pipe, else the first h1. questions, qa_groups: panels with a question and another
+    answer, under the nearest earlier heading in no accordion; groups by first appearance, accordions before details,
+    a question once a group. phones: tel: links, the first of each key, labelled by the nearest short heading or strong
+    text. hours: the first list with at least three weekdays that have times. file_groups: file links with text, the
+    first of each name, in runs under the nearest h2 to h5. sections: visible h2 sections without accordions, text up to
+    the next h2 of any kind. error: why the page could not be parsed.
     """
     # what stands before each node
-    order = before(keys)
     fit = F.col("tag").isin("h2", "h3", "h4", "h5", "strong", "b") & (F.col("text") != "") & (F.length("text") < LABEL_CAP)
     head = F.when(F.col("tag") == "h2", F.struct("pos", "end_pos", "text", "hidden"))
     rows = nodes.withColumns(
@@ -160,10 +109,7 @@ def all_extracts(nodes: DataFrame, keys: list[str]) -> DataFrame:
     rows = rows.withColumn("_grouped", first(F.col("_panel"), F.col("_heading"), tx.norm(F.col("question"))))
     rows = rows.withColumn("_file", first(F.col("_file"), F.col("text")))
     rows = rows.withColumn("_called", first(F.col("_phone").isNotNull(), F.col("_phone")))
-    # runs of files under one heading
-    last = F.last_value(F.when(F.col("_file"), F.struct(F.col("_file_heading").alias("h"))), True).over(order)
-    rows = rows.withColumn("_starts", F.when(F.col("_file") & (last.isNull() | (last["h"] != F.col("_file_heading"))), 1).otherwise(0))
-    rows = rows.withColumn("_run", F.sum("_starts").over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.withColumn("_run", run_number(F.col("_file_heading"), F.col("_file"), keys))
 
     listed = lambda when, *values: F.array_sort(F.collect_list(F.when(when, F.struct(*values))))
     good = F.filter("pairs", lambda p: tx.is_weekday(p["day"]) & (p["times"] != ""))
@@ -177,6 +123,7 @@ def all_extracts(nodes: DataFrame, keys: list[str]) -> DataFrame:
         listed(F.col("_called"), "pos", F.struct(F.col("_label").alias("label"), phone.alias("phone"), F.col("_phone").alias("key")).alias("v")).alias("phones"),
         F.min_by(line, F.when(is_list, F.col("pos"))).alias("hours"),
         listed(F.col("_file"), "pos", F.col("_run").alias("run"), F.col("_file_heading").alias("heading"), F.col("text").alias("name")).alias("files"),
+        F.min(F.when(F.col("kind") == "error", F.col("text"))).alias("error"),
         listed(F.col("tag") == "h2", "pos", "text", "hidden").alias("heads"),
         listed((F.col("kind") == "string") & behind, "pos", F.col("_h2.pos").alias("h2"), "text").alias("body"),
         F.collect_set(F.when((F.col("kind") == "accordion") & (F.col("pos") > F.col("_h2.pos")), F.col("_h2.pos"))).alias("folded"),
@@ -193,6 +140,7 @@ def all_extracts(nodes: DataFrame, keys: list[str]) -> DataFrame:
         "hours": F.col("hours"),
         "file_groups": F.transform(F.filter("files", lambda x, i: (i == 0) | (F.get(F.col("files"), F.greatest(i - 1, F.lit(0)))["run"] != x["run"])), file_group),
         "sections": F.transform(shown, lambda h: F.struct(h["text"].alias("heading"), text(h).alias("text"))),
+        "error": F.col("error"),
     }
     none = ("questions", "qa_groups", "phones", "file_groups", "sections")
     return page.select(*keys, F.struct(*[(F.when(F.size(c) > 0, c) if name in none else c).alias(name) for name, c in found.items()]).alias("extracts"))

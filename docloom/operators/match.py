@@ -1,4 +1,4 @@
-"""Matching operators: labels to links, headings to places in the tree, and what a tree already holds."""
+"""Matching operators: labels to links, and answers in documents of any number. What goes where in a page is in placement."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from urllib.parse import quote, urljoin
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udf
@@ -14,7 +14,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from docloom.functions import text as tx
 
-SECTION_PROBE = 60
 #: Probes that one automaton holds.
 MOST_PROBES = 200_000
 
@@ -46,29 +45,6 @@ def resolve_labels(labels: DataFrame, links: DataFrame, keys: list[str], base: s
     return best.select(*keys, "label_pos", "label", join_url(F.col(base), F.col("href")).alias("url"))
 
 
-def anchors(tree: DataFrame, keys: list[str], page: str = "page") -> DataFrame:
-    """(keys, block, segment, norm_heading, insert_at): one row for each subheading and each block heading of a page."""
-    blocks = tree.select(*keys, F.posexplode(F.col(page)["blocks"]).alias("block", "b"))
-    own = blocks.select(*keys, "block", F.lit(-1).alias("segment"), tx.norm(F.col("b.heading")).alias("norm_heading"), F.coalesce(F.size("b.segments"), F.lit(0)).alias("insert_at"))
-    subs = blocks.select(*keys, "block", F.posexplode("b.segments").alias("segment", "s"))
-    subs = subs.select(*keys, "block", "segment", tx.norm(F.col("s.subheading")).alias("norm_heading"), (F.col("segment") + 1).alias("insert_at"))
-    return own.union(subs)
-
-
-def locate(headings: DataFrame, places: DataFrame, keys: list[str]) -> DataFrame:
-    """headings (keys, ord, heading) with (block, insert_at), null where nothing matches.
-
-    Tiers: equal subheading, equal block heading, subheading by containment, block heading by containment; the first
-    in document order within a tier.
-    """
-    h = headings.withColumn("_h", tx.norm(F.col("heading")))
-    sub, equal = F.col("segment") >= 0, F.col("norm_heading") == F.col("_h")
-    tier = F.when(equal & sub, 1).when(equal, 2).when(sub, 3).otherwise(4)
-    met = h.join(places, keys).where(tx.headings_match(F.col("norm_heading"), F.col("_h")))
-    best = met.groupBy(*keys, "ord").agg(F.min_by(F.struct("block", "insert_at"), F.struct(tier.alias("tier"), F.col("block"), F.col("segment"))).alias("at"))
-    return headings.join(best, [*keys, "ord"], "left").select(headings["*"], F.col("at.block").alias("block"), F.col("at.insert_at").alias("insert_at"))
-
-
 def present_answers(answers: DataFrame, blobs: DataFrame, answer_key: str, blob_key: str, most: int = MOST_PROBES) -> DataFrame:
     """(answer_key, blob_key) of the answers whose beginning a blob holds, for any blob; answer and blob are content-normalised.
 
@@ -102,54 +78,3 @@ def present_answers(answers: DataFrame, blobs: DataFrame, answer_key: str, blob_
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*hits, strict=True), to_arrow_schema(schema).types, strict=True)], names=schema.names)
 
     return blobs.select(blob_key, "blob").mapInArrow(read, schema)
-
-
-def missing_answers(qas: DataFrame, blobs: DataFrame, keys: list[str]) -> DataFrame:
-    """Panels whose answer the blob of their page does not hold: a left anti join. blobs: keys, blob (content-normalised)."""
-    q = qas.withColumn("_a", tx.content_norm(F.col("answer")))
-    b = blobs.select(*[F.col(k).alias(f"_{k}") for k in keys], "blob")
-    same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    return q.join(b, [*same, tx.answer_present(F.col("_a"), F.col("blob"))], "left_anti").drop("_a")
-
-
-def missing_phones(phones: DataFrame, digits: DataFrame, keys: list[str]) -> DataFrame:
-    """Phones whose key is not among the digits of their page. digits: keys, digits."""
-    d = digits.select(*[F.col(k).alias(f"_{k}") for k in keys], "digits")
-    return phones.join(d, [*[F.col(k) == F.col(f"_{k}") for k in keys], F.contains("digits", "key")], "left_anti")
-
-
-def missing_sections(sections: DataFrame, blobs: DataFrame, keys: list[str]) -> DataFrame:
-    """Prose sections, no download sections, whose beginning the blob of their page does not hold."""
-    s = sections.withColumn("_p", F.left(tx.content_norm(F.col("text")), F.lit(SECTION_PROBE)))
-    s = s.where(tx.looks_like_prose(F.col("text")) & ~tx.norm(F.col("heading")).startswith("download"))
-    b = blobs.select(*[F.col(k).alias(f"_{k}") for k in keys], "blob")
-    held = (F.col("_p") != "") & F.contains("blob", "_p")
-    return s.join(b, [*[F.col(k) == F.col(f"_{k}") for k in keys], held], "left_anti").drop("_p")
-
-
-def hours_missing(text: Column) -> Column:
-    """Fewer than three weekdays occur in a normalised text."""
-    return F.size(F.filter(F.array(*[F.lit(d) for d in tx.WEEKDAYS]), lambda d: F.contains(text, d))) < 3
-
-
-def section_places(sections: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, pos, insert_after): for each section the block of the nearest earlier section that a block heading contains.
-
-    blocks: keys, block, norm_heading. Null where no earlier section is found: append at the end.
-    """
-    named = sections.select(*keys, "pos", tx.norm(F.col("heading")).alias("_n"))
-    hit = named.join(blocks, keys).where((F.col("_n") != "") & F.contains("norm_heading", "_n")).groupBy(*keys, "pos").agg(F.min("block").alias("_b"))
-    order = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return named.join(hit, [*keys, "pos"], "left").select(*keys, "pos", F.last_value("_b", True).over(order).alias("insert_after"))
-
-
-def contact_block(blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, block): the first block that is about contact, else the last."""
-    about = F.rlike("norm_heading", F.lit(tx.CONTACT))
-    return blocks.groupBy(*keys).agg(F.coalesce(F.min(F.when(about, F.col("block"))), F.max("block")).alias("block"))
-
-
-def hours_block(places: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, block): the first block with opening hours in a heading or subheading, else the first about contact, else the last."""
-    hours, about = F.contains("norm_heading", F.lit(tx.HOURS_TITLE.lower()[:-2])), F.rlike("norm_heading", F.lit(tx.REACH)) & (F.col("segment") < 0)
-    return places.groupBy(*keys).agg(F.coalesce(F.min(F.when(hours, F.col("block"))), F.min(F.when(about, F.col("block"))), F.max("block")).alias("block"))

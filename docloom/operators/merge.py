@@ -7,17 +7,20 @@ UDF over (page, extracts); pages are independent rows, so it scales with them an
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udf
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from docloom import schema
 from docloom.functions import text as tx
+from docloom.operators import placement
 
-CONTACT, REACH, DAYS = re.compile(tx.CONTACT), re.compile(tx.REACH), tx.WEEKDAYS
-HOURS_TITLE = tx.HOURS_TITLE
+#: What is kept of an error's text.
+ERROR_LIMIT = 500
 
 
 # ---------------------------------------------------------------- native rewrites of one page
@@ -49,13 +52,6 @@ def filled(x: Column) -> Column:
     return x.isNotNull() & (x != "")
 
 
-def strip_files(page: Column) -> Column:
-    """Without file lists; a download block that held nothing else goes."""
-    cleared = map_segments(page, lambda s: s.withField("files", F.lit(None).cast("string")))
-    holds = lambda s: filled(s["subheading"]) | filled(s["text"]) | filled(s["contacts"]) | s["faqs"].isNotNull()
-    return cleared.withField("blocks", F.filter(cleared["blocks"], lambda b: ~tx.norm(b["heading"]).startswith("download") | F.exists(b["segments"], holds)))
-
-
 def prune(page: Column) -> Column:
     """Without lines of page source, blank texts, empty segments and blocks without segments."""
 
@@ -69,165 +65,66 @@ def prune(page: Column) -> Column:
     return cleaned.withField("blocks", F.filter(cleaned["blocks"], lambda b: F.size(b["segments"]) > 0))
 
 
-def page_text(page: Column) -> Column:
-    """Headings, subheadings and texts of a page, joined by spaces; no answers, files or contacts."""
-    return F.array_join(F.flatten(F.transform(page["blocks"], lambda b: F.concat(F.array(b["heading"]), F.flatten(F.transform(b["segments"], lambda s: F.array(s["subheading"], s["text"])))))), " ")
-
-
-def page_blob(page: Column) -> Column:
-    return tx.content_norm(page_text(page))
-
-
 # ---------------------------------------------------------------- placement within a page
 
 
-def squeeze(x: str | None) -> str:
-    return " ".join((x or "").split()).lower()
-
-
-def squeeze_content(x: str | None) -> str:
-    return squeeze(re.sub(r"-{2,}", " ", x or "").replace("|", " "))
-
+def by_page(answer: Callable, kind: str, *columns: Column) -> Column:
+    """answer(page, ...) for each row, as a struct (value, error), over Arrow batches.
 
-def match(a: str, b: str) -> bool:
-    if not a or not b:
-        return False
-    short, long = sorted((a, b), key=len)
-    return a == b or (len(short) >= tx.MIN_CONTAINED and short in long)
+    Null where a column is null. What answer raises becomes the error of its row; no row stops another one.
+    """
+    made = T.StructType.fromDDL(f"value {kind}, error string")
+    arrow = to_arrow_type(made)
 
+    def run(*arrays: pa.Array) -> pa.Array:
+        out = []
+        for row in zip(*(a.to_pylist() for a in arrays), strict=True):
+            if any(x is None for x in row):
+                out.append(None)
+                continue
+            try:
+                out.append({"value": answer(*row), "error": None})
+            except Exception as error:  # noqa: BLE001  a page may break in any way
+                out.append({"value": None, "error": f"{type(error).__name__}: {error}"[:ERROR_LIMIT]})
+        return pa.array(out, arrow)
 
-def new_segment(**filled_fields: object) -> dict:
-    return dict.fromkeys(("subheading", "text", "files", "contacts", "faqs")) | filled_fields
-
-
-class Placement:
-    """One page while extracts are placed into it."""
-
-    def __init__(self, page: dict):
-        self.page = page
-        self.blocks: list[dict] = [b | {"segments": b["segments"] or []} for b in page["blocks"] or []]
+    def one(pages: pa.Array) -> pa.Array:
+        return run(pages)
 
-    def places(self):  # noqa: ANN201
-        """(rank offset, block, position after it, normalised heading) of every subheading and block heading, in document order."""
-        for k, block in enumerate(self.blocks):
-            for n, segment in enumerate(block["segments"]):
-                yield 0, k, n + 1, squeeze(segment["subheading"])
-            yield 1, k, len(block["segments"]), squeeze(block["heading"])
+    def two(pages: pa.Array, more: pa.Array) -> pa.Array:
+        return run(pages, more)
 
-    def locate(self, heading: str) -> tuple[int, int] | None:
-        wanted = squeeze(heading)
-        ranked = [(level + (0 if name == wanted else 2), n, k, at) for n, (level, k, at, name) in enumerate(self.places()) if match(name, wanted)]
-        return min(ranked)[2:] if ranked else None
+    return F.arrow_udf(one if len(columns) == 1 else two, made)(*columns)
 
-    def texts(self, blocks: list[dict]) -> str:
-        return squeeze_content(" ".join(x or "" for b in blocks for x in (b["heading"], *(y for s in b["segments"] for y in (s["subheading"], s["text"])))))
 
-    def strings(self) -> list[str]:
-        """Every text of the page in the order url, blocks, title."""
-        out = [self.page["url"]]
-        for b in self.blocks:
-            out.append(b["heading"])
-            for s in b["segments"]:
-                out += [s["subheading"], s["text"], s["files"], s["contacts"]]
-                if s["faqs"]:
-                    out += [s["faqs"]["title"], *(x for q in s["faqs"]["QAs"] or [] for x in (q["question"], q["answer"]))]
-        return [x for x in [*out, self.page["title"]] if x]
+def placed(page: Column, extracts: Column, place: Callable = placement.place) -> Column:
+    """(value, error): the page with its extracts in it, or why that failed."""
+    return by_page(place, schema.PAGE, page, extracts)
 
-    def questions(self, groups: list[dict]) -> None:
-        whole = self.texts(self.blocks)
-        for group in groups:
-            at = self.locate(group["heading"])
-            held = whole if at is None else self.texts([self.blocks[at[0]]])
-            answers = [(q, squeeze_content(q["answer"])) for q in group["qas"]]
-            new = [q for q, a in answers if len(a) < tx.MIN_ANSWER or a[: tx.ANSWER_PROBE] not in held]
-            if not new:
-                continue
-            segment = new_segment(faqs={"title": None, "QAs": new})
-            if at is None:
-                self.blocks.append({"heading": group["heading"] or "FAQ", "segments": [segment]})
-            else:
-                self.blocks[at[0]]["segments"].insert(at[1], segment)
-
-    def phones(self, phones: list[dict]) -> None:
-        digits = re.sub(r"\D", "", "".join(self.strings()))
-        lines = [f"{p['label']}: {p['phone']}" if p["label"] else p["phone"] for p in phones if p["key"] not in digits]
-        if lines and self.blocks:
-            about = [b for b in self.blocks if CONTACT.search(squeeze(b["heading"]))]
-            (about[0] if about else self.blocks[-1])["segments"].append(new_segment(contacts="\n".join(lines)))
-
-    def hours(self, hours: str | None) -> None:
-        if not hours or not self.blocks:
-            return
-        text = squeeze(" ".join(self.strings()))
-        if sum(day in text for day in DAYS) >= 3:
-            return
-        title = HOURS_TITLE.lower()[:-2]
-        named = [b for b in self.blocks if any(title in squeeze(x) for x in (b["heading"], *(s["subheading"] for s in b["segments"])))]
-        about = named or [b for b in self.blocks if REACH.search(squeeze(b["heading"]))] or [self.blocks[-1]]
-        about[0]["segments"].append(new_segment(subheading=HOURS_TITLE, text=hours))
-
-    def files(self, groups: list[dict]) -> None:
-        if not groups:
-            return
-        for b in self.blocks:
-            for s in b["segments"]:
-                s["files"] = None
-        self.blocks[:] = [b for b in self.blocks if not squeeze(b["heading"]).startswith("download") or any(s[k] for s in b["segments"] for k in ("subheading", "text", "contacts", "faqs"))]
-        for group in groups:
-            title, segment = group["heading"], new_segment(files="\n".join(group["files"]))
-            at = self.locate(title)
-            if at is None:
-                self.blocks.append({"heading": title or "Downloads", "segments": [segment]})
-                continue
-            block, place = self.blocks[at[0]], at[1]
-            above = block["segments"][place - 1]["subheading"] if place else None
-            named = not title or squeeze(title) == squeeze(block["heading"]) or match(squeeze(title), squeeze(above))
-            block["segments"][place:place] = [segment] if named else [new_segment(subheading=title), segment]
-
-    def prose(self, sections: list[dict]) -> None:
-        held = self.texts(self.blocks)
-        for n, section in enumerate(sections):
-            probe = squeeze_content(section["text"])[:60]
-            clean = squeeze(re.sub(r"\S*/\S*", " ", section["text"]))
-            if len(clean) < tx.MIN_PROSE or not re.search("[.?!]", clean) or squeeze(section["heading"]).startswith("download") or (probe and probe in held):
-                continue
-            segment = new_segment(text=section["text"])
-            at = self.locate(section["heading"])
-            if at is not None:
-                self.blocks[at[0]]["segments"].insert(at[1], segment)
-                continue
-            earlier = (squeeze(s["heading"]) for s in reversed(sections[:n]))
-            found = next((k for name in earlier if name for k, b in enumerate(self.blocks) if name in squeeze(b["heading"])), None)
-            self.blocks.insert(len(self.blocks) if found is None else found + 1, {"heading": section["heading"], "segments": [segment]})
 
+def located(page: Column, headings: Column) -> Column:
+    """(value, error): for each heading the block and the place in it where placement would put what is found there."""
+    return by_page(placement.located, "array<struct<block:int,insert_at:int>>", page, headings)
 
-def place(page: dict | None, extracts: dict | None) -> dict | None:
-    """Extracts put into a page in the fixed order questions, phones, hours, files, prose."""
-    if page is None or extracts is None:
-        return page
-    work = Placement(page)
-    work.questions(extracts["qa_groups"] or [])
-    work.phones(extracts["phones"] or [])
-    work.hours(extracts["hours"])
-    work.files(extracts["file_groups"] or [])
-    work.prose(extracts["sections"] or [])
-    return page | {"blocks": work.blocks}
 
+def followed(page: Column, headings: Column) -> Column:
+    """(value, error): for each heading the block behind which placement would open its section."""
+    return by_page(placement.followed, "array<int>", page, headings)
 
-def as_dict(row: object) -> object:
-    if hasattr(row, "asDict"):
-        return row.asDict(recursive=True)
-    return row
 
+def chosen(page: Column) -> Column:
+    """(value, error): the blocks for phones and opening hours, and whether the hours are missing."""
+    return by_page(placement.chosen, "struct<contact:int,hours:int,lacks_hours:boolean>", page)
 
-def placed(page: Column, extracts: Column) -> Column:
-    return udf(lambda p, e: place(as_dict(p), as_dict(e)), schema.PAGE, useArrow=True)(page, extracts)
 
+def merge(pages: DataFrame, page: str = "page", extracts: str = "extracts", place: Callable = placement.place) -> DataFrame:
+    """Pages with their extracts merged in, and error: why a page could not be, null if it was.
 
-def merge(pages: DataFrame, page: str = "page", extracts: str = "extracts") -> DataFrame:
-    """Pages with their extracts merged in; a page whose extracts are null (no url, or not fetched) stays untouched."""
+    A page whose extracts are null (no url, or not fetched) stays untouched; so does one that breaks.
+    """
     p, e = F.col(page), F.col(extracts)
     titled = p.withField("title", F.coalesce(e["title"], F.lit("")))
     staged = pages.withColumn("_staged", F.when(e.isNotNull(), strip_covered_questions(titled, F.coalesce(e["questions"], F.array().cast("array<string>")))))
-    staged = staged.withColumn("_placed", F.when(e.isNotNull(), placed(F.col("_staged"), e)))
-    return staged.withColumn(page, F.when(e.isNotNull(), prune(F.col("_placed"))).otherwise(p)).drop("_staged", "_placed")
+    staged = staged.withColumn("_placed", placed(F.col("_staged"), e, place))
+    done = F.col("_placed.value")
+    return staged.withColumn("error", F.col("_placed.error")).withColumn(page, F.when(done.isNotNull(), prune(done)).otherwise(p)).drop("_staged", "_placed")

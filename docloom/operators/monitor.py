@@ -12,15 +12,26 @@ from docloom.sources.trees import read_trees
 FAQ_FLOOR, CHARS_FLOOR, DETAIL_LIMIT = 0.7, 0.6, 700
 
 
-def metrics(trees: DataFrame, topic: str = "topic", pages: str = "pages") -> DataFrame:
-    """(topic, pages, faqs, files, chars). chars is the length of the tree's JSON with nulls written: our canonical length."""
-    p = F.col(pages)
-    segments = F.flatten(F.transform(F.flatten(F.transform(p, lambda x: x["blocks"])), lambda b: b["segments"]))
+def measure(topic: Column, pages: Column) -> Column:
+    """A struct (topic, pages, faqs, files, chars). chars is the length of the tree's JSON with nulls written: our canonical length."""
+    segments = F.flatten(F.transform(F.flatten(F.transform(pages, lambda x: x["blocks"])), lambda b: b["segments"]))
     faqs = F.aggregate(segments, F.lit(0), lambda s, x: s + F.coalesce(F.size(x["faqs"]["QAs"]), F.lit(0)) * x["faqs"].isNotNull().cast("int"))
     files = F.aggregate(segments, F.lit(0), lambda s, x: s + F.size(F.filter(tx.lines(F.coalesce(x["files"], F.lit(""))), lambda line: tx.strip(line) != "")))
     many = lambda x: F.coalesce(x, F.lit(0)).cast("long")
-    size = F.when(p.isNull(), 0).otherwise(F.size(p))
-    return trees.select(F.col(topic).alias("topic"), size.cast("long").alias("pages"), many(faqs).alias("faqs"), many(files).alias("files"), many(F.length(F.to_json(p, {"ignoreNullFields": "false"}))).alias("chars"))
+    size = F.when(pages.isNull(), 0).otherwise(F.size(pages))
+    return F.struct(topic.alias("topic"), size.cast("long").alias("pages"), many(faqs).alias("faqs"), many(files).alias("files"), many(F.length(F.to_json(pages, {"ignoreNullFields": "false"}))).alias("chars"))
+
+
+def metrics(trees: DataFrame, topic: str = "topic", pages: str = "pages") -> DataFrame:
+    """(topic, pages, faqs, files, chars) of trees, or of a stage table, where they were measured as it was written."""
+    if "measured" in trees.columns:
+        return trees.select("measured.*")
+    return trees.select(measure(F.col(topic), F.col(pages)).alias("m")).select("m.*")
+
+
+def totals(measured: Column) -> list[Column]:
+    """Aggregates (n, pages, faqs, files, size) of metrics; size is the summed length of the topics' lines."""
+    return [F.count(measured).alias("n"), *[F.coalesce(F.sum(measured[c]), F.lit(0)).alias(c) for c in ("pages", "faqs", "files")], F.coalesce(F.sum(F.length(topic_line(measured))), F.lit(0)).alias("size")]
 
 
 def no_metrics(spark: SparkSession) -> DataFrame:
@@ -51,21 +62,22 @@ def regressions(new: DataFrame, old: DataFrame) -> DataFrame:
     return new.join(o, "topic", "left").select("topic", F.array_compact(F.array(*rules)).alias("issues"))
 
 
-def topic_line() -> Column:
-    return F.concat_ws("", F.lit("• "), "topic", F.lit(": "), "pages", F.lit("p, "), "faqs", F.lit(" FAQ, "), "files", F.lit(" files"))
+def topic_line(m: Column) -> Column:
+    return F.concat_ws("", F.lit("• "), m["topic"], F.lit(": "), m["pages"], F.lit("p, "), m["faqs"], F.lit(" FAQ, "), m["files"], F.lit(" files"))
 
 
-def run_summary(per_topic: DataFrame, failed: list[str], order: str = "topic") -> DataFrame:
+def run_summary(per_topic: DataFrame, failed: list[str], order: str = "topic", known: dict[str, int] | None = None) -> DataFrame:
     """(summary): totals, the topics' lines in order if they are short together, and the failed topics.
 
-    The lines are collected only where their summed length is below DETAIL_LIMIT, so the row stays small.
+    The lines are collected only where their summed length is below DETAIL_LIMIT, so the row stays small. known: the
+    totals, where they were observed when the topics were written.
     """
-    line = topic_line()
-    totals = per_topic.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages", "faqs", "files")], F.coalesce(F.sum(F.length(line)), F.lit(0)).alias("size"))
-    short = per_topic.select(F.col(order).alias("o"), line.alias("line")).orderBy("o").limit(DETAIL_LIMIT)
+    measured = F.struct("topic", "pages", "faqs", "files")
+    sums = per_topic.sparkSession.range(1).select(*[F.lit(known[c]).alias(c) for c in ("n", "pages", "faqs", "files", "size")]) if known is not None else per_topic.agg(*totals(measured))
+    short = per_topic.select(F.col(order).alias("o"), topic_line(measured).alias("line")).orderBy("o").limit(DETAIL_LIMIT)
     rows = short.agg(F.array_sort(F.collect_list(F.struct("o", "line"))).alias("rows"))
     head = F.concat_ws("", "n", F.lit(f" ok, {len(failed)} failed"))
     total = F.concat_ws("", F.lit("total: "), "pages", F.lit(" pages · "), "faqs", F.lit(" FAQ · "), "files", F.lit(" files"))
     detail = F.when((F.col("size") > 0) & (F.col("size") < DETAIL_LIMIT), F.array_join(F.col("rows.line"), "\n"))
     bad = F.lit(f"failed: {', '.join(failed)}") if failed else F.lit(None).cast("string")
-    return totals.crossJoin(F.broadcast(rows)).select(F.concat_ws("\n", head, total, detail, bad).alias("summary"))  # one row each
+    return sums.crossJoin(F.broadcast(rows)).select(F.concat_ws("\n", head, total, detail, bad).alias("summary"))  # one row each

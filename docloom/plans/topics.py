@@ -2,33 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom import schema
 from docloom.functions import text as tx
-from docloom.operators import extract, merge, render
+from docloom.operators import extract, merge, placement, render
 from docloom.sources.dom import node_table
 
 KEYS = ["topic", "page_ord"]
 
 
-def enrich(trees: DataFrame, fetched: DataFrame) -> DataFrame:
-    """trees (topic, base_url, pages) with what fetched (url, html) shows merged in.
+def enrich(trees: DataFrame, fetched: DataFrame, place: Callable = placement.place) -> DataFrame:
+    """trees (topic, base_url, pages) with what fetched (url, html) shows merged in, and errors.
 
     A page is known by topic and position, never by url: several topics may hold one url, and each page is enriched on its
-    own. Pages without url, and pages not fetched, stay untouched. Topics without pages stay.
+    own. Pages without url, and pages not fetched, stay untouched. Topics without pages stay. A page that breaks while
+    it is parsed or merged stays as it was and has a row in errors; it stops nothing.
     """
     pages = trees.select("topic", F.posexplode("pages").alias("page_ord", "page"))
     # of a page that was fetched several times the newest counts, where that is known, and else always the same one
     newest = F.max_by("html", "fetched_at") if "fetched_at" in fetched.columns else F.min("html")
     html = fetched.where("url is not null and html is not null").groupBy("url").agg(newest.alias("html"))
-    held = pages.withColumn("url", F.when(F.col("page.url") != "", F.col("page.url"))).join(html, "url", "left").drop("url")
+    held = pages.withColumn("url", F.when(F.col("page.url") != "", F.col("page.url"))).join(html, "url", "left")
     extracts = extract.all_extracts(node_table(held.where("html is not null"), "html", *KEYS), KEYS)
     # a fetched page without any node still counts as fetched
     empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in extracts.schema["extracts"].dataType.fields])
-    joined = held.join(extracts, KEYS, "left").withColumn("extracts", F.when(F.col("html").isNotNull(), F.coalesce("extracts", empty))).drop("html")
-    merged = merge.merge(joined).groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("page_ord", "page"))).alias("found"))
-    return trees.join(merged, "topic", "left").select("topic", "base_url", F.when(F.col("found").isNotNull(), F.col("found.page")).otherwise(F.col("pages")).alias("pages"))
+    joined = held.join(extracts, KEYS, "left").withColumn("extracts", F.when(F.col("html").isNotNull(), F.coalesce("extracts", empty)))
+    broken = F.col("extracts.error")
+    joined = joined.withColumn("_broken", broken).withColumn("extracts", F.when(broken.isNull(), F.col("extracts")))
+    merged = merge.merge(joined, place=place)
+    stage = F.when(F.col("_broken").isNotNull(), "parse").otherwise("merge")
+    error = F.coalesce("_broken", "error")
+    told = F.when(error.isNotNull(), F.struct("page_ord", "url", stage.alias("stage"), error.alias("error")))
+    found = merged.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("page_ord", "page"))).alias("found"), F.array_sort(F.collect_list(told)).alias("errors"))
+    errors = F.coalesce("errors", F.array().cast(schema.ERRORS)).alias("errors")
+    return trees.join(found, "topic", "left").select("topic", "base_url", F.when(F.col("found").isNotNull(), F.col("found.page")).otherwise(F.col("pages")).alias("pages"), errors)
+
+
+def quarantine(enriched: DataFrame) -> DataFrame:
+    """(topic, page_ord, url, stage, error): the pages that could not be enriched."""
+    return enriched.select("topic", F.inline("errors"))
 
 
 def page_trees(pages: DataFrame) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docloom import schema
 from docloom.functions import text as tx
-from docloom.operators import chunk, extract, knowledge, match, monitor, publish
+from docloom.operators import chunk, extract, knowledge, match, merge, monitor, publish
 from docloom.plans import topics
 from docloom.sources.config import select_topics
 from docloom.sources.dom import node_table
@@ -168,74 +169,116 @@ def topic_selection(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("ord").cast("long").alias("ord"), "name", F.col("n_nationkey").cast("long").alias("n_nationkey"))
 
 
-def line_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """(doc_id, pos, line): the lines of all documents; they stand for headings, panels and sections below."""
-    return read(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+EMPTY_EXTRACTS = {"title": "string", "questions": "array<string>", "qa_groups": f"array<struct<heading:string,qas:array<{schema.QA}>>>", "phones": "array<struct<label:string,phone:string,key:string>>", "hours": "string", "file_groups": "array<struct<heading:string,files:array<string>>>", "sections": "array<struct<heading:string,text:string>>", "error": "string"}
 
 
-def half_blobs(spark: SparkSession, sf: str) -> DataFrame:
-    """(doc_id, blob, digits): what the first half of a document holds, as a tree would."""
-    half = read(spark, sf, "documents").select("doc_id", F.left("text", F.expr("length(text) div 2")).alias("half"))
-    return half.select("doc_id", tx.content_norm(F.col("half")).alias("blob"), F.regexp_replace("half", "[^0-9]", "").alias("digits"))
+def extracts_of(**given: Column) -> Column:
+    """Extracts as all_extracts makes them, of which only some kinds were found."""
+    return F.struct(*[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in EMPTY_EXTRACTS.items()])
 
 
-def heading_blocks(rows: DataFrame) -> DataFrame:
-    """Each third line heads a block, the others are its subheadings; some are about contact or opening hours."""
-    say = F.when((F.col("doc_id") + F.col("pos")) % 11 == 0, "Öffnungszeiten ").when((F.col("doc_id") + F.col("pos")) % 5 == 0, "Kontakt ").otherwise("")
-    return rows.select("doc_id", F.expr("pos div 3").alias("block"), (F.col("pos") % 3 - 1).alias("segment"), tx.norm(F.concat(say, "line")).alias("norm_heading"))
+def page_of(blocks: Column) -> Column:
+    return F.struct(F.lit("").alias("url"), F.lit("").alias("title"), blocks.alias("blocks")).cast(schema.PAGE)
+
+
+def block_of(heading: Column, segments: Column) -> Column:
+    return F.struct(heading.alias("heading"), segments.cast(f"array<{schema.SEGMENT}>").alias("segments"))
+
+
+def segment_of(**given: Column) -> Column:
+    none = F.lit(None)
+    return F.struct(*[given.get(name, none).cast("string").alias(name) for name in ("subheading", "text", "files", "contacts")], none.cast(schema.FAQ).alias("faqs"))
+
+
+def half_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, text, lines, page): documents, and a page of each that holds the first half of the text: what was captured of it."""
+    docs = read(spark, sf, "documents").where("text is not null")
+    half = segment_of(text=F.left("text", F.expr("length(text) div 2")))
+    return docs.select("doc_id", "text", F.split("text", "\n", -1).alias("lines"), page_of(F.array(block_of(F.lit(None).cast("string"), F.array(half)))).alias("page"))
+
+
+def added(trees: DataFrame, extracts: Column) -> DataFrame:
+    """(doc_id, block, segment): what placement adds to each page."""
+    done = trees.select("doc_id", merge.placed(F.col("page"), extracts)["value"].alias("page"))
+    blocks = done.select("doc_id", F.posexplode("page.blocks").alias("b", "block"))
+    rows = blocks.select("doc_id", "b", "block", F.posexplode("block.segments").alias("s", "segment"))
+    return rows.where("b > 0 or s > 0").select("doc_id", "block", "segment")
+
+
+def line_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, lines, page): each third line of a document heads a block, the two behind it are its subheadings."""
+    docs = read(spark, sf, "documents").where("text is not null").select("doc_id", F.split("text", "\n", -1).alias("lines"))
+    return docs.select("doc_id", "lines", headed(F.col("lines")).alias("page"))
+
+
+def headed(lines: Column) -> Column:
+    at = lambda i: F.get(lines, i)
+    sub = lambda i: segment_of(subheading=at(i))
+    block = lambda b: block_of(at(b), F.filter(F.array(sub(b + 1), sub(b + 2)), lambda s: s["subheading"].isNotNull()))
+    return page_of(F.transform(F.sequence(F.lit(0), F.size(lines) - 1, F.lit(3)), block))
+
+
+def told_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """line_pages of which some headings are about contact or opening hours."""
+    say = lambda i: F.when((F.col("doc_id") + i) % 11 == 0, "Öffnungszeiten ").when((F.col("doc_id") + i) % 5 == 0, "Kontakt ").otherwise("")
+    pages = line_pages(spark, sf).withColumn("told", F.transform("lines", lambda line, i: F.concat(say(i), line)))
+    return pages.select("doc_id", "lines", headed(F.col("told")).alias("page"))
 
 
 def heading_places(spark: SparkSession, sf: str) -> DataFrame:
     """Where a page made of a document's lines takes what is found under the beginning of each line; -1 for nowhere."""
-    at = lambda i: F.get(F.split("text", "\n", -1), i)
-    sub = lambda i: F.struct(at(i).alias("subheading"))
-    last = F.size(F.split("text", "\n", -1)) - 1
-    block = lambda b: F.struct(at(b).alias("heading"), F.filter(F.array(sub(b + 1), sub(b + 2)), lambda s: s["subheading"].isNotNull()).alias("segments"))
-    trees = read(spark, sf, "documents").where("text is not null").select("doc_id", F.struct(F.transform(F.sequence(F.lit(0), last, F.lit(3)), block).alias("blocks")).alias("page"))
-    asked = line_rows(spark, sf).select("doc_id", F.col("pos").alias("ord"), F.left("line", F.lit(20)).alias("heading"))
-    found = match.locate(asked, match.anchors(trees, ["doc_id"]), ["doc_id"])
-    return found.select("doc_id", F.col("ord").cast("long").alias("ord"), *[F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("block", "insert_at")])
+    pages = line_pages(spark, sf)
+    asked = F.transform("lines", lambda line: F.left(line, F.lit(20)))
+    found = pages.select("doc_id", merge.located(F.col("page"), asked)["value"].alias("at"))
+    rows = found.select("doc_id", F.posexplode("at").alias("ord", "at"))
+    return rows.select("doc_id", F.col("ord").cast("long").alias("ord"), *[F.coalesce(f"at.{c}", F.lit(-1)).cast("long").alias(c) for c in ("block", "insert_at")])
 
 
 def missing_answers(spark: SparkSession, sf: str) -> DataFrame:
-    asked = line_rows(spark, sf).withColumnRenamed("line", "answer")
-    return match.missing_answers(asked, half_blobs(spark, sf).select("doc_id", "blob"), ["doc_id"]).select("doc_id", F.col("pos").cast("long").alias("pos"))
+    """Lines that are added as answers, as the page does not hold them; their numbers stand for questions."""
+    asked = F.transform("lines", lambda line, i: F.struct(i.cast("string").alias("question"), line.alias("answer")))
+    rows = added(half_trees(spark, sf), extracts_of(qa_groups=F.array(F.struct(F.lit("").alias("heading"), asked.alias("qas")))))
+    return rows.select("doc_id", F.explode("segment.faqs.QAs").alias("q")).select("doc_id", F.col("q.question").cast("long").alias("pos"))
 
 
 def missing_phones(spark: SparkSession, sf: str) -> DataFrame:
-    found = F.posexplode(F.regexp_extract_all("text", F.lit(r"\+?[0-9][0-9() .-]+[0-9]"), F.lit(0))).alias("pos", "phone")
-    asked = read(spark, sf, "documents").select("doc_id", found).withColumn("key", tx.phone_key(F.col("phone")))
-    return match.missing_phones(asked, half_blobs(spark, sf).select("doc_id", "digits"), ["doc_id"]).select("doc_id", F.col("pos").cast("long").alias("pos"), "key")
+    found = F.regexp_extract_all("text", F.lit(r"\+?[0-9][0-9() .-]+[0-9]"), F.lit(0))
+    phones = F.transform(found, lambda x, i: F.struct(i.cast("string").alias("label"), x.alias("phone"), tx.phone_key(x).alias("key")))
+    rows = added(half_trees(spark, sf), extracts_of(phones=phones)).select("doc_id", F.explode(F.split("segment.contacts", "\n")).alias("line"))
+    parts = F.split("line", ": ", 2)
+    return rows.select("doc_id", F.get(parts, F.lit(0)).cast("long").alias("pos"), tx.phone_key(F.get(parts, F.lit(1))).alias("key"))
 
 
 def missing_sections(spark: SparkSession, sf: str) -> DataFrame:
-    asked = line_rows(spark, sf).select("doc_id", "pos", F.when(F.col("pos") % 4 == 1, "Downloads").otherwise("").alias("heading"), F.col("line").alias("text"))
-    return match.missing_sections(asked, half_blobs(spark, sf).select("doc_id", "blob"), ["doc_id"]).select("doc_id", F.col("pos").cast("long").alias("pos"))
+    """Lines that are added as sections; every fourth one is about downloads, the others are headed by their number."""
+    asked = F.transform("lines", lambda line, i: F.struct(F.when(i % 4 == 1, "Downloads").otherwise(F.concat(F.lit("s"), i)).alias("heading"), line.alias("text")))
+    rows = added(half_trees(spark, sf), extracts_of(sections=asked))
+    return rows.select("doc_id", F.substr("block.heading", F.lit(2)).cast("long").alias("pos"))
 
 
 def section_places(spark: SparkSession, sf: str) -> DataFrame:
     """-1 stands for the end of the page."""
-    rows = line_rows(spark, sf)
-    blocks = heading_blocks(rows).where("segment = -1").select("doc_id", "block", "norm_heading")
-    found = match.section_places(rows.select("doc_id", "pos", F.left("line", F.lit(20)).alias("heading")), blocks, ["doc_id"])
-    return found.select("doc_id", F.col("pos").cast("long").alias("pos"), F.coalesce("insert_after", F.lit(-1)).cast("long").alias("insert_after"))
+    pages = told_pages(spark, sf)
+    asked = F.transform("lines", lambda line: F.left(line, F.lit(20)))
+    rows = pages.select("doc_id", F.posexplode(merge.followed(F.col("page"), asked)["value"]).alias("pos", "at"))
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), F.coalesce("at", F.lit(-1)).cast("long").alias("insert_after"))
 
 
 def contact_block(spark: SparkSession, sf: str) -> DataFrame:
-    blocks = heading_blocks(line_rows(spark, sf)).where("segment = -1")
-    return match.contact_block(blocks, ["doc_id"]).select("doc_id", F.col("block").cast("long").alias("block"))
+    return told_pages(spark, sf).select("doc_id", merge.chosen(F.col("page"))["value"]["contact"].cast("long").alias("block"))
 
 
 def hours_block(spark: SparkSession, sf: str) -> DataFrame:
-    return match.hours_block(heading_blocks(line_rows(spark, sf)), ["doc_id"]).select("doc_id", F.col("block").cast("long").alias("block"))
+    return told_pages(spark, sf).select("doc_id", merge.chosen(F.col("page"))["value"]["hours"].cast("long").alias("block"))
 
 
 def hours_missing(spark: SparkSession, sf: str) -> DataFrame:
     """The names of some weekdays, as many as doc_id tells, are put behind each text."""
     days = F.slice(F.array(*[F.lit(f"{d.title()}\u00a0") for d in tx.WEEKDAYS]), 1, (F.col("doc_id") % 7).cast("int"))
     docs = read(spark, sf, "documents").select("doc_id", F.concat_ws(" ", "text", F.array_join(days, " ")).alias("text"), days.alias("days"))
+    page = page_of(F.array(block_of(F.lit(""), F.array(segment_of(text=F.col("text"))))))
     named = F.size(F.filter("days", tx.is_weekday)).cast("long")
-    return docs.select("doc_id", match.hours_missing(tx.norm(F.col("text"))).alias("missing"), named.alias("named"))
+    return docs.select("doc_id", merge.chosen(page)["value"]["lacks_hours"].alias("missing"), named.alias("named"))
 
 
 NAMES = (

@@ -13,13 +13,15 @@ import os
 import subprocess
 import sys
 import time
+import uuid
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators import monitor, publish
-from docloom.plans.topics import enrich
+from docloom.plans.topics import enrich, quarantine
 from docloom.sinks import files, state
 from docloom.sinks.remote import KnowledgeBase, push
 from docloom.sources import trees, web
@@ -28,6 +30,17 @@ from docloom.sources.config import ConfigError, Site, load_site, select_topics,
 MOST_RETRIES, HOLD = 3, 2
 
 
+@dataclass
+class Processed:
+    """What a run made: metrics with issues, their totals, topics without a readable tree, pages in quarantine, and the stage folder."""
+
+    found: DataFrame
+    totals: dict[str, int]
+    lost: list[str]
+    quarantine: DataFrame
+    stage: str
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Capture, enrich, watch and publish a site's topics.")
     p.add_argument("--config", default="sites/site.yaml", help="site file")
@@ -71,46 +84,54 @@ def capture_all(topics: Iterable, capture: Callable | None, retries: int, backof
     return done, failed
 
 
-def process(spark: SparkSession, names: list[str], captured: str, out: str, fetch: Callable = web.read_pages) -> tuple[DataFrame, list[str]]:
-    """(metrics with issues, topics without a readable tree): enriched trees and Markdown are written, compared with what lay there."""
+def process(spark: SparkSession, names: list[str], captured: str, out: str, fetch: Callable = web.read_pages) -> Processed:
+    """Enriched trees and Markdown are written, and compared with what lay there.
+
+    Trees, URLs and pages stay tables: the trees are written once, as a stage table below `out`, with what is counted of
+    them, and all that follows reads that table.
+    """
+    stage = f"{out.rstrip('/')}/_stage-{uuid.uuid4().hex}"
     wanted = spark.createDataFrame([(n,) for n in dict.fromkeys(names)], "topic string")
     read = trees.read_trees(spark, captured).join(F.broadcast(wanted), "topic").where("pages is not null")
-    old = monitor.previous_metrics(spark, out)
-    before = spark.createDataFrame(old.collect(), old.schema)  # one row a topic, read before the files are replaced
-    urls = [r["url"] for r in read.select(F.explode("pages.url").alias("url")).where("url <> ''").distinct().collect()]  # a site's pages
-    made = enrich(read, fetch(spark, urls))
-    made = spark.createDataFrame(made.collect(), made.schema)  # a site's topics, used by all that follows
+    before = monitor.previous_metrics(spark, out)
+    before.write.parquet(f"{stage}/before")  # the files it was read from are about to be replaced
+    before = spark.read.schema(before.schema).parquet(f"{stage}/before")
+    urls = read.select(F.explode("pages.url").alias("url")).where("url <> ''").distinct()
+    made, totals = trees.stage(enrich(read, fetch(spark, urls)), f"{stage}/trees")
     files.write_trees(made, out)
     files.write_markdown(made, out)
     metrics = monitor.metrics(made)
-    have = {r["topic"] for r in made.select("topic").collect()}
-    return metrics.join(monitor.regressions(metrics, before), "topic"), [n for n in dict.fromkeys(names) if n not in have]
+    have = {r["topic"] for r in metrics.select("topic").collect()}  # of the listed names, so no more than those
+    return Processed(metrics.join(monitor.regressions(metrics, before), "topic"), totals, [n for n in dict.fromkeys(names) if n not in have], quarantine(made), stage)
 
 
 def run(spark: SparkSession, args: argparse.Namespace, site: Site, capture: Callable | None = None, notify: Callable = lambda title, text: None, base: KnowledgeBase | None = None, fetch: Callable = web.read_pages) -> int:
     """The whole run; 0, or HOLD where publishing has to go on later."""
     topics = select_topics(topics_table(spark, site), args.topics).orderBy("ord").collect()  # a configuration
     done, failed = capture_all(topics, capture, args.retries, args.retry_backoff, args.delay)
-    found, lost = process(spark, done, args.capture, args.out, fetch) if done else (None, [])
-    failed += lost
+    made = process(spark, done, args.capture, args.out, fetch) if done else None
+    failed += made.lost if made else []
     for name in failed:
         notify("Capture failed", f"topic '{name}' failed")
-    metrics = found.drop("issues") if found is not None else monitor.no_metrics(spark)
-    for row in found.where(F.size("issues") > 0).orderBy("topic").collect() if found is not None else []:
+    metrics = made.found.drop("issues") if made else monitor.no_metrics(spark)
+    for row in made.found.where(F.size("issues") > 0).orderBy("topic").toLocalIterator() if made else []:
         notify("Coverage lost", f"{row['topic']}: {'; '.join(row['issues'])}")
-    notify("Run finished with failures" if failed else "Run finished", monitor.run_summary(metrics, failed).first()["summary"])
-    if not args.upload or found is None:
+    for row in made.quarantine.groupBy("topic").agg(F.count("*").alias("n"), F.min("error").alias("error")).orderBy("topic").toLocalIterator() if made else []:
+        notify("Pages in quarantine", f"{row['topic']}: {row['n']}, {row['error']}")
+    notify("Run finished with failures" if failed else "Run finished", monitor.run_summary(metrics, failed, known=made.totals if made else None).first()["summary"])
+    if made:
+        files.remove(spark, made.stage)
+    if not args.upload or made is None:
         return 0
     documents = publish.markdown_documents(spark, args.out)
     names = spark.createDataFrame([(f"{n}.md",) for n in dict.fromkeys(done) if n not in failed], "name string")
-    plan = publish.upload_plan(names, documents, state.load_state(spark, args.state)).persist()
+    plan = publish.upload_plan(names, documents, state.load_state(spark, args.state))
     try:
-        sums = publish.publish(plan, documents, base.upload, base.delete, state.save_row(spark, args.state))
+        sums = publish.publish(plan, documents, base.upload, base.delete, args.state)
     except publish.UploadHold as hold:
         notify("Upload on hold", str(hold))
         return HOLD
-    finally:
-        plan.unpersist()
+    state.compact(spark, args.state)
     notify("Upload finished", f"uploaded {sums['uploaded']}, unchanged {sums['skipped']}")
     return 0
 

@@ -19,5 +19,6 @@ NODES = (
 )
 EXTRACTS = (
     "struct<title:string,questions:array<string>,qa_groups:array<struct<heading:string,qas:array<" + QA + ">>>,phones:array<struct<label:string,phone:string,key:string>>,"
-    "hours:string,file_groups:array<struct<heading:string,files:array<string>>>,sections:array<struct<heading:string,text:string>>>"
+    "hours:string,file_groups:array<struct<heading:string,files:array<string>>>,sections:array<struct<heading:string,text:string>>,error:string>"
 )
+ERRORS = "array<struct<page_ord:int,url:string,stage:string,error:string>>"

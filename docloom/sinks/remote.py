@@ -47,12 +47,15 @@ class KnowledgeBase:
         if status not in (200, 204, 404):
             raise RuntimeError(f"delete of {file_id}: {status} {body[:ERROR_LIMIT]}")
 
-    def upload(self, name: str, md: str, params: dict) -> str:
-        """Put a document up and return its id; the service must say that it was created and under which id."""
+    def upload(self, name: str, md: str, params: dict, key: str | None = None) -> str:
+        """Put a document up and return its id; the service must say that it was created and under which id.
+
+        key travels as Idempotency-Key, by which services know a request that they have answered before.
+        """
         edge = uuid.uuid4().hex
         parts = [f'--{edge}\r\nContent-Disposition: form-data; name="{k}"\r\n\r\n{v}\r\n'.encode() for k, v in {**(self.fields or {}), **params}.items()]
         parts.append(f'--{edge}\r\nContent-Disposition: form-data; name="uploaded_files"; filename="{name}"\r\nContent-Type: text/markdown\r\n\r\n'.encode() + md.encode("utf-8") + b"\r\n")
-        headers = {**self.headers(), "Content-Type": f"multipart/form-data; boundary={edge}"}
+        headers = {**self.headers(), "Content-Type": f"multipart/form-data; boundary={edge}", **({"Idempotency-Key": key} if key else {})}
         status, body = call(Request(self.upload_url, data=b"".join(parts) + f"--{edge}--\r\n".encode(), headers=headers, method="POST"), self.opener)
         if status != 201:
             raise RuntimeError(f"upload of {name}: {status} {body[:ERROR_LIMIT]}")

@@ -25,6 +25,11 @@ HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 HIDING = frozenset(("hide", "hidden", "d-none", "invisible", "sr-only", "visually-hidden"))
 
 
+NODE = dict.fromkeys(("pos", "end_pos", "depth", "parent_pos", "kind", "tag", "text", "href", "hidden", "in_accordion", "question", "answer", "pairs"))
+#: What is kept of an error's text.
+ERROR_LIMIT = 500
+
+
 class Element:
     __slots__ = ("tag", "attrs", "classes", "parts", "parent", "pos", "end", "gone")
 
@@ -158,14 +163,20 @@ def panels(root: Element) -> Iterator[tuple[int, int, str, str]]:
 
 
 def nodes(html: str | None) -> list[dict] | None:
-    """The nodes of a page; null for null. Never raises: what cannot be parsed gives what was read before."""
+    """The nodes of a page; null for null. Never raises: a page that breaks gives one node of kind error, with why as its text."""
     if html is None:
         return None
-    root = parse(html)
+    try:
+        return found_nodes(parse(html))
+    except Exception as error:  # noqa: BLE001  a page may break in any way
+        return [NODE | {"pos": 0, "end_pos": 0, "depth": 0, "parent_pos": 0, "kind": "error", "tag": "", "text": f"{type(error).__name__}: {error}"[:ERROR_LIMIT]}]
+
+
+def found_nodes(root: Element) -> list[dict]:
     out: list[dict] = []
 
     def put(pos: int, end: int, depth: int, parent: int, kind: str, tag: str, text: str | None, **more: object) -> None:
-        out.append({"pos": pos, "end_pos": end, "depth": depth, "parent_pos": parent, "kind": kind, "tag": tag, "text": text, "href": None, "hidden": None, "in_accordion": None, "question": None, "answer": None, "pairs": None} | more)
+        out.append(NODE | {"pos": pos, "end_pos": end, "depth": depth, "parent_pos": parent, "kind": kind, "tag": tag, "text": text} | more)
 
     stack = [(iter(root.parts), root, False, False, 0)]
     while stack:

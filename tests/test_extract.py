@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.operators import extract, match
 from docloom.sources.dom import node_table, nodes
@@ -11,7 +12,7 @@ PAGE = """<html><head><title>Heat &amp; Power | Town Works</title><style>h2{}</s
 <h2>Questions</h2>
 <div class="accordion-item x"><h3><button class="accordion-button">When do you open?</button></h3><div class="accordion-collapse collapse">At nine.<table><tr><th>Day</th><th>Time</th></tr><tr><td>Mon</td></tr></table></div></div>
 <div class="accordion-item"><button class="accordion-button">Empty</button><div class="accordion-collapse"></div></div>
-<div class="accordion-item"><button class="accordion-button">Echo</button><div class="accordion-collapse"> echo </div></div>
+<div class="accordion-item"><button class="accordion-button">Who pays?</button><div class="accordion-collapse"> who PAYS? </div></div>
 <details><summary>Where?</summary>In the <b>old</b> town.</details>
 <h2 style="display: none">Hidden</h2><p>Nobody sees this long text, which is here all the same.</p>
 <h2>Contact</h2><strong>Hotline</strong><a href="tel:+49715113100">07151 131-00</a><a href="tel:07151 13100">again</a><a href="TEL:0800-1"></a>
@@ -31,6 +32,12 @@ def rows(df, *cols):
     return [tuple(r) for r in df.where("page_id = 1").select(*cols).collect()]
 
 
+def found(nodes, kind, *fields):
+    """What was found of one kind on page 1."""
+    value = extract.all_extracts(nodes, ["page_id"]).where("page_id = 1").first()["extracts"][kind]
+    return [tuple(x[f] for f in fields) for x in value or []] if fields else value
+
+
 def test_title_uses_text_before_the_pipe(table):
     assert rows(extract.titles(table, ["page_id"]), "title") == [("Heat & Power",)]
 
@@ -41,28 +48,27 @@ def test_title_falls_back_to_h1(spark):
 
 
 def test_file_groups_follow_headings_and_names_count_once(table):
-    found = rows(extract.file_groups(table, ["page_id"]).orderBy("ord"), "heading", "files")
-    assert found == [("Tariffs", ["Price list", "Sheet"]), ("Old", ["Archive"])]
+    assert found(table, "file_groups", "heading", "files") == [("Tariffs", ["Price list", "Sheet"]), ("Old", ["Archive"])]
 
 
 def test_a_heading_that_comes_back_opens_a_new_group(spark):
     html = "<h2>A</h2><a href=1.pdf>x</a><h2>B</h2><a href=2.pdf>y</a><h2>A</h2><a href=3.pdf>z</a>"
     t = node_table(spark.createDataFrame([(1, html)], "page_id long, html string"), "html", "page_id")
-    assert rows(extract.file_groups(t, ["page_id"]).orderBy("ord"), "heading", "files") == [("A", ["x"]), ("B", ["y"]), ("A", ["z"])]
+    assert found(t, "file_groups", "heading", "files") == [("A", ["x"]), ("B", ["y"]), ("A", ["z"])]
+    names = extract.all_extracts(t, ["page_id"]).select(extract.file_names(F.col("extracts"))).first()[0]
+    assert names == ["x", "y", "z"]
 
 
 def test_questions_with_tables_and_without_echoes(table):
-    found = rows(extract.qa_groups(table, ["page_id"]).orderBy("ord"), "heading", "qas")
-    assert [(h, [(q["question"], q["answer"]) for q in qas]) for h, qas in found] == [("Questions", [("When do you open?", "At nine.\n\n| Day | Time |\n| --- | --- |\n| Mon |  |"), ("Where?", "In the\nold\ntown.")])]
+    assert [(h, [(q["question"], q["answer"]) for q in qas]) for h, qas in found(table, "qa_groups", "heading", "qas")] == [("Questions", [("When do you open?", "At nine.\n\n| Day | Time |\n| --- | --- |\n| Mon |  |"), ("Where?", "In the\nold\ntown.")])]
 
 
 def test_groups_merge_by_heading_and_repeat_across(spark):
     item = '<div class="accordion-item"><button class="accordion-button">{}</button><div class="accordion-collapse">{}</div></div>'
     html = "<h2>A</h2>" + item.format("Data", "one") + "<h2>B</h2>" + item.format("Data", "two") + "<h2>A</h2>" + item.format("More", "three") + item.format("data", "four")
     t = node_table(spark.createDataFrame([(1, html)], "page_id long, html string"), "html", "page_id")
-    found = rows(extract.qa_groups(t, ["page_id"]).orderBy("ord"), "heading", "qas")
-    assert [(h, [q["answer"] for q in qas]) for h, qas in found] == [("A", ["one", "three"]), ("B", ["two"])]
-    assert [r[0] for r in rows(extract.distinct_qas(t, ["page_id"]).orderBy("pos"), "answer")] == ["one", "three"]
+    assert [(h, [q["answer"] for q in qas]) for h, qas in found(t, "qa_groups", "heading", "qas")] == [("A", ["one", "three"]), ("B", ["two"])]
+    assert sorted(found(t, "questions")) == ["data", "more"]
 
 
 def test_nested_tables_are_flattened_and_leave_the_inner_panel():
@@ -72,33 +78,34 @@ def test_nested_tables_are_flattened_and_leave_the_inner_panel():
 
 
 def test_phones_by_key_with_label(table):
-    assert rows(extract.phones(table, ["page_id"]).orderBy("pos"), "label", "phone", "key") == [("Hotline", "07151 131-00", "715113100"), ("Hotline", "0800-1", "8001")]
+    assert found(table, "phones", "label", "phone", "key") == [("Hotline", "07151 131-00", "715113100"), ("Hotline", "0800-1", "8001")]
 
 
 def test_opening_hours_need_three_weekdays(table, spark):
-    assert rows(extract.opening_hours(table, ["page_id"]), "hours") == [("- Montag: 8 - 12\n- Dienstag: 8 - 16\n- Freitag: 8",)]
+    assert found(table, "hours") == "- Montag: 8 - 12\n- Dienstag: 8 - 16\n- Freitag: 8"
     two = node_table(spark.createDataFrame([(1, "<dl><dt>Montag<dd>8<dt>Dienstag</dl>")], "page_id long, html string"), "html", "page_id")
-    assert extract.opening_hours(two, ["page_id"]).count() == 0
+    assert found(two, "hours") is None
 
 
 def test_sections_skip_accordions_and_hidden(table):
-    found = rows(extract.prose_sections(table, ["page_id"]).orderBy("pos"), "heading", "text")
-    assert [h for h, _ in found] == ["Tariffs", "Contact"]
-    assert found[0][1].startswith("Our tariffs are simple") and "no text" not in found[0][1]
+    sections = found(table, "sections", "heading", "text")
+    assert [h for h, _ in sections] == ["Tariffs", "Contact"]
+    assert sections[0][1].startswith("Our tariffs are simple") and "no text" not in sections[0][1]
 
 
 def test_broken_html_null_and_empty_pages(table):
-    found = {r["page_id"]: r["n"] for r in table.groupBy("page_id").count().withColumnRenamed("count", "n").collect()}
-    assert 2 in found and 3 not in found and 4 not in found
+    counts = {r["page_id"]: r["n"] for r in table.groupBy("page_id").count().withColumnRenamed("count", "n").collect()}
+    assert 2 in counts and 3 not in counts and 4 not in counts
 
 
 def test_all_extracts_in_one_row_a_page(table):
-    found = {r["page_id"]: r["extracts"] for r in extract.all_extracts(table, ["page_id"]).collect()}
-    assert set(found) == {1, 2} and found[1]["questions"] and found[2]["qa_groups"] is None
+    every = {r["page_id"]: r["extracts"] for r in extract.all_extracts(table, ["page_id"]).collect()}
+    assert set(every) == {1, 2} and every[1]["questions"] and every[2]["qa_groups"] is None
+    assert every[1]["error"] is None
 
 
 def test_label_resolution_tiers_and_empty_href(spark):
     links = spark.createDataFrame([(1, 1, "heating", "/x"), (1, 2, "district heating plans", "/y"), (1, 3, "district", "/z"), (1, 4, "all offers", "/o"), (1, 5, "offers", "")], "page_id int, pos int, text string, href string")
     labels = spark.createDataFrame([(1, 0, "District  heating", "http://a/b/"), (1, 1, "district heating network", "http://a/b/"), (1, 2, "Offers", "http://a/b/"), (1, 3, "nothing", "http://a/b/")], "page_id int, label_pos int, label string, base_url string")
-    found = [(r["label_pos"], r["url"]) for r in match.resolve_labels(labels, links, ["page_id"]).orderBy("label_pos").collect()]
-    assert found == [(0, "http://a/y"), (1, "http://a/z"), (2, "http://a/o")]
+    urls = [(r["label_pos"], r["url"]) for r in match.resolve_labels(labels, links, ["page_id"]).orderBy("label_pos").collect()]
+    assert urls == [(0, "http://a/y"), (1, "http://a/z"), (2, "http://a/o")]

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from docloom import schema
 from docloom.functions import text as tx
-from docloom.operators import extract, match, merge
+from docloom.operators import extract, match, merge, placement
 from docloom.operators.render import markdown
-from docloom.plans.topics import enrich
+from docloom.plans.topics import enrich, quarantine
 from docloom.schema import TREE
+from docloom.sources import dom
 
 ITEM = '<div class="accordion-item"><button class="accordion-button">{}</button><div class="accordion-collapse">{}</div></div>'
 
@@ -87,38 +88,86 @@ def test_topics_without_pages_stay(spark):
     assert {r["topic"]: r["pages"] for r in enrich(trees, spark.createDataFrame([], "url string, html string")).collect()} == {"t": [], "n": None}
 
 
-def test_locate_agrees_with_placement(spark):
-    words = ["grid", "Grid connection", "grid connection terms", "Offers", "offers for all", "", "heat"]
+def linear(p, heading):
+    """Where a heading leads by looking at every place of a page."""
+    wanted = placement.squeeze(heading)
+    places = []
+    for k, b in enumerate(p.blocks):
+        places += [(0, k, n + 1, placement.squeeze(s.subheading)) for n, s in enumerate(b.segments)]
+        places.append((1, k, len(b.segments), placement.squeeze(b.heading)))
+    ranked = [(level + (0 if name == wanted else 2), n, k, at) for n, (level, k, at, name) in enumerate(places) if placement.match(name, wanted)]
+    return min(ranked)[2:] if ranked else None
+
+
+def test_index_agrees_with_looking_at_every_place_while_a_page_grows():
+    words = ["grid", "Grid connection", "grid connection terms", "Offers", "offers for all", "", None, "heat", "Downloads grid connection", "all", "al"]
     rng = random.Random(3)
-    pages = [page(*[(rng.choice(words), *[seg(subheading=rng.choice([None, *words])) for _ in range(rng.randint(0, 3))]) for _ in range(rng.randint(0, 3))]) for _ in range(30)]
-    tree = spark.createDataFrame(list(enumerate(pages)), f"id int, page {schema.PAGE}")
-    asked = spark.createDataFrame([(i, n, w) for i in range(30) for n, w in enumerate(words)], "id int, ord int, heading string")
-    for r in match.locate(asked, match.anchors(tree, ["id"]), ["id"]).collect():
-        want = merge.Placement(page(*[(b["heading"], *b["segments"]) for b in pages[r["id"]]["blocks"]])).locate(r["heading"])
-        assert (want is None) == (r["block"] is None) and (want is None or want == (r["block"], r["insert_at"]))
-
-
-def test_anti_joins(spark):
-    qas = spark.createDataFrame([(1, "exactly14chars"), (1, "fifteen chars xx"), (2, "fifteen chars xx")], "id int, answer string")
-    blobs = spark.createDataFrame([(1, "exactly14chars and fifteen chars xx"), (2, "nothing")], "id int, blob string")
-    assert sorted(tuple(r) for r in match.missing_answers(qas, blobs, ["id"]).collect()) == [(1, "exactly14chars"), (2, "fifteen chars xx")]
-    phones = spark.createDataFrame([(1, "7151"), (1, "99")], "id int, key string")
-    assert [r["key"] for r in match.missing_phones(phones, spark.createDataFrame([(1, "0071511")], "id int, digits string"), ["id"]).collect()] == ["99"]
-    text = "A long sentence that says something about heat pumps."
-    sections = spark.createDataFrame([(1, 1, "A", text), (1, 2, "Downloads", text), (1, 3, "C", "short")], "id int, pos int, heading string, text string")
-    assert [r["pos"] for r in match.missing_sections(sections, spark.createDataFrame([(1, "other")], "id int, blob string"), ["id"]).collect()] == [1]
-    assert match.missing_sections(sections, spark.createDataFrame([(1, text.lower())], "id int, blob string"), ["id"]).count() == 0
-
-
-def test_blocks_for_contact_hours_and_sections(spark):
-    tree = spark.createDataFrame([(1, page(("Intro",), ("Kontakt", seg(subheading="Öffnungszeiten heute")), ("End",)))], f"id int, page {schema.PAGE}")
-    places = match.anchors(tree, ["id"])
-    blocks = places.where("segment < 0")
-    assert match.contact_block(blocks, ["id"]).first()["block"] == 1
-    assert match.hours_block(places, ["id"]).first()["block"] == 1
-    sections = spark.createDataFrame([(1, 10, "Intro"), (1, 20, "Nowhere"), (1, 30, "More")], "id int, pos int, heading string")
-    assert [(r["pos"], r["insert_after"]) for r in match.section_places(sections, blocks, ["id"]).orderBy("pos").collect()] == [(10, None), (20, 0), (30, 0)]
-    assert spark.range(1).select(match.hours_missing(F.lit("montag dienstag")).alias("m")).first()["m"]
+    for _ in range(300):
+        work = placement.Page(page(*[(rng.choice(words), *[seg(subheading=rng.choice(words), text=rng.choice([None, "x"])) for _ in range(rng.randint(0, 3))]) for _ in range(rng.randint(0, 3))]))
+        for _ in range(12):
+            wanted = rng.choice(words)
+            found = work.locate(wanted)
+            assert (found and (work.blocks.index(found[0]), found[1])) == linear(work, wanted)
+            part = placement.squeeze(rng.choice(words))
+            assert work.index.block_with(part) is next((b for b in work.blocks if part and part in placement.squeeze(b.heading)), None)
+            before = next((b for name in reversed(work.trail) if name for b in work.blocks if name in placement.squeeze(b.heading)), None)
+            assert work.block_before() is before
+            work.trail.append(part)
+            step = rng.randrange(4)
+            if step == 0 and work.blocks:
+                block = rng.choice(work.blocks)
+                work.put(block, rng.randint(0, len(block.segments)), placement.Segment(subheading=rng.choice(words)), placement.Segment(text="t"))
+            elif step == 1:
+                work.open_block(rng.choice(words), placement.Segment(subheading=rng.choice(words)), rng.choice([None, 0, len(work.blocks)]))
+            elif step == 2:
+                work.release_files()
+
+
+def test_labels_survive_many_insertions_at_one_place():
+    work = placement.Page(page(("A", seg(subheading="first"), seg(subheading="last"))))
+    for n in range(200):
+        work.put(work.blocks[0], 1, placement.Segment(subheading=f"number {n}"))
+        work.open_block(f"block {n}", placement.Segment(), 1)
+    for items in (work.blocks, work.blocks[0].segments):
+        labels = [x.label for x in items]
+        assert labels == sorted(set(labels))
+    assert [work.locate(f"number {n}")[1] for n in (199, 0)] == [2, 201]
+
+
+def test_questions_to_a_page(spark):
+    tree = page(("Intro",), ("Kontakt", seg(subheading="Öffnungszeiten heute"), seg(text="montag dienstag")), ("End",))
+    df = spark.createDataFrame([(1, tree, ["Intro", "Nowhere", "More"]), (2, page(), ["x"]), (3, None, ["x"])], f"id int, page {schema.PAGE}, asked array<string>")
+    rows = {r["id"]: r for r in df.select("id", merge.chosen(F.col("page")).alias("c"), merge.followed(F.col("page"), F.col("asked")).alias("f"), merge.located(F.col("page"), F.col("asked")).alias("l")).collect()}
+    assert rows[1]["c"]["value"].asDict() == {"contact": 1, "hours": 1, "lacks_hours": True} and rows[1]["f"]["value"] == [None, 0, 0]
+    assert [tuple(x) for x in rows[1]["l"]["value"]] == [(0, 0), (None, None), (None, None)]
+    assert rows[2]["c"]["value"].asDict() == {"contact": None, "hours": None, "lacks_hours": True} and rows[3]["c"] is None
+
+
+def test_a_page_that_breaks_is_put_in_quarantine(spark):
+    def place(page, extracts):
+        if "break" in page["url"]:
+            raise RecursionError("too deep")
+        return placement.place(page, extracts)
+
+    pages = [page(("A", seg(text="- ")), url=f"http://t/{n}") for n in ("one", "break", "two")]
+    trees = spark.createDataFrame([("t", "u", pages), ("other", "u", [page(("B", seg(text="b")), url="http://t/one")]), ("none", "u", None)], f"topic string, {TREE}")
+    fetched = spark.createDataFrame([(p["url"], "<title>New</title><h2>Long enough</h2><p>A sentence that is long enough to be placed here.</p>") for p in pages], "url string, html string")
+    made = enrich(trees, fetched, place).cache()
+    got = {r["topic"]: r.asDict(recursive=True)["pages"] for r in made.collect()}
+    assert [p["title"] for p in got["t"]] == ["New", None, "New"] and got["t"][1] == pages[1] and got["other"][0]["title"] == "New" and got["none"] is None
+    assert [tuple(r) for r in quarantine(made).collect()] == [("t", 1, "http://t/break", "merge", "RecursionError: too deep")]
+
+
+def test_a_page_that_cannot_be_parsed_is_put_in_quarantine(spark):
+    broken = [dom.NODE | {"pos": 0, "end_pos": 0, "depth": 0, "parent_pos": 0, "kind": "error", "tag": "", "text": "ValueError: no"}]
+    nodes = spark.createDataFrame([("t", 0, broken), ("t", 1, dom.nodes("<title>T</title>"))], f"topic string, page_ord int, nodes {schema.NODES}").select("topic", "page_ord", F.inline("nodes"))
+    found = {r["page_ord"]: r["extracts"] for r in extract.all_extracts(nodes, ["topic", "page_ord"]).collect()}
+    assert found[0]["error"] == "ValueError: no" and found[1]["error"] is None and found[1]["title"] == "T"
+
+
+def test_parser_errors_are_nodes(monkeypatch):
+    monkeypatch.setattr(dom, "parse", lambda html: 1 / 0)
+    assert [(n["kind"], n["text"]) for n in dom.nodes("<p>")] == [("error", "ZeroDivisionError: division by zero")] and dom.nodes(None) is None
 
 
 def test_markdown_worked_example(spark):
@@ -139,30 +188,6 @@ def test_text_functions(spark):
     assert list(row.first()) == ["a b", "a b c", ["x", "y"], "", "A\n\tB", "x", [], True, False]
 
 
-EVERY_SHAPE = """<title>T | site</title><h1>H</h1><h2>Questions</h2><div class="accordion-item"><button class="accordion-button">Why?</button>
-<div class="accordion-collapse">Because <table><tr><th>a</th></tr><tr><td>b</td></tr></table></div></div><details><summary>How?</summary>So.</details>
-<details><summary>why?</summary>Again.</details><h2>Files</h2><a href="a.pdf">A</a><a href="a2.pdf">A</a><h3>More</h3><a href="b.zip">B</a><h2>Files</h2><a href="c.csv">C</a>
-<h2>Kontakt</h2><strong>Service</strong><a href="tel:+49 7151 1">07151 1</a><a href="tel:071511"></a><dl><dt>Montag</dt><dd>8 - 12</dd><dt>Dienstag</dt><dd>8</dd><dt>Mittwoch</dt><dd>9</dd></dl>
-<h2 class="hidden">No</h2><p>hidden text</p><h2>Prose</h2><p>A sentence.</p><p>Another.</p>"""
-
-
-def test_one_pass_equals_single_extractors(spark):
-    from docloom.sources.dom import node_table
-
-    pages = spark.createDataFrame([(1, EVERY_SHAPE), (2, "<p>x</p>"), (3, EVERY_SHAPE.replace("Files", "Other"))], "page_id long, html string")
-    nodes, keys = node_table(pages, "html", "page_id"), ["page_id"]
-    got = {r["page_id"]: r["extracts"].asDict(recursive=True) for r in extract.all_extracts(nodes, keys).collect()}
-    singles = {"qa_groups": (extract.qa_groups, "ord", ("heading", "qas")), "file_groups": (extract.file_groups, "ord", ("heading", "files")), "phones": (extract.phones, "pos", ("label", "phone", "key")), "sections": (extract.prose_sections, "pos", ("heading", "text"))}
-    for name, (made, order, columns) in singles.items():
-        rows = [r.asDict(recursive=True) for r in made(nodes, keys).orderBy("page_id", order).collect()]
-        for page in (1, 2, 3):
-            want = [{c: r[c] for c in columns} for r in rows if r["page_id"] == page]
-            assert (got[page][name] or []) == want
-    assert all(got[1][name] for name in (*singles, "hours", "questions")) and got[2]["title"] == "" and len(got[1]["file_groups"]) == 3
-    assert sorted(got[1]["questions"]) == sorted({r["q"] for r in extract.distinct_qas(nodes, keys).where("page_id = 1").select(tx.norm(F.col("question")).alias("q")).collect()})
-    assert got[1]["hours"] == extract.opening_hours(nodes, keys).where("page_id = 1").first()["hours"]
-
-
 def test_pages_are_parsed_and_moved_once(spark):
     from docloom import registry
 

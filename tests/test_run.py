@@ -35,7 +35,7 @@ def test_metrics_and_rules(spark):
     assert monitor.run_summary(m(), []).first()["summary"] == "0 ok, 0 failed\ntotal: 0 pages · 0 FAQ · 0 files"
 
 
-def test_publish_replaces_holds_and_resumes(spark):
+def test_upload_plan(spark):
     docs = spark.createDataFrame([("a", "new"), ("b", "same"), ("c", "first")], "name string, md string")
     names = spark.createDataFrame([("a",), ("b",), ("c",), ("gone",)], "name string")
     sha = dict(docs.select("name", F.sha2("md", 256)).collect())
@@ -44,19 +44,6 @@ def test_publish_replaces_holds_and_resumes(spark):
     assert {r["name"]: r["action"] for r in plan.collect()} == {"a": "replace", "b": "skip", "c": "upload", "gone": "missing"}
     assert {r["action"]: r["n"] for r in publish.tally(plan).collect()} == {"replace": 1, "skip": 1, "upload": 1, "missing": 1}
     assert [r["name"] for r in publish.removed_topics(names, state).collect()] == ["z"]
-    log, saved = [], []
-    done = publish.publish(plan, docs, lambda n, md, p: log.append(("up", n)) or f"id-{n}", lambda i: log.append(("del", i)), saved.append, now=lambda: "now")
-    assert done == {"uploaded": 2, "skipped": 1} and log == [("del", "1"), ("up", "a"), ("up", "c")]
-    assert [(s["name"], s["file_id"], s["uploaded_at"]) for s in saved] == [("a", "id-a", "now"), ("c", "id-c", "now")]
-    tries = []
-
-    def broken(*a):
-        tries.append(a)
-        raise OSError("down")
-
-    with pytest.raises(publish.UploadHold):
-        publish.publish(plan, docs, broken, lambda i: None, saved.append)
-    assert len(tries) == 2
 
 
 def test_knowledge_round_trip(spark, tmp_path):

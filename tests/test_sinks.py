@@ -13,6 +13,7 @@ from docloom.operators.publish import UploadHold
 from docloom.sinks import files, state
 from docloom.sinks.remote import PUSH_LIMIT, KnowledgeBase, push
 from docloom.sources.config import load_site
+from test_publish import HttpService
 
 SEGMENT = dict.fromkeys(("subheading", "text", "files", "contacts", "faqs"))
 
@@ -23,7 +24,7 @@ def tree(title, *texts):
 
 
 class Service:
-    """A knowledge base that answers from a script."""
+    """A knowledge base that answers from a script; an opener for calls within this process."""
 
     def __init__(self, *answers):
         self.answers, self.asked = list(answers), []
@@ -58,17 +59,6 @@ def test_remote_rules():
     assert sent.asked[0][2].endswith(b"message=" + b"m" * PUSH_LIMIT)
 
 
-def test_state_keeps_one_row_a_document(spark, tmp_path):
-    path = str(tmp_path / "state")
-    assert state.load_state(spark, path).count() == 0
-    save = state.save_row(spark, path)
-    row = {"name": "a.md", "file_id": "1", "sha256": "x", "chunk_params": None, "uploaded_at": "now"}
-    save(row)
-    save(row | {"name": "b.md"})
-    save(row | {"file_id": "2"})
-    assert sorted((r["name"], r["file_id"]) for r in state.load_state(spark, path).collect()) == [("a.md", "2"), ("b.md", "1")]
-
-
 def test_previous_metrics_of_missing_and_unreadable_files(spark, tmp_path):
     assert monitor.previous_metrics(spark, str(tmp_path / "none")).count() == 0
     (tmp_path / "a.json").write_text(json.dumps(tree("a", "x")))
@@ -111,19 +101,23 @@ def test_run_captures_enriches_publishes_holds_and_resumes(spark, tmp_path):
         made = tree(topic["name"], "Some text.")
         (captured / f"{topic['name']}.json").write_text(json.dumps(made | {"pages": made["pages"] * 2}))
 
-    fetch = lambda spark, urls: spark.createDataFrame([(u, f"<title>T{u[-1]}</title><p>x</p>", None) for u in urls], "url string, html string, error string")
+    fetch = lambda spark, urls: urls.selectExpr("url", "concat('<title>T', right(url, 1), '</title><p>x</p>') as html", "cast(null as string) as error")
     args = run.arguments(["--config", str(config), "--capture", str(captured), "--out", str(out), "--state", str(tmp_path / "state"), "--upload", "--retry-backoff", "0", "--retries", "1"])
     site, go = load_site(config), lambda base, capture=capture: run.run(spark, args, site, capture, lambda *x: told.append(x), base, fetch)
-    down = KnowledgeBase("http://k/up", "http://k/del", "key", None, Service((201, '{"uploaded_files": [{"file_id": "one"}]}'), (500, ""), (500, "")))
-    assert go(down) == run.HOLD and tries == ["a", "b", "b", "c", "c"]
-    assert ("Capture failed", "topic 'c' failed") in told and told[-1][0] == "Upload on hold"
-    assert (out / "a.md").read_text(encoding="utf-8").startswith("# Ta\n\n*URL: http://x/a*") and json.loads((out / "b.json").read_text())["pages"][0]["title"] == "Tb"
-    service = Service()
-    (captured / "b.json").write_text(json.dumps(tree("b", "Some text.")))
-    assert go(KnowledgeBase("http://k/up", "http://k/del", "key", None, service), None) == 0
-    assert [m for m, _, _ in service.asked] == ["POST"]  # a is unchanged, b was on hold
+    with HttpService(fails={"b.md"}) as service:
+        base = service.base()
+        assert go(base) == run.HOLD and tries == ["a", "b", "b", "c", "c"]
+        assert ("Capture failed", "topic 'c' failed") in told and told[-1][0] == "Upload on hold"
+        assert (out / "a.md").read_text(encoding="utf-8").startswith("# Ta\n\n*URL: http://x/a*") and json.loads((out / "b.json").read_text())["pages"][0]["title"] == "Tb"
+        assert sorted(name for _, name, _ in service.asked) == ["a.md", "b.md", "b.md"]
+        service.asked.clear()
+        service.fails.clear()
+        (captured / "b.json").write_text(json.dumps(tree("b", "Some text.")))
+        assert go(base, None) == 0
+        assert [(m, name) for m, name, _ in service.asked] == [("POST", "b.md")]  # a is unchanged, b was on hold
     assert any(title == "Coverage lost" and "pages 2→1" in text for title, text in told)
-    assert sorted((r["name"], r["file_id"]) for r in state.load_state(spark, str(tmp_path / "state")).collect()) == [("a.md", "one"), ("b.md", "id1")]
+    assert sorted((r["name"], r["file_id"]) for r in state.load_state(spark, str(tmp_path / "state")).collect()) == [("a.md", "id-a.md-1"), ("b.md", "id-b.md-1")]
+    assert sorted(p.name for p in out.iterdir() if not p.name.startswith(".")) == ["a.json", "a.md", "b.json", "b.md"]
     assert files.exists(spark, str(out / "b.md")) and isinstance(args, argparse.Namespace)
 
 
