@@ -93,6 +93,31 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+#: Stands for a null doc_id.
+NO_ID = -(2**63)
+#: Ids of several texts that may be broadcast to the rows.
+BROADCAST_SHARED = 1_000_000
+
+
+def row_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """((doc_id, text, key), whether any id has several texts): key tells rows apart that differ in id or text.
+
+    It is the doc_id (NO_ID for null), and for an id that stands for several texts a hash of both, so that no text is
+    taken for another one. Equal rows have equal keys. The ids' least and greatest hashes of texts find these ids, by
+    partial aggregates of two numbers a row.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    named = rows.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID)))
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    shared = named.groupBy(F.col("key").alias("shared")).agg(F.min(hashed).alias("low"), F.max(hashed).alias("high")).where("low < high").select("shared")
+    shared = materialize(shared, "shared_ids")
+    if shared.isEmpty():
+        return named, False
+    pick = F.broadcast(shared) if fits_broadcast(shared, BROADCAST_SHARED) else shared
+    found = named.join(pick, F.col("key") == F.col("shared"), "left")
+    return found.select("doc_id", "text", F.when(F.col("shared").isNotNull(), F.xxhash64("key", hashed)).otherwise(F.col("key")).alias("key")), True
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z to a-z and nothing else; null stays null."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -21,17 +21,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialize, release
+from docloom.llm.common import NO_ID, materialize, release
 
 #: A repeated run counts from so many words on.
 MIN_WORDS = 8
 WORD = r"[^\x20\x09-\x0D]+"
-#: Stands for a null doc_id.
-NO_ID = -(2**63)
 
 
 def key_of(docs: DataFrame) -> Column:
-    return F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
+    """What tells documents apart, in the order of doc_id (null first): the id and a hash of the text, as an id may stand for several texts."""
+    return F.struct(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("text"))
 
 
 def line_list(text: Column) -> Column:
@@ -115,7 +114,8 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with later copies of repeated line runs deleted from text, and n_lines, n_deleted, n_runs and n_longest added.
 
     The first occurrence, by doc_id (null first) and line, stays whole unless other runs delete parts of it;
-    rows that share a doc_id count as one place and are cut alike. Blank lines stay. A null text stays null;
+    rows of one doc_id and one text count as one place and are cut alike; rows of one doc_id with different texts are
+    documents of their own. Blank lines stay. A null text stays null;
     an empty text has no runs; an empty table gives an empty table. Columns of docs are kept, and a column
     of docs named like an added one is replaced. n_lines and n_deleted count non-blank lines; n_runs counts
     maximal deleted runs, and n_longest the lines of the longest run that the ranks tell to be a later copy: a shortest one, or a

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import begin, components, fits_broadcast, materialize, release, shuffle_partitions, spanning
+from docloom.llm.common import begin, components, fits_broadcast, materialize, release, row_keys, shuffle_partitions, spanning
 
 SHINGLE, PERCENT = 5, 75
 #: Counters of the frequency table (a power of two), and slices in which it is summed.
@@ -122,16 +122,32 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, name, more) of each row; name and more are the halves of the set's name."""
+    """(doc_id, own, n, name, more) of each row of (doc_id, own, text); name and more are the halves of the set's name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("ngrams")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                found = [(len(s), *set_name(s)) for s in (shingle_set(t, size) for t in batch.column(1)[at : at + 512].to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 512], *[pa.array(c, pa.int64()) for c in zip(*found, strict=True)]], names=["doc_id", "n", "name", "more"])
+                found = [(len(s), *set_name(s)) for s in (shingle_set(t, size) for t in batch.column(2)[at : at + 512].to_pylist())]
+                yield pa.RecordBatch.from_arrays([*[batch.column(k)[at : at + 512] for k in (0, 1)], *[pa.array(c, pa.int64()) for c in zip(*found, strict=True)]], names=["doc_id", "own", "n", "name", "more"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, name long, more long")
+    return docs.select("doc_id", "own", "text").mapInArrow(run, "doc_id long, own long, n long, name long, more long")
+
+
+def told_apart(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """((doc_id, own, text), whether any id has several texts): doc_id is the key of common.row_keys (null for a null id), own the id itself."""
+    keyed, split = row_keys(docs)
+    return keyed.select(F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("doc_id"), F.col("doc_id").alias("own"), "text"), split
+
+
+def with_own_ids(found: DataFrame, split: bool) -> DataFrame:
+    """found (doc_id, own, component_id, ...) with own ids in place of keys: a component's is the smallest of its rows."""
+    if not split:
+        return found.drop("own")
+    found = materialize(found, "keyed_groups")
+    least = found.where("component_id is not null").groupBy("component_id").agg(F.min("own").alias("least"))
+    rest = [F.col(c) for c in found.columns if c not in ("doc_id", "own", "n_shingles", "component_id")]
+    return found.join(least, "component_id", "left").select(F.col("own").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"), *rest)
 
 
 def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
@@ -323,7 +339,7 @@ def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, name, more) of each row, and (name, more, rep, n, members, component) of each class; members are distinct doc_ids."""
+    """(doc_id, own, n, name, more) of each row of told_apart, and (name, more, rep, n, members, component) of each class; members are distinct doc_ids."""
     every = materialize(sets(docs, size), "sets")
     classes = materialize(every.where("n > 0 and doc_id is not null").groupBy("name", "more").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count_distinct("doc_id").alias("members")), "classes")
     named = docs.where("doc_id is not null")
@@ -377,11 +393,13 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     Documents link when the Jaccard similarity of their shingle sets is at least percent / 100; component_id is the
     smallest doc_id reachable by links. Null, empty and wordless texts have no shingles and link with nothing.
     Equal sets link whatever their texts. A row with null doc_id has its n_shingles, links with nothing and has a
-    null component_id. Rows that repeat a doc_id are taken as copies of one document. Empty tables give no rows.
+    null component_id. Equal rows are copies of one document; rows of one doc_id with different texts are documents of
+    their own. Empty tables give no rows.
     """
-    every, classes = grouped(docs, size, percent)
+    texts, split = told_apart(docs)
+    every, classes = grouped(texts, size, percent)
     out = of_class(every, classes.select("name", "more", "component"))
-    return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id"))
+    return with_own_ids(out.select(every["doc_id"], every["own"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id")), split)
 
 
 def overlaps(sets: list[np.ndarray], first: int) -> np.ndarray:
@@ -484,20 +502,38 @@ def link_counts(classes: DataFrame, docs: DataFrame, size: int, percent: int) ->
 def jaccard_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for each row of docs: jaccard_groups and the number of links.
 
-    n_links is the number of other documents (distinct doc_ids) that link with the row's; 0 for a null doc_id and for
-    texts without shingles.
+    n_links is the number of other documents (distinct ids and texts) that link with the row's; 0 for a null doc_id and
+    for texts without shingles.
     """
-    every, classes = grouped(docs, size, percent)
+    texts, split = told_apart(docs)
+    every, classes = grouped(texts, size, percent)
     classes = materialize(classes, "grouped_classes")
-    links = link_counts(classes, docs.where("doc_id is not null"), size, percent)
+    links = link_counts(classes, texts.where("doc_id is not null"), size, percent)
     of = classes.join(links, "rep", "left").select("name", "more", "component", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     out = of_class(every, of)
-    return out.select(every["doc_id"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    found = out.select(every["doc_id"], every["own"], every["n"].alias("n_shingles"), F.coalesce("component", every["doc_id"]).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    return with_own_ids(found, split)
 
 
 def one_of_each_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs without documents that are not their group's smallest doc_id; all columns kept, whatever their names; rows of null doc_id stay."""
-    found = materialize(jaccard_groups(docs.select("doc_id", "text"), size, percent), "grouped")
-    gone = found.where("component_id < doc_id").select("doc_id").distinct()
-    gone = F.broadcast(gone) if fits_broadcast(gone, BROADCAST_IDS) else gone
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti") if docs.schema["doc_id"].dataType != gone.schema["doc_id"].dataType else docs.join(gone, "doc_id", "left_anti")
+    """docs without documents that are not the first of their group; all columns kept, whatever their names; rows of null doc_id stay.
+
+    The first has the smallest doc_id, and of several texts of that id the smallest key (common.row_keys); equal rows
+    are one document.
+    """
+    columns = [f"c{k}" for k in range(len(docs.columns))]
+    renamed = docs.toDF(*columns)
+    ids, text = (F.col(columns[docs.columns.index(c)]).cast(kind) for c, kind in (("doc_id", "long"), ("text", "string")))
+    named = renamed.withColumns({"own_id": ids, "own_hash": F.xxhash64(F.coalesce(text, F.lit("")))})
+    texts, _ = told_apart(docs.select("doc_id", "text"))
+    every, classes = grouped(texts, size, percent)
+    found = of_class(every, classes.select("name", "more", "component")).select(every["doc_id"].alias("key"), every["own"], "component").where("component is not null")
+    # rows of one set differ in text, maybe, and keys tell texts of one id apart
+    found = materialize(found.distinct(), "grouped")
+    first = found.groupBy("component").agg(F.min(F.struct("own", "key")).alias("first"))
+    gone = found.join(first, "component").where(F.col("key") != F.col("first.key")).select("own", "key")
+    gone = materialize(gone, "gone")
+    pick = F.broadcast(gone) if fits_broadcast(gone, BROADCAST_IDS) else gone
+    # a key is the id itself, or a hash of the id and the text
+    kept = named.join(pick, (F.col("own_id") == F.col("own")) & F.col("key").isin(F.col("own_id"), F.xxhash64("own_id", "own_hash")), "left_anti")
+    return kept.select(*columns).toDF(*docs.columns)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import begin, materialize, shuffle_partitions
+from docloom.llm.common import begin, materialize, row_keys, shuffle_partitions
 
 LENGTH, GRAM = 400, 128
 #: Passages of over 50 words mostly have this many bytes; they are counted beside, not removed.
@@ -102,7 +102,7 @@ def anchors(b: np.ndarray, sizes: list[tuple[int, int]]) -> tuple[np.ndarray, ..
         place, low, high = least[edge], edge, np.concatenate((edge[1:], [len(least)])) - 1
         shape = (place - low).astype(np.uint64) << U(32) | (high - low).astype(np.uint64)
         around = mix(two.of(low, high + length) + mix(shape))
-        name = mix(grams[place] + U(length) * U(BASES[0]))
+        name = mix(grams[place] + U(length * BASES[0] & (1 << 64) - 1))
         found.append((name.view(np.int64), around.view(np.int64), np.full(len(place), k), place, low, high))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
@@ -111,15 +111,10 @@ def raw(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-NO_ID = -(2**63)
 #: which length, place, starts before it and starts after the first, in one number: 1, 32, 15 and 15 bits.
 SHIFT, PLACE = 15, 32
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
-
-
 def sampled(texts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
     """(name, around, doc, spot): the sampled positions of all documents."""
 
@@ -234,11 +229,15 @@ def counted(contexts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
 def repeated_spans(docs: DataFrame, sizes: list[tuple[int, int]], large: int = LARGE) -> DataFrame:
     """(which, doc, start, stop): byte ranges of UTF-8 texts that repeated strings cover; ranges may overlap or repeat.
 
-    sizes holds at most two pairs (length, gram), and which is a place in it; doc is doc_id, with the least long for null.
+    sizes holds at most two pairs (length, gram), and which is a place in it; doc is the key of common.row_keys.
     """
+    return spans_of(row_keys(docs)[0].select(F.col("key").alias("doc"), "text"), sizes, large)
+
+
+def spans_of(texts: DataFrame, sizes: list[tuple[int, int]], large: int) -> DataFrame:
+    """repeated_spans of texts (doc, text)."""
     if not all(1 <= gram <= length < 1 << SHIFT for length, gram in sizes) or len(sizes) > 2:
         raise ValueError("gram must be at most length, and length below 32768; at most two lengths")
-    texts = keyed(docs)
     found = sampled(texts, sizes)
     classes = found.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("doc", "spot")).alias("one")).select("name", "around", "n", "one.doc", "one.spot")
     # names by partial sums, so that a name which a third of all positions have is in no one task
@@ -279,11 +278,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shor
     n_passage_bytes and n_passages are the bytes and runs that strings of the short length cover which start anywhere else too;
     they are told, and stay. kept may not be valid UTF-8, as strings are judged by bytes; it is null with keep_bytes=False. Texts
     below `length` bytes, empty and null ones lose nothing (null gives 0 bytes). Repeated rows are documents of their own, so texts
-    of `length` bytes or more in them go wholly; rows that share a doc_id are taken to be equal. Empty tables give no rows.
+    of `length` bytes or more in them go wholly; rows of one doc_id with different texts are documents of their own. Empty tables
+    give no rows.
     """
-    spans = repeated_spans(docs, [(length, gram), short], large)
+    rows = row_keys(docs)[0].withColumnRenamed("key", "doc")
+    spans = spans_of(rows.select("doc", "text"), [(length, gram), short], large)
     by_doc = spans.groupBy(F.col("doc").alias("at")).agg(F.collect_set(F.struct("which", "start", "stop")).alias("spans"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
     joined = rows.join(by_doc, F.col("doc") == F.col("at"), "left").select("doc_id", "text", F.col("spans.which").alias("which"), F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
 
     def covered(n: int, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, int]:
