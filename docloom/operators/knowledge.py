@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docloom.operators import search
 from docloom.schema import KNOWLEDGE
 
 #: Characters by which topics are dealt out.
@@ -30,18 +31,30 @@ def knowledge(files: DataFrame) -> DataFrame:
 
 
 def load(table: DataFrame, path: str) -> None:
-    """Put the table in place of what the path held: old rows go, whatever topics they were of."""
+    """Put the table, and the index that find() searches, in place of what the path held: old rows go, whatever topics they were of."""
     table.select(F.col("id").cast("long"), "topic", "content").write.mode("overwrite").parquet(path)
+    search.postings(stored(table.sparkSession, path), "id", "topic", "content").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}_grams")
+
+
+def find(spark: SparkSession, path: str, keyword: str) -> DataFrame:
+    """search() of a loaded table by its index: only rows that hold all grams of the keyword are looked at."""
+    grams = spark.read.schema(search.POSTINGS).parquet(f"{path}_grams")
+    return search.candidates(stored(spark, path), grams, "id", keyword).where(holds(keyword))
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(KNOWLEDGE).parquet(path)
 
 
-def search(table: DataFrame, keyword: str) -> DataFrame:
-    """Rows that hold the keyword in topic or content, in any case of letters."""
+def holds(keyword: str) -> Column:
+    """Whether topic or content holds a keyword, in any case of letters."""
     plain = keyword.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-    return table.where(F.col("content").ilike(f"%{plain}%") | F.col("topic").ilike(f"%{plain}%"))
+    return F.col("content").ilike(f"%{plain}%") | F.col("topic").ilike(f"%{plain}%")
+
+
+def search_all(table: DataFrame, keyword: str) -> DataFrame:
+    """Rows that hold the keyword, by looking at all of them."""
+    return table.where(holds(keyword))
 
 
 def export_csv(table: DataFrame, path: str) -> None:

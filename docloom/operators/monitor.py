@@ -52,6 +52,11 @@ def regressions(new: DataFrame, old: DataFrame) -> DataFrame:
     Without an old row there are no issues; files are counted but never compared.
     """
     o = old.select("topic", *[F.col(c).alias(f"old_{c}") for c in ("pages", "faqs", "chars")])
+    return new.join(o, "topic", "left").select("topic", issues().alias("issues"))
+
+
+def issues() -> Column:
+    """The issues of rows that hold new metrics beside old_pages, old_faqs and old_chars."""
     change = lambda label, c, unit="": F.concat_ws("", F.lit(f"{label} "), f"old_{c}", F.lit("→"), c, F.lit(unit))
     # The texts of issues and summaries are what receivers of alerts read.
     rules = [
@@ -59,7 +64,7 @@ def regressions(new: DataFrame, old: DataFrame) -> DataFrame:
         F.when((F.col("old_faqs") > 0) & (F.col("faqs") < F.col("old_faqs") * FAQ_FLOOR), change("FAQ", "faqs")),
         F.when((F.col("old_chars") > 0) & (F.col("chars") < F.col("old_chars") * CHARS_FLOOR), change("content", "chars", " chars")),
     ]
-    return new.join(o, "topic", "left").select("topic", F.array_compact(F.array(*rules)).alias("issues"))
+    return F.array_compact(F.array(*rules))
 
 
 def topic_line(m: Column) -> Column:

@@ -22,11 +22,20 @@ def enrich(trees: DataFrame, fetched: DataFrame, place: Callable = placement.pla
     own. Pages without url, and pages not fetched, stay untouched. Topics without pages stay. A page that breaks while
     it is parsed or merged stays as it was and has a row in errors; it stops nothing.
     """
+    return whole_topics(trees, enriched_pages(held_pages(trees, fetched), place))
+
+
+def held_pages(trees: DataFrame, fetched: DataFrame) -> DataFrame:
+    """(topic, page_ord, page, url, html): the pages of trees, with what was fetched of them."""
     pages = trees.select("topic", F.posexplode("pages").alias("page_ord", "page"))
     # of a page that was fetched several times the newest counts, where that is known, and else always the same one
     newest = F.max_by("html", "fetched_at") if "fetched_at" in fetched.columns else F.min("html")
     html = fetched.where("url is not null and html is not null").groupBy("url").agg(newest.alias("html"))
-    held = pages.withColumn("url", F.when(F.col("page.url") != "", F.col("page.url"))).join(html, "url", "left")
+    return pages.withColumn("url", F.when(F.col("page.url") != "", F.col("page.url"))).join(html, "url", "left").select(*KEYS, "page", "url", "html")
+
+
+def enriched_pages(held: DataFrame, place: Callable = placement.place) -> DataFrame:
+    """(topic, page_ord, page, failure) of held pages: each page enriched, or as it was with (url, stage, error)."""
     extracts = extract.all_extracts(node_table(held.where("html is not null"), "html", *KEYS), KEYS)
     # a fetched page without any node still counts as fetched
     empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in extracts.schema["extracts"].dataType.fields])
@@ -36,8 +45,14 @@ def enrich(trees: DataFrame, fetched: DataFrame, place: Callable = placement.pla
     merged = merge.merge(joined, place=place)
     stage = F.when(F.col("_broken").isNotNull(), "parse").otherwise("merge")
     error = F.coalesce("_broken", "error")
-    told = F.when(error.isNotNull(), F.struct("page_ord", "url", stage.alias("stage"), error.alias("error")))
-    found = merged.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("page_ord", "page"))).alias("found"), F.array_sort(F.collect_list(told)).alias("errors"))
+    failure = F.when(error.isNotNull(), F.struct("url", stage.alias("stage"), error.alias("error")))
+    return merged.select(*KEYS, "page", failure.alias("failure"))
+
+
+def whole_topics(trees: DataFrame, pages: DataFrame) -> DataFrame:
+    """(topic, base_url, pages, errors): trees with their pages put back in order."""
+    told = F.when(F.col("failure").isNotNull(), F.struct("page_ord", "failure.url", "failure.stage", "failure.error"))
+    found = pages.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("page_ord", "page"))).alias("found"), F.array_sort(F.collect_list(told)).alias("errors"))
     errors = F.coalesce("errors", F.array().cast(schema.ERRORS)).alias("errors")
     return trees.join(found, "topic", "left").select("topic", "base_url", F.when(F.col("found").isNotNull(), F.col("found.page")).otherwise(F.col("pages")).alias("pages"), errors)
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from docloom import schema
 from docloom.functions import text as tx
-from docloom.operators import chunk, extract, knowledge, match, merge, monitor, publish
+from docloom.operators import chunk, extract, knowledge, match, merge, monitor, publish, search, structure
 from docloom.plans import topics
 from docloom.sources.config import select_topics
-from docloom.sources.dom import node_table
+from docloom.sources.dom import element_table, node_table
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -156,7 +156,30 @@ def upload_tally(spark: SparkSession, sf: str) -> DataFrame:
 
 def knowledge_search(spark: SparkSession, sf: str) -> DataFrame:
     table = read(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("topic"), F.col("text").alias("content"))
-    return knowledge.search(table, "LICENSE").select("id", "topic")
+    return knowledge.search_all(table, "LICENSE").select("id", "topic")
+
+
+def knowledge_index_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the gram index of all documents."""
+    table = read(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("topic"), F.col("text").alias("content"))
+    some = search.candidates(table, search.postings(table, "id", "topic", "content"), "id", "LICENSE")
+    return some.where(knowledge.holds("LICENSE")).select("id", "topic")
+
+
+def inside_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """Links in navigation, and paragraphs in articles and outside of them, of each page."""
+    nodes = element_table(read(spark, sf, "pages"), "html", "page_id")
+    nodes = structure.inside(structure.inside(nodes, F.col("tag") == "nav", ["page_id"], "in_nav"), F.col("tag") == "article", ["page_id"], "in_article")
+    many = lambda x: F.count(F.when(x, 1))
+    p = F.col("tag") == "p"
+    return nodes.groupBy("page_id").agg(many((F.col("tag") == "a") & F.col("in_nav")).alias("nav_links"), many(p & F.col("in_article")).alias("article_p"), many(p & ~F.col("in_article")).alias("other_p"))
+
+
+def enclosing_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """For each page how many list items and links stand in lists, and how deep at most."""
+    nodes = element_table(read(spark, sf, "pages"), "html", "page_id")
+    around = structure.enclosing(nodes.where("tag in ('ul', 'li', 'a')"), F.col("tag") == "ul", ["page_id"])
+    return around.groupBy("page_id").agg(F.count("*").alias("held"), F.max("depth").cast("long").alias("deepest"))
 
 
 def chat_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -284,7 +307,7 @@ def hours_missing(spark: SparkSession, sf: str) -> DataFrame:
 NAMES = (
     "page_title page_links file_link_flag label_resolution page_markdown page_metrics page_extracts enriched_pages norm_key_dedup content_norm_hash prose_flag blank_lines strip_markup "
     "section_lengths chunk_params document_chunks passage_contained phone_key preceding_heading adjacent_groups regressions run_summary upload_plan upload_tally knowledge_search chat_history topic_selection "
-    "heading_places missing_answers missing_phones missing_sections section_places contact_block hours_block hours_missing"
+    "knowledge_index_search inside_elements enclosing_elements heading_places missing_answers missing_phones missing_sections section_places contact_block hours_block hours_missing"
 ).split()
 
 BLANKS = r"[\s\x{{00A0}}]+"  # doubled braces: it only occurs in texts that are formatted
@@ -348,6 +371,15 @@ SQL |= {
 # pages whose every line is markup are left with nothing
 SQL["strip_markup"] = f"select p.page_id, coalesce(s.hash, sha256('')) as hash from pages p left join ({SQL['strip_markup']}) s using (page_id)"
 
+TAGS = "len(regexp_extract_all({x}, '<{tag}[ >]'))"
+NAV, ARTICLE = "regexp_extract(h, '(?s)<nav>.*?</nav>')", "regexp_extract(h, '(?s)<article>.*?</article>')"
+CLEAN = "select page_id, regexp_replace(html, '(?s)<(script|style)>.*?</(script|style)>', '', 'g') as h from pages"
+SQL |= {
+    "knowledge_index_search": SQL["knowledge_search"],
+    "inside_elements": f"select page_id, {TAGS.format(x=NAV, tag='a')} as nav_links, {TAGS.format(x=ARTICLE, tag='p')} as article_p, {TAGS.format(x='h', tag='p')} - {TAGS.format(x=ARTICLE, tag='p')} as other_p from ({CLEAN})",
+    "enclosing_elements": f"select page_id, n as held, 1::bigint as deepest from (select page_id, list_sum(list_transform(regexp_extract_all(h, '(?s)<ul>.*?</ul>'), lambda u: {TAGS.format(x='u', tag='li')} + {TAGS.format(x='u', tag='a')}))::bigint as n from ({CLEAN})) where n > 0",
+}
+
 # lines as headings, panels and sections; the first half of a document as what its tree holds
 LINES = "select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents"
 HALF = f"select doc_id, {CONTENT} as blob, regexp_replace(text, '[^0-9]', '', 'g') as digits from (select doc_id, left(text, length(text) // 2) as text from documents)"

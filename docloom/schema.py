@@ -17,6 +17,7 @@ NODES = (
     "array<struct<pos:int,end_pos:int,depth:int,parent_pos:int,kind:string,tag:string,text:string,href:string,hidden:boolean,in_accordion:boolean,"
     "question:string,answer:string,pairs:array<struct<day:string,times:string>>>>"
 )
+ELEMENTS = "array<struct<pos:int,end_pos:int,parent_pos:int,tag:string,classes:array<string>,href:string>>"
 EXTRACTS = (
     "struct<title:string,questions:array<string>,qa_groups:array<struct<heading:string,qas:array<" + QA + ">>>,phones:array<struct<label:string,phone:string,key:string>>,"
     "hours:string,file_groups:array<struct<heading:string,files:array<string>>>,sections:array<struct<heading:string,text:string>>,error:string>"

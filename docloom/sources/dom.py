@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udf
 
-from docloom.schema import NODES
+from docloom.schema import ELEMENTS, NODES
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(("script", "style", "noscript"))
@@ -209,6 +209,23 @@ def found_nodes(root: Element) -> list[dict]:
     return out
 
 
+def elements(html: str | None) -> list[dict] | None:
+    """Every element of a page in document order; null for null, none for a page that breaks."""
+    if html is None:
+        return None
+    try:
+        root = parse(html)
+    except Exception:  # noqa: BLE001  nodes() tells why
+        return []
+    return [{"pos": e.pos, "end_pos": e.end, "parent_pos": e.parent.pos, "tag": e.tag, "classes": sorted(e.classes), "href": e.attrs.get("href")} for e in root.walk()]
+
+
+def element_table(pages: DataFrame, html: str | Column, *keys: str) -> DataFrame:
+    """One row for each element of each page: (keys, pos, end_pos, parent_pos, tag, classes, href). operators.structure asks what stands inside what."""
+    column = F.col(html) if isinstance(html, str) else html
+    return pages.select(*keys, F.inline(udf(elements, ELEMENTS, useArrow=True)(column)))
+
+
 def parse_nodes(html: Column) -> Column:
     return udf(nodes, NODES, useArrow=True)(html)
 

@@ -51,7 +51,7 @@ def test_knowledge_round_trip(spark, tmp_path):
         (tmp_path / name).write_text(text, encoding="utf-8")
     table = knowledge.knowledge(knowledge.markdown_files(spark, str(tmp_path)))
     assert [(r["id"], r["topic"]) for r in table.orderBy("id").collect()] == [(1, "heat"), (2, "x")]
-    assert [r["topic"] for r in knowledge.search(table, "äPF").collect()] == ["heat"] and knowledge.search(table, "%").count() == 0
+    assert [r["topic"] for r in knowledge.search_all(table, "äPF").collect()] == ["heat"] and knowledge.search_all(table, "%").count() == 0
     knowledge.export_csv(table, str(tmp_path / "out"))
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "out"))
     assert {r["content"] for r in back.collect()} == {'Line "one"\nÄpfel', "AB"}
