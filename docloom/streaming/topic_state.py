@@ -62,6 +62,20 @@ def compared(trees: DataFrame, keep_days: float = KEEP_DAYS) -> DataFrame:
 
 
 def watch_topics(trees: DataFrame, alerts: str, checkpoint: str, keep_days: float = KEEP_DAYS) -> StreamingQuery:
-    """Write what regressed to a table of alerts, each once, also over restarts from the checkpoint."""
+    """Write what regressed to a table of alerts, each once, also over restarts from the checkpoint.
+
+    It takes what is there and ends. Expiry is by processing time, for which batches without data would follow each
+    other without end, so this query starts with those switched off; expired state goes with the batches that have data.
+    """
     found = compared(trees, keep_days).where(F.size("issues") > 0)
+    conf, idle = trees.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(idle)
+    conf.set(idle, "false")
+    try:
+        return started(found, alerts, checkpoint)
+    finally:
+        conf.set(idle, before)
+
+
+def started(found: DataFrame, alerts: str, checkpoint: str) -> StreamingQuery:
     return found.writeStream.format("parquet").outputMode("append").option("path", alerts).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
