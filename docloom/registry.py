@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom import schema
+from docloom import built_pages, schema
 from docloom.functions import text as tx
 from docloom.operators import chunk, extract, knowledge, match, merge, monitor, publish, search, structure
 from docloom.plans import topics
@@ -398,8 +398,12 @@ SQL |= {
 }
 
 
+NAMES += built_pages.NAMES
+SQL |= built_pages.SQL
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: globals()[name] for name in NAMES}
+    return {name: globals().get(name) or getattr(built_pages, name) for name in NAMES}
 
 
 def oracle_sql() -> dict[str, str]:
