@@ -106,22 +106,22 @@ class _Both:
         return self.second[key] if found is None else found
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, words: int = WORD_CACHE) -> WordEncoder:
     """One encoder for each Python worker and tokenizer file."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return worker_cache("packing", path, lambda: WordEncoder(path))
+    return worker_cache("packing", (path, words), lambda: WordEncoder(path, words))
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, words: int = WORD_CACHE) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): a document's ids, then end_id, cut where longer than capacity.
 
     A null or empty text is the one piece [end_id]. Repeated rows give repeated pieces.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, words).encode
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for at in range(0, len(ids), 128):
@@ -285,11 +285,12 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return placed.mapInArrow(place, T._parse_datatype_string(PIECES + ", sequence_id long, offset long"))
 
 
-def best_fit_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def best_fit_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, words: int = WORD_CACHE) -> DataFrame:
     """Pack all documents' tokens into as few sequences of at most `capacity` ids as the method finds.
 
     docs: doc_id, text; further columns are ignored. Null and empty texts give a piece of one id; a null
     doc_id is kept as null; an empty table gives no rows. Returns a row for each piece with sequence_id
-    and offset; a sequence's pieces lie gapless from 0.
+    and offset; a sequence's pieces lie gapless from 0. words: how many words a Python worker keeps encoded, about 200 bytes
+    each; the result does not depend on it.
     """
-    return pack(materialize(pieces(docs, tokenizer, capacity, end_id), "pieces"), capacity)
+    return pack(materialize(pieces(docs, tokenizer, capacity, end_id, words), "pieces"), capacity)
