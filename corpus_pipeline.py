@@ -19,6 +19,10 @@ from docloom.llm.toxicity import reject_toxic
 from docloom.session import ship
 
 
+#: Words that a Python worker keeps encoded: fewer than packing alone would, as workers serve all stages in turn.
+WORDS_KEPT = 200_000
+
+
 def with_length(docs: DataFrame) -> DataFrame:
     """n_chars, where docs has it, follows the text."""
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
@@ -52,7 +56,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences."""
     ship(spark)
-    return best_fit_pack(docs, tokenizer_path("word_bpe_49k.json"))
+    return best_fit_pack(docs, tokenizer_path("word_bpe_49k.json"), words=WORDS_KEPT)
 
 
 STAGES = [
