@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from docloom.operators.match import join_url
 
 
+def system_text() -> str:
+    """What an agent is told once, before its tasks: its role, the shape of its answer as the engine reads it, and what it leaves to the engine."""
+    from docloom.schema import TREE
+
+    return "\n".join(
+        (
+            "You read pages of one website and answer with one JSON document for each topic.",
+            f"Its shape, as types of columns: {TREE}.",
+            "One entry of pages stands for one page, in the order you read them. A block begins with each large heading and a segment with each smaller one; leave what is not there as null.",
+            "Write down only what the pages say. What a question, a file list, a phone number or opening hours say is checked against the page afterwards, so copy rather than rephrase.",
+            "Close dialogs about cookies first. If a page does not load, leave it out and go on.",
+        )
+    )
+
+
 def navigation(url: Column, path: Column, root_url: str) -> Column:
     """Where to go: the topic's url, resolved against the root if relative, else the labels to click from the root."""
     target = F.when(F.rlike(url, F.lit("^https?://")), url).otherwise(join_url(F.lit(root_url), url))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom import schema
+from docloom.functions import prompts
 from docloom.functions import text as tx
-from docloom.operators import extract, merge, placement, render
+from docloom.operators import extract, match, merge, placement, render
 from docloom.sources.dom import node_table
 
 KEYS = ["topic", "page_ord"]
@@ -62,6 +63,25 @@ def quarantine(enriched: DataFrame) -> DataFrame:
     return enriched.select("topic", F.inline("errors"))
 
 
+def capture_tasks(topics: DataFrame, root_url: str, fetch: Callable) -> DataFrame:
+    """topics (name, path, url, subtopics, instructions, ord) with subpages (label and url, in label order) and the capture task.
+
+    The labels of sub-pages are looked up on the topic's own page before anything is captured, so an agent is given
+    addresses and follows no guess. fetch(spark, urls) gives (url, html); a page that cannot be fetched, and a label
+    without a link, give no sub-page.
+    """
+    absolute = F.when(F.rlike("url", F.lit("^https?://")), F.col("url")).otherwise(match.join_url(F.lit(root_url), F.col("url")))
+    asked = topics.where(F.size("subtopics") > 0).select("name", absolute.alias("page"), F.posexplode("subtopics").alias("label_pos", "label"))
+    pages = fetch(topics.sparkSession, asked.select(F.col("page").alias("url")).distinct())
+    links = extract.links(node_table(pages.withColumnRenamed("url", "page"), "html", "page"), ["page"])
+    labels = asked.select("page", "label_pos", "label", F.col("page").alias("base_url")).distinct()
+    found = match.resolve_labels(labels, links, ["page"])
+    subpages = asked.join(found, ["page", "label_pos", "label"]).groupBy("name").agg(F.array_sort(F.collect_list(F.struct("label_pos", "label", "url"))).alias("s"))
+    subpages = subpages.select("name", F.transform("s", lambda x: F.struct(x["label"].alias("label"), x["url"].alias("url"))).alias("subpages"))
+    joined = topics.join(subpages, "name", "left").withColumn("subpages", F.coalesce("subpages", F.array().cast("array<struct<label:string,url:string>>")))
+    return joined.withColumn("task", prompts.task(prompts.navigation(F.col("url"), F.col("path"), root_url), F.col("instructions"), F.col("subpages")))
+
+
 def page_trees(pages: DataFrame) -> DataFrame:
     """(page_id, pages): trees of raw pages without a capture: title, link list and body text."""
     nodes = node_table(pages, "html", "page_id", "url", every_page=True)

@@ -2,8 +2,8 @@
 
     python -m docloom.run --config site.yaml --capture captured/ --out out/ [--upload --state state/]
 
-The capture itself is outside: a command given with --capture-command is called for each topic and leaves <topic>.json
-in the capture folder; without one, what lies there is taken. A topic whose capture fails stops no other.
+The capture itself is outside: a command given with --capture-command is called for each topic, gets its task with the
+addresses of its sub-pages, and leaves <topic>.json in the capture folder; without one, what lies there is taken. A topic whose capture fails stops no other.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.prompts import system_text
 from docloom.operators import monitor, publish
-from docloom.plans.topics import enrich, quarantine
+from docloom.plans.topics import capture_tasks, enrich, quarantine
 from docloom.sinks import files, state
 from docloom.sinks.remote import KnowledgeBase, push
 from docloom.sources import trees, web
@@ -46,7 +47,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--config", default="sites/site.yaml", help="site file")
     p.add_argument("--topics", default=None, help="names, comma-separated; all if left out")
     p.add_argument("--capture", default="captured", help="folder of <topic>.json trees")
-    p.add_argument("--capture-command", default=None, help="called for each topic, with {topic} and {url} filled in")
+    p.add_argument("--capture-command", default=None, help="called for each topic, with {topic} and {url} filled in and the task as its input")
     p.add_argument("--out", default="outputs", help="folder for enriched trees and Markdown")
     p.add_argument("--pdf", action="store_true", help="not offered: Markdown is converted outside")
     p.add_argument("--upload", action="store_true", help="publish changed documents")
@@ -107,7 +108,10 @@ def process(spark: SparkSession, names: list[str], captured: str, out: str, fetc
 
 def run(spark: SparkSession, args: argparse.Namespace, site: Site, capture: Callable | None = None, notify: Callable = lambda title, text: None, base: KnowledgeBase | None = None, fetch: Callable = web.read_pages) -> int:
     """The whole run; 0, or HOLD where publishing has to go on later."""
-    topics = select_topics(topics_table(spark, site), args.topics).orderBy("ord").collect()  # a configuration
+    topics = select_topics(topics_table(spark, site), args.topics)
+    if capture:
+        topics = capture_tasks(topics, site.root_url, fetch)
+    topics = topics.orderBy("ord").collect()  # a configuration
     done, failed = capture_all(topics, capture, args.retries, args.retry_backoff, args.delay)
     made = process(spark, done, args.capture, args.out, fetch) if done else None
     failed += made.lost if made else []
@@ -137,8 +141,8 @@ def run(spark: SparkSession, args: argparse.Namespace, site: Site, capture: Call
 
 
 def command(template: str) -> Callable:
-    """A capture that calls a program; it fails if the program does."""
-    return lambda topic: subprocess.run([x.format(topic=topic["name"], url=topic["url"] or "") for x in template.split()], check=True)
+    """A capture that calls a program; it fails if the program does. The task goes to its standard input, behind the system text."""
+    return lambda topic: subprocess.run([x.format(topic=topic["name"], url=topic["url"] or "") for x in template.split()], check=True, text=True, input=f"{system_text()}\n\n{topic['task']}")
 
 
 def main(argv: list[str] | None = None) -> None:

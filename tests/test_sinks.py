@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from docloom import run, schema
 from docloom.functions import text as tx
+from docloom.functions.prompts import system_text
 from docloom.operators import knowledge, monitor
 from docloom.operators.publish import UploadHold
+from docloom.plans import topics
 from docloom.sinks import files, state
 from docloom.sinks.remote import PUSH_LIMIT, KnowledgeBase, push
-from docloom.sources.config import load_site
+from docloom.sources.config import load_site, select_topics, topics_table
 from test_publish import HttpService
 
 SEGMENT = dict.fromkeys(("subheading", "text", "files", "contacts", "faqs"))
@@ -121,6 +123,21 @@ def test_run_captures_enriches_publishes_holds_and_resumes(spark, tmp_path):
     assert files.exists(spark, str(out / "b.md")) and isinstance(args, argparse.Namespace)
 
 
+def test_tasks_name_sub_pages_before_the_capture(spark, tmp_path):
+    config = tmp_path / "site.yaml"
+    config.write_text("site: s\nroot_url: http://x/\ntopics:\n  - {name: a, url: /a, subtopics: [Solar, Nowhere, Heat], instructions: be exact}\n  - {name: b, path: [One]}\n  - {name: c, url: 'http://y/c', subtopics: [Solar]}\n  - {name: d, url: /a, subtopics: [Heat]}\n")
+    site = load_site(config)
+    html = "<a href='/heat'>District heating plans</a><a href='s/solar.html'>Solar roofs</a><a href='/h'>Heat</a>"
+    fetch = lambda spark, urls: urls.selectExpr("url", f'case when url like "http://x%" then "{html}" end as html', "cast(null as string) as error")
+    rows = {r["name"]: r for r in topics.capture_tasks(select_topics(topics_table(spark, site), None), site.root_url, fetch).collect()}
+    assert [tuple(s) for s in rows["a"]["subpages"]] == [("Solar", "http://x/s/solar.html"), ("Heat", "http://x/h")]
+    assert [tuple(s) for s in rows["d"]["subpages"]] == [("Heat", "http://x/h")] and rows["b"]["subpages"] == rows["c"]["subpages"] == []
+    assert "  - Solar: http://x/s/solar.html\n  - Heat: http://x/h" in rows["a"]["task"] and "be exact" in rows["a"]["task"] and "Sub-pages" not in rows["c"]["task"]
+    out = tmp_path / "told"
+    run.command(f"cp /dev/stdin {out}")(rows["a"])
+    assert out.read_text().startswith(system_text()) and "array<struct<question:string" in system_text() and "http://x/h" in out.read_text()
+
+
 def test_main_names_bad_input():
     for argv in (["--config", "/none.yaml"], ["--pdf"]):
         with pytest.raises(SystemExit, match="error"):
