@@ -20,7 +20,7 @@ from docloom.session import ship
 
 
 #: Words that a Python worker keeps encoded: fewer than packing alone would, as workers serve all stages in turn.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 50_000
 
 
 def with_length(docs: DataFrame) -> DataFrame:
