@@ -9,14 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from docloom import schema
 from docloom.functions import text as tx
+from docloom.functions.rows import by_row
 from docloom.operators import placement
 
 #: What is kept of an error's text.
@@ -73,28 +71,16 @@ def by_page(answer: Callable, kind: str, *columns: Column) -> Column:
 
     Null where a column is null. What answer raises becomes the error of its row; no row stops another one.
     """
-    made = T.StructType.fromDDL(f"value {kind}, error string")
-    arrow = to_arrow_type(made)
-
-    def run(*arrays: pa.Array) -> pa.Array:
-        out = []
-        for row in zip(*(a.to_pylist() for a in arrays), strict=True):
-            if any(x is None for x in row):
-                out.append(None)
-                continue
-            try:
-                out.append({"value": answer(*row), "error": None})
-            except Exception as error:  # noqa: BLE001  a page may break in any way
-                out.append({"value": None, "error": f"{type(error).__name__}: {error}"[:ERROR_LIMIT]})
-        return pa.array(out, arrow)
-
-    def one(pages: pa.Array) -> pa.Array:
-        return run(pages)
-
-    def two(pages: pa.Array, more: pa.Array) -> pa.Array:
-        return run(pages, more)
-
-    return F.arrow_udf(one if len(columns) == 1 else two, made)(*columns)
+
+    def told(*row: object) -> dict | None:
+        if any(x is None for x in row):
+            return None
+        try:
+            return {"value": answer(*row), "error": None}
+        except Exception as error:  # noqa: BLE001  a page may break in any way
+            return {"value": None, "error": f"{type(error).__name__}: {error}"[:ERROR_LIMIT]}
+
+    return by_row(told, f"struct<value:{kind},error:string>", *columns)
 
 
 def placed(page: Column, extracts: Column, place: Callable = placement.place) -> Column:

@@ -109,3 +109,24 @@ def test_label_resolution_tiers_and_empty_href(spark):
     labels = spark.createDataFrame([(1, 0, "District  heating", "http://a/b/"), (1, 1, "district heating network", "http://a/b/"), (1, 2, "Offers", "http://a/b/"), (1, 3, "nothing", "http://a/b/")], "page_id int, label_pos int, label string, base_url string")
     urls = [(r["label_pos"], r["url"]) for r in match.resolve_labels(labels, links, ["page_id"]).orderBy("label_pos").collect()]
     assert urls == [(0, "http://a/y"), (1, "http://a/z"), (2, "http://a/o")]
+
+
+def test_references_need_their_semicolon(spark):
+    html = '<title>A &amp; B&amp</title><a href="/x?a=1&copy=2&amp;b=&lt">&ltx &nosuch; &#65; &#65 &auml;&ampauml;</a><!-- &amp --><iframe>a & b</iframe>'
+    t = node_table(spark.createDataFrame([(1, html)], "page_id long, html string"), "html", "page_id")
+    assert rows(extract.titles(t, ["page_id"]), "title") == [("A & B&amp",)]
+    assert rows(t.where("kind = 'link'"), "text", "href") == [("&ltx &nosuch; A &#65 ä&ampauml;", "/x?a=1&copy=2&b=&lt")]
+    assert rows(t.where("kind = 'string'").orderBy("pos"), "text")[-1] == ("a & b",)
+    assert nodes("﷐ &amp; &amp <b>&lt;</b>")[0]["text"] == "﷐ & &amp"
+
+
+def test_rows_are_python_objects_a_slice_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from docloom.functions import rows as R
+
+    long = pa.array(["x" * 100_000] * 50)
+    assert {len(p[0]) for p in R.sliced((long,))} == {10} and sum(len(p[0]) for p in R.sliced((long, long))) == 50
+    assert max(len(p[0]) for p in R.sliced((pa.array(range(1000)),))) == R.SLICE_ROWS
+    table = spark.range(0, 1000, 1, 2).select("id", R.by_row(lambda a, b: [a, b], "array<long>", F.col("id"), F.col("id") + 1).alias("v"), R.by_row(lambda a: None if a % 3 else str(a), "string", F.col("id")).alias("s"))
+    assert [tuple(r) for r in table.orderBy("id").collect()] == [(k, [k, k + 1], None if k % 3 else str(k)) for k in range(1000)]
