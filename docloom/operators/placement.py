@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 from docloom.functions import text as tx
 
+RULES, SLASHED = re.compile(r"-{2,}"), re.compile(r"\S*/\S*")
 CONTACT, REACH, DAYS = re.compile(tx.CONTACT), re.compile(tx.REACH), tx.WEEKDAYS
 SECTION_PROBE, DAYS_NEEDED = 60, 3
 #: Length of the grams by which names are found that hold another one, and room between two labels.
@@ -27,7 +28,8 @@ def squeeze(x: str | None) -> str:
 
 def squeeze_content(x: str | None) -> str:
     """functions.text.content_norm"""
-    return squeeze(re.sub(r"-{2,}", " ", x or "").replace("|", " "))
+    x = x or ""
+    return squeeze((RULES.sub(" ", x) if "--" in x else x).replace("|", " "))
 
 
 def match(a: str, b: str) -> bool:
@@ -40,7 +42,7 @@ def match(a: str, b: str) -> bool:
 
 def is_prose(text: str) -> bool:
     """functions.text.looks_like_prose"""
-    clean = squeeze(re.sub(r"\S*/\S*", " ", text))
+    clean = squeeze(SLASHED.sub(" ", text) if "/" in text else text)
     return len(clean) >= tx.MIN_PROSE and re.search("[.?!]", clean) is not None
 
 
@@ -97,6 +99,7 @@ class HeadingIndex:
         self.first: tuple[dict[str, Place], dict[str, Place]] = {}, {}  # subheadings, block headings
         self.grams: defaultdict[str, set[str]] = defaultdict(set)
         self.starts: defaultdict[str, set[str]] = defaultdict(set)
+        self.unread: list[str] = []  # names whose parts are in neither yet: not every page is asked for parts
         self.found: dict[str, Place | None] = {}
         self.holding: dict[str, Block | None] = {}
 
@@ -106,17 +109,24 @@ class HeadingIndex:
         level = self.first[place.segment is None]
         held = level.get(place.name)
         if held is None and place.name not in self.first[place.segment is not None]:
-            for k in range(len(place.name) - GRAM + 1):
-                self.grams[place.name[k : k + GRAM]].add(place.name)
-            if len(place.name) >= tx.MIN_CONTAINED:
-                self.starts[place.name[: tx.MIN_CONTAINED]].add(place.name)
+            self.unread.append(place.name)
         if held is None or place.order() < held.order():
             level[place.name] = place
             self.found.clear()
             self.holding.clear()
 
+    def read(self) -> None:
+        """Put the parts of new names in."""
+        for name in self.unread:
+            for k in range(len(name) - GRAM + 1):
+                self.grams[name[k : k + GRAM]].add(name)
+            if len(name) >= tx.MIN_CONTAINED:
+                self.starts[name[: tx.MIN_CONTAINED]].add(name)
+        self.unread.clear()
+
     def names_with(self, part: str) -> Iterator[str]:
         """Names that hold a part: those of its rarest gram, looked through."""
+        self.read()
         if len(part) < GRAM:
             names = self.first[0].keys() | self.first[1].keys()
         else:
@@ -125,6 +135,7 @@ class HeadingIndex:
 
     def names_in(self, whole: str) -> Iterator[str]:
         """Names of at least MIN_CONTAINED characters that a text holds: those that begin as it does anywhere."""
+        self.read()
         some = tx.MIN_CONTAINED
         return (n for k in range(len(whole) - some + 1) for n in self.starts.get(whole[k : k + some], ()) if whole.startswith(n, k))
 

@@ -203,3 +203,16 @@ def test_present_answers_by_automaton_and_by_join(spark):
     blobs = spark.createDataFrame([(1, "exactly14chars and fifteen chars xx"), (2, "nothing"), (3, None), (4, "")], "doc int, blob string")
     for most in (100, 1):
         assert sorted(tuple(r) for r in match.present_answers(answers, blobs, "item", "doc", most).collect()) == [(2, 1), (3, 1)]
+
+
+def test_parts_of_names_are_indexed_when_they_are_asked_for():
+    from docloom.operators import placement
+
+    page = {"url": "", "title": "", "blocks": [{"heading": f"Kontakt {k}", "segments": []} for k in range(50)]}
+    work = placement.Page(page)
+    assert work.contact_block() is work.blocks[0] and work.locate("Kontakt 7")[0] is work.blocks[7] and not work.index.grams
+    assert work.locate("Kontakt 4")[0] is work.blocks[4] and work.locate("akt 49 und") is None and work.locate("ntakt 49")[0] is work.blocks[49]
+    assert work.index.grams and not work.index.unread
+    work.open_block("Neue Abteilung", placement.Segment())
+    assert work.locate("Abteilung")[0] is work.blocks[50] and work.locate("die neue Abteilung hier")[0] is work.blocks[50]
+    assert placement.squeeze_content("a---b -c|d") == "a b -c d" and not placement.is_prose("x" * 50 + "/. " + "y" * 39)
