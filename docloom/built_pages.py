@@ -46,7 +46,8 @@ def built_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def found(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.all_extracts(node_table(built_pages(spark, sf), "html", "doc_id"), ["doc_id"])
+    parts = extract.page_partitions(spark.read.parquet(f"{sf}/documents.parquet"), "text")
+    return extract.all_extracts(node_table(built_pages(spark, sf), "html", "doc_id"), ["doc_id"], parts)
 
 
 def hashed(rows: Column) -> Column:

@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 from docloom.functions import text as tx
 
 SECTION_CAP, LABEL_CAP, WEEKDAYS_NEEDED = 4000, 60, 3
+#: Bytes of HTML whose nodes one task sorts.
+TASK_BYTES = 4 << 20
+
+
+def page_partitions(pages: DataFrame, html: str) -> int:
+    """For all_extracts: so many parts that each holds TASK_BYTES of HTML on average, however many pages there are. Reads the column once."""
+    return int(pages.agg(F.sum(F.octet_length(html))).first()[0] or 0) // TASK_BYTES + 1
 
 
 def before(keys: list[str]) -> Window:
@@ -68,11 +75,12 @@ def adjacent_runs(rows: DataFrame, keys: list[str], by: str, value: str, into: s
     return runs.groupBy(*keys, "ord").agg(F.min_by(by, "pos").alias(by), ordered(value, "pos").alias(into))
 
 
-def all_extracts(nodes: DataFrame, keys: list[str]) -> DataFrame:
+def all_extracts(nodes: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
     """(keys, extracts): everything found on a page in one struct, lists in order; null where nothing is found.
 
     One pass: the nodes move once, by page, and all windows and the one aggregation share that exchange, so a page is
-    parsed once whatever is extracted.
+    parsed once whatever is extracted. partitions: in how many parts they move (page_partitions tells), as the session's
+    number does not grow with the pages, and a task would sort ever more of them.
 
     title: the first title up to its pipe, else the first h1. questions, qa_groups: panels with a question and another
     answer, under the nearest earlier heading in no accordion; groups by first appearance, accordions before details,
@@ -81,6 +89,8 @@ def all_extracts(nodes: DataFrame, keys: list[str]) -> DataFrame:
     first of each name, in runs under the nearest h2 to h5. sections: visible h2 sections without accordions, text up to
     the next h2 of any kind. error: why the page could not be parsed.
     """
+    if partitions:
+        nodes = nodes.repartition(partitions, *keys)
     # what stands before each node
     fit = F.col("tag").isin("h2", "h3", "h4", "h5", "strong", "b") & (F.col("text") != "") & (F.length("text") < LABEL_CAP)
     head = F.when(F.col("tag") == "h2", F.struct("pos", "end_pos", "text", "hidden"))

@@ -16,14 +16,14 @@ from docloom.sources.dom import node_table
 KEYS = ["topic", "page_ord"]
 
 
-def enrich(trees: DataFrame, fetched: DataFrame, place: Callable = placement.place) -> DataFrame:
+def enrich(trees: DataFrame, fetched: DataFrame, place: Callable = placement.place, partitions: int | None = None) -> DataFrame:
     """trees (topic, base_url, pages) with what fetched (url, html) shows merged in, and errors.
 
     A page is known by topic and position, never by url: several topics may hold one url, and each page is enriched on its
     own. Pages without url, and pages not fetched, stay untouched. Topics without pages stay. A page that breaks while
-    it is parsed or merged stays as it was and has a row in errors; it stops nothing.
+    it is parsed or merged stays as it was and has a row in errors; it stops nothing. partitions: as in all_extracts.
     """
-    return whole_topics(trees, enriched_pages(held_pages(trees, fetched), place))
+    return whole_topics(trees, enriched_pages(held_pages(trees, fetched), place, partitions))
 
 
 def held_pages(trees: DataFrame, fetched: DataFrame) -> DataFrame:
@@ -35,9 +35,9 @@ def held_pages(trees: DataFrame, fetched: DataFrame) -> DataFrame:
     return pages.withColumn("url", F.when(F.col("page.url") != "", F.col("page.url"))).join(html, "url", "left").select(*KEYS, "page", "url", "html")
 
 
-def enriched_pages(held: DataFrame, place: Callable = placement.place) -> DataFrame:
+def enriched_pages(held: DataFrame, place: Callable = placement.place, partitions: int | None = None) -> DataFrame:
     """(topic, page_ord, page, failure) of held pages: each page enriched, or as it was with (url, stage, error)."""
-    extracts = extract.all_extracts(node_table(held.where("html is not null"), "html", *KEYS), KEYS)
+    extracts = extract.all_extracts(node_table(held.where("html is not null"), "html", *KEYS), KEYS, partitions)
     # a fetched page without any node still counts as fetched
     empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in extracts.schema["extracts"].dataType.fields])
     joined = held.join(extracts, KEYS, "left").withColumn("extracts", F.when(F.col("html").isNotNull(), F.coalesce("extracts", empty)))

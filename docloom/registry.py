@@ -52,14 +52,15 @@ def page_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_extracts(spark: SparkSession, sf: str) -> DataFrame:
-    found = extract.all_extracts(node_table(read(spark, sf, "pages"), "html", "page_id"), ["page_id"])
+    pages = read(spark, sf, "pages")
+    found = extract.all_extracts(node_table(pages, "html", "page_id"), ["page_id"], extract.page_partitions(pages, "html"))
     return found.select("page_id", "extracts.title", *[F.coalesce(F.size(f"extracts.{c}"), F.lit(0)).alias(c) for c in ("questions", "qa_groups", "phones", "file_groups", "sections")])
 
 
 def enriched_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = read(spark, sf, "pages")
     trees = topics.page_trees(pages).select(F.concat(F.lit("page "), "page_id").alias("topic"), F.lit(None).cast("string").alias("base_url"), "pages")
-    return monitor.metrics(topics.enrich(trees, pages.select("url", "html")))
+    return monitor.metrics(topics.enrich(trees, pages.select("url", "html"), partitions=extract.page_partitions(pages, "html")))
 
 
 def norm_key_dedup(spark: SparkSession, sf: str) -> DataFrame:

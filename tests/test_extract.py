@@ -130,3 +130,13 @@ def test_rows_are_python_objects_a_slice_at_a_time(spark, monkeypatch):
     assert max(len(p[0]) for p in R.sliced((pa.array(range(1000)),))) == R.SLICE_ROWS
     table = spark.range(0, 1000, 1, 2).select("id", R.by_row(lambda a, b: [a, b], "array<long>", F.col("id"), F.col("id") + 1).alias("v"), R.by_row(lambda a: None if a % 3 else str(a), "string", F.col("id")).alias("s"))
     assert [tuple(r) for r in table.orderBy("id").collect()] == [(k, [k, k + 1], None if k % 3 else str(k)) for k in range(1000)]
+
+
+def test_parts_grow_with_the_pages(spark):
+    docs = spark.createDataFrame([(k, "<h2>A</h2><p>" + "ä" * (extract.TASK_BYTES // 4) + "</p>") for k in range(6)] + [(9, None)], "page_id long, html string")
+    parts = extract.page_partitions(docs, "html")
+    assert parts == 4 and extract.page_partitions(docs.limit(0), "html") == 1
+    made = extract.all_extracts(node_table(docs, "html", "page_id"), ["page_id"], parts)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "page_id" in plan and f", {parts}), REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
+    assert [r[0] for r in made.orderBy("page_id").select("page_id").collect()] == list(range(6))
