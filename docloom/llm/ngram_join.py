@@ -150,13 +150,15 @@ def with_own_ids(found: DataFrame, split: bool) -> DataFrame:
     return found.join(least, "component_id", "left").select(F.col("own").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"), *rest)
 
 
-def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
-    """A level for each counter: 0 up to what chance makes of the mean count, then two more for each doubling.
+def frequency_levels(docs: DataFrame, size: int, total: int) -> list[bytes]:
+    """A level for each counter, as compressed slices: 0 up to what chance makes of the mean count, then two more for each doubling.
 
-    Every shingle of every document is counted. Tasks send slices of their table, compressed; slices are
-    summed as a stream, and COUNTERS bytes reach the driver, however large the corpus.
+    Every shingle of every document is counted; total is the number of shingles. Tasks send slices of their table,
+    compressed; slices are summed as a stream and become levels where they are summed, so the driver holds nothing but
+    compressed levels, a byte a counter at most, however large the corpus.
     """
     width = COUNTERS // SLICES
+    mean = total / COUNTERS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("ngrams")
@@ -173,7 +175,7 @@ def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
             table += np.bincount(np.concatenate(held), minlength=COUNTERS)
         for k in range(SLICES):
             part = zlib.compress(table[k * width : (k + 1) * width].astype("<u4").tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], names=["slice", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], names=["slice", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -181,19 +183,17 @@ def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
             for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts = np.frombuffer(zlib.decompress(part), "<u4")
                 sums[k] = sums[k] + counts if k in sums else counts.astype(np.int64)
-        for k, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
+        for k, found in sums.items():
+            level = np.ceil(2 * np.log2(np.maximum(found / (mean + 3 * np.sqrt(mean) + 1), 1))).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(level.tobytes(), 1)], pa.binary())], names=["slice", "part"])
 
-    schema = "slice int, counts binary"
+    schema = "slice int, part binary"
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema)
-    table = np.zeros(COUNTERS, np.int64)
-    for row in counted.toLocalIterator():
-        table[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    mean = table.mean()
-    return np.ceil(2 * np.log2(np.maximum(table / (mean + 3 * np.sqrt(mean) + 1), 1))).astype(np.uint8)
+    parts = {row["slice"]: bytes(row["part"]) for row in counted.collect()}  # SLICES rows
+    return [parts[k] if k in parts else zlib.compress(bytes(width), 1) for k in range(SLICES)]
 
 
-def entries(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
+def entries(docs: DataFrame, levels: list[bytes], size: int, percent: int) -> DataFrame:
     """(token, name, n, place): the prefix of each set, once for each task that meets the set.
 
     Half of the name does here: two classes that shared it would only meet others in each other's lists too.
@@ -201,7 +201,7 @@ def entries(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> Dat
     shipped = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, met = shipped.value, set()
+        level, met = np.frombuffer(b"".join(map(zlib.decompress, shipped.value)), np.uint8), set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 tokens, names, sizes, places = [], [], [], []
@@ -343,7 +343,8 @@ def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     every = materialize(sets(docs, size), "sets")
     classes = materialize(every.where("n > 0 and doc_id is not null").groupBy("name", "more").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count_distinct("doc_id").alias("members")), "classes")
     named = docs.where("doc_id is not null")
-    prefixes = materialize(entries(named, frequency_levels(named, size), size, percent), "entries")
+    total = every.where("doc_id is not null").agg(F.sum("n")).first()[0] or 0
+    prefixes = materialize(entries(named, frequency_levels(named, size, total), size, percent), "entries")
     found = materialize(lists(prefixes), "lists")
     release(prefixes)
 

@@ -1,7 +1,10 @@
 import collections
 import random
 import re
+import tracemalloc
+import zlib
 
+import numpy as np
 import pytest
 
 from docloom.llm import ngram_join as N
@@ -107,3 +110,19 @@ def test_clashing_columns(spark):
 def test_query_counts_links(spark):
     out = queries()["op3_ngram_jaccard_join"](spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+
+
+def test_levels_take_little_of_the_driver(spark):
+    rows = [(i, f"{text} {i}", i) for i, (_, text) in enumerate(made())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own long").select("doc_id", "own", "text")
+    sets = [N.shingle_set(t, 5) for _, t, _ in rows]
+    tracemalloc.start()
+    try:
+        levels = N.frequency_levels(docs, 5, sum(map(len, sets)))
+        assert tracemalloc.get_traced_memory()[1] < N.COUNTERS
+    finally:
+        tracemalloc.stop()
+    counts = np.bincount(np.concatenate([(s & np.uint64(N.COUNTERS - 1)).astype(np.int64) for s in sets]), minlength=N.COUNTERS)
+    mean = counts.mean()
+    want = np.ceil(2 * np.log2(np.maximum(counts / (mean + 3 * np.sqrt(mean) + 1), 1)))
+    assert want.max() > 0 and (np.frombuffer(b"".join(map(zlib.decompress, levels)), np.uint8) == want).all()
