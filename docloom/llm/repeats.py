@@ -36,6 +36,10 @@ LENGTH, GRAM = 400, 128
 SHORT, SHORT_GRAM = 256, 96
 #: Bytes of one name's classes that one task compares; above, their strings are counted as rows of their own.
 LARGE = 16_000_000
+#: Bytes of several texts that are hashed at once.
+HASHED = 1 << 15
+#: Contexts of several names that are compared at once.
+TOGETHER = 1024
 
 U = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -73,37 +77,56 @@ class Hashes:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.total[end] - self.total[start]) * self.down[start])
 
+    def each(self, width: int) -> np.ndarray:
+        """What `of` mixes, for all ranges of a width."""
+        found = self.total[width:] - self.total[:-width]
+        found *= self.down[: len(found)]
+        return found
+
 
 def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
-    """Place of the least value in each window (the first of equals), by block-wise running minima."""
-    n = len(h) - width + 1
-    key = (h & ~U(0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint64)
-    blocks = -(-len(h) // width)
-    full = np.full(blocks * width, U(0xFFFFFFFFFFFFFFFF))
-    full[: len(h)] = key
-    grid = full.reshape(blocks, width)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & U(0xFFFFFFFF)).astype(np.int64)
-
-
-def anchors(b: np.ndarray, sizes: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
-    """(name, class hash, place in sizes, position, first start, last start) of each sampled position, for all (length, gram)."""
-    found = [tuple(np.zeros(0, np.int64) for _ in range(6))]
+    """Place of the least value in each window (the first of equals), by minima of windows twice as wide each time."""
+    low = h & ~U(0xFFFFFFFF)
+    low |= np.arange(len(h), dtype=np.uint64)
+    k = 1
+    while 2 * k <= width:
+        low = np.minimum(low[:-k], low[k:])
+        k *= 2
+    if k < width:
+        low = np.minimum(low[: k - width], low[width - k :])
+    return (low & U(0xFFFFFFFF)).view(np.int64)
+
+
+def anchors(texts: list[np.ndarray], sizes: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
+    """(name, class hash, text, place in sizes, position, first start, last start) of each sampled position, for all (length, gram).
+
+    The texts are hashed as one run of bytes; strings across their borders are left out.
+    """
+    b, lens = np.concatenate(texts), np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(lens)
+    found = [tuple(np.zeros(0, np.int64) for _ in range(7))]
     if len(b) >= min(length for length, _ in sizes):
         one, two = Hashes(b, BASES[0]), Hashes(b, BASES[1])
     for k, (length, gram) in enumerate(sizes):
         if len(b) < length:
             continue
-        at = np.arange(len(b) - gram + 1)
-        grams = one.of(at, at + gram)
+        grams = one.each(gram)  # their upper halves are hashes enough to be ordered by
         least = sliding_least(grams, length - gram + 1)
-        edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-        place, low, high = least[edge], edge, np.concatenate((edge[1:], [len(least)])) - 1
+        edge = np.ones(len(least), bool)
+        np.not_equal(least[1:], least[:-1], out=edge[1:])
+        borders = np.concatenate((ends, (ends - length + 1)[lens >= length]))  # where texts, and strings within them, end
+        edge[borders[borders < len(least)]] = True
+        low = np.flatnonzero(edge)
+        high = np.concatenate((low[1:], [len(least)])) - 1
+        text = np.searchsorted(ends, low, "right")
+        inside = low + length <= ends[text]
+        low, high, text = low[inside], high[inside], text[inside]
+        place = least[low]
         shape = (place - low).astype(np.uint64) << U(32) | (high - low).astype(np.uint64)
         around = mix(two.of(low, high + length) + mix(shape))
-        name = mix(grams[place] + U(length * BASES[0] & (1 << 64) - 1))
-        found.append((name.view(np.int64), around.view(np.int64), np.full(len(place), k), place, low, high))
+        name = mix(mix(grams[place]) + U(length * BASES[0] & (1 << 64) - 1))
+        first = (ends - lens)[text]
+        found.append((name.view(np.int64), around.view(np.int64), text, np.full(len(place), k), place - first, low - first, high - first))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
@@ -122,9 +145,12 @@ def sampled(texts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
         begin("repeats")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                found = [anchors(raw(t), sizes) for t in batch.column(1)[at : at + 256].to_pylist()]
-                doc = np.repeat(batch.column(0)[at : at + 256].to_numpy(), [len(f[0]) for f in found])
-                name, around, which, place, low, high = (np.concatenate([f[k] for f in found]) for k in range(6))
+                texts = [raw(t) for t in batch.column(1)[at : at + 256].to_pylist()]
+                lens = np.cumsum([len(t) for t in texts])
+                cuts = [0, *(np.flatnonzero(np.diff(lens // HASHED)) + 1).tolist(), len(texts)]
+                found = [(a, *anchors(texts[a:z], sizes)) for a, z in zip(cuts, cuts[1:], strict=False)]
+                name, around, text, which, place, low, high = (np.concatenate([f[k] + f[0] if k == 3 else f[k] for f in found]) for k in range(1, 8))
+                doc = batch.column(0)[at : at + 256].to_numpy()[text]
                 spot = which << 2 * SHIFT + PLACE | place << 2 * SHIFT | (place - low) << SHIFT | high - low
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (name, around, doc, spot)], names=["name", "around", "doc", "spot"])
 
@@ -148,33 +174,57 @@ def last_stop(sizes: list[tuple[int, int]]) -> Column:
     return first_start() + bits(0, SHIFT) + F.get(F.array(*[F.lit(length) for length, _ in sizes]), which().cast("int"))
 
 
-def windows(batch: pa.RecordBatch, sizes: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of every string of the contexts in a batch of (name, n, which, back, context, ...)."""
-    keys, rows = [], []
-    for k, (which, back, context) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("which", "back", "context")), strict=True)):
-        b, length = np.frombuffer(context, np.uint8), sizes[which][0]
-        start = np.arange(len(b) - length + 1)
-        keys.append(mix(Hashes(b, BASES[1]).of(start, start + length) + (back - start).astype(np.uint64)))
-        rows.append(np.full(len(start), k))
-    return np.concatenate(keys).view(np.int64), np.concatenate(rows)
+def windows(batch: pa.RecordBatch, sizes: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, row, start) of every string of the contexts in a batch of (name, n, which, back, context, ...), start within its context.
+
+    Contexts are hashed many at a time, as one run of bytes.
+    """
+    contexts = batch.column("context").to_pylist()
+    lens = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    length = np.array([length for length, _ in sizes])[batch.column("which").to_numpy()]
+    back, step = batch.column("back").to_numpy(), max(1, ((1 << 17) - 1) // int(lens.max()))
+    found = []
+    for at in range(0, len(contexts), step):
+        part = slice(at, at + step)
+        hashes = Hashes(np.frombuffer(b"".join(contexts[part]), np.uint8), BASES[1])
+        n = lens[part] - length[part] + 1
+        row = np.repeat(np.arange(len(n)), n)
+        start = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+        place = start + (np.cumsum(lens[part]) - lens[part])[row]
+        found.append((hashes.of(place, place + length[part][row]) + (back[part][row] - start).astype(np.uint64), row + at, start))
+    keys, row, start = (np.concatenate(c) for c in zip(*found, strict=True))
+    return mix(keys).view(np.int64), row, start
+
+
+def found_twice(keys: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Whether the same key occurs again in its group."""
+    order = np.argsort(keys)
+    same = keys[order[1:]] == keys[order[:-1]]
+    if (group[order[1:]] != group[order[:-1]])[same].any():
+        order = np.lexsort((keys, group))
+        same = (keys[order[1:]] == keys[order[:-1]]) & (group[order[1:]] == group[order[:-1]])
+    twice = np.zeros(len(keys), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    return twice
 
 
 def merged(contexts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
     """(which, doc, start, stop): repeated strings of single-member classes, by comparing the classes of each name."""
 
-    def group(rows: pa.RecordBatch) -> list[tuple[int, int, int, int]]:
-        keys, row = windows(rows, sizes)
-        kind = rows.column("which")[0].as_py()
-        length = sizes[kind][0]
-        n, doc, low = (rows.column(c).to_numpy() for c in ("n", "doc", "low"))
-        kinds, where, times = np.unique(keys, return_inverse=True, return_counts=True)
-        twice = times[where] >= 2
-        first = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(n)))))
-        out = []
-        for k in np.flatnonzero(n == 1):
-            hit = np.flatnonzero(np.diff(np.concatenate(([0], twice[first[k] : first[k + 1]].view(np.int8), [0]))))
-            out += [(kind, int(doc[k]), int(low[k]) + int(x), int(low[k]) + int(y) - 1 + length) for x, y in zip(hit[::2], hit[1::2], strict=True)]
-        return out
+    def compared(rows: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """The columns of the result, for whole names."""
+        keys, row, start = windows(rows, sizes)
+        name, n, which, doc, low = (rows.column(c).to_numpy() for c in ("name", "n", "which", "doc", "low"))
+        group = name[row]
+        hit = found_twice((keys.view(np.uint64) + mix(group.view(np.uint64))).view(np.int64), group) & (n == 1)[row]
+        other = row[1:] != row[:-1]
+        first, last = hit.copy(), hit.copy()
+        first[1:] &= ~hit[:-1] | other
+        last[:-1] &= ~hit[1:] | other
+        first, last = np.flatnonzero(first), np.flatnonzero(last)
+        at = row[first]
+        length = np.array([length for length, _ in sizes])[which[at]]
+        return which[at], doc[at], low[at] + start[first], low[at] + start[last] + length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -182,10 +232,14 @@ def merged(contexts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
         def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
             rows = table.combine_chunks().to_batches()[0]
             name = rows.column("name").to_numpy()
-            cuts = [0, *(np.flatnonzero(name[1:] != name[:-1]) + 1).tolist(), len(name)]
-            found = [x for a, b in zip(cuts, cuts[1:], strict=False) for x in group(rows.slice(a, b - a))]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["which", "doc", "start", "stop"])
+            cuts = [*(np.flatnonzero(name[1:] != name[:-1]) + 1).tolist(), len(name)]
+            at = 0
+            for here, after in zip(cuts, [*cuts[1:], None], strict=True):
+                if after is None or after - at > TOGETHER:
+                    found = compared(rows.slice(at, here - at))
+                    at = here
+                    if len(found[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["which", "doc", "start", "stop"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -213,9 +267,8 @@ def counted(contexts: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                keys, row = windows(part, sizes)
-                low, first = part.column("low").to_numpy()[row], np.concatenate(([0], np.flatnonzero(row[1:] != row[:-1]) + 1))
-                inside = np.arange(len(row)) - np.repeat(first, np.diff(np.concatenate((first, [len(row)]))))
+                keys, row, inside = windows(part, sizes)
+                low = part.column("low").to_numpy()[row]
                 n = part.column("n").to_numpy()[row]
                 columns = (part.column("name").to_numpy()[row], keys, part.column("which").to_numpy()[row], part.column("doc").to_numpy()[row], low + inside, n)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["name", "key", "which", "doc", "start", "n"])
