@@ -2,8 +2,11 @@
 
 The document-by-bucket count matrix is written once to the shared folder, as blocks of compressed sparse rows. Both
 later passes read only those blocks: column sums give the distributions of the documents and of the target, and a
-sparse matrix-vector product with the buckets' gains gives each document's weight. A seeded Gumbel variable for each
-document then makes the highest scores a sample without replacement.
+sparse matrix-vector product with the buckets' gains gives each document's weight, which is written down too. A seeded
+Gumbel variable for each document then makes the highest scores a sample without replacement.
+
+Spark's reader holds a whole row group of blocks at once, as a block is one row, so few blocks make a row group: what a
+task holds does not grow with its share of the documents.
 """
 
 from __future__ import annotations
@@ -17,17 +20,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from docloom.llm.common import begin, materialize, worker_cache
+from docloom.llm.common import begin, materialize, release, worker_cache
 
 BUCKETS, NGRAMS, PERCENT, MIN_WORDS, SEED = 10_000, 1, 10, 20, "2024"
 #: Rows and entries of a block; a longer document is a block of its own.
-BLOCK_ROWS, BLOCK_ENTRIES = 4096, 1 << 20
+BLOCK_ROWS, BLOCK_ENTRIES = 4096, 1 << 18
+#: Blocks of a Parquet row group.
+GROUP_BLOCKS = 4
 #: Words whose bucket a Python worker keeps.
-CACHE = 500_000
+CACHE = 100_000
 #: What stands between words becomes a blank, A-Z becomes a-z.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-BLOCK = "doc_ids array<long>, n_words array<long>, n_features array<long>, ends array<long>, columns array<int>, counts array<int>"
+BLOCK = "doc_ids array<long>, n_words array<long>, n_features array<long>, ends array<long>, columns binary, counts binary"
 
 
 class Buckets(dict):
@@ -57,19 +62,31 @@ def features(words: list[bytes], ngrams: int, of: Buckets) -> np.ndarray:
     return np.concatenate(out)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as few bytes each as the largest one needs."""
+    return values.astype(np.min_scalar_type(values.max(initial=0))).tobytes()
+
+
+def unpacked(data: pa.BinaryScalar, n: int) -> np.ndarray:
+    """The n numbers that packed() was given, read where they lie."""
+    return np.frombuffer(data.as_buffer(), f"u{data.as_buffer().size // n}") if n else np.empty(0, np.uint8)
+
+
 def count_matrix(docs: DataFrame, ngrams: int = NGRAMS, buckets: int = BUCKETS) -> DataFrame:
     """Blocks of compressed sparse rows: the counts of each text's buckets, in the order of the rows.
 
-    Row k of a block has the entries ends[k-1]:ends[k] of columns (sorted) and counts. A row without text has none.
+    Row k of a block has the entries ends[k-1]:ends[k] of columns (sorted) and counts, both packed. A row without text
+    has none.
     """
 
     def block(held: list[tuple[int | None, int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         ids, words, features, columns, counts = zip(*held, strict=True)
         ends = np.cumsum([len(c) for c in columns])
         row = [pa.array([list(ids)], pa.list_(pa.int64()))]
-        for values, kind in ((words, np.int64), (features, np.int64), (ends, np.int64), (np.concatenate(columns), np.int32), (np.concatenate(counts), np.int32)):
-            flat = pa.array(np.asarray(values, kind))
+        for values in (words, features, ends):
+            flat = pa.array(np.asarray(values, np.int64))
             row.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat))
+        row += [pa.array([packed(np.concatenate(values))], pa.binary()) for values in (columns, counts)]
         return pa.RecordBatch.from_arrays(row, names=["doc_ids", "n_words", "n_features", "ends", "columns", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,13 +101,14 @@ def count_matrix(docs: DataFrame, ngrams: int = NGRAMS, buckets: int = BUCKETS)
                 if held and (len(held) >= BLOCK_ROWS or entries + len(columns) > BLOCK_ENTRIES):
                     yield block(held)
                     held, entries = [], 0
-                held.append((doc_id, len(words), len(found), columns, counts))
+                held.append((doc_id, len(words), len(found), columns.astype(np.int32), counts.astype(np.int32)))
                 entries += len(columns)
+            batch = text = buffer = None  # else it stays while the next one is read
         if held:
             yield block(held)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"))
-    return materialize(rows.mapInArrow(run, BLOCK), "csr")
+    return materialize(rows.mapInArrow(run, BLOCK), "csr", **{"parquet.block.row.count.limit": GROUP_BLOCKS})
 
 
 def column_sums(matrix: DataFrame, buckets: int) -> np.ndarray:
@@ -100,13 +118,14 @@ def column_sums(matrix: DataFrame, buckets: int) -> np.ndarray:
         begin("resampling")
         sums = np.zeros(buckets, np.int64)
         for batch in batches:
-            columns, counts = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (0, 1))
-            np.add.at(sums, columns, counts)
+            for n, columns, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                np.add.at(sums, unpacked(columns, n), unpacked(counts, n))
+            batch = columns = counts = None  # else it stays while the next one is read
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some])], names=["bucket", "n"])
 
     out = np.zeros(buckets, np.int64)
-    for bucket, n in matrix.select("columns", "counts").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n")).collect():
+    for bucket, n in matrix.select(F.element_at("ends", -1).alias("n"), "columns", "counts").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n")).collect():
         out[bucket] = n
     return out
 
@@ -125,10 +144,12 @@ def weights(matrix: DataFrame, gain: np.ndarray) -> DataFrame:
         begin("resampling")
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, words, features, ends, columns, counts = (batch.column(k)[row].values for k in range(6))
+                ids, words, features, ends = (batch.column(k)[row].values for k in range(4))
                 at = np.insert(ends.to_numpy(), 0, 0)
-                sums = np.insert(np.cumsum(shipped.value[columns.to_numpy()] * counts.to_numpy()), 0, 0)[at]
+                columns, counts = (unpacked(batch.column(k)[row], at[-1]) for k in (4, 5))
+                sums = np.insert(np.cumsum(shipped.value[columns] * counts), 0, 0)[at]
                 yield pa.RecordBatch.from_arrays([ids, words, features, pa.array(np.diff(sums))], names=["doc_id", "n_words", "n_features", "weight"])
+            batch = ids = words = features = ends = columns = counts = None  # else it stays while the next one is read
 
     return matrix.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
 
@@ -184,7 +205,10 @@ def importance_resampling(
     matrix = count_matrix(docs, ngrams, buckets)
     aim = count_matrix(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), ngrams, buckets)
     gain = gains(column_sums(matrix, buckets), column_sums(aim, buckets))
-    scored = weights(matrix, gain).withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
+    weighed = materialize(weights(matrix, gain), "weights")
+    for done in (matrix, aim):
+        release(done)
+    scored = weighed.withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
     may = F.coalesce(F.col("doc_id").isNotNull() & (F.col("n_words") >= min_words), F.lit(False))
     rest = scored.where(~may).withColumn("rank", F.lit(None).cast("long"))
     some = scored.where(may)

@@ -5,12 +5,17 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from conftest import DATA
 from pyspark.sql import functions as F
 
 from docloom.llm.queries import op12_importance_resampling
-from docloom.llm.resampling import column_sums, count_matrix, importance_resampling
+from docloom.llm.resampling import BLOCK_ROWS, GROUP_BLOCKS, column_sums, count_matrix, importance_resampling, packed, unpacked
 
 SCHEMA = "doc_id long, text string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -81,3 +86,22 @@ def test_matrix_is_written_and_adds_up(spark):
     assert matrix.select(F.sum(F.size("doc_ids"))).first()[0] == 3
     row = matrix.select(F.explode(F.arrays_zip("doc_ids", "n_features"))).select("col.*").where("doc_ids = 2").first()
     assert row["n_features"] == 2
+
+
+def test_readers_hold_few_blocks_at_once(spark):
+    """One task's matrix may have any number of blocks; Spark's reader holds a row group of them at a time."""
+    docs = spark.range(0, 9 * BLOCK_ROWS + 1, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a a b"), F.col("id")).alias("text"))
+    matrix = count_matrix(docs)
+    assert matrix.count() == 10
+    files = [pq.ParquetFile(p).metadata for p in Path(urlparse(matrix.docloom_path).path).glob("*.parquet")]
+    groups = [m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)]
+    assert sum(groups) == 10 and max(groups) <= GROUP_BLOCKS
+    sums = column_sums(matrix, 10_000)
+    assert int(sums.sum()) == 3 * (9 * BLOCK_ROWS + 1) and int(sums[zlib.crc32(b"a") % 10_000]) >= 2 * (9 * BLOCK_ROWS + 1)
+
+
+def test_packed_numbers_come_back():
+    for values in ([], [0], [0, 255], [256, 1], [65_535], [65_536, 3], [2**32 - 1, 0]):
+        data = packed(np.array(values, np.int64))
+        assert unpacked(pa.scalar(data, pa.binary()), len(values)).tolist() == values
+    assert len(packed(np.array([9_999, 1]))) == 4 and len(packed(np.array([7, 1]))) == 2
