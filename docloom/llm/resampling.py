@@ -5,8 +5,8 @@ later passes read only those blocks: column sums give the distributions of the d
 sparse matrix-vector product with the buckets' gains gives each document's weight, which is written down too. A seeded
 Gumbel variable for each document then makes the highest scores a sample without replacement.
 
-Spark's reader holds a whole row group of blocks at once, as a block is one row, so few blocks make a row group: what a
-task holds does not grow with its share of the documents.
+Spark's reader holds a whole row group of blocks at once, as a block is one row, so few blocks make a row group, and
+Python workers get small batches: what a task holds does not grow with its share of the documents.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from docloom.llm.common import begin, materialize, release, worker_cache
+from docloom.llm.common import begin, materialize, release, small_batches, worker_cache
 
 BUCKETS, NGRAMS, PERCENT, MIN_WORDS, SEED = 10_000, 1, 10, 20, "2024"
 #: Rows and entries of a block; a longer document is a block of its own.
@@ -202,10 +202,11 @@ def importance_resampling(
     drawn. Null and empty texts have weight 0 and are not drawn (unless min_words is 0); of repeated rows each stands
     for itself; an empty table gives none. Other columns are not looked at.
     """
-    matrix = count_matrix(docs, ngrams, buckets)
-    aim = count_matrix(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), ngrams, buckets)
-    gain = gains(column_sums(matrix, buckets), column_sums(aim, buckets))
-    weighed = materialize(weights(matrix, gain), "weights")
+    with small_batches(docs.sparkSession):
+        matrix = count_matrix(docs, ngrams, buckets)
+        aim = count_matrix(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), ngrams, buckets)
+        gain = gains(column_sums(matrix, buckets), column_sums(aim, buckets))
+        weighed = materialize(weights(matrix, gain), "weights")
     for done in (matrix, aim):
         release(done)
     scored = weighed.withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))

@@ -11,9 +11,11 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
+from docloom.llm.common import BATCH_BYTES, small_batches
 from docloom.llm.queries import op12_importance_resampling
 from docloom.llm.resampling import BLOCK_ROWS, GROUP_BLOCKS, column_sums, count_matrix, importance_resampling, packed, unpacked
 
@@ -105,3 +107,23 @@ def test_packed_numbers_come_back():
         data = packed(np.array(values, np.int64))
         assert unpacked(pa.scalar(data, pa.binary()), len(values)).tolist() == values
     assert len(packed(np.array([9_999, 1]))) == 4 and len(packed(np.array([7, 1]))) == 2
+
+
+def test_workers_get_small_batches_meanwhile(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    def most():
+        rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000))
+        return rows.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with small_batches(spark):
+        with small_batches(spark):
+            pass
+        assert most() < BATCH_BYTES + 20_000
+    assert most() > 2 * BATCH_BYTES
+    with pytest.raises(KeyError), small_batches(spark):
+        raise KeyError
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == limit
